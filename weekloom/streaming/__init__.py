@@ -1,0 +1,5 @@
+"""No streaming operators: all inputs here are batch series.
+
+The sources, operators and marts are plain batch DataFrame jobs, so this
+package stays empty on purpose.
+"""
