@@ -14,29 +14,62 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def range_splits(df: DataFrame, cols: Sequence[str], pieces: int = 128) -> dict[str, list[float]]:
-    """Cut points dividing each column into about equal row counts, in one pass.
+# Rows one range should hold, and the most ranges a column is cut into.
+ROWS_PER_PIECE = 200_000
+MAX_COARSE = 512
+MAX_FINE = 4096
 
-    Returns at most ``pieces - 1`` numbers per column. They come back to the
-    driver so that every later use sees the same cuts; only balance depends on
-    them, never the result.
-    """
-    probs = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    row = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), probs, 10000).alias(f"s{i}") for i, c in enumerate(cols)
-    ]).first()
-    return {c: sorted(set(row[f"s{i}"] or [])) for i, c in enumerate(cols)}
 
+class Pieces:
+    """Ranges of a column: quantile cut points, each range cut evenly again when data is large."""
+
+    def __init__(self, bounds: Sequence[float], fine: int = 1):
+        self.bounds, self.fine = list(bounds), max(1, fine)
+
+    def of(self, value: Column) -> Column:
+        """Range number of a value; never decreases as the value grows."""
+        inner = self.bounds[1:-1]
+
+        def search(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(value < F.lit(inner[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
 
-def piece_of(value: Column, splits: Sequence[float]) -> Column:
-    """Number of cut points at or below the value, by binary search over literals."""
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(splits[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+        coarse = search(0, len(inner))
+        if self.fine == 1 or len(self.bounds) < 2:
+            return coarse
+        low = F.array(*[F.lit(b) for b in self.bounds[:-1]])[coarse]
+        width = F.array(*[F.lit(b - a) for a, b in zip(self.bounds, self.bounds[1:])])[coarse]
+        part = F.floor(F.coalesce(F.try_divide(value - low, width), F.lit(0.0)) * self.fine)
+        return coarse * self.fine + F.greatest(F.lit(0), F.least(part, F.lit(self.fine - 1)))
 
-    return search(0, len(splits))
+
+def range_pieces(df: DataFrame, cols: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, Pieces]:
+    """Cut each column into ranges of about ``rows_per_piece`` rows, from one pass over the data.
+
+    A bounded list of numbers per column comes back to the driver, so that
+    every later use sees the same cuts; only balance depends on them, never
+    the result.
+    """
+    probs = F.array(*[F.lit(i / MAX_COARSE) for i in range(1, MAX_COARSE)])
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}"),
+                 F.percentile_approx(v, probs, 10000).alias(f"s{i}")]
+    row = df.agg(*aggs).first()
+    out = {}
+    for i, c in enumerate(cols):
+        wanted = -(-row[f"n{i}"] // rows_per_piece)
+        step = max(1, MAX_COARSE // max(1, min(wanted, MAX_COARSE)))
+        inner = (row[f"s{i}"] or [])[step - 1::step] if wanted > 1 else []
+        ends = [x for x in (row[f"a{i}"], row[f"z{i}"]) if x is not None]
+        bounds = sorted({*inner, *ends})
+        if len(bounds) == 1:
+            bounds = bounds * 2
+        out[c] = Pieces(bounds, min(MAX_FINE, -(-wanted // MAX_COARSE)))
+    return out
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], piece: Column,
@@ -73,13 +106,13 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def bump_duplicates(df: DataFrame, keys: Sequence[str], ts: str, order: str,
-                    pieces: int = 128, out: str = "ts_unique") -> DataFrame:
+                    rows_per_piece: int = ROWS_PER_PIECE, out: str = "ts_unique") -> DataFrame:
     """Make instants unique: the c-th repeat of an instant moves by c microseconds.
 
     Copies of one instant can be many, so they are numbered piecewise by ``order``.
     """
-    splits = range_splits(df, [order], pieces)[order]
-    numbered = number_rows(df, [*keys, ts], [order], piece_of(F.col(order).cast("double"), splits), "_n")
+    piece = range_pieces(df, [order], rows_per_piece)[order].of(F.col(order).cast("double"))
+    numbered = number_rows(df, [*keys, ts], [order], piece, "_n")
     micros = F.unix_micros(F.col(ts).cast("timestamp")) + F.col("_n") - 1
     return numbered.withColumn(out, F.timestamp_micros(micros)).drop("_n")
 
@@ -105,19 +138,19 @@ def next_instant(df: DataFrame, keys: Sequence[str], ts: str, cut: str = "hour",
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float],
-                    pieces: int = 128) -> DataFrame:
+                    rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
     """Exact linear-interpolated quantiles as rows (keys, variable, prob, value).
 
     Equal values collapse before the shuffle; each variable is cut into ranges;
     only the ranges that hold a wanted rank are ordered.
     """
-    splits = range_splits(df, cols, pieces)
+    pieces = range_pieces(df, cols, rows_per_piece)
     numeric = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
     long = numeric.unpivot(list(keys), list(cols), "variable", "value").filter(F.col("value").isNotNull())
     piece = None
     for c in cols:
         hit = F.col("variable") == c
-        part = piece_of(F.col("value"), splits[c])
+        part = pieces[c].of(F.col("value"))
         piece = F.when(hit, part) if piece is None else piece.when(hit, part)
     by = [*keys, "variable"]
     counts = long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_rows")).withColumn("_piece", piece)

@@ -54,19 +54,19 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ])
 
 
-def describe(df: DataFrame, cols: Sequence[str], pieces: int = 128) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max per column."""
     basic = _measure(df, cols, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
-    quartiles = exact_quantiles(df, [], cols, (0.25, 0.5, 0.75), pieces).groupBy("variable").agg(*[
+    quartiles = exact_quantiles(df, [], cols, (0.25, 0.5, 0.75)).groupBy("variable").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
     ])
     return basic.join(quartiles, "variable", "left").select(
         "variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-def box_stats(df: DataFrame, label: str, cols: Sequence[str], pieces: int = 128) -> DataFrame:
+def box_stats(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """Exact quartiles of each column by class."""
-    q = exact_quantiles(df.filter(F.col(label).isNotNull()), [label], cols, (0.25, 0.5, 0.75), pieces)
+    q = exact_quantiles(df.filter(F.col(label).isNotNull()), [label], cols, (0.25, 0.5, 0.75))
     return q.groupBy(label, "variable").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
     ])
@@ -76,7 +76,6 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns over rows where both are present."""
     pairs = list(combinations(cols, 2))
     def both(a: str, b: str) -> Column:
-        # Scaling by nothing, but a pair needs both values.
         return F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
 
     one = df.agg(*[both(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)],
