@@ -318,3 +318,420 @@ def exact_quantiles(spark, d):
     return out.groupBy("event_type").agg(*[
         F.round(F.max(F.when(F.col("prob") == p, F.col("value"))), 6).alias(n)
         for p, n in ((0.05, "q05"), (0.5, "q50"), (0.95, "q95"))])
+
+
+# ---- weekly store ------------------------------------------------------------
+
+FULL = FeatureSettings(min_daily_coverage=None, min_weekly_coverage=None)
+# The label rules need sums and means only.
+LEAN = FeatureSettings(("mean", "sum"), min_daily_coverage=None, min_weekly_coverage=None)
+
+_BASE_PARTS, BASE_COLS = q.base_parts()
+_LEAN_PARTS, LEAN_COLS = q.base_parts(("mean", "sum"))
+_BASE, _LEAN = q.with_(*_BASE_PARTS), q.with_(*_LEAN_PARTS)
+
+
+def _lean_base(spark, d):
+    return weekly.base_store(tables.daily_sources(spark, d), LEAN)
+
+
+_STD_DIGITS = 4
+
+
+def _extended_sql(cols):
+    w = "(PARTITION BY series_key ORDER BY data"
+    exprs, names = [], list(cols)
+    for c in cols:
+        for n in (1, 2, 4):
+            exprs.append(f"lag({c}, {n}) OVER {w}) AS {c}_lag{n}w")
+        for n in (2, 4):
+            exprs.append(f"avg({c}) OVER {w} ROWS {n - 1} PRECEDING) AS {c}_r{n}w_mean")
+            exprs.append(f"stddev_samp({c}) OVER {w} ROWS {n - 1} PRECEDING) AS {c}_r{n}w_std")
+        names += [f"{c}_lag{n}w" for n in (1, 2, 4)] + [f"{c}_r{n}w_{s}" for n in (2, 4) for s in ("mean", "std")]
+    last = ", ".join(
+        f"round(last_value({c} IGNORE NULLS) OVER {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS {c}"
+        for c in names)
+    return f", wide AS (SELECT series_key, data, {', '.join([*cols, *exprs])} FROM base) SELECT series_key, data, {last} FROM wide"
+
+
+@query("weekly_features", _BASE + _extended_sql(BASE_COLS))
+def weekly_features(spark, d):
+    """The flagship: every statistic, margin, lag and rolling window of every source."""
+    store = weekly.weekly_store(tables.daily_sources(spark, d), FULL)
+    return store.selectExpr(*K, T, *[f"round(`{c}`, 4) AS `{c}`" for c in store.columns if c not in (*K, T)])
+
+
+@query("base_week", _BASE + f" SELECT series_key, data, {q.rounded(BASE_COLS)} FROM base")
+def base_week(spark, d):
+    base = weekly.base_store(tables.daily_sources(spark, d), FULL)
+    return rounded(base, weekly.feature_columns(base))
+
+
+_MARGIN_COLS = ["geracao_total_mwh_sum_w", "import_total_mwh_sum_w", "export_total_mwh_sum_w", "margem_suprimento_w",
+                "margem_suprimento_min_w", "saldo_importador_mwh_sum_w", "margem_vs_carga_w"]
+
+
+@query("supply_margin", _LEAN + f" SELECT series_key, data, {q.rounded(_MARGIN_COLS)} FROM base")
+def supply_margin(spark, d):
+    return rounded(_lean_base(spark, d).select(*K, T, *_MARGIN_COLS), _MARGIN_COLS)
+
+
+_ADEQUACY = ["margem_vs_carga_w", "reserve_margin_ratio_w", "ens_week_mwh", "ens_week_ratio"]
+
+
+@query("reserve_ens", _LEAN + f" SELECT series_key, data, {q.rounded(_ADEQUACY, 6)} FROM base")
+def reserve_ens(spark, d):
+    return rounded(_lean_base(spark, d).select(*K, T, *_ADEQUACY), _ADEQUACY, 6)
+
+
+@query("lolp", _LEAN + " SELECT series_key, data, round(lolp_52w, 6) AS lolp_52w FROM base")
+def lolp(spark, d):
+    return rounded(_lean_base(spark, d).select(*K, T, "lolp_52w"), ["lolp_52w"], 6)
+
+
+_CUT = ["corte_renovavel_mwh_sum_w", "ger_renovavel_mwh_sum_w", "ratio_corte_renovavel_w"]
+
+
+@query("curtail_ratio", _LEAN + f" SELECT series_key, data, {q.rounded(_CUT, 6)} FROM base")
+def curtail_ratio(spark, d):
+    return rounded(_lean_base(spark, d).select(*K, T, *_CUT), _CUT, 6)
+
+
+_DAILY_COLS = [c for _, cols in q.SOURCES.values() for c in cols] + q.RAIN_COLS
+
+
+def _filled_union():
+    parts = []
+    for name, (_, cols) in q.SOURCES.items():
+        src = "clima_rain" if name == "clima" else f"{name}_fill"
+        parts += [f"SELECT '{c}' AS variable, {c} AS value FROM {src}"
+                  for c in (cols + q.RAIN_COLS if name == "clima" else cols)]
+    return " UNION ALL ".join(parts)
+
+
+@query("coverage_daily", _LEAN + f""" SELECT variable, round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS ratio,
+       avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END) >= 0.8 AS keep FROM ({_filled_union()}) GROUP BY 1""")
+def coverage_daily(spark, d):
+    filled = weekly.filled_daily(weekly.long_daily(tables.daily_sources(spark, d)))
+    return weekly.daily_coverage(filled).select(
+        "variable", F.round("ratio", 6).alias("ratio"), (F.col("ratio") >= 0.8).alias("keep"))
+
+
+def _unpivot_sql(cols, src, agg, out):
+    return " UNION ALL ".join(f"SELECT '{c}' AS variable, {agg.format(c=c)} AS {out} FROM {src}" for c in cols)
+
+
+@query("coverage_weekly", _LEAN + " " + _unpivot_sql(
+    LEAN_COLS, "base", "round(avg(CASE WHEN {c} IS NULL THEN 0.0 ELSE 1.0 END), 6)", "ratio"))
+def coverage_weekly(spark, d):
+    base = _lean_base(spark, d)
+    return rounded(coverage.coverage(base, weekly.feature_columns(base)), ["ratio"], 6)
+
+
+@query("pruned_features")
+def pruned_features(spark, d):
+    """The store with both coverage limits on, extended for its margin columns."""
+    settings = FeatureSettings(("mean", "sum"))
+    return weekly.weekly_store(tables.daily_sources(spark, d), settings, features=tuple(_MARGIN_COLS))
+
+
+# ---- text, coercion, JSON -----------------------------------------------------
+
+_NORM_KEY = """regexp_replace(replace(strip_accents(lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'))), '/', ''), '[- _]+', '_', 'g')"""
+
+
+@query("norm_text", f"""SELECT doc_id, md5({_NORM_KEY.format(c='text')}) AS key_md5,
+       md5(trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g'))) AS words_md5 FROM documents""")
+def norm_text(spark, d):
+    return table(spark, d, "documents").select(
+        "doc_id", F.md5(text.norm_key("text").cast("binary")).alias("key_md5"),
+        F.md5(text.norm_words("text").cast("binary")).alias("words_md5"))
+
+
+@query("alias_filter", """SELECT p_partkey, lower(p_type) AS series_key, lower(p_type) IN ('promo', 'economy') AS is_promo FROM part""")
+def alias_filter(spark, d):
+    groups = ("promo", "economy")
+    return table(spark, d, "part").select(
+        "p_partkey", text.series_key("p_type", {}).alias("series_key"),
+        text.is_alias_of("p_type", "PROMO", groups).alias("is_promo"))
+
+
+@query("alias_series", """SELECT CASE WHEN lower(n_name) IN ('nation_0', 'nation_5') THEN 'north' ELSE lower(n_name) END AS series_key,
+       count(*) AS n_customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
+def alias_series(spark, d):
+    key = text.series_key("n_name", {"north": ("nation_0", "nation_5")})
+    return table(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("_n")).join(
+        table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).groupBy(key.alias("series_key")).agg(F.sum("_n").alias("n_customers"))
+
+
+@query("coerce", """SELECT page_id, try_cast(regexp_extract(url, '/([^/]*)$', 1) AS DOUBLE) AS tail_number FROM pages
+       WHERE try_cast(regexp_extract(url, '/([^/]*)$', 1) AS DOUBLE) IS NOT NULL""")
+def coerce(spark, d):
+    tail = F.regexp_extract("url", "/([^/]*)$", 1)
+    return table(spark, d, "pages").select("page_id", scalars.to_number(tail).alias("tail_number")).dropna(subset=["tail_number"])
+
+
+@query("json_map_explode", """SELECT event_id, 'k' AS parameter, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS value FROM events""")
+def json_map_explode(spark, d):
+    from weekloom.sources.json_feeds import explode_map
+    return explode_map(table(spark, d, "events").select("event_id", "props"), "props", ["event_id"])
+
+
+@query("weather_points", """WITH e AS (SELECT CAST(ts AS DATE) AS data, user_id, avg(value) AS v, avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS k
+       FROM events GROUP BY ALL) SELECT data, round(avg(v), 4) AS ghi, round(avg(k), 4) AS temp2m_c, count(*) AS n_points FROM e GROUP BY data""")
+def weather_points(spark, d):
+    """Daily maps per point, packed as the weather service delivers them and unpacked again."""
+    from weekloom.sources.json_feeds import pack_daily, weather_rows
+    readings = table(spark, d, "events").groupBy("user_id", F.col("ts").cast("date").alias(T)).agg(
+        F.avg("value").alias("ALLSKY_SFC_SW_DWN"),
+        F.avg(scalars.to_number(F.get_json_object("props", "$.k"))).alias("T2M"))
+    payload = pack_daily(readings, ["user_id"], T, ["ALLSKY_SFC_SW_DWN", "T2M"])
+    rows = weather_rows(payload, "payload", ["user_id"], {"ALLSKY_SFC_SW_DWN": "ghi", "T2M": "temp2m_c"})
+    return rounded(resample.spatial_mean(rows, [], T, ["ghi", "temp2m_c"]), ["ghi", "temp2m_c"])
+
+
+@query("calendar_parts", """SELECT o_orderkey, CAST(date_trunc('week', o_orderdate) AS DATE) + 6 AS week_end,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, day(last_day(o_orderdate)) AS days_in_month,
+       epoch_us(timezone('UTC', timezone('America/Sao_Paulo', o_orderdate))) AS utc_micros FROM orders""")
+def calendar_parts(spark, d):
+    day = F.col("o_orderdate")
+    return table(spark, d, "orders").select(
+        "o_orderkey", dates.week_end(day).alias("week_end"), dates.month_start(day).alias("month_start"),
+        dates.days_in_month(day).cast("bigint").alias("days_in_month"),
+        F.unix_micros(scalars.local_to_utc(day.cast("timestamp"), "America/Sao_Paulo")).alias("utc_micros"))
+
+
+# ---- labels --------------------------------------------------------------------
+
+from weekloom.config import LabelRules, SelectionSettings  # noqa: E402
+from weekloom.operators import labels, metrics, sampling, selection  # noqa: E402
+
+RULES = LabelRules()
+_LABEL_COLS = [
+    "margem_vs_carga_w", "margem_suprimento_w", "margem_suprimento_min_w", "ratio_corte_renovavel_w",
+    "reserve_margin_ratio_w", "ens_week_ratio", "lolp_52w", "ear_pct_mean_w", "ena_mwmed_mean_w", "saldo_importador_mwh_sum_w"]
+
+
+def label_base(spark, d):
+    """The columns the label rules read, rounded so that both engines compare the same numbers."""
+    return rounded(_lean_base(spark, d).select(*K, T, *_LABEL_COLS), _LABEL_COLS, 6)
+
+
+_LB = _LEAN + f", lb AS (SELECT series_key, data, {q.rounded(_LABEL_COLS, 6)} FROM base)"
+_THR = _LB + """, thr AS (SELECT series_key, quantile_cont(margem_vs_carga_w, 0.05::DOUBLE) AS t_low,
+       quantile_cont(margem_vs_carga_w, 0.2::DOUBLE) AS t_med, quantile_cont(ear_pct_mean_w, 0.2::DOUBLE) AS ear_threshold,
+       quantile_cont(ena_mwmed_mean_w, 0.2::DOUBLE) AS ena_threshold FROM lb GROUP BY 1)"""
+_STEPS = _THR + """, s1 AS (SELECT *, CASE WHEN margem_vs_carga_w <= t_low THEN 2 WHEN margem_vs_carga_w <= t_med THEN 1
+       WHEN margem_vs_carga_w > t_med THEN 0 END AS code_base,
+       coalesce(ear_pct_mean_w <= ear_threshold, FALSE) OR coalesce(sum(CASE WHEN ena_mwmed_mean_w <= ena_threshold THEN 1 ELSE 0 END)
+         OVER (PARTITION BY series_key ORDER BY data ROWS 1 PRECEDING) = 2, FALSE) AS hydro_hit,
+       coalesce(reserve_margin_ratio_w < 0.05::DOUBLE, FALSE) OR coalesce(ens_week_ratio >= 0.05::DOUBLE, FALSE)
+         OR coalesce(lolp_52w >= 0.05::DOUBLE, FALSE) AS hard_hit
+       FROM lb JOIN thr USING (series_key)),
+       s2 AS (SELECT *, coalesce(ratio_corte_renovavel_w >= 0.05::DOUBLE AND saldo_importador_mwh_sum_w <= 0, FALSE)
+         AND code_base IS NOT NULL AS cut_hit FROM s1),
+       s3 AS (SELECT *, CASE WHEN cut_hit THEN greatest(code_base - 1, 0) ELSE code_base END AS code_cut,
+         CASE WHEN hard_hit AND code_base IS NOT NULL THEN 2 ELSE code_base END AS code_hard FROM s2),
+       s4 AS (SELECT *, CASE WHEN hydro_hit AND code_cut IS NOT NULL THEN 2 ELSE code_cut END AS code_final FROM s3),
+       lab AS (SELECT *, CASE code_base WHEN 0 THEN 'baixo' WHEN 1 THEN 'medio' WHEN 2 THEN 'alto' END AS l_base,
+         CASE code_cut WHEN 0 THEN 'baixo' WHEN 1 THEN 'medio' WHEN 2 THEN 'alto' END AS l_cut,
+         CASE code_final WHEN 0 THEN 'baixo' WHEN 1 THEN 'medio' WHEN 2 THEN 'alto' END AS classe_risco FROM s4)"""
+
+
+def _steps(spark, d):
+    base = label_base(spark, d)
+    return labels.label_steps(base, labels.label_thresholds(base, K, RULES), K, T, RULES)
+
+
+def labelled(spark, d):
+    base = label_base(spark, d)
+    return labels.label_weeks(base, labels.label_thresholds(base, K, RULES), K, T, RULES)
+
+
+@query("thresholds", _THR + " SELECT series_key, " + q.rounded(["t_low", "t_med", "ear_threshold", "ena_threshold"]) + " FROM thr")
+def thresholds(spark, d):
+    out = labels.label_thresholds(label_base(spark, d), K, RULES)
+    flat = out.select(*K, "t_low", "t_med", "hydro.ear_threshold", "hydro.ena_threshold")
+    return rounded(flat, ["t_low", "t_med", "ear_threshold", "ena_threshold"])
+
+
+@query("label_base", _STEPS + " SELECT series_key, data, l_base AS label FROM lab")
+def label_base_query(spark, d):
+    return _steps(spark, d).select(*K, T, scalars.decode_label("code_base").alias("label"))
+
+
+@query("label_curtail", _STEPS + " SELECT series_key, data, cut_hit, l_cut AS label FROM lab")
+def label_curtail(spark, d):
+    return _steps(spark, d).select(*K, T, "cut_hit", scalars.decode_label("code_cut").alias("label"))
+
+
+@query("label_hydro", _STEPS + " SELECT series_key, data, hydro_hit, classe_risco AS label FROM lab")
+def label_hydro(spark, d):
+    return _steps(spark, d).select(*K, T, "hydro_hit", scalars.decode_label("code_final").alias("label"))
+
+
+@query("label_hard", _STEPS + """ SELECT series_key, data, hard_hit, CASE code_hard WHEN 0 THEN 'baixo' WHEN 1 THEN 'medio'
+       WHEN 2 THEN 'alto' END AS label FROM lab""")
+def label_hard(spark, d):
+    return _steps(spark, d).select(*K, T, "hard_hit", scalars.decode_label("code_hard").alias("label"))
+
+
+_AUDIT_ROUND = [c for c in _LABEL_COLS if c != "saldo_importador_mwh_sum_w"]
+
+
+@query("label_audit", _STEPS + f""" SELECT series_key, data, l_base AS label_sem_regras, l_cut AS label_pos_cortes,
+       classe_risco AS label_final_calc, classe_risco AS label_pipeline, cut_hit AS downgrade_cortes,
+       coalesce(code_cut <> code_final, FALSE) AS override_hidro, coalesce(code_base <> code_hard, FALSE) AS hard_rules,
+       'margem_vs_carga_w' AS thr_margin_col, round(t_low, 4) AS thr_t_low, round(t_med, 4) AS thr_t_med,
+       0.05::DOUBLE AS thr_q_baixo, 0.2::DOUBLE AS thr_q_medio, round(ear_threshold, 4) AS thr_ear_threshold,
+       round(ena_threshold, 4) AS thr_ena_threshold, 2 AS thr_ena_janelas, 0.05::DOUBLE AS thr_corte_ratio,
+       TRUE AS thr_corte_requires_import, FALSE AS thr_corte_only_medium, 0.05::DOUBLE AS rule_reserva_operativa_frac,
+       0.05::DOUBLE AS rule_ens_ratio_thr, 0.05::DOUBLE AS rule_lolp_thr, {', '.join(_AUDIT_ROUND)} FROM lab""")
+def label_audit(spark, d):
+    base = label_base(spark, d)
+    out = labels.label_audit(base, labels.label_thresholds(base, K, RULES), K, T, RULES)
+    return rounded(out, ["thr_t_low", "thr_t_med", "thr_ear_threshold", "thr_ena_threshold"])
+
+
+@query("hard_rules_on_predictions", _STEPS + """ SELECT series_key, data, CASE WHEN hard_hit AND pred IS NOT NULL THEN 'alto' ELSE pred END AS pred
+       FROM (SELECT *, lag(classe_risco) OVER (PARTITION BY series_key ORDER BY data) AS pred FROM lab)""")
+def hard_rules_on_predictions(spark, d):
+    pred = labelled(spark, d).withColumn("pred", F.lag("classe_risco").over(windows.ordered(K, T)))
+    return labels.relabel_with_hard_rules(pred, "pred", RULES).select(*K, T, "pred")
+
+
+@query("label_next_week", _STEPS + """ SELECT * FROM (SELECT series_key, data, lead(classe_risco, 1) OVER
+       (PARTITION BY series_key ORDER BY data) AS target FROM lab) WHERE target IS NOT NULL""")
+def label_next_week(spark, d):
+    return windows.lead_target(labelled(spark, d), K, T, "classe_risco", 1).select(*K, T, "target")
+
+
+# ---- class counts, metrics of a persistence forecast ---------------------------
+
+_PAIR = _STEPS + """, pair AS (SELECT *, CAST(CASE WHEN e // s < 5 THEN 5 - e // s ELSE 0 END AS INTEGER) AS fold FROM (
+       SELECT series_key, data, classe_risco AS truth, lag(classe_risco) OVER w AS pred,
+       count(*) OVER (PARTITION BY series_key) - row_number() OVER w AS e, count(*) OVER (PARTITION BY series_key) // 6 AS s
+       FROM lab WINDOW w AS (PARTITION BY series_key ORDER BY data)) WHERE truth IS NOT NULL AND pred IS NOT NULL)"""
+
+
+def pairs(spark, d):
+    """This week's label against last week's as its forecast."""
+    out = windows.expanding_folds(labelled(spark, d), K, T, 5)
+    out = out.withColumn("pred", F.lag("classe_risco").over(windows.ordered(K, T)))
+    return out.select(*K, T, "fold", F.col("classe_risco").alias("truth"), "pred").dropna(subset=["truth", "pred"])
+
+
+_CLASSES = ("baixo", "medio", "alto")
+
+
+@query("class_dist", _STEPS + """, c AS (SELECT unnest(['baixo', 'medio', 'alto']) AS label),
+       n AS (SELECT classe_risco AS label, count(*) AS n FROM lab WHERE classe_risco IS NOT NULL GROUP BY 1)
+       SELECT label, coalesce(n, 0) AS count, round(coalesce(n, 0) * 100.0::DOUBLE / (SELECT sum(n) FROM n), 2) AS percent
+       FROM c LEFT JOIN n USING (label)""")
+def class_dist(spark, d):
+    return metrics.class_distribution(labelled(spark, d), "classe_risco")
+
+
+@query("confusion", _PAIR + """, c AS (SELECT unnest(['baixo', 'medio', 'alto']) AS truth)
+       SELECT c.truth, count(*) FILTER (pred = 'baixo') AS baixo, count(*) FILTER (pred = 'medio') AS medio,
+       count(*) FILTER (pred = 'alto') AS alto FROM c LEFT JOIN pair USING (truth) GROUP BY 1""")
+def confusion(spark, d):
+    return metrics.confusion_matrix(pairs(spark, d), "truth", "pred")
+
+
+_PER = """, c AS (SELECT unnest(['baixo', 'medio', 'alto']) AS c{grp}),
+       per AS (SELECT c.c{sel}, count(*) FILTER (truth = c AND pred = c) AS tp, count(*) FILTER (truth = c) AS sup,
+       count(*) FILTER (pred = c) AS prd FROM c {join} GROUP BY ALL),
+       sc AS (SELECT *, CASE WHEN prd > 0 THEN tp / prd ELSE 0 END AS p, CASE WHEN sup > 0 THEN tp / sup ELSE 0 END AS r,
+       CASE WHEN sup + prd > 0 THEN 2.0::DOUBLE * tp / (sup + prd) ELSE 0 END AS f FROM per)"""
+_REPORT = _PAIR + _PER.format(grp="", sel="", join="CROSS JOIN pair")
+_FOLDS = _PAIR + _PER.format(grp="", sel=", fold", join="CROSS JOIN pair")
+_FOLD_SCORES = _FOLDS + """, fs AS (SELECT fold, sum(f) / count(*) FILTER (sup + prd > 0) AS f1_macro,
+       sum(r) / count(*) FILTER (sup > 0) AS balanced_acc, CAST(sum(sup) AS BIGINT) AS n_rows FROM sc GROUP BY fold)"""
+
+
+@query("class_report", _REPORT + """ SELECT c AS row, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, sup AS support FROM sc
+       UNION ALL SELECT 'accuracy', round(sum(tp) / sum(sup), 6), round(sum(tp) / sum(sup), 6), round(sum(tp) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM sc
+       UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(sup) AS BIGINT) FROM sc
+       UNION ALL SELECT 'weighted avg', round(sum(p * sup) / sum(sup), 6), round(sum(r * sup) / sum(sup), 6),
+       round(sum(f * sup) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM sc""")
+def class_report(spark, d):
+    return rounded(metrics.class_report(pairs(spark, d), "truth", "pred"), ["precision", "recall", "f1"], 6)
+
+
+@query("macro_f1", _FOLD_SCORES + " SELECT fold, round(f1_macro, 6) AS f1_macro, n_rows FROM fs")
+def macro_f1(spark, d):
+    return rounded(metrics.macro_scores(pairs(spark, d), "truth", "pred", ["fold"]), ["f1_macro"], 6).drop("balanced_acc")
+
+
+@query("balanced_acc", _FOLD_SCORES + " SELECT fold, round(balanced_acc, 6) AS balanced_acc, n_rows FROM fs")
+def balanced_acc(spark, d):
+    return rounded(metrics.macro_scores(pairs(spark, d), "truth", "pred", ["fold"]), ["balanced_acc"], 6).drop("f1_macro")
+
+
+@query("cv_mean", _FOLD_SCORES + " SELECT round(avg(f1_macro), 6) AS f1_macro, round(avg(balanced_acc), 6) AS balanced_acc FROM fs WHERE fold > 0")
+def cv_mean(spark, d):
+    scores = metrics.macro_scores(pairs(spark, d).filter("fold > 0"), "truth", "pred", ["fold"])
+    return rounded(metrics.mean_scores(scores), ["f1_macro", "balanced_acc"], 6)
+
+
+@query("class_weights", _STEPS + """, n AS (SELECT classe_risco, count(*) AS count FROM lab WHERE classe_risco IS NOT NULL GROUP BY 1)
+       SELECT classe_risco, count, round(CAST((SELECT sum(count) FROM n) AS DOUBLE) / ((SELECT count(*) FROM n) * count), 6) AS weight FROM n""")
+def class_weights(spark, d):
+    return rounded(metrics.class_weights(labelled(spark, d), "classe_risco"), ["weight"], 6)
+
+
+@query("oversample", _STEPS + """, n0 AS (SELECT count(*) FILTER (classe_risco = 'baixo') AS b, count(*) FILTER (classe_risco = 'medio') AS m,
+       count(*) FILTER (classe_risco = 'alto') AS a FROM lab),
+       n1 AS (SELECT *, CASE WHEN b > 0 AND b < 0.33::DOUBLE * (b + m + a) THEN CAST(ceil((0.33::DOUBLE * (b + m + a) - b) / (1 - 0.33::DOUBLE)) AS BIGINT) ELSE 0 END AS kb FROM n0),
+       n2 AS (SELECT *, b + m + a + kb AS t FROM n1),
+       n3 AS (SELECT *, CASE WHEN m > 0 AND m < 0.33::DOUBLE * t THEN CAST(ceil((0.33::DOUBLE * t - m) / (1 - 0.33::DOUBLE)) AS BIGINT) ELSE 0 END AS km FROM n2),
+       n4 AS (SELECT *, t + km AS u FROM n3),
+       n5 AS (SELECT *, CASE WHEN a > 0 AND a < 0.33::DOUBLE * u THEN CAST(ceil((0.33::DOUBLE * u - a) / (1 - 0.33::DOUBLE)) AS BIGINT) ELSE 0 END AS ka FROM n4)
+       SELECT 'baixo' AS classe_risco, b AS originals, b + kb AS n_rows FROM n5 UNION ALL
+       SELECT 'medio', m, m + km FROM n5 UNION ALL SELECT 'alto', a, a + ka FROM n5""")
+def oversample(spark, d):
+    rows = labelled(spark, d).filter(F.col("classe_risco").isNotNull()).select(*K, T, "classe_risco")
+    out = sampling.oversample_minority(rows, "classe_risco", [*K, T], 0.33)
+    return out.groupBy("classe_risco").agg(
+        F.count(F.when(F.col("copy_no") == 0, 1)).alias("originals"), F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---- importances and selection -------------------------------------------------
+
+_IMP_COLS = [c for c in _LABEL_COLS if c not in ("margem_suprimento_w",)]
+
+
+def importances(spark, d):
+    """Importance of a feature: its absolute correlation with the label code."""
+    rows = labelled(spark, d).withColumn("code", scalars.encode_label("classe_risco").cast("double"))
+    pairs_ = profile.correlation_matrix(rows, [*_IMP_COLS, "code"])
+    return pairs_.filter((F.col("var_b") == "code") & (F.col("var_a") != "code")).select(
+        F.col("var_a").alias("feature"), F.round(F.abs("corr"), 6).alias("importance"))
+
+
+_IMP = _STEPS + ", impo AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(abs(corr({c}, code_final)), 6) AS importance FROM lab" for c in _IMP_COLS) + ")"
+
+
+@query("topk_importance", _IMP + " SELECT * FROM impo ORDER BY importance DESC, feature LIMIT 4")
+def topk_importance(spark, d):
+    return selection.top_importances(importances(spark, d), 4)
+
+
+@query("feature_select", _IMP + """, ranked AS (SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS rn FROM impo)
+       SELECT feature, importance, CASE WHEN feature IN ('lolp_52w') THEN 'keep_list' WHEN rn <= 3 THEN 'top_k'
+       WHEN importance >= 0.2::DOUBLE THEN 'min_importance' END AS reason FROM ranked
+       WHERE feature = 'lolp_52w' OR rn <= 3 OR importance >= 0.2::DOUBLE""")
+def feature_select(spark, d):
+    settings = SelectionSettings(keep=("lolp_52w",), top_k=3, min_importance=0.2)
+    return selection.selected_features(importances(spark, d), settings, _IMP_COLS)
+
+
+@query("importances_json", _IMP + " SELECT * FROM impo")
+def importances_json(spark, d):
+    """The importances written as a report text and read back."""
+    report = importances(spark, d).agg(
+        F.to_json(F.struct(F.collect_list(F.struct("feature", "importance")).alias("feature_importances"))).alias("value"))
+    return selection.importances_from_text(report, "value")

@@ -20,7 +20,7 @@ load_raw AS (SELECT r_name AS series_key, CAST(o_orderdate AS DATE) AS data,
 load_day AS (SELECT series_key, data, sum(carga_mwh) AS carga_mwh FROM load_raw GROUP BY series_key, data)"""
 
 _READINGS = """l_linenumber AS unit, l_quantity AS mwh,
-             l_quantity * round(l_discount * 100) / 128 AS cut_mwh,
+             floor(l_quantity * round(l_discount * 100) / 100) AS cut_mwh,
              floor(l_extendedprice / 1000) AS ena_mwmed, 100 - 10 * round(l_discount * 100) AS ear_pct,
              l_quantity AS ghi, round(l_tax * 100) * 4 AS temp2m_c, round(l_discount * 100) AS precipitacao_mm"""
 
@@ -40,8 +40,8 @@ gen_day AS (SELECT series_key, data,
             sum(mwh) FILTER (unit IN (1, 2)) AS ger_hidreletrica_mwh, sum(mwh) FILTER (unit IN (3, 4)) AS ger_eolica_mwh,
             sum(mwh) FILTER (unit = 5) AS ger_fv_mwh, sum(mwh) FILTER (unit IN (6, 7)) AS ger_termica_mwh,
             sum(cut_mwh) FILTER (unit IN (3, 4)) AS corte_eolica_mwh, sum(cut_mwh) FILTER (unit = 5) AS corte_fv_mwh,
-            avg(ena_mwmed) AS ena_mwmed, avg(ear_pct) AS ear_pct, avg(ghi) AS ghi, avg(temp2m_c) AS temp2m_c,
-            avg(precipitacao_mm) AS precipitacao_mm
+            round(avg(ena_mwmed)) AS ena_mwmed, round(avg(ear_pct)) AS ear_pct, round(avg(ghi)) AS ghi, round(avg(temp2m_c)) AS temp2m_c,
+            round(avg(precipitacao_mm)) AS precipitacao_mm
             FROM unit_raw GROUP BY series_key, data)"""
 
 FLOW_DAY = """

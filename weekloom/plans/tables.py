@@ -59,7 +59,7 @@ def _unit_columns() -> list[Column]:
     return [
         F.col("l_linenumber").alias("unit"),
         F.col("l_quantity").alias("mwh"),
-        (F.col("l_quantity") * cut / 128).alias("cut_mwh"),
+        F.floor(F.col("l_quantity") * cut / 100).cast("double").alias("cut_mwh"),
         F.floor(F.col("l_extendedprice") / 1000).cast("double").alias("ena_mwmed"),
         (100 - 10 * cut).alias("ear_pct"),
         F.col("l_quantity").alias("ghi"),
@@ -98,7 +98,8 @@ def unit_metrics() -> dict[str, Column]:
     return {
         **{name: _of_units("mwh", units) for name, units in UNITS.items()},
         **{name: _of_units("cut_mwh", units) for name, units in CUT_UNITS.items()},
-        **{name: F.avg(name) for name in ("ena_mwmed", "ear_pct", "ghi", "temp2m_c", "precipitacao_mm")},
+        # Readings are whole units.
+        **{name: F.round(F.avg(name)) for name in ("ena_mwmed", "ear_pct", "ghi", "temp2m_c", "precipitacao_mm")},
     }
 
 
