@@ -34,9 +34,8 @@ def to_instant(x) -> Column:
 
 def parse_iso_instant(x) -> Column:
     """Catalogue timestamps: ISO with or without time or fraction, anything from ``Z`` on cut off."""
-    text = F.split(_c(x).cast("string"), "Z")[0]
     shape = r"^\d{4}-\d{1,2}-\d{1,2}(T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?)?$"
-    return F.when(text.rlike(shape), text.try_cast("timestamp"))
+    return F.regexp_extract(F.split(_c(x).cast("string"), "Z")[0], shape, 0).try_cast("timestamp")
 
 
 def utc_to_local(ts, zone: str) -> Column:

@@ -48,12 +48,13 @@ def is_data_file(df: DataFrame) -> Column:
 def period_key(df: DataFrame) -> Column:
     """``YYYY-MM`` or ``YYYY`` from the texts, else the month last changed, else the name or id."""
     text = _joined(df, "name", "description", "url")
-    found = F.regexp_extract(text, YEAR_MONTH, 0)
-    month = F.when(found != "", F.concat_ws("-", F.regexp_extract(text, YEAR_MONTH, 1), F.regexp_extract(text, YEAR_MONTH, 2)))
-    year = F.nullif(F.regexp_extract(text, YEAR, 1), F.lit(""))
+    month = F.regexp_replace(F.regexp_extract(text, YEAR_MONTH, 0), YEAR_MONTH, "$1-$2")
+    year = F.regexp_extract(text, YEAR, 1)
     changed = parse_iso_instant(F.coalesce(_text(df, "last_modified"), _text(df, "created")))
-    name = F.nullif(F.trim(_text(df, "name")), F.lit(""))
-    return F.coalesce(month, year, F.date_format(changed, "yyyy-MM"), name, _text(df, "id"), F.lit("unknown"))
+    empty = F.lit("")
+    return F.coalesce(
+        F.nullif(month, empty), F.nullif(year, empty), F.date_format(changed, "yyyy-MM"),
+        F.nullif(F.trim(_text(df, "name")), empty), _text(df, "id"), F.lit("unknown"))
 
 
 def _bound(text: str | None) -> tuple[int, int | None] | None:
@@ -69,33 +70,35 @@ def first_day_of(text: str | None) -> str | None:
     return f"{int(m[1]):04d}-01-01" if m[1] else f"{int(m[2]):04d}-{int(m[3]):02d}-01"
 
 
-def in_period(df: DataFrame, since: str | None = None, until: str | None = None) -> Column:
+def in_period(df: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
     """Resources whose period lies between the bounds (``YYYY`` or ``YYYY-MM``).
 
     A resource known only by year fails a bound that names a month of that
     year. Without a period, the bound must occur in the name or description.
     """
-    key = period_key(df)
-    shape = r"^(\d{4})(?:-(\d{2}))?$"
-    year = F.regexp_extract(key, shape, 1).try_cast("int")
-    month = F.regexp_extract(key, shape, 2).try_cast("int")
+    if not since and not until:
+        return df
+    # Year and month as one number; month 0 where only the year is known.
+    digits = F.regexp_replace(F.regexp_extract(period_key(df), r"^\d{4}(-\d{2})?$", 0), "-", "")
+    number = F.rpad(digits, 6, "0").try_cast("int")
+    inside, named = F.lit(True), F.lit(True)
     text = _joined(df, "name", "description")
-    def check(bound: str | None, later: bool) -> tuple[Column, Column]:
+    for bound, later in ((since, True), (until, False)):
         if not bound:
-            return F.lit(True), F.lit(True)
+            continue
+        named = named & text.contains(bound)
         parsed = _bound(bound)
         if parsed is None:
-            return F.lit(True), text.contains(bound)
+            continue
         y, m = parsed
-        beyond = year > y if later else year < y
-        if m is None:
-            inside = year == y
+        if later:
+            inside = inside & (F.col("_ym") >= y * 100 + (m or 0))
+        elif m is None:
+            inside = inside & (F.col("_ym") < (y + 1) * 100)
         else:
-            inside = (year == y) & F.coalesce(month >= m if later else month <= m, F.lit(False))
-        return beyond | inside, text.contains(bound)
-
-    (since_ok, since_text), (until_ok, until_text) = check(since, True), check(until, False)
-    return F.when(year.isNotNull(), since_ok & until_ok).otherwise(since_text & until_text)
+            inside = inside & (F.col("_ym") <= y * 100 + m) & (F.col("_ym") != y * 100)
+    keep = F.when(F.col("_ym").isNotNull(), inside).otherwise(named)
+    return df.withColumn("_ym", F.when(digits != "", number)).filter(keep).drop("_ym")
 
 
 def format_rank(df: DataFrame, prefer: Sequence[str] = PREFERRED_FORMATS, fallback_mimetype: bool = False) -> Column:

@@ -87,6 +87,12 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ])))
 
 
+def correlations_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
+    """Pearson correlation of each column with one target column."""
+    return _measure(df, cols, {"corr": lambda c: F.corr(
+        F.when(F.col(target).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col(target)))})
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with the number of surplus rows."""
     return df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("surplus")).filter("surplus > 0")

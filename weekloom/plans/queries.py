@@ -706,9 +706,8 @@ _IMP_COLS = [c for c in _LABEL_COLS if c not in ("margem_suprimento_w",)]
 def importances(spark, d):
     """Importance of a feature: its absolute correlation with the label code."""
     rows = labelled(spark, d).withColumn("code", scalars.encode_label("classe_risco").cast("double"))
-    pairs_ = profile.correlation_matrix(rows, [*_IMP_COLS, "code"])
-    return pairs_.filter((F.col("var_b") == "code") & (F.col("var_a") != "code")).select(
-        F.col("var_a").alias("feature"), F.round(F.abs("corr"), 6).alias("importance"))
+    return profile.correlations_with(rows, _IMP_COLS, "code").select(
+        F.col("variable").alias("feature"), F.round(F.abs("corr"), 6).alias("importance"))
 
 
 _IMP = _STEPS + ", impo AS (" + " UNION ALL ".join(
@@ -735,3 +734,408 @@ def importances_json(spark, d):
     report = importances(spark, d).agg(
         F.to_json(F.struct(F.collect_list(F.struct("feature", "importance")).alias("feature_importances"))).alias("value"))
     return selection.importances_from_text(report, "value")
+
+
+# ---- catalogue ------------------------------------------------------------------
+
+from weekloom.operators import catalog  # noqa: E402
+from weekloom.plans import marts  # noqa: E402
+from weekloom.sources import delimited, feeds, roles, stores  # noqa: E402
+
+_RES = """WITH r0 AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, left(o_orderpriority, 1) AS p, o_orderdate,
+       CASE o_orderstatus WHEN 'F' THEN 'Serie ' || strftime(o_orderdate, '%Y-%m') WHEN 'O' THEN 'Serie ' || strftime(o_orderdate, '%Y')
+       ELSE 'Serie' END AS name FROM orders),
+       r AS (SELECT id, name, CASE WHEN p = '4' THEN 'Dicionario de dados' END AS description,
+       CASE WHEN p = '5' THEN 'http://data.example/file.CSV' ELSE 'http://data.example/file' END AS url,
+       CASE p WHEN '1' THEN 'csv' WHEN '2' THEN 'XLSX' WHEN '3' THEN 'ZIP' WHEN '4' THEN 'CSV' END AS format,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS last_modified FROM r0),
+       k AS (SELECT *, name || ' ' || coalesce(description, '') || ' ' || url AS t FROM r),
+       per AS (SELECT *, CASE WHEN regexp_matches(t, '(20\\d{2})[-_/.]?(0[1-9]|1[0-2])') THEN
+         regexp_extract(t, '(20\\d{2})[-_/.]?(0[1-9]|1[0-2])', 1) || '-' || regexp_extract(t, '(20\\d{2})[-_/.]?(0[1-9]|1[0-2])', 2)
+         WHEN regexp_matches(t, '(19\\d{2}|20\\d{2})') THEN regexp_extract(t, '(19\\d{2}|20\\d{2})', 1)
+         ELSE left(last_modified, 7) END AS period FROM k)"""
+
+
+@query("is_data_file", _RES + """ SELECT id, description IS NULL AND (coalesce(upper(format) IN ('CSV', 'XLSX', 'XLS', 'ZIP'), FALSE)
+       OR lower(url) LIKE '%.csv') AS is_data FROM r""")
+def is_data_file(spark, d):
+    df = tables.resources(spark, d)
+    return df.select("id", catalog.is_data_file(df).alias("is_data"))
+
+
+@query("period_key", _RES + " SELECT id, period FROM per")
+def period_key(spark, d):
+    df = tables.resources(spark, d)
+    return df.select("id", catalog.period_key(df).alias("period"))
+
+
+@query("in_period", _RES + """ SELECT id FROM (SELECT id, CAST(left(period, 4) AS INTEGER) AS y,
+       try_cast(nullif(substr(period, 6, 2), '') AS INTEGER) AS m FROM per)
+       WHERE (y > 1997 OR (y = 1997 AND coalesce(m >= 6, FALSE))) AND y <= 2000""")
+def in_period(spark, d):
+    df = tables.resources(spark, d)
+    return catalog.in_period(df, "1997-06", "2000").select("id")
+
+
+@query("best_per_period", _RES + """ SELECT period, id, format FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY
+       CASE upper(format) WHEN 'CSV' THEN 0 WHEN 'XLSX' THEN 1 WHEN 'ZIP' THEN 2 ELSE 3 END, last_modified, id) AS rn FROM per) WHERE rn = 1""")
+def best_per_period(spark, d):
+    return catalog.best_per_period(tables.resources(spark, d)).select("period", "id", "format")
+
+
+@query("best_overall", _RES + """ SELECT id, name FROM r ORDER BY CASE upper(format) WHEN 'CSV' THEN 0 WHEN 'XLSX' THEN 1 WHEN 'ZIP' THEN 2
+       ELSE 3 END, last_modified, id LIMIT 1""")
+def best_overall(spark, d):
+    return catalog.best_overall(tables.resources(spark, d)).select("id", "name")
+
+
+@query("filter_names", _RES + """ SELECT 'hit' AS kind, id FROM r WHERE regexp_matches(name || ' ' || coalesce(description, ''), '199[67]')
+       UNION ALL SELECT 'fallback', id FROM r""")
+def filter_names(spark, d):
+    df = tables.resources(spark, d)
+    hit = catalog.filter_names(df, "199[67]").select(F.lit("hit").alias("kind"), "id")
+    return hit.unionByName(catalog.filter_names(df, "no such name").select(F.lit("fallback").alias("kind"), "id"))
+
+
+_PKG = """WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS id, lower(p_brand || '-' || p_type) AS name, p_name AS title, p_size FROM part),
+       s AS (SELECT *, CASE WHEN contains(title, 'red widget') OR contains('red widget', title) THEN 10 ELSE 0 END
+         + CASE WHEN contains(name, 'brand#17-promo') THEN 500 ELSE 0 END AS score FROM p)"""
+
+
+@query("catalog_score", _PKG + " SELECT id, score FROM s")
+def catalog_score(spark, d):
+    df = tables.packages(spark, d)
+    return df.select("id", catalog.package_score(df, "Réd  Widget!", "brand#17-promo").alias("score"))
+
+
+@query("catalog_best_package", _PKG + " SELECT id, name, score FROM s ORDER BY contains(name, 'brand#17-promo') DESC, score DESC, p_size DESC, id LIMIT 1")
+def catalog_best_package(spark, d):
+    return catalog.best_package(tables.packages(spark, d), "red widget", "brand#17-promo").select("id", "name", "score")
+
+
+# ---- profiling --------------------------------------------------------------------
+
+_LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("overview", """SELECT 'orders' AS dataset, count(*) AS n_rows, 6::BIGINT AS n_columns, CAST(min(o_orderdate) AS DATE) AS first_day,
+       CAST(max(o_orderdate) AS DATE) AS last_day FROM orders UNION ALL
+       SELECT 'units', count(*), 11, CAST(min(l_shipdate) AS DATE), CAST(max(l_shipdate) AS DATE) FROM lineitem""")
+def overview(spark, d):
+    orders = table(spark, d, "orders").withColumnRenamed("o_orderdate", "t")
+    lines = table(spark, d, "lineitem").withColumnRenamed("l_shipdate", "t")
+    return profile.overview({"orders": orders, "units": lines}, "t")
+
+
+@query("missing_ratio", _LOAD + """ SELECT 'carga_mwh' AS variable, round(avg(CASE WHEN carga_mwh IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS percent_null FROM load_raw
+       UNION ALL SELECT 'series_key', round(avg(CASE WHEN series_key IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) FROM load_raw""")
+def missing_ratio(spark, d):
+    return rounded(profile.missing_ratio(tables.load_rows(spark, d), ["carga_mwh", "series_key"]), ["percent_null"], 6)
+
+
+@query("top_missing", _GENSQL + """, m AS (""" + _unpivot_sql(
+    _GEN, "gen_day", "round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6)", "percent_null")
+       + ") SELECT * FROM m ORDER BY percent_null DESC, variable LIMIT 2")
+def top_missing(spark, d):
+    return rounded(profile.top_missing(gen_day(spark, d), _GEN, 2), ["percent_null"], 6)
+
+
+@query("describe", " UNION ALL ".join(
+    f"""SELECT '{c}' AS variable, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c}) AS min,
+    round(quantile_cont({c}, 0.25::DOUBLE), 4) AS q25, round(median({c}), 4) AS q50, round(quantile_cont({c}, 0.75::DOUBLE), 4) AS q75,
+    max({c}) AS max FROM lineitem""" for c in ("l_quantity", "l_extendedprice")))
+def describe(spark, d):
+    out = profile.describe(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"])
+    return rounded(out, ["mean", "std", "q25", "q50", "q75"])
+
+
+@query("box_stats", """SELECT event_type, 'value' AS variable, round(quantile_cont(value, 0.25::DOUBLE), 4) AS q25, round(median(value), 4) AS q50,
+       round(quantile_cont(value, 0.75::DOUBLE), 4) AS q75 FROM events GROUP BY 1""")
+def box_stats(spark, d):
+    return rounded(profile.box_stats(table(spark, d, "events"), "event_type", ["value"]), ["q25", "q50", "q75"])
+
+
+@query("corr_matrix", " UNION ALL ".join(
+    f"SELECT '{a}' AS var_a, '{b}' AS var_b, round(corr({a}, {b}), 6) AS corr FROM lineitem" for a in _LI for b in _LI))
+def corr_matrix(spark, d):
+    return rounded(profile.correlation_matrix(table(spark, d, "lineitem"), _LI), ["corr"], 6)
+
+
+@query("dup_keys", """SELECT l_orderkey, l_linenumber, count(*) - 1 AS surplus FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
+def dup_keys(spark, d):
+    return profile.duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("distinct_counts", " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max FROM lineitem"
+    for c in ("l_suppkey", "l_quantity")))
+def distinct_counts(spark, d):
+    return profile.value_counts(table(spark, d, "lineitem"), ["l_suppkey", "l_quantity"])
+
+
+@query("unpivot", """SELECT l_orderkey, l_linenumber, l_partkey, variable, value FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_partkey,
+       l_quantity, l_extendedprice FROM lineitem) ON l_quantity, l_extendedprice INTO NAME variable VALUE value)""")
+def unpivot(spark, d):
+    return profile.melt(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], ["l_quantity", "l_extendedprice"])
+
+
+@query("head_tail", _DENSE + """ SELECT * FROM (SELECT data, series_key, carga_mwh, 'head' AS part FROM dense ORDER BY data, series_key LIMIT 5)
+       UNION ALL SELECT * FROM (SELECT data, series_key, carga_mwh, 'tail' AS part FROM dense ORDER BY data DESC, series_key DESC LIMIT 5)""")
+def head_tail(spark, d):
+    return profile.head_tail(load_dense(spark, d), [T, "series_key"], 5)
+
+
+@query("high_risk_weeks", _STEPS + " SELECT series_key, data FROM lab WHERE classe_risco = 'alto'")
+def high_risk_weeks(spark, d):
+    return labelled(spark, d).filter(F.col("classe_risco") == "alto").select(*K, T)
+
+
+@query("median_scale_stats", " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, round(median({c}), 6) AS median, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM lineitem"
+    for c in ("l_quantity", "l_discount")))
+def median_scale_stats(spark, d):
+    from weekloom.plans.training import column_statistics
+    return rounded(column_statistics(table(spark, d, "lineitem"), ["l_quantity", "l_discount"]), ["median", "mean", "std"], 6)
+
+
+@query("data_tests", """SELECT 'orders' AS "table", 'unique(o_orderkey)' AS test, count(*) - count(DISTINCT o_orderkey) AS violations FROM orders
+       UNION ALL SELECT 'orders', 'not_null(o_custkey)', count(*) - count(o_custkey) FROM orders
+       UNION ALL SELECT 'orders', 'range(o_totalprice)', count(*) FILTER (o_totalprice < 0 OR o_totalprice > 400000) FROM orders""")
+def data_tests(spark, d):
+    return profile.data_tests(table(spark, d, "orders"), "orders", [["o_orderkey"]], ["o_custkey"], {"o_totalprice": (0, 400000)})
+
+
+# ---- marts --------------------------------------------------------------------------
+
+_MONTHS = "CASE month(data) " + " ".join(f"WHEN {m} THEN '{n}'" for m, n in dates.MONTH_NAMES_PT.items()) + " END"
+
+
+@query("dim_calendar", f"""WITH b AS (SELECT min(o_orderdate) AS a, max(o_orderdate) AS z FROM orders),
+       d AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS data FROM b)
+       SELECT data, CAST(day(data) AS INTEGER) AS dia_do_mes, {_MONTHS} AS nome_mes_pt, CAST(month(data) AS INTEGER) AS numero_mes,
+       CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre,
+       CASE WHEN month(data) <= 6 THEN 1 ELSE 2 END AS semestre,
+       CASE WHEN month(data) <= 4 THEN 1 WHEN month(data) <= 8 THEN 2 ELSE 3 END AS quadrimestre,
+       CAST(date_trunc('month', data) AS DATE) AS primeiro_dia_mes FROM d""")
+def dim_calendar(spark, d):
+    return marts.dim_calendar(table(spark, d, "orders"), "o_orderdate")
+
+
+@query("fact_weekly", _BASE + " SELECT series_key, data, " + ", ".join(
+    f"round({c}, 4) AS {n}" for c, n in marts.fact_columns().items()) + " FROM base")
+def fact_weekly(spark, d):
+    fact = marts.fact_weekly(weekly.base_store(tables.daily_sources(spark, d), FULL))
+    return rounded(fact, list(marts.fact_columns().values()))
+
+
+# ---- raw feeds ----------------------------------------------------------------------
+
+def lower_key(sql: str) -> str:
+    return f"SELECT lower(replace(series_key, ' ', '_')) AS series_key, * EXCLUDE (series_key) FROM ({sql})"
+
+
+@query("etl_generation", lower_key(q.with_(q.PLACES, q.UNITS, q.GEN_DAY, q.dense("g", "gen_day", _GEN)) + " SELECT * FROM g"))
+def etl_generation(spark, d):
+    return feeds.generation(tables.raw_balance(spark, d))
+
+
+@query("etl_exchange", lower_key(_FLOWSQL + """ SELECT series_key, data, coalesce(import_mwh, 0) AS import_mwh,
+       coalesce(export_mwh, 0) AS export_mwh FROM f"""))
+def etl_exchange(spark, d):
+    return feeds.exchange(tables.raw_exchange(spark, d))
+
+
+@query("etl_load", lower_key(_DENSE + " SELECT * FROM dense"))
+def etl_load(spark, d):
+    return feeds.load(tables.raw_load(spark, d))
+
+
+@query("etl_load_half_hour", lower_key(_DENSE + " SELECT series_key, data, carga_mwh * 0.5 AS carga_mwh FROM dense"))
+def etl_load_half_hour(spark, d):
+    return feeds.load(tables.raw_load(spark, d), step_hours=0.5)
+
+
+@query("etl_inflow", lower_key(q.with_(q.PLACES, q.UNITS) + " SELECT series_key, data, sum(ena_mwmed) AS ena_sum, count(*) AS n_rows FROM unit_raw GROUP BY ALL"))
+def etl_inflow(spark, d):
+    return feeds.inflow(tables.raw_inflow(spark, d)).groupBy(*K, T).agg(
+        F.sum("ena_mwmed").alias("ena_sum"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("etl_storage", lower_key(q.with_(q.PLACES, q.UNITS) + " SELECT series_key, data, sum(ear_pct) AS ear_sum, count(*) AS n_rows FROM unit_raw GROUP BY ALL"))
+def etl_storage(spark, d):
+    return feeds.storage(tables.raw_storage(spark, d)).groupBy(*K, T).agg(
+        F.sum("ear_pct").alias("ear_sum"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("etl_curtailment", """WITH e AS (SELECT event_type AS series_key, user_id AS plant, ts, event_id,
+       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS ref, value AS gen FROM events),
+       last_of AS (SELECT series_key, plant, ts, arg_max(ref, event_id) AS ref, arg_max(gen, event_id) AS gen FROM e GROUP BY ALL),
+       s AS (SELECT *, (epoch_us(lead(ts) OVER (PARTITION BY series_key, plant ORDER BY ts)) - epoch_us(ts)) / 3.6e9 AS step FROM last_of),
+       t AS (SELECT series_key, plant, median(step) AS m FROM s GROUP BY ALL)
+       SELECT series_key, CAST(ts AS DATE) AS data, round(sum(greatest(ref - gen, 0) * coalesce(step, CASE WHEN m > 0 THEN m ELSE 0.5 END)), 3) AS corte_eolica_mwh
+       FROM s JOIN t USING (series_key, plant) GROUP BY 1, 2""")
+def etl_curtailment(spark, d):
+    out = feeds.curtailment(tables.raw_curtailment(spark, d), "eolica", order="event_id")
+    return rounded(out, ["corte_eolica_mwh"], 3)
+
+
+@query("etl_monthly_cuts", lower_key(q.with_(q.PLACES, q.UNITS, """
+mon AS (SELECT series_key, CAST(date_trunc('month', data) AS DATE) AS m, coalesce(sum(cut_mwh), 0) AS v FROM unit_raw GROUP BY 1, 2)""")
+       + _SPREAD.format(c="corte_fv_mwh")))
+def etl_monthly_cuts(spark, d):
+    return rounded(feeds.curtailment(tables.raw_monthly_cuts(spark, d), "fv"), ["corte_fv_mwh"])
+
+
+@query("role_resolution")
+def role_resolution(spark, d):
+    """The columns each raw feed's roles resolve to, with the rows they were found in."""
+    balance, flows = tables.raw_balance(spark, d), tables.raw_exchange(spark, d)
+    origin, dest, value = roles.flow_columns(flows.columns)
+    found = {**roles.generation_columns(balance.columns), "origin": origin, "destination": dest, "flow": value,
+             "load": roles.load_column(tables.raw_load(spark, d)), "inflow": roles.inflow_column(tables.raw_inflow(spark, d).columns),
+             "storage": roles.storage_column(tables.raw_storage(spark, d).columns)}
+    rows = balance.agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.select(F.explode(F.create_map(*[F.lit(x) for kv in found.items() for x in kv])).alias("role", "column"), "n_rows")
+
+
+# ---- files ---------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    import uuid
+
+    from weekloom.session import staging_root
+    return f"{staging_root(spark)}/weekloom/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_roundtrip", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def csv_roundtrip(spark, d):
+    """Customers written with another separator and encoding, then read by detection."""
+    path = _scratch(spark, "customer-csv")
+    out = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("C_CustKey"), F.col("c_name").alias("C Name"), F.col("c_acctbal").alias("Ç_Acctbal"), "c_mktsegment")
+    out.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    return delimited.read_raw(spark, path).withColumn("c_acctbal", scalars.to_number("c_acctbal"))
+
+
+@query("union_by_name", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def union_by_name(spark, d):
+    """Three files with different columns in different order, consolidated by name."""
+    layouts = {"F": ["o_orderkey", "o_totalprice"], "O": ["o_totalprice", "o_orderkey", "o_orderpriority"], "P": ["o_orderkey", "o_orderpriority"]}
+    paths = []
+    for status, cols in layouts.items():
+        paths.append(_scratch(spark, f"orders-{status}"))
+        delimited.write_canonical(table(spark, d, "orders").filter(F.col("o_orderstatus") == status).select(*cols), paths[-1])
+    out = delimited.consolidate(spark, paths)
+    return out.withColumn("o_totalprice", scalars.to_number("o_totalprice"))
+
+
+@query("json_records", "SELECT event_id, value FROM events")
+def json_records(spark, d):
+    """Events as payload objects with their records in a list, read back."""
+    from weekloom.sources.json_feeds import read_records
+    path = _scratch(spark, "payload")
+    table(spark, d, "events").select(
+        F.lit("ok").alias("status"), F.array(F.struct("event_id", "value")).alias("result")).write.json(path)
+    return read_records(spark, path, one_per_line=True)
+
+
+@query("load_sources", _FILL + " SELECT * FROM fill")
+def load_sources(spark, d):
+    """Daily load saved under its standard name and loaded again, gaps filled."""
+    path = _scratch(spark, "raw")
+    stores.save_sources({"carga": load_day(spark, d)}, path)
+    return stores.load_sources(spark, path)["carga"].withColumn(T, F.col(T).cast("date"))
+
+
+@query("parquet_store", _WEEK + " SELECT * FROM (SELECT series_key, data, carga_mwh_sum_w FROM wk)")
+def parquet_store(spark, d):
+    """The weekly load written once, kept on the second attempt, and read back."""
+    path = _scratch(spark, "store")
+    week = load_week(spark, d, ("sum",))
+    stores.write_table(week, path)
+    stores.write_table(week.limit(0), path)
+    return spark.read.parquet(path)
+
+
+@query("warehouse_view", _WEEK + " SELECT series_key, count(*) AS n_weeks FROM wk GROUP BY 1")
+def warehouse_view(spark, d):
+    view = marts.publish(load_week(spark, d, ("sum",)), "weekloom_load_week", as_view=True)
+    return view.groupBy(*K).agg(F.count(F.lit(1)).alias("n_weeks"))
+
+
+_GEN_COLS = [f"{c}_sum_w" for c in _GEN]
+
+
+@query("reindex", _BASE + f" SELECT series_key, data, {', '.join(_GEN_COLS)}, CAST(NULL AS DOUBLE) AS not_there FROM base")
+def reindex(spark, d):
+    base = weekly.base_store(tables.daily_sources(spark, d), LEAN)
+    return coverage.reindex_columns(base, [*_GEN_COLS, "not_there"], [*K, T])
+
+
+@query("drop_empty", "SELECT event_id, value FROM events")
+def drop_empty(spark, d):
+    rows = table(spark, d, "events").select("event_id", "value", F.get_json_object("props", "$.missing").alias("gone"))
+    return coverage.drop_empty_columns(rows, ["event_id"])
+
+
+# ---- models ----------------------------------------------------------------------------
+
+from weekloom.config import Settings, TrainSettings  # noqa: E402
+
+_MODEL_SETTINGS = Settings(features=LEAN, labels=RULES, training=TrainSettings(n_splits=2, tuning_splits=2))
+
+
+def _training_data(spark, d):
+    from weekloom.plans import training
+    store = weekly.extend_week(label_base(spark, d), _LABEL_COLS, FeatureSettings(lags=(1,), rolls=(4,)))
+    return training.prepare_training(store, _MODEL_SETTINGS)
+
+
+def _scored(spark, d, family, params):
+    """Fit on the training weeks and report on the held-out ones."""
+    from weekloom.plans import training
+    data = _training_data(spark, d)
+    model = training.fit_model(data.train, data.features, training.ModelSpec(family, family, params))
+    return training.evaluate(model, data.holdout, RULES, 1).report
+
+
+@query("logreg_score")
+def logreg_score(spark, d):
+    return _scored(spark, d, "logreg", {"max_iter": 50})
+
+
+@query("rf_score")
+def rf_score(spark, d):
+    return _scored(spark, d, "rf", {"n_estimators": 20, "max_depth": 6, "class_weight": "balanced"})
+
+
+@query("gbt_score")
+def gbt_score(spark, d):
+    return _scored(spark, d, "gbt", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1})
+
+
+@query("cross_validation")
+def cross_validation(spark, d):
+    from weekloom.plans import training
+    data = _training_data(spark, d)
+    return training.cross_validate(
+        data.train, data.features, training.ModelSpec("logreg", "logreg", {"max_iter": 30}), _MODEL_SETTINGS.training, RULES)
+
+
+@query("grid_search")
+def grid_search(spark, d):
+    from weekloom.plans import training
+    data = _training_data(spark, d)
+    spec = training.ModelSpec("logreg", "logreg", {"max_iter": 20}, grid={"C": [0.1, 1.0]})
+    return training.tune(data.train, data.features, spec, _MODEL_SETTINGS.training)[1]
+
+
+@query("score_requests")
+def score_requests(spark, d):
+    """Every week's features sent as JSON requests and scored in one batch."""
+    from weekloom.plans import training
+    data = _training_data(spark, d)
+    model = training.fit_model(data.train, data.features, training.ModelSpec("rf", "rf", {"n_estimators": 10, "max_depth": 4}))
+    requests = data.holdout.select(*K, T, F.to_json(F.struct(F.struct(*data.features).alias("features"))).alias("body"))
+    return training.score_requests(model, requests, "body", [*K, T])

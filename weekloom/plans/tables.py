@@ -143,3 +143,79 @@ def daily_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "cortes_fv": units.filter(F.col("corte_fv_mwh").isNotNull()).select(*key, "corte_fv_mwh"),
         "clima": units.select(*key, "ghi", "temp2m_c", "precipitacao_mm"),
     }
+
+
+# ---- the same tables dressed as raw files: text columns under raw names -------
+
+def _text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+def raw_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly balance: one column per source, the other sources blank on a row."""
+    names = {"ger_hidreletrica_mwh": "val_gerhidraulica", "ger_termica_mwh": "val_gertermica",
+             "ger_eolica_mwh": "val_gereolica", "ger_fv_mwh": "val_gersolar"}
+    return _text(unit_rows(spark, sf_dir).select(
+        F.col("series_key").alias("id_subsistema"), F.col("ts").alias("din_instante"),
+        *[F.when(F.col("unit").isin(*UNITS[s]), F.col("mwh")).alias(n) for s, n in names.items()]))
+
+
+def raw_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text(exchange_rows(spark, sf_dir).select(
+        F.col("ts").alias("din_instante"), F.col("origin").alias("id_subsistema_origem"),
+        F.col("destination").alias("id_subsistema_destino"), F.col("mwh").alias("val_intercambiomwmed")))
+
+
+def raw_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text(unit_rows(spark, sf_dir).select(
+        F.col("series_key").alias("nom_subsistema"), F.col("ts").cast("date").alias("ear_data"),
+        F.col("ear_pct").alias("ear_verif_subsistema_percentual")))
+
+
+def raw_inflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text(unit_rows(spark, sf_dir).select(
+        F.col("series_key").alias("nom_subsistema"), F.col("ts").cast("date").alias("ena_data"),
+        F.col("ena_mwmed").alias("ena_bruta_regiao_mwmed")))
+
+
+def raw_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half-hourly load; pending values are blank text."""
+    return _text(load_rows(spark, sf_dir).select(
+        F.col("series_key").alias("subsistema"), F.col("ts").alias("din_referenciautc"),
+        F.col("carga_mwh").alias("val_cargaglobal"))).fillna("")
+
+
+def raw_curtailment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intraday curtailment per plant: users are plants, event types the submarkets."""
+    k = F.get_json_object("props", "$.k")
+    return _text(table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("id_subsistema"), F.col("user_id").alias("id_ons"), F.col("ts").alias("din_instante"),
+        F.col("event_id"), F.col("value").alias("val_geracaolimitada"), k.alias("val_geracaoreferencia")))
+
+
+def raw_monthly_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly curtailed energy with separate year and month columns."""
+    return _text(unit_rows(spark, sf_dir).select(
+        F.col("series_key").alias("submercado"), F.year("ts").alias("ano"), F.month("ts").alias("mes"),
+        F.col("cut_mwh").alias("energia_nao_gerada_mwh")))
+
+
+def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a catalogue listing: period in the name, format by priority."""
+    day, status, priority = F.col("o_orderdate"), F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
+    shown = F.when(status == "F", F.date_format(day, "yyyy-MM")).when(status == "O", F.date_format(day, "yyyy"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.concat_ws(" ", F.lit("Serie"), shown).alias("name"),
+        F.when(priority == "4", "Dicionario de dados").alias("description"),
+        F.concat(F.lit("http://data.example/"), F.when(priority == "5", "file.CSV").otherwise("file")).alias("url"),
+        F.when(priority == "1", "csv").when(priority == "2", "XLSX").when(priority == "3", "ZIP")
+        .when(priority == "4", "CSV").alias("format"),
+        F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss").alias("last_modified"))
+
+
+def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as catalogue packages."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.lower(F.concat_ws("-", "p_brand", "p_type")).alias("name"),
+        F.col("p_name").alias("title"), F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd").alias("metadata_modified"))

@@ -14,18 +14,21 @@ from weekloom.functions.scalars import to_number
 WEATHER_PARAMETERS = {"ALLSKY_SFC_SW_DWN": "ghi", "T2M": "temp2m_c", "PRECTOTCORR": "precipitacao_mm"}
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a JSON payload: the root list, or the first list of records in the root object."""
-    df = spark.read.option("multiLine", True).json(path)
+def read_records(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Rows of JSON payloads: the root list, or the first list of records in the root object.
+
+    A file is one payload, or with ``one_per_line`` one payload per line.
+    """
+    df = spark.read.option("multiLine", not one_per_line).json(path)
     lists = [
         f.name for f in df.schema.fields
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)
     ]
     if not lists:
         return df
-    # Inferred fields come in alphabetical order; the file's own order decides.
+    # Inferred fields come in alphabetical order; the payload's own order decides.
     if len(lists) > 1:
-        head = spark.read.text(path, wholetext=True).select(F.json_object_keys("value").alias("k")).first()["k"]
+        head = spark.read.text(path, wholetext=not one_per_line).select(F.json_object_keys("value").alias("k")).first()["k"]
         lists.sort(key=head.index)
     return df.select(F.inline(lists[0]))
 
