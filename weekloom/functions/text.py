@@ -53,8 +53,11 @@ def _squeeze_edges(x: Column) -> Column:
 
 def norm_key(x) -> Column:
     """Identifier form: lower case, no accents, ``/`` dropped, ``-`` and blanks to single ``_``."""
-    text = strip_accents(F.lower(_squeeze_edges(_c(x))))
-    return F.regexp_replace(F.regexp_replace(text, "/", ""), "[- _]+", "_")
+    low = F.lower(_c(x))
+    text = strip_accents(_squeeze_edges(low))
+    full = F.regexp_replace(F.regexp_replace(text, "/", ""), "[- _]+", "_")
+    # Most names are plain already; only the others take the long way.
+    return F.when(low.rlike("^[a-z0-9]+(_[a-z0-9]+)*$"), low).otherwise(full)
 
 
 def norm_words(x) -> Column:

@@ -78,27 +78,29 @@ def in_period(df: DataFrame, since: str | None = None, until: str | None = None)
     """
     if not since and not until:
         return df
-    # Year and month as one number; month 0 where only the year is known.
-    digits = F.regexp_replace(F.regexp_extract(period_key(df), r"^\d{4}(-\d{2})?$", 0), "-", "")
-    number = F.rpad(digits, 6, "0").try_cast("int")
-    inside, named = F.lit(True), F.lit(True)
     text = _joined(df, "name", "description")
-    for bound, later in ((since, True), (until, False)):
-        if not bound:
-            continue
-        named = named & text.contains(bound)
-        parsed = _bound(bound)
-        if parsed is None:
-            continue
-        y, m = parsed
-        if later:
-            inside = inside & (F.col("_ym") >= y * 100 + (m or 0))
-        elif m is None:
-            inside = inside & (F.col("_ym") < (y + 1) * 100)
-        else:
-            inside = inside & (F.col("_ym") <= y * 100 + m) & (F.col("_ym") != y * 100)
-    keep = F.when(F.col("_ym").isNotNull(), inside).otherwise(named)
-    return df.withColumn("_ym", F.when(digits != "", number)).filter(keep).drop("_ym")
+    bounds = [(b, later, _bound(b)) for b, later in ((since, True), (until, False)) if b]
+
+    def between(ym: Column) -> Column:
+        """Bounds on year and month as one number; month 0 where only the year is known."""
+        inside, named = F.lit(True), F.lit(True)
+        for bound, later, parsed in bounds:
+            named = named & text.contains(bound)
+            if parsed is None:
+                continue
+            y, m = parsed
+            if later:
+                inside = inside & (ym >= y * 100 + (m or 0))
+            elif m is None:
+                inside = inside & (ym < (y + 1) * 100)
+            else:
+                inside = inside & (ym <= y * 100 + m) & (ym != y * 100)
+        return F.when(ym.isNotNull(), inside).otherwise(named)
+
+    digits = F.regexp_replace(F.regexp_extract(period_key(df), r"^\d{4}(-\d{2})?$", 0), "-", "")
+    number = F.rpad(F.nullif(digits, F.lit("")), 6, "0").try_cast("int")
+    # A one-element array evaluates the long key expression once per row.
+    return df.filter(F.transform(F.array(number), between)[0])
 
 
 def format_rank(df: DataFrame, prefer: Sequence[str] = PREFERRED_FORMATS, fallback_mimetype: bool = False) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 
 # Rows one range should hold, and the most ranges a column is cut into.
-ROWS_PER_PIECE = 200_000
+ROWS_PER_PIECE = 1_000_000
 MAX_COARSE = 512
 MAX_FINE = 4096
 
@@ -141,9 +141,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], pro
                     rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
     """Exact linear-interpolated quantiles as rows (keys, variable, prob, value).
 
-    Equal values collapse before the shuffle; each variable is cut into ranges;
-    only the ranges that hold a wanted rank are ordered.
+    With at most ``rows_per_piece`` values per column the built-in percentile
+    does it. Beyond that, equal values collapse before the shuffle, each
+    variable is cut into ranges, and only the ranges that hold a wanted rank
+    are ordered.
     """
+    sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    if max(sizes) <= rows_per_piece:
+        return _small_quantiles(df, keys, cols, probs)
     pieces = range_pieces(df, cols, rows_per_piece)
     numeric = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
     long = numeric.unpivot(list(keys), list(cols), "variable", "value").filter(F.col("value").isNotNull())
@@ -191,3 +196,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], pro
     )
     frac = F.col("_pos") - F.col("_lo")
     return picked.select(*by, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * frac).alias("value"))
+
+
+def _small_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    at = F.array(*[F.lit(float(p)) for p in probs])
+    one = df.groupBy(*keys).agg(*[F.percentile(F.col(c).cast("double"), at).alias(f"q{i}") for i, c in enumerate(cols)])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.lit(float(p)).alias("prob"), F.col(f"q{i}")[j].alias("value"))
+        for i, c in enumerate(cols) for j, p in enumerate(probs)])
+    return one.select(*keys, F.inline(rows)).filter(F.col("value").isNotNull())

@@ -18,6 +18,7 @@ from weekloom.operators import align, coverage, energy, hot, margins, profile, r
 from weekloom.plans import sqltext as q
 from weekloom.plans import tables, weekly
 from weekloom.plans.tables import table
+from weekloom.session import stage, staging_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -332,7 +333,7 @@ _BASE, _LEAN = q.with_(*_BASE_PARTS), q.with_(*_LEAN_PARTS)
 
 
 def _lean_base(spark, d):
-    return weekly.base_store(tables.daily_sources(spark, d), LEAN)
+    return weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, LEAN)
 
 
 _STD_DIGITS = 4
@@ -357,13 +358,13 @@ def _extended_sql(cols):
 @query("weekly_features", _BASE + _extended_sql(BASE_COLS))
 def weekly_features(spark, d):
     """The flagship: every statistic, margin, lag and rolling window of every source."""
-    store = weekly.weekly_store(tables.daily_sources(spark, d), FULL)
+    store = weekly.weekly_store(tables.daily_long(spark, d), tables.VARIABLES, FULL)
     return store.selectExpr(*K, T, *[f"round(`{c}`, 4) AS `{c}`" for c in store.columns if c not in (*K, T)])
 
 
 @query("base_week", _BASE + f" SELECT series_key, data, {q.rounded(BASE_COLS)} FROM base")
 def base_week(spark, d):
-    base = weekly.base_store(tables.daily_sources(spark, d), FULL)
+    base = weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, FULL)
     return rounded(base, weekly.feature_columns(base))
 
 
@@ -412,7 +413,7 @@ def _filled_union():
 @query("coverage_daily", _LEAN + f""" SELECT variable, round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 6) AS ratio,
        avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END) >= 0.8 AS keep FROM ({_filled_union()}) GROUP BY 1""")
 def coverage_daily(spark, d):
-    filled = weekly.filled_daily(weekly.long_daily(tables.daily_sources(spark, d)))
+    filled = weekly.filled_daily(tables.daily_long(spark, d))
     return weekly.daily_coverage(filled).select(
         "variable", F.round("ratio", 6).alias("ratio"), (F.col("ratio") >= 0.8).alias("keep"))
 
@@ -432,7 +433,7 @@ def coverage_weekly(spark, d):
 def pruned_features(spark, d):
     """The store with both coverage limits on, extended for its margin columns."""
     settings = FeatureSettings(("mean", "sum"))
-    return weekly.weekly_store(tables.daily_sources(spark, d), settings, features=tuple(_MARGIN_COLS))
+    return weekly.weekly_store(tables.daily_long(spark, d), tables.VARIABLES, settings, features=tuple(_MARGIN_COLS))
 
 
 # ---- text, coercion, JSON -----------------------------------------------------
@@ -692,7 +693,8 @@ def class_weights(spark, d):
        SELECT 'baixo' AS classe_risco, b AS originals, b + kb AS n_rows FROM n5 UNION ALL
        SELECT 'medio', m, m + km FROM n5 UNION ALL SELECT 'alto', a, a + ka FROM n5""")
 def oversample(spark, d):
-    rows = labelled(spark, d).filter(F.col("classe_risco").isNotNull()).select(*K, T, "classe_risco")
+    # Counted first and repeated afterwards, so the labels are kept in a table.
+    rows = stage(labelled(spark, d).filter(F.col("classe_risco").isNotNull()).select(*K, T, "classe_risco"), "labels")
     out = sampling.oversample_minority(rows, "classe_risco", [*K, T], 0.33)
     return out.groupBy("classe_risco").agg(
         F.count(F.when(F.col("copy_no") == 0, 1)).alias("originals"), F.count(F.lit(1)).alias("n_rows"))
@@ -924,7 +926,7 @@ def dim_calendar(spark, d):
 @query("fact_weekly", _BASE + " SELECT series_key, data, " + ", ".join(
     f"round({c}, 4) AS {n}" for c, n in marts.fact_columns().items()) + " FROM base")
 def fact_weekly(spark, d):
-    fact = marts.fact_weekly(weekly.base_store(tables.daily_sources(spark, d), FULL))
+    fact = marts.fact_weekly(weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, FULL))
     return rounded(fact, list(marts.fact_columns().values()))
 
 
@@ -1003,7 +1005,6 @@ def role_resolution(spark, d):
 def _scratch(spark, name):
     import uuid
 
-    from weekloom.session import staging_root
     return f"{staging_root(spark)}/weekloom/{name}-{uuid.uuid4().hex}"
 
 
@@ -1069,7 +1070,7 @@ _GEN_COLS = [f"{c}_sum_w" for c in _GEN]
 
 @query("reindex", _BASE + f" SELECT series_key, data, {', '.join(_GEN_COLS)}, CAST(NULL AS DOUBLE) AS not_there FROM base")
 def reindex(spark, d):
-    base = weekly.base_store(tables.daily_sources(spark, d), LEAN)
+    base = weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, LEAN)
     return coverage.reindex_columns(base, [*_GEN_COLS, "not_there"], [*K, T])
 
 
@@ -1083,7 +1084,9 @@ def drop_empty(spark, d):
 
 from weekloom.config import Settings, TrainSettings  # noqa: E402
 
-_MODEL_SETTINGS = Settings(features=LEAN, labels=RULES, training=TrainSettings(n_splits=2, tuning_splits=2))
+# Scores show the model itself, so the hard rules stay out of them.
+_MODEL_RULES = LabelRules(hard_on=False)
+_MODEL_SETTINGS = Settings(features=LEAN, labels=_MODEL_RULES, training=TrainSettings(n_splits=2, tuning_splits=2))
 
 
 def _training_data(spark, d):
@@ -1097,7 +1100,7 @@ def _scored(spark, d, family, params):
     from weekloom.plans import training
     data = _training_data(spark, d)
     model = training.fit_model(data.train, data.features, training.ModelSpec(family, family, params))
-    return training.evaluate(model, data.holdout, RULES, 1).report
+    return training.evaluate(model, data.holdout, _MODEL_RULES, 1).report
 
 
 @query("logreg_score")
@@ -1120,7 +1123,7 @@ def cross_validation(spark, d):
     from weekloom.plans import training
     data = _training_data(spark, d)
     return training.cross_validate(
-        data.train, data.features, training.ModelSpec("logreg", "logreg", {"max_iter": 30}), _MODEL_SETTINGS.training, RULES)
+        data.train, data.features, training.ModelSpec("logreg", "logreg", {"max_iter": 30}), _MODEL_SETTINGS.training, _MODEL_RULES)
 
 
 @query("grid_search")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.session import stage
+from weekloom.plans.weekly import SOURCES, long_of
 
 # Unit numbers of each generation source.
 UNITS = {
@@ -21,6 +21,7 @@ UNITS = {
     "ger_fv_mwh": (5,),
     "ger_termica_mwh": (6, 7),
 }
+VARIABLES = [c for cols in SOURCES.values() for c in cols]
 CUT_UNITS = {"corte_eolica_mwh": (3, 4), "corte_fv_mwh": (5,)}
 
 
@@ -103,12 +104,11 @@ def unit_metrics() -> dict[str, Column]:
     }
 
 
-def daily_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All standard daily sources: load from orders, the rest from one pass over the line items.
+def daily_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All daily series: load from orders, the rest from one pass over the line items.
 
     Each exchange row is expanded to its two ends, so generation at the origin
-    and imports at the destination come out of a single join and grouping. The
-    daily table is staged, since each source takes its own rows from it.
+    and imports at the destination come out of a single join and grouping.
     """
     load = load_rows(spark, sf_dir).groupBy("series_key", F.col("ts").cast("date").alias("data")).agg(
         F.sum("carga_mwh").alias("carga_mwh"))
@@ -124,25 +124,17 @@ def daily_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         *[F.when(here, F.col(c)).alias(c) for c in value_cols],
     )
     metrics = unit_metrics()
-    daily = stage(sided.groupBy("series_key", F.col("ts").cast("date").alias("data")).agg(
+    units = sided.groupBy("series_key", F.col("ts").cast("date").alias("data")).agg(
         *[agg.alias(name) for name, agg in metrics.items()],
         # A day with rows on one side only has 0 on the other.
         F.coalesce(F.sum(F.when(~here, F.col("moved_mwh"))), F.lit(0.0)).alias("import_mwh"),
         F.coalesce(F.sum(F.when(here, F.col("moved_mwh"))), F.lit(0.0)).alias("export_mwh"),
         F.max(here).alias("has_units"),
-    ), "units")
-    units = daily.filter("has_units")
-    key = ("series_key", "data")
-    return {
-        "carga": load,
-        "ger_fontes": units.select(*key, *UNITS),
-        "intercambio": daily.select(*key, "import_mwh", "export_mwh"),
-        "ena": units.select(*key, "ena_mwmed"),
-        "ear": units.select(*key, "ear_pct"),
-        "cortes_eolica": units.filter(F.col("corte_eolica_mwh").isNotNull()).select(*key, "corte_eolica_mwh"),
-        "cortes_fv": units.filter(F.col("corte_fv_mwh").isNotNull()).select(*key, "corte_fv_mwh"),
-        "clima": units.select(*key, "ghi", "temp2m_c", "precipitacao_mm"),
-    }
+    )
+    present = {c: F.col("has_units") for c in metrics if c not in CUT_UNITS}
+    present |= {c: F.col(c).isNotNull() for c in CUT_UNITS}
+    present |= {"import_mwh": F.lit(True), "export_mwh": F.lit(True)}
+    return long_of(load, {"carga_mwh": F.lit(True)}).unionByName(long_of(units, present))
 
 
 # ---- the same tables dressed as raw files: text columns under raw names -------

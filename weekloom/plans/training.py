@@ -70,9 +70,8 @@ class FittedModel:
         """The table with a predicted label; missing feature columns count as null."""
         have = set(df.columns)
         full = df.select("*", *[F.lit(None).cast("double").alias(c) for c in self.features if c not in have])
-        helper = [c for c in self.pipeline.transform(full).columns if c not in have]
-        scored = self.pipeline.transform(full).withColumn(out, decode_label("prediction"))
-        return scored.drop(*[c for c in helper if c != out])
+        scored = self.pipeline.transform(full)
+        return scored.select(*[c for c in df.columns if c != out], decode_label("prediction").alias(out))
 
 
 def column_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -260,11 +259,12 @@ class TrainingData:
 def prepare_training(store: DataFrame, settings: Settings, per_split_windows: bool = False) -> TrainingData:
     """Split off each series' tail, take thresholds from the rest, label both.
 
-    The labelled table is staged: every fold and model reads it again.
+    The store and its labelled form are staged: several passes, and then every
+    fold and model, read them again.
     Labels are computed on the whole series; ``per_split_windows`` restarts
     runs of low inflow at the split instead.
     """
-    store = drop_empty_columns(store, [*KEYS, TIME])
+    store = drop_empty_columns(stage(store, "store"), [*KEYS, TIME])
     features = [c for c in numeric_columns(store) if c not in (*KEYS, TIME)]
     if not features:
         raise RuntimeError("no weekly feature available")

@@ -71,6 +71,17 @@ def long_daily(sources: Mapping[str, DataFrame], columns: Mapping[str, Sequence[
     return union_all(parts)
 
 
+def long_of(df: DataFrame, present: Mapping[str, Column]) -> DataFrame:
+    """Long daily rows from one wide table that holds several sources.
+
+    ``present`` tells for each variable on which rows its source has a day.
+    """
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value"), there.alias("_there"))
+        for c, there in present.items()])
+    return df.select(*KEYS, TIME, F.inline(cells)).filter("_there").drop("_there").select(*KEYS, TIME, "variable", "value")
+
+
 def filled_daily(long: DataFrame) -> DataFrame:
     """The continuous daily series of every variable, plus the rainfall sums."""
     filled = continuous_daily(long, LONG_KEYS, TIME, ["value"])
@@ -92,10 +103,14 @@ def filled_daily(long: DataFrame) -> DataFrame:
 
 
 def variables_of(sources: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] = SOURCES) -> list[str]:
-    """The variables the given sources yield, in standard order."""
+    """The variables the given sources hold, in standard order."""
     have = {n: set(df.columns) for n, df in sources.items()}
-    out = [c for n, cols in columns.items() if n in have for c in cols if c in have[n]]
-    return out + (list(RAIN_SUMS) if RAIN in out else [])
+    return [c for n, cols in columns.items() if n in have for c in cols if c in have[n]]
+
+
+def with_rain(variables: Sequence[str]) -> list[str]:
+    extra = list(RAIN_SUMS) if RAIN in variables else []
+    return [*variables, *[c for c in extra if c not in variables]]
 
 
 def daily_coverage(filled: DataFrame) -> DataFrame:
@@ -175,16 +190,15 @@ def extend_week(base: DataFrame, cols: Sequence[str], settings: FeatureSettings)
     return weeks.selectExpr(*KEYS, TIME, *plain, *added)
 
 
-def base_store(sources: Mapping[str, DataFrame], settings: FeatureSettings | None = None,
-               columns: Mapping[str, Sequence[str]] = SOURCES) -> DataFrame:
-    """The pre-lag store with the columns that pass both coverage limits.
+def base_store(long: DataFrame, variables: Sequence[str], settings: FeatureSettings | None = None) -> DataFrame:
+    """The pre-lag store with the columns that pass both coverage limits, from unfilled long daily rows.
 
     The filled daily table is written once: several later steps read it, and
     the feeds behind it should be read only once.
     """
     settings = settings or FeatureSettings()
-    variables = variables_of(sources, columns)
-    filled = stage(filled_daily(long_daily(sources, columns)), "daily")
+    variables = with_rain(variables)
+    filled = stage(filled_daily(long), "daily")
     if settings.min_daily_coverage is not None:
         ratios = {r["variable"]: r["ratio"] for r in daily_coverage(filled).collect()}  # one row per variable
         gone = [c for c in variables if ratios.get(c, 0.0) < settings.min_daily_coverage]
@@ -203,13 +217,19 @@ def base_store(sources: Mapping[str, DataFrame], settings: FeatureSettings | Non
     return base
 
 
-def weekly_store(sources: Mapping[str, DataFrame], settings: FeatureSettings | None = None,
-                 columns: Mapping[str, Sequence[str]] = SOURCES, features: Sequence[str] | None = None) -> DataFrame:
+def weekly_store(long: DataFrame, variables: Sequence[str], settings: FeatureSettings | None = None,
+                 features: Sequence[str] | None = None) -> DataFrame:
     """The weekly feature store: statistics, margins, lags, rolling windows, fill.
 
     ``features`` limits the columns that are kept and extended.
     """
     settings = settings or FeatureSettings()
-    base = base_store(sources, settings, columns)
+    base = base_store(long, variables, settings)
     cols = feature_columns(base)
     return extend_week(base, cols if features is None else [c for c in cols if c in features], settings)
+
+
+def build_features(sources: Mapping[str, DataFrame], settings: FeatureSettings | None = None,
+                   columns: Mapping[str, Sequence[str]] = SOURCES) -> DataFrame:
+    """The weekly store from one daily table per source, as ``load_sources`` returns them."""
+    return weekly_store(long_daily(sources, columns), variables_of(sources, columns), settings)

@@ -7,7 +7,7 @@ the series of that key. ``groups`` maps a series key to its spellings.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,20 +34,37 @@ def _keyed(df: DataFrame, ts: Column, groups: Groups, default: str, **measures:
     return out.filter(F.col("ts").isNotNull() & F.col(KEY).isNotNull())
 
 
+def _daily_energy(rows: DataFrame, cols: Sequence[str], groups: Groups, step_hours: float = 1.0) -> DataFrame:
+    """Daily sums by the name as written, then by series: few names are normalised, not every row."""
+    by_name = resample.daily_sum(rows, ["_name"], "ts", cols, step_hours, continuous=False)
+    keyed = by_name.withColumn(KEY, text.series_key("_name", groups)).filter(F.col(KEY).isNotNull())
+    return resample.daily_sum(keyed, [KEY], DAY, cols)
+
+
+def _named(df: DataFrame, ts: Column, default: str, **measures: Column) -> DataFrame:
+    name = roles.series_column(df.columns)
+    key = F.lit(default) if name is None else F.col(name).cast("string")
+    out = df.select(key.alias("_name"), ts.alias("ts"), *[c.alias(n) for n, c in measures.items()])
+    return out.filter(F.col("ts").isNotNull())
+
+
 def generation(df: DataFrame, groups: Groups = None, default: str = "seco") -> DataFrame:
     """Hourly balance to daily energy per source."""
     found = roles.generation_columns(df.columns)
-    rows = _keyed(df, roles.instant(df), groups, default, **{s: to_number(c) for s, c in found.items()})
-    return resample.daily_sum(rows, [KEY], "ts", list(found))
+    rows = _named(df, roles.instant(df), default, **{s: to_number(c) for s, c in found.items()})
+    return _daily_energy(rows, list(found), groups)
 
 
 def exchange(df: DataFrame, groups: Groups = None) -> DataFrame:
     """Hourly exchanges to daily import and export of every series."""
     origin, dest, value = roles.flow_columns(df.columns)
-    rows = df.select(
-        text.series_key(origin, groups).alias("origin"), text.series_key(dest, groups).alias("destination"),
-        roles.instant(df).alias("ts"), to_number(value).alias("mwh"),
-    ).filter(F.col("ts").isNotNull())
+    daily = df.groupBy(
+        F.col(origin).cast("string").alias("_from"), F.col(dest).cast("string").alias("_to"),
+        roles.instant(df).cast("date").alias("ts"),
+    ).agg(F.sum(to_number(value)).alias("mwh"))
+    # Names are normalised on the daily rows, where there are few.
+    rows = daily.filter(F.col("ts").isNotNull()).select(
+        text.series_key("_from", groups).alias("origin"), text.series_key("_to", groups).alias("destination"), "ts", "mwh")
     return flows_by_key(rows, "origin", "destination", "ts", "mwh", KEY, DAY)
 
 
@@ -78,8 +95,7 @@ def load(df: DataFrame, groups: Groups = None, default: str = "seco", step_hours
     timed = next((c for c in ("din_instante", "din_referenciautc") if c in df.columns), None)
     if roles.is_subdaily(df.columns):
         ts = to_instant(timed) if timed else roles.instant(df)
-        rows = _keyed(df, ts, groups, default, carga_mwh=value)
-        return resample.daily_sum(rows, [KEY], "ts", ["carga_mwh"], step_hours)
+        return _daily_energy(_named(df, ts, default, carga_mwh=value), ["carga_mwh"], groups, step_hours)
     dated = to_instant("dat_referencia") if "dat_referencia" in df.columns else roles.day_of_period(df)
     return _as_days(_keyed(df, dated, groups, default, carga_mwh=value))
 
