@@ -8,6 +8,7 @@ floating-point sums depend on their order.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,13 @@ K, T = ["series_key"], "data"
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Days and hours are UTC throughout.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -1142,3 +1149,34 @@ def score_requests(spark, d):
     model = training.fit_model(data.train, data.features, training.ModelSpec("rf", "rf", {"n_estimators": 10, "max_depth": 4}))
     requests = data.holdout.select(*K, T, F.to_json(F.struct(F.struct(*data.features).alias("features"))).alias("body"))
     return training.score_requests(model, requests, "body", [*K, T])
+
+
+# ---- documented indicators ---------------------------------------------------------------
+
+@query("days_of_supply", q.with_(q.PLACES, q.LOAD, q.UNITS, q.GEN_DAY) + """ SELECT series_key, data,
+       ger_hidreletrica_mwh * 24 * day(last_day(data)) AS stock_mwh,
+       round(ger_hidreletrica_mwh * 24 * day(last_day(data)) / nullif(carga_mwh, 0), 4) AS days
+       FROM gen_day JOIN load_day USING (series_key, data)""")
+def days_of_supply(spark, d):
+    """Days of load that the hydro output, read as MW-months in store, would last."""
+    both = gen_day(spark, d).select(*K, T, "ger_hidreletrica_mwh").join(load_day(spark, d), [*K, T])
+    stock = both.withColumn("stock_mwh", margins.stored_energy_mwh("ger_hidreletrica_mwh", T))
+    return stock.select(*K, T, "stock_mwh", F.round(margins.days_of_supply("stock_mwh", "carga_mwh"), 4).alias("days"))
+
+
+@query("local_days", """SELECT CAST(timezone('America/Sao_Paulo', timezone('UTC', ts)) AS DATE) AS data, count(*) AS n_rows,
+       sum(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS k_sum FROM events GROUP BY 1""")
+def local_days(spark, d):
+    """Readings by local day, for instants given in UTC."""
+    local = scalars.utc_to_local(F.col("ts").cast("timestamp"), "America/Sao_Paulo").cast("date")
+    return table(spark, d, "events").groupBy(local.alias(T)).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(scalars.to_number(F.get_json_object("props", "$.k"))).alias("k_sum"))
+
+
+@query("feature_ranking")
+def feature_ranking(spark, d):
+    """Importances of a random forest over the weekly features, largest first."""
+    from weekloom.plans import training
+    data = _training_data(spark, d)
+    model = training.fit_model(data.train, data.features, training.ModelSpec("rf", "rf", {"n_estimators": 10, "max_depth": 4}))
+    return training.feature_importances(model, spark)
