@@ -242,3 +242,16 @@ def test_bad_text_becomes_null(spark):
     rows = df.select(scalars.to_number("n").alias("n"), scalars.to_date("d").alias("d")).collect()
     assert [r["n"] for r in rows] == [1.5, None, None]
     assert [r["d"] for r in rows] == [None, dt.date(2024, 2, 29), None]
+
+
+def test_null_keys_are_kept(spark):
+    rows = [(None, "2024-01-01 00:00:00", 1), (None, "2024-01-01 00:00:00", 2), ("p", None, 3), ("p", None, 4)]
+    df = spark.createDataFrame(rows, "k string, ts string, i bigint").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = {r["i"]: r["ts_unique"] for r in hot.bump_duplicates(df, ["k"], "ts", "i").collect()}
+    assert len(out) == 4 and out[3] is out[4] is None and (out[2] - out[1]).microseconds == 1
+    power = spark.createDataFrame([(None, "2024-01-01 00:00:00", 1, 4.0, 0.0)], "plant string, ts string, row bigint, ref double, lim double")
+    power = power.withColumn("ts", F.col("ts").cast("timestamp"))
+    row = energy.integrate_energy(power, ["plant"], "ts", energy.curtailed_power("ref", "lim"), "row", "e").first()
+    assert row["plant"] is None and row["e"] == 2.0
+    with pytest.raises(ValueError):
+        energy.integrate_energy(power, ["plant"], "ts", F.col("ref"), "row", "e", by=["ref"])

@@ -75,3 +75,12 @@ def flows_by_key(df: DataFrame, origin: str, destination: str, ts: str, value: s
 def attach_left(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left alignment on the index columns."""
     return left.join(right, list(on), "left")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join in which null keys match each other; meant for small right sides."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in on])

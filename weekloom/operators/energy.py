@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.scalars import clip_low
+from weekloom.operators.align import join_null_safe
 from weekloom.operators.hot import exact_quantiles, next_instant
+from weekloom.session import stage
 
 METHODS = ("ref_minus_limited", "ref_minus_gen", "limited")
 
@@ -26,20 +28,25 @@ def curtailed_power(reference, limited=None, generated=None, method: str = "ref_
 
 
 def _steps(df: DataFrame, keys: Sequence[str], ts: str, cut: str) -> DataFrame:
+    """Hours to the next instant of the key, for rows unique per key and instant.
+
+    Written once: the shuffles behind it are the costly part, and both the
+    typical step and the sums are taken from it.
+    """
     hours = (F.unix_micros(F.col("_next").cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / 3.6e9
-    return next_instant(df, keys, ts, cut, "_next").withColumn("step_hours", hours).drop("_next")
+    return stage(next_instant(df, keys, ts, cut, "_next").withColumn("step_hours", hours).drop("_next"), "steps")
 
 
 def cadence(df: DataFrame, keys: Sequence[str], ts: str, cut: str = "hour") -> DataFrame:
     """Median hours between successive instants per key, and whether that is intraday.
 
-    Intraday means a median step below 6 hours and at least 10 instants.
+    Intraday means a median step below 6 hours and at least 10 rows.
     """
     instants = df.filter(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_rows"))
     steps = _steps(instants, keys, ts, cut)
-    sizes = instants.groupBy(*keys).agg(F.sum("_rows").alias("n_rows"))
+    sizes = steps.groupBy(*keys).agg(F.sum("_rows").alias("n_rows"))
     median = exact_quantiles(steps, keys, ["step_hours"], [0.5]).select(*keys, F.col("value").alias("median_hours"))
-    return sizes.join(median, list(keys), "left").select(
+    return join_null_safe(sizes, median, keys).select(
         *keys, "n_rows", "median_hours",
         F.coalesce((F.col("n_rows") >= 10) & (F.col("median_hours") < 6), F.lit(False)).alias("is_intraday"),
     )
@@ -53,20 +60,22 @@ def integrate_energy(df: DataFrame, plant: Sequence[str], ts: str, power: Column
     The last instant of a plant lasts the plant's median step (half an hour
     where there is none). Rows of one plant at the same instant follow each
     other with no time between them, so only the last by ``order`` counts.
-    Null power counts as 0.
+    Null power counts as 0. ``by`` are the columns among ``plant`` to sum by,
+    all of them by default.
     """
     by = list(plant) if by is None else list(by)
-    keep = [c for c in by if c not in plant]
-    rows = df.filter(F.col(ts).isNotNull()).select(*plant, *keep, ts, order, power.alias("_power"))
-    picked = rows.groupBy(*plant, ts).agg(
-        F.max_by(F.struct(*keep, F.coalesce("_power", F.lit(0.0)).alias("_power")), F.col(order)).alias("_row")
-    ).select(*plant, ts, "_row.*")
+    if not set(by) <= set(plant):
+        raise ValueError("energy can only be summed by columns that identify a plant")
+    rows = df.filter(F.col(ts).isNotNull()).select(
+        *plant, ts, F.col(order).alias("_order"), F.coalesce(power, F.lit(0.0)).alias("_power"))
+    picked = rows.groupBy(*plant, ts).agg(F.max_by("_power", "_order").alias("_power"))
     steps = _steps(picked, plant, ts, cut)
-    typical = exact_quantiles(steps, plant, ["step_hours"], [0.5]).select(*plant, F.col("value").alias("_typical"))
-    last = F.when(F.col("_typical") > 0, F.col("_typical")).otherwise(0.5)
-    return (
-        steps.join(typical, list(plant), "left")
-        .withColumn("_mwh", F.col("_power") * F.coalesce("step_hours", last))
-        .groupBy(*by, F.col(ts).cast("date").alias(day))
-        .agg(F.sum("_mwh").alias(out))
+    # Days per plant are few; the typical step joins there, not row by row.
+    daily = steps.groupBy(*plant, F.col(ts).cast("date").alias(day)).agg(
+        F.coalesce(F.sum(F.col("_power") * F.col("step_hours")), F.lit(0.0)).alias("_timed"),
+        F.sum(F.when(F.col("step_hours").isNull(), F.col("_power"))).alias("_last"),
     )
+    typical = exact_quantiles(steps, plant, ["step_hours"], [0.5]).select(*plant, F.col("value").alias("_typical"))
+    last_hours = F.when(F.col("_typical") > 0, F.col("_typical")).otherwise(0.5)
+    energy = F.col("_timed") + F.coalesce(F.col("_last") * last_hours, F.lit(0.0))
+    return join_null_safe(daily, typical, plant).groupBy(*by, day).agg(F.sum(energy).alias(out))

@@ -72,23 +72,28 @@ def range_pieces(df: DataFrame, cols: Sequence[str], rows_per_piece: int = ROWS_
     return out
 
 
+def _key(keys: Sequence[str]) -> Column:
+    """The key columns as one value that is never null, so that null keys join too."""
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], piece: Column,
                 out: str = "n") -> DataFrame:
     """1-based position of each row within its key, ordered by ``order``.
 
-    ``piece`` must not decrease as the ordering grows. Keys must not be null.
+    ``piece`` must not decrease as the ordering grows.
     """
-    cut = df.withColumn("_piece", piece)
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_rows")).select(
-        *keys, "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    cut = df.withColumns({"_key": _key(keys), "_piece": piece})
+    before = Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy("_key", "_piece").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_key", "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
-    local = F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*order))
+    local = F.row_number().over(Window.partitionBy("_key", "_piece").orderBy(*order))
     return (
         cut.withColumn("_local", local)
-        .join(offsets, [*keys, "_piece"])
+        .join(offsets, ["_key", "_piece"])
         .withColumn(out, F.col("_offset") + F.col("_local"))
-        .drop("_piece", "_local", "_offset")
+        .drop("_key", "_piece", "_local", "_offset")
     )
 
 
@@ -110,8 +115,11 @@ def bump_duplicates(df: DataFrame, keys: Sequence[str], ts: str, order: str,
     """Make instants unique: the c-th repeat of an instant moves by c microseconds.
 
     Copies of one instant can be many, so they are numbered piecewise by ``order``.
+    Rows without an instant stay without one.
     """
-    piece = range_pieces(df, [order], rows_per_piece)[order].of(F.col(order).cast("double"))
+    at = range_pieces(df, [order], rows_per_piece)[order].of(F.col(order).cast("double"))
+    # Nulls sort first.
+    piece = F.when(F.col(order).isNull(), -1).otherwise(at)
     numbered = number_rows(df, [*keys, ts], [order], piece, "_n")
     micros = F.unix_micros(F.col(ts).cast("timestamp")) + F.col("_n") - 1
     return numbered.withColumn(out, F.timestamp_micros(micros)).drop("_n")
@@ -123,17 +131,16 @@ def next_instant(df: DataFrame, keys: Sequence[str], ts: str, cut: str = "hour",
 
     Keys are cut by calendar unit; one row per key and unit links the pieces.
     """
-    unit = F.date_trunc(cut, F.col(ts))
-    inner = Window.partitionBy(*keys, "_unit").orderBy(ts)
-    cutup = df.withColumn("_unit", unit)
-    heads = cutup.groupBy(*keys, "_unit").agg(F.min(ts).alias("_head")).select(
-        *keys, "_unit", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_unit")).alias("_next_head")
+    inner = Window.partitionBy("_key", "_unit").orderBy(ts)
+    cutup = df.withColumns({"_key": _key(keys), "_unit": F.date_trunc(cut, F.col(ts))})
+    heads = cutup.groupBy("_key", "_unit").agg(F.min(ts).alias("_head")).select(
+        "_key", "_unit", F.lead("_head").over(Window.partitionBy("_key").orderBy("_unit")).alias("_next_head")
     )
     return (
         cutup.withColumn("_lead", F.lead(ts).over(inner))
-        .join(heads, [*keys, "_unit"])
+        .join(heads, ["_key", "_unit"])
         .withColumn(out, F.coalesce("_lead", "_next_head"))
-        .drop("_unit", "_lead", "_next_head")
+        .drop("_key", "_unit", "_lead", "_next_head")
     )
 
 

@@ -7,19 +7,23 @@ floating-point sums depend on their order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.config import FeatureSettings
+from weekloom.config import FeatureSettings, LabelRules, SelectionSettings, Settings, TrainSettings
 from weekloom.functions import dates, scalars, text
-from weekloom.operators import align, coverage, energy, hot, margins, profile, resample, windows
+from weekloom.operators import (
+    align, catalog, coverage, energy, hot, labels, margins, metrics, profile, resample, sampling, selection, windows,
+)
+from weekloom.plans import marts, tables, training, weekly
 from weekloom.plans import sqltext as q
-from weekloom.plans import tables, weekly
 from weekloom.plans.tables import table
 from weekloom.session import stage, staging_root
+from weekloom.sources import delimited, feeds, json_feeds, roles, stores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -202,10 +206,9 @@ b AS (SELECT series_key, min(data) AS a, max(data) AS z FROM load_raw GROUP BY 1
 w AS (SELECT series_key, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 90 DAY)) AS DATE)
       AS window_start, z FROM b)""") + " SELECT series_key, window_start, least(window_start + 89, z) AS window_end FROM w")
 def date_windows(spark, d):
-    from weekloom.operators.catalog import request_windows
     bounds = tables.load_rows(spark, d).groupBy(*K).agg(
         F.min("ts").cast("date").alias("a"), F.max("ts").cast("date").alias("z"))
-    return request_windows(bounds, "a", "z")
+    return catalog.request_windows(bounds, "a", "z")
 
 
 # ---- generation, exchanges, alignment --------------------------------------
@@ -482,20 +485,18 @@ def coerce(spark, d):
 
 @query("json_map_explode", """SELECT event_id, 'k' AS parameter, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS value FROM events""")
 def json_map_explode(spark, d):
-    from weekloom.sources.json_feeds import explode_map
-    return explode_map(table(spark, d, "events").select("event_id", "props"), "props", ["event_id"])
+    return json_feeds.explode_map(table(spark, d, "events").select("event_id", "props"), "props", ["event_id"])
 
 
 @query("weather_points", """WITH e AS (SELECT CAST(ts AS DATE) AS data, user_id, avg(value) AS v, avg(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS k
        FROM events GROUP BY ALL) SELECT data, round(avg(v), 4) AS ghi, round(avg(k), 4) AS temp2m_c, count(*) AS n_points FROM e GROUP BY data""")
 def weather_points(spark, d):
     """Daily maps per point, packed as the weather service delivers them and unpacked again."""
-    from weekloom.sources.json_feeds import pack_daily, weather_rows
     readings = table(spark, d, "events").groupBy("user_id", F.col("ts").cast("date").alias(T)).agg(
         F.avg("value").alias("ALLSKY_SFC_SW_DWN"),
         F.avg(scalars.to_number(F.get_json_object("props", "$.k"))).alias("T2M"))
-    payload = pack_daily(readings, ["user_id"], T, ["ALLSKY_SFC_SW_DWN", "T2M"])
-    rows = weather_rows(payload, "payload", ["user_id"], {"ALLSKY_SFC_SW_DWN": "ghi", "T2M": "temp2m_c"})
+    payload = json_feeds.pack_daily(readings, ["user_id"], T, ["ALLSKY_SFC_SW_DWN", "T2M"])
+    rows = json_feeds.weather_rows(payload, "payload", ["user_id"], {"ALLSKY_SFC_SW_DWN": "ghi", "T2M": "temp2m_c"})
     return rounded(resample.spatial_mean(rows, [], T, ["ghi", "temp2m_c"]), ["ghi", "temp2m_c"])
 
 
@@ -512,8 +513,6 @@ def calendar_parts(spark, d):
 
 # ---- labels --------------------------------------------------------------------
 
-from weekloom.config import LabelRules, SelectionSettings  # noqa: E402
-from weekloom.operators import labels, metrics, sampling, selection  # noqa: E402
 
 RULES = LabelRules()
 _LABEL_COLS = [
@@ -523,7 +522,8 @@ _LABEL_COLS = [
 
 def label_base(spark, d):
     """The columns the label rules read, rounded so that both engines compare the same numbers."""
-    return rounded(_lean_base(spark, d).select(*K, T, *_LABEL_COLS), _LABEL_COLS, 6)
+    # Thresholds and labels both read it, so it is kept in a table.
+    return stage(rounded(_lean_base(spark, d).select(*K, T, *_LABEL_COLS), _LABEL_COLS, 6), "label-base")
 
 
 _LB = _LEAN + f", lb AS (SELECT series_key, data, {q.rounded(_LABEL_COLS, 6)} FROM base)"
@@ -715,8 +715,8 @@ _IMP_COLS = [c for c in _LABEL_COLS if c not in ("margem_suprimento_w",)]
 def importances(spark, d):
     """Importance of a feature: its absolute correlation with the label code."""
     rows = labelled(spark, d).withColumn("code", scalars.encode_label("classe_risco").cast("double"))
-    return profile.correlations_with(rows, _IMP_COLS, "code").select(
-        F.col("variable").alias("feature"), F.round(F.abs("corr"), 6).alias("importance"))
+    return stage(profile.correlations_with(rows, _IMP_COLS, "code").select(
+        F.col("variable").alias("feature"), F.round(F.abs("corr"), 6).alias("importance")), "importances")
 
 
 _IMP = _STEPS + ", impo AS (" + " UNION ALL ".join(
@@ -747,9 +747,6 @@ def importances_json(spark, d):
 
 # ---- catalogue ------------------------------------------------------------------
 
-from weekloom.operators import catalog  # noqa: E402
-from weekloom.plans import marts  # noqa: E402
-from weekloom.sources import delimited, feeds, roles, stores  # noqa: E402
 
 _RES = """WITH r0 AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, left(o_orderpriority, 1) AS p, o_orderdate,
        CASE o_orderstatus WHEN 'F' THEN 'Serie ' || strftime(o_orderdate, '%Y-%m') WHEN 'O' THEN 'Serie ' || strftime(o_orderdate, '%Y')
@@ -903,8 +900,7 @@ def high_risk_weeks(spark, d):
     f"SELECT '{c}' AS variable, round(median({c}), 6) AS median, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM lineitem"
     for c in ("l_quantity", "l_discount")))
 def median_scale_stats(spark, d):
-    from weekloom.plans.training import column_statistics
-    return rounded(column_statistics(table(spark, d, "lineitem"), ["l_quantity", "l_discount"]), ["median", "mean", "std"], 6)
+    return rounded(training.column_statistics(table(spark, d, "lineitem"), ["l_quantity", "l_discount"]), ["median", "mean", "std"], 6)
 
 
 @query("data_tests", """SELECT 'orders' AS "table", 'unique(o_orderkey)' AS test, count(*) - count(DISTINCT o_orderkey) AS violations FROM orders
@@ -1010,8 +1006,6 @@ def role_resolution(spark, d):
 # ---- files ---------------------------------------------------------------------------
 
 def _scratch(spark, name):
-    import uuid
-
     return f"{staging_root(spark)}/weekloom/{name}-{uuid.uuid4().hex}"
 
 
@@ -1041,11 +1035,10 @@ def union_by_name(spark, d):
 @query("json_records", "SELECT event_id, value FROM events")
 def json_records(spark, d):
     """Events as payload objects with their records in a list, read back."""
-    from weekloom.sources.json_feeds import read_records
     path = _scratch(spark, "payload")
     table(spark, d, "events").select(
         F.lit("ok").alias("status"), F.array(F.struct("event_id", "value")).alias("result")).write.json(path)
-    return read_records(spark, path, one_per_line=True)
+    return json_feeds.read_records(spark, path, one_per_line=True)
 
 
 @query("load_sources", _FILL + " SELECT * FROM fill")
@@ -1089,7 +1082,6 @@ def drop_empty(spark, d):
 
 # ---- models ----------------------------------------------------------------------------
 
-from weekloom.config import Settings, TrainSettings  # noqa: E402
 
 # Scores show the model itself, so the hard rules stay out of them.
 _MODEL_RULES = LabelRules(hard_on=False)
@@ -1097,14 +1089,12 @@ _MODEL_SETTINGS = Settings(features=LEAN, labels=_MODEL_RULES, training=TrainSet
 
 
 def _training_data(spark, d):
-    from weekloom.plans import training
     store = weekly.extend_week(label_base(spark, d), _LABEL_COLS, FeatureSettings(lags=(1,), rolls=(4,)))
     return training.prepare_training(store, _MODEL_SETTINGS)
 
 
 def _scored(spark, d, family, params):
     """Fit on the training weeks and report on the held-out ones."""
-    from weekloom.plans import training
     data = _training_data(spark, d)
     model = training.fit_model(data.train, data.features, training.ModelSpec(family, family, params))
     return training.evaluate(model, data.holdout, _MODEL_RULES, 1).report
@@ -1127,7 +1117,6 @@ def gbt_score(spark, d):
 
 @query("cross_validation")
 def cross_validation(spark, d):
-    from weekloom.plans import training
     data = _training_data(spark, d)
     return training.cross_validate(
         data.train, data.features, training.ModelSpec("logreg", "logreg", {"max_iter": 30}), _MODEL_SETTINGS.training, _MODEL_RULES)
@@ -1135,7 +1124,6 @@ def cross_validation(spark, d):
 
 @query("grid_search")
 def grid_search(spark, d):
-    from weekloom.plans import training
     data = _training_data(spark, d)
     spec = training.ModelSpec("logreg", "logreg", {"max_iter": 20}, grid={"C": [0.1, 1.0]})
     return training.tune(data.train, data.features, spec, _MODEL_SETTINGS.training)[1]
@@ -1144,7 +1132,6 @@ def grid_search(spark, d):
 @query("score_requests")
 def score_requests(spark, d):
     """Every week's features sent as JSON requests and scored in one batch."""
-    from weekloom.plans import training
     data = _training_data(spark, d)
     model = training.fit_model(data.train, data.features, training.ModelSpec("rf", "rf", {"n_estimators": 10, "max_depth": 4}))
     requests = data.holdout.select(*K, T, F.to_json(F.struct(F.struct(*data.features).alias("features"))).alias("body"))
@@ -1176,7 +1163,6 @@ def local_days(spark, d):
 @query("feature_ranking")
 def feature_ranking(spark, d):
     """Importances of a random forest over the weekly features, largest first."""
-    from weekloom.plans import training
     data = _training_data(spark, d)
     model = training.fit_model(data.train, data.features, training.ModelSpec("rf", "rf", {"n_estimators": 10, "max_depth": 4}))
     return training.feature_importances(model, spark)
