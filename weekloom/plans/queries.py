@@ -439,11 +439,12 @@ def coverage_weekly(spark, d):
     return rounded(coverage.coverage(base, weekly.feature_columns(base)), ["ratio"], 6)
 
 
-@query("pruned_features")
+@query("pruned_features", _LEAN + _extended_sql(_MARGIN_COLS))
 def pruned_features(spark, d):
     """The store with both coverage limits on, extended for its margin columns."""
     settings = FeatureSettings(("mean", "sum"))
-    return weekly.weekly_store(tables.daily_long(spark, d), tables.VARIABLES, settings, features=tuple(_MARGIN_COLS))
+    store = weekly.weekly_store(tables.daily_long(spark, d), tables.VARIABLES, settings, features=tuple(_MARGIN_COLS))
+    return rounded(store, weekly.feature_columns(store))
 
 
 # ---- text, coercion, JSON -----------------------------------------------------
@@ -991,7 +992,15 @@ def etl_monthly_cuts(spark, d):
     return rounded(feeds.curtailment(tables.raw_monthly_cuts(spark, d), "fv"), ["corte_fv_mwh"])
 
 
-@query("role_resolution")
+_ROLES = {
+    "ger_hidreletrica_mwh": "val_gerhidraulica", "ger_termica_mwh": "val_gertermica", "ger_eolica_mwh": "val_gereolica",
+    "ger_fv_mwh": "val_gersolar", "origin": "id_subsistema_origem", "destination": "id_subsistema_destino",
+    "flow": "val_intercambiomwmed", "load": "val_cargaglobal", "inflow": "ena_bruta_regiao_mwmed",
+    "storage": "ear_verif_subsistema_percentual"}
+
+
+@query("role_resolution", q.with_(q.PLACES, q.UNITS) + ' SELECT role, "column", (SELECT count(*) FROM unit_raw) AS n_rows FROM (VALUES '
+       + ", ".join(f"('{r}', '{c}')" for r, c in _ROLES.items()) + ') AS v(role, "column")')
 def role_resolution(spark, d):
     """The columns each raw feed's roles resolve to, with the rows they were found in."""
     balance, flows = tables.raw_balance(spark, d), tables.raw_exchange(spark, d)

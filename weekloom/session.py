@@ -17,6 +17,26 @@ REQUIRED_CONF = {
 }
 
 
+# Bytes one shuffle or scan partition should hold.
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 100_000
+
+
+def sized_conf(input_bytes: int, cores: int = 1) -> dict[str, str]:
+    """Partition settings for an input of this size.
+
+    AQE merges small shuffle partitions but never splits below the initial
+    number, so that number has to suit the largest shuffle, which is about the
+    size of the input.
+    """
+    wanted = -(-input_bytes // PARTITION_BYTES)
+    return {
+        "spark.sql.shuffle.partitions": str(max(1, cores, min(wanted, MAX_PARTITIONS))),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES // 2),
+    }
+
+
 def build_session(app_name: str = "weekloom", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Return a session with UTC, AQE and skew handling switched on."""
