@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weekloom.session import stage
+
 
 # Rows one range should hold, and the most ranges a column is cut into.
 ROWS_PER_PIECE = 1_000_000
@@ -156,16 +158,18 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], pro
     sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     if max(sizes) <= rows_per_piece:
         return _small_quantiles(df, keys, cols, probs)
-    pieces = range_pieces(df, cols, rows_per_piece)
+    by = [*keys, "variable"]
     numeric = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
     long = numeric.unpivot(list(keys), list(cols), "variable", "value").filter(F.col("value").isNotNull())
+    # Written once: the cuts, the totals and the ordering all start from these counts.
+    counts = stage(long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_rows")), "value-counts")
+    apart = counts.select(*[F.when(F.col("variable") == c, F.col("value")).alias(c) for c in cols])
+    pieces = range_pieces(apart, cols, rows_per_piece)
     piece = None
     for c in cols:
-        hit = F.col("variable") == c
-        part = pieces[c].of(F.col("value"))
+        hit, part = F.col("variable") == c, pieces[c].of(F.col("value"))
         piece = F.when(hit, part) if piece is None else piece.when(hit, part)
-    by = [*keys, "variable"]
-    counts = long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_rows")).withColumn("_piece", piece)
+    counts = counts.withColumn("_piece", piece)
 
     upto = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*by)
