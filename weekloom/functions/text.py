@@ -57,7 +57,7 @@ def norm_key(x) -> Column:
     text = strip_accents(_squeeze_edges(low))
     full = F.regexp_replace(F.regexp_replace(text, "/", ""), "[- _]+", "_")
     # Most names are plain already; only the others take the long way.
-    return F.when(low.rlike("^[a-z0-9]+(_[a-z0-9]+)*$"), low).otherwise(full)
+    return F.when(low.rlike(r"^[a-z0-9]+(_[a-z0-9]+)*\z"), low).otherwise(full)
 
 
 def norm_words(x) -> Column:
