@@ -15,7 +15,7 @@ from array import array
 from collections.abc import Sequence
 
 # Distinct segments one worker keeps, in each of two generations.
-CACHE_SEGMENTS = 250_000
+CACHE_SEGMENTS = 600_000
 WHITE_PAIR = re.compile(r"\s\s")
 _ENCODERS: dict[str, "Encoder"] = {}
 
