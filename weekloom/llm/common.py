@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import zipfile
 from collections.abc import Iterable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from weekloom.session import stage, staging_root
 
-__all__ = ["as_batch", "batches", "documents", "held_out", "keyed_texts", "labels_of", "small_batches", "stage", "staging_root", "table"]
+__all__ = ["as_batch", "batches", "documents", "held_out", "keyed_texts", "labels_of", "prepare", "stage", "staging_root", "table"]
 
 # Rows of one Arrow batch: whole texts travel in it, so it has to stay small.
 BATCH_ROWS = 500
@@ -21,12 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return table(spark, sf_dir, "documents")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small, unless the session keeps them smaller."""
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers import this package, and keep Arrow batches of whole texts small."""
+    context = spark.sparkContext
+    if not getattr(context, "weekloom_shipped", False):
+        top = Path(__file__).resolve().parents[1]
+        # Spark's file server hands the archive from the context's own folder to all executors.
+        archive = Path(context._temp_dir) / "weekloom_package.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        context.addPyFile(str(archive))
+        context.weekloom_shipped = True
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name, "10000")) > BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
@@ -34,6 +45,7 @@ def small_batches(spark: SparkSession) -> None:
 
 def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *extra: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names; a null text is empty."""
+    prepare(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        *[F.col(c) for c in extra])

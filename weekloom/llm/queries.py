@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import packing
-from weekloom.llm.common import documents
+from weekloom.llm import binary_out, packing, quality_rules
+from weekloom.llm.common import documents, staging_root, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +27,15 @@ def query(name: str, sql: str | None = None):
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op9_binary_output")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = binary_out.write_tokens(documents(spark, sf_dir), f"{staging_root(spark)}/weekloom")
+    rows = binary_out.read_tokens(spark, folder)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
