@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import binary_out, packing, pii, quality_rules
+from weekloom.llm import binary_out, packing, pii, quality_pu, quality_rules
 from weekloom.llm.common import documents, staging_root, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[F.size(k.name).cast("long").alias(f"n_{k.name}") for k in pii.BASE],
         F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("all_spans")).alias("spans"))
+
+
+@query("op2_quality_pu")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
