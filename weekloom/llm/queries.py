@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import binary_out, packing, pii, quality_pu, quality_rules
+from weekloom.llm import binary_out, packing, pii, quality_pu, quality_rules, toxicity
 from weekloom.llm.common import documents, staging_root, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quality_pu")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_pu.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
