@@ -99,10 +99,21 @@ def score(kind: Kind, text: Column, start: Column, end: Column) -> Column:
 SPAN = "struct<start:int,rank:int,kind:string,end:int,score:double>"
 
 
+def matched(rows: DataFrame, text: str) -> DataFrame:
+    """Add m_<kind>, the leftmost matches that do not overlap, and g_<kind>, the pieces of text before each.
+
+    They are columns, not parts of a longer expression, so that each pattern
+    runs over a text once for either.
+    """
+    t, none = F.col(text), F.array().cast("array<string>")
+    rows = rows.select("*", *[F.when(t.rlike(k.needs), F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"m_{k.name}")
+                              for k in KINDS])
+    return rows.select("*", *[F.when(F.size(f"m_{k.name}") > 0, F.slice(F.split(t, k.pattern, -1), 1, F.size(f"m_{k.name}"))).otherwise(none)
+                              .alias(f"g_{k.name}") for k in KINDS])
+
+
 def spans(kind: Kind, text: Column) -> Column:
-    """Confirmed spans of one kind: leftmost matches that do not overlap, in order."""
-    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    gaps = F.split(text, kind.pattern, -1)
+    """Confirmed spans of one kind, in order, from the columns of ``matched``."""
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
     def step(acc: Column, pair: Column) -> Column:
@@ -113,9 +124,9 @@ def spans(kind: Kind, text: Column) -> Column:
         return F.struct(end.alias("at"), F.when(confirmed(kind, pair["match"]), F.concat(acc["out"], F.array(span)))
                         .otherwise(acc["out"]).alias("out"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+    pairs = F.zip_with(f"g_{kind.name}", f"m_{kind.name}", lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
     found = F.filter(F.aggregate(pairs, zero, step)["out"], lambda s: s["score"] >= kind.least)
-    return F.when(text.rlike(kind.needs), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(F.size(f"m_{kind.name}") > 0, found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def listed(all_spans: Column) -> Column:
@@ -132,15 +143,19 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    each = rows.select("doc_id", "text", *[spans(k, F.col("text")).alias(k.name) for k in KINDS])
+    each = matched(rows, "text").select("doc_id", *[spans(k, F.col("text")).alias(k.name) for k in KINDS])
     return each.select("doc_id", *[k.name for k in KINDS], F.concat(*[F.col(k.name) for k in BASE]).alias("base"),
                        F.concat(*[F.col(k.name) for k in KINDS]).alias("all_spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with every span of at least this score replaced by <kind>; where spans overlap the first stays whole."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = F.array_sort(F.filter(F.concat(*[spans(k, text) for k in KINDS]), lambda s: s["score"] >= least))
+    own = "weekloom_text"
+    text = F.col(own)
+    rows = matched(docs.withColumn(own, F.coalesce(F.col(text_col).cast("string"), F.lit(""))), own)
+    every = F.concat(*[spans(k, text) for k in KINDS])
+    rows = rows.withColumn("weekloom_spans", F.array_sort(F.filter(every, lambda s: s["score"] >= least)))
+    found = F.col("weekloom_spans")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -151,4 +166,5 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     def finish(acc: Column) -> Column:
         return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
     done = F.aggregate(found, zero, step, finish)
-    return docs.withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.when(F.size(found) > 0, done).otherwise(text)))
+    new = F.when(F.col(text_col).isNotNull(), F.when(F.size(found) > 0, done).otherwise(text))
+    return rows.select(*[new.alias(c) if c == text_col else F.col(c) for c in docs.columns])
