@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import binary_out, decontaminate, packing, pii, quality_pu, quality_rules, toxicity
+from weekloom.llm import binary_out, decontaminate, near_dup, packing, pii, quality_pu, quality_rules, toxicity
 from weekloom.llm.common import documents, staging_root, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(documents(spark, sf_dir))
