@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import binary_out, decontaminate, near_dup, packing, pii, quality_pu, quality_rules, toxicity
+from weekloom.llm import binary_out, decontaminate, lm_backoff, near_dup, packing, pii, quality_pu, quality_rules, toxicity
 from weekloom.llm.common import documents, staging_root, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,31 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_near_duplicates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(documents(spark, sf_dir))
+
+
+LM_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (
+  SELECT r, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS before
+  FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM t)),
+n AS (SELECT count(*) AS n FROM p),
+c1 AS (SELECT word, count(*) AS c FROM p GROUP BY word HAVING count(*) >= 2),
+c2 AS (SELECT before, word, count(*) AS c FROM p WHERE before IS NOT NULL GROUP BY ALL HAVING count(*) >= 2),
+s AS (
+  SELECT r, CASE WHEN c2.c IS NOT NULL THEN ln(c2.c / h.c)
+                 ELSE ln(coalesce(c1.c, 1) / (SELECT n FROM n)) + CASE WHEN p.before IS NULL THEN 0 ELSE ln(0.4) END END AS x,
+         (p.before IS NOT NULL AND c2.c IS NULL)::INT AS down
+  FROM p LEFT JOIN c1 ON c1.word = p.word LEFT JOIN c2 ON c2.before = p.before AND c2.word = p.word
+         LEFT JOIN c1 h ON h.word = p.before)
+SELECT t.doc_id, len(t.w)::BIGINT AS n_words, round(coalesce(sum(s.x), 0), 4) AS log_score,
+       CASE WHEN len(t.w) > 0 THEN round(coalesce(sum(s.x), 0) / len(t.w), 6) END AS mean_log,
+       coalesce(sum(s.down), 0)::BIGINT AS n_backed_off
+FROM t LEFT JOIN s ON s.r = t.r GROUP BY t.r, t.doc_id, t.w
+"""
+
+
+@query("op3_lm_backoff", LM_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_backoff.score(documents(spark, sf_dir))
+    return scores.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log", 6).alias("mean_log"), "n_backed_off")
