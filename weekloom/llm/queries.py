@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import binary_out, decontaminate, lm_backoff, near_dup, packing, pii, quality_pu, quality_rules, toxicity
+from weekloom.llm import binary_out, decontaminate, license_scan, lm_backoff, near_dup, packing, pii, quality_pu, quality_rules, toxicity
 from weekloom.llm.common import documents, staging_root, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ FROM t LEFT JOIN s ON s.r = t.r GROUP BY t.r, t.doc_id, t.w
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = lm_backoff.score(documents(spark, sf_dir))
     return scores.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log", 6).alias("mean_log"), "n_backed_off")
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
