@@ -93,21 +93,48 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     searched and reported; rows equal in id and text are reported once. An
     empty table on either side gives no rows. Other columns are not read.
     """
+    found = _leaked_rows(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    if found is None:
+        schema = "doc_id long, item_id {}, n_windows long, n_words long, share double, n_slots long, n_changed long, kind string".format(
+            benchmark.schema[item_col].dataType.simpleString())
+        return docs.sparkSession.createDataFrame([], schema)
+    return (found.groupBy("doc_id", "item_id")
+            .agg(F.max("n_windows").alias("n_windows"), F.max("n_words").alias("n_words"), F.max(F.col("n_words") / F.col("total")).alias("share"),
+                 F.max("n_slots").alias("n_slots"), F.min("n_changed").alias("n_changed"))
+            .withColumn("share", F.round(F.least("share", F.lit(1.0)), 6))
+            .withColumn("kind", F.when(F.col("n_changed") > 0, "reparameterised").otherwise("exact")))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no item is leaked, with their columns."""
+    found = _leaked_rows(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    if found is None:
+        return docs
+    bad = stage(found.select(F.col("row_key").alias("weekloom_key")).distinct(), "leak-rows")
+    keyed = docs.withColumn("weekloom_key", _row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return keyed.join(bad, "weekloom_key", "left_anti").select(*docs.columns)
+
+
+def _row_key(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id, text)
+
+
+def _leaked_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame | None:
+    """One row per leaked item and distinct row of ``docs``; None where no item can be searched."""
     items = stage(items_of(benchmark, item_col, item_text_col), "leak-items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most WINDOW
     wanted = None
     for size in sizes:
         part = item_windows(items, size)
         wanted = part if wanted is None else wanted.unionByName(part)
-    schema = "doc_id long, item_id {}, n_windows long, n_words long, share double, n_slots long, n_changed long, kind string".format(
-        dict(items.dtypes)["item_id"])
     if wanted is None:
-        return docs.sparkSession.createDataFrame([], schema)
+        return None
     wanted = stage(wanted, "leak-windows")
     few = wanted.count() <= SMALL_WINDOWS
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    row_key = F.xxhash64("doc_id", "text").alias("row_key")
+    row_key = _row_key(F.col("doc_id"), F.col("text")).alias("row_key")
     hashed = (rows.select("doc_id", row_key, words(F.col("text")).alias("doc_words"))
               .select("doc_id", "row_key", template(F.col("doc_words")).alias("hashes")))
     each = None
@@ -133,8 +160,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         F.sum("n").alias("n_windows"), F.sum("matched").cast("long").alias("n_words"), F.max("total").alias("total"),
         F.sum(F.size("pairs")).cast("long").alias("n_slots"),
         F.sum(F.size(F.filter("pairs", lambda x: x["a"] != x["b"]))).cast("long").alias("n_changed"))
-    return (per_item.filter(F.col("n_words") >= F.least(F.lit(LEAKED_WORDS), F.col("total")))
-            .groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("n_windows", "n_words")], F.max(F.col("n_words") / F.col("total")).alias("share"),
-                                              F.max("n_slots").alias("n_slots"), F.min("n_changed").alias("n_changed"))
-            .withColumn("share", F.round(F.least("share", F.lit(1.0)), 6))
-            .withColumn("kind", F.when(F.col("n_changed") > 0, "reparameterised").otherwise("exact")))
+    return per_item.filter(F.col("n_words") >= F.least(F.lit(LEAKED_WORDS), F.col("total")))

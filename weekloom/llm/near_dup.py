@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import keyed_texts, stage
@@ -348,3 +349,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     result = (copy_of.join(linked, "member", "left").select("doc_id", F.coalesce("component", "member").alias("class_id")))
     blank = texts.select("doc_id").join(copy_of.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("class_id"))
     return result.unionByName(blank).withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of every class the least id stays, of rows with the same id the least text.
+
+    Rows with a null id are left as they are.
+    """
+    found = stage(classes(docs, id_col, text_col), "near-classes")
+    if docs.filter(F.col(id_col).isNotNull()).count() > found.count():
+        order = W.partitionBy(id_col).orderBy(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+        docs = docs.withColumn("weekloom_place", F.row_number().over(order)).filter(
+            (F.col("weekloom_place") == 1) | F.col(id_col).isNull()).select(*docs.columns)
+    gone = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias("weekloom_gone")), "near-gone")
+    return docs.join(gone, F.col(id_col) == F.col("weekloom_gone"), "left_anti").select(*docs.columns)

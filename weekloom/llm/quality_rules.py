@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weekloom.llm.common import as_batch, labels_of, prepare, stage
 
@@ -92,17 +93,30 @@ def measure(text: str) -> tuple:
     return (len(words), sum(map(len, words)), sum(map(text.count, SYMBOLS)), dup, repeated_words(words), full, runs, n_upper(text))
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """One row of counts per document; a null text has none."""
+PREFIX = "weekloom_"  # of the columns added to whole rows, so that no column of the caller is hidden
+
+
+def with_measures(docs: DataFrame, text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """All columns of the rows, then their stratum and counts under PREFIX; a null text has none."""
+    prepare(docs.sparkSession)
+    own, names = [f.name for f in docs.schema], [f.name for f in FEATURES][2:]
+    rows = docs.select("*", F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias(f"{PREFIX}stratum"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(f"{PREFIX}text"))
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ids, strata, texts = (c.to_pylist() for c in part.columns)
-            yield as_batch([(i, s, *measure(t)) for i, s, t in zip(ids, strata, texts)], FEATURES)
+            counted = np.array([measure(t) for t in part.column(part.num_columns - 1).to_pylist()], np.int64).reshape(-1, len(names))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(c) for c in counted.T]],
+                                             [*own, f"{PREFIX}stratum", *[PREFIX + n for n in names]])
 
-    prepare(docs.sparkSession)
-    fields = ", ".join(f"{f.name} {'string' if f.name == 'stratum' else 'long'}" for f in FEATURES)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, fields)
+    schema = T.StructType([*rows.schema.fields[:-1], *[T.StructField(PREFIX + n, T.LongType()) for n in names]])
+    return rows.mapInArrow(run, schema)
+
+
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """One row of counts per document."""
+    counted = with_measures(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col), F.col(stratum_col)), text_col, stratum_col)
+    return counted.select("doc_id", *[F.col(PREFIX + f.name).alias(f.name) for f in FEATURES if f.name != "doc_id"])
 
 
 def shares() -> dict[str, Column]:
@@ -174,11 +188,26 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
     """
     counted = stage(measures(docs, id_col, text_col, stratum_col), "rule-measures")
     cuts = stage(cutoffs(counted, labels, alpha, delta), "rule-cutoffs")
-    few = cuts.count() <= SMALL_STRATA
-    share = shares()
+    return verdicts(counted, cuts).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                          "base_failed", "kept", "stratum", "reasons")
+
+
+def verdicts(counted: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The counts with base_failed, reasons and kept."""
+    few, share = cuts.count() <= SMALL_STRATA, shares()
     joined = counted.join(F.broadcast(cuts) if few else cuts, "stratum", "left")
     reasons = F.filter(F.array(
         F.when(base_failed(), F.lit("base")),
         *[F.when(share[r] > F.coalesce(F.col(f"{r}_cut"), F.lit(2.0)), F.lit(r)) for r in RULES]), lambda x: x.isNotNull())
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         base_failed().alias("base_failed"), (F.size(reasons) == 0).alias("kept"), "stratum", reasons.alias("reasons"))
+    return (joined.withColumn("base_failed", base_failed()).withColumn("reasons", reasons)
+            .withColumn("kept", F.size("reasons") == 0))
+
+
+def keep(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, id_col: str = "doc_id",
+         text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. Texts are measured once more instead of being shuffled to their verdicts."""
+    cuts = stage(cutoffs(stage(measures(docs, id_col, text_col, stratum_col), "rule-measures"), labels, alpha, delta), "rule-cutoffs")
+    rows = with_measures(docs, text_col, stratum_col)
+    counts = [f.name for f in FEATURES if f.name != "doc_id"]
+    rows = rows.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *[F.col(PREFIX + c).alias(c) for c in counts])
+    return verdicts(rows, cuts).filter("kept").select("row.*")
