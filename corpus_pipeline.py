@@ -1,10 +1,62 @@
-"""The corpus pipeline: rules, near copies, benchmark leaks, personal data, packing."""
+"""The corpus pipeline: rules, near copies, benchmark leaks, personal data, packing.
+
+Every stage is one of the text operators applied to what the stage before it
+kept; the rows between two stages are written as Parquet under the staging
+folder and read back.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weekloom.llm import decontaminate, near_dup, packing, pii, quality_rules
+from weekloom.llm.common import documents, prepare, stage, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and the certified cutoffs."""
+    return quality_rules.keep(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return near_dup.keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, with its own or other values."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data replaced by its kind, and their new numbers of characters."""
+    done = pii.redact(docs)
+    return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
+
+
+def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    pieces = packing.pack(docs)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("pii", personal_data),
+    ("packing", windows),
+]
+
+# Certified cutoffs, sketches and tokenizers are beyond SQL; tests compare every stage with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the last one's rows."""
+    prepare(spark)
+    docs = documents(spark, sf_dir)
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
