@@ -48,6 +48,7 @@ SSN = Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0
            r"ssn|social security|taxpayer|identification", r"order|part|serial|tracking", 0.5)
 KINDS = (*BASE, IBAN, SSN)
 BONUS = 0.2
+PREFIX = "weekloom_"  # of the columns added to whole rows, so that no column of the caller is hidden
 
 
 def digits(match: Column) -> Column:
@@ -100,16 +101,16 @@ SPAN = "struct<start:int,rank:int,kind:string,end:int,score:double>"
 
 
 def matched(rows: DataFrame, text: str) -> DataFrame:
-    """Add m_<kind>, the leftmost matches that do not overlap, and g_<kind>, the pieces of text before each.
+    """Add, under PREFIX, m_<kind>, the leftmost matches that do not overlap, and g_<kind>, the pieces of text before each.
 
     They are columns, not parts of a longer expression, so that each pattern
     runs over a text once for either.
     """
     t, none = F.col(text), F.array().cast("array<string>")
-    rows = rows.select("*", *[F.when(t.rlike(k.needs), F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"m_{k.name}")
+    rows = rows.select("*", *[F.when(t.rlike(k.needs), F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"{PREFIX}m_{k.name}")
                               for k in KINDS])
-    return rows.select("*", *[F.when(F.size(f"m_{k.name}") > 0, F.slice(F.split(t, k.pattern, -1), 1, F.size(f"m_{k.name}"))).otherwise(none)
-                              .alias(f"g_{k.name}") for k in KINDS])
+    return rows.select("*", *[F.when(F.size(f"{PREFIX}m_{k.name}") > 0, F.slice(F.split(t, k.pattern, -1), 1, F.size(f"{PREFIX}m_{k.name}"))).otherwise(none)
+                              .alias(f"{PREFIX}g_{k.name}") for k in KINDS])
 
 
 def spans(kind: Kind, text: Column) -> Column:
@@ -124,9 +125,9 @@ def spans(kind: Kind, text: Column) -> Column:
         return F.struct(end.alias("at"), F.when(confirmed(kind, pair["match"]), F.concat(acc["out"], F.array(span)))
                         .otherwise(acc["out"]).alias("out"))
 
-    pairs = F.zip_with(f"g_{kind.name}", f"m_{kind.name}", lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+    pairs = F.zip_with(f"{PREFIX}g_{kind.name}", f"{PREFIX}m_{kind.name}", lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
     found = F.filter(F.aggregate(pairs, zero, step)["out"], lambda s: s["score"] >= kind.least)
-    return F.when(F.size(f"m_{kind.name}") > 0, found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(F.size(f"{PREFIX}m_{kind.name}") > 0, found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def listed(all_spans: Column) -> Column:
@@ -150,12 +151,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with every span of at least this score replaced by <kind>; where spans overlap the first stays whole."""
-    own = "weekloom_text"
+    own = f"{PREFIX}text"
     text = F.col(own)
     rows = matched(docs.withColumn(own, F.coalesce(F.col(text_col).cast("string"), F.lit(""))), own)
     every = F.concat(*[spans(k, text) for k in KINDS])
-    rows = rows.withColumn("weekloom_spans", F.array_sort(F.filter(every, lambda s: s["score"] >= least)))
-    found = F.col("weekloom_spans")
+    rows = rows.withColumn(f"{PREFIX}spans", F.array_sort(F.filter(every, lambda s: s["score"] >= least)))
+    found = F.col(f"{PREFIX}spans")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
