@@ -30,7 +30,7 @@ from weekloom.llm.license_texts import TEMPLATES
 
 WORD = re.compile(r"\w+")
 K, WINNOW = 3, 3
-# Diagonals of one candidate may drift this far.
+# Diagonals of one candidate may drift this far, or half a template's words if that is less.
 BAND = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of a template, or number of its words, from which a match is reported.
@@ -85,6 +85,10 @@ def index_of(templates: Mapping[str, str]) -> Index:
     return Index(words, codes, dict(places))
 
 
+def band_of(size: int) -> int:
+    return min(BAND, size // 2)
+
+
 def regions(text: str, index: Index) -> list[tuple[str, int, int, int, int]]:
     """(template, diagonal, first word, last word, hits) of every candidate of a text."""
     words = WORD.findall(text.lower())
@@ -104,13 +108,14 @@ def regions(text: str, index: Index) -> list[tuple[str, int, int, int, int]]:
     out = []
     for name, hits in met.items():
         size = len(index.words[name])
+        band = band_of(size)
         hits.sort()
         group: list[tuple[int, int]] = []
         for shift, p in [*hits, (1 << 60, 0)]:
-            if group and shift - group[0][0] > BAND:
+            if group and shift - group[0][0] > band:
                 shifts = [s for s, _ in group]
                 middle = sorted(shifts)[len(shifts) // 2]
-                out.append((name, middle, max(0, shifts[0] - BAND), min(len(words), shifts[-1] + size + BAND), len(group)))
+                out.append((name, middle, max(0, shifts[0] - band), min(len(words), shifts[-1] + size + band), len(group)))
                 group = []
             group.append((shift, p))
     return out
@@ -134,7 +139,7 @@ def candidates(texts: DataFrame, index: Index) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, license string, shift long, first_word long, hits long, words array<string>, starts array<long>, ends array<long>")
 
 
-def align(template: list[str], words: list[str], diagonal: int, band: int = 2 * BAND) -> tuple[int, int, int, int, int]:
+def align(template: list[str], words: list[str], diagonal: int, band: int) -> tuple[int, int, int, int, int]:
     """Best local alignment within the band: (matched words, template first and end, region first and end)."""
     best, best_at = 0, (0, 0)
     score: dict[tuple[int, int], int] = {}
@@ -163,7 +168,7 @@ def aligned(near: DataFrame, index: Index) -> DataFrame:
         for part in parts:
             for c in part.to_pylist():
                 template = index.words[c["license"]]
-                matched, t0, t1, w0, w1 = align(template, c["words"], c["shift"] - c["first_word"])
+                matched, t0, t1, w0, w1 = align(template, c["words"], c["shift"] - c["first_word"], 2 * band_of(len(template)))
                 share = matched / len(template)
                 if matched and (share >= MIN_SHARE or matched >= MIN_WORDS):
                     yield (c["doc_id"], c["license"], round(share, 6), matched, c["starts"][w0], c["ends"][w1 - 1], t0, t1)

@@ -199,7 +199,7 @@ def train(texts: DataFrame, labels: DataFrame, categories: tuple[str, ...], grad
                       "doc_id long, " + ", ".join(f"{c} int" for c in categories)).limit(4 * MAX_LABELLED).collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["slots"])))
     slots = [np.frombuffer(r["slots"], np.int32) for r in rows]
-    targets = np.array([[r[c] for c in categories] for r in rows])
+    targets = np.array([[r[c] for c in categories] for r in rows], int).reshape(len(rows), len(categories))
     if grade:
         targets, categories = np.column_stack([graded(slots, targets[:, -1]), targets]), (*GRADES, *categories)
     return fit(slots, targets, categories)
