@@ -58,6 +58,23 @@ def test_consolidation_is_by_name(spark, tmp_path):
         delimited.consolidate(spark, [])
 
 
+def test_a_folder_of_different_files(spark, tmp_path):
+    folder = tmp_path / "raw files"
+    folder.mkdir()
+    write(folder / "a.csv", "a,b\n1,2\n" + "".join(f"{k},{k}\n" for k in range(10, 40)))
+    write(folder / "b.csv", "b;a\n3;4\n")
+    write(folder / "c.csv", "b,a\n1,2\n")
+    write(folder / "d.csv", "a;Região\n7;São\n", "latin-1")
+    df = delimited.read_raw(spark, str(folder))
+    assert df.count() == 34 and df.groupBy().count().first()[0] == 34
+    assert sorted(df.columns) == ["a", "b", "regiao"]
+    got = {(r["a"], r["b"], r["regiao"]) for r in df.filter("cast(a as int) < 10").collect()}
+    assert got == {("1", "2", None), ("4", "3", None), ("2", "1", None), ("7", None, "São")}
+    assert df.select("b").count() == 34
+    with pytest.raises(ValueError):
+        delimited.detect_layout(spark, str(folder))
+
+
 def test_series_needs_a_date_column(spark, tmp_path):
     with pytest.raises(ValueError):
         delimited.read_series(spark, write(tmp_path / "a.csv", "x\n1\n"))
@@ -66,6 +83,10 @@ def test_series_needs_a_date_column(spark, tmp_path):
 def test_json_payloads(spark, tmp_path):
     nested = write(tmp_path / "n.json", json.dumps({"meta": 1, "zeta": [{"v": 1}, {"v": 2}], "alpha": [{"w": 3}]}))
     assert sorted(r["v"] for r in json_feeds.read_records(spark, nested).collect()) == [1, 2]
+    lines = write(tmp_path / "l.json", "\n".join(map(json.dumps, [
+        {"zeta": [{"v": 1}], "alpha": [{"w": 3}]}, {"other": [{"v": 2, "w": 4}]}, {"alpha": [{"w": 5}], "zeta": [{"v": 6}]}, {"meta": 1}])))
+    got = {(r["v"], r["w"]) for r in json_feeds.read_records(spark, lines, one_per_line=True).collect()}
+    assert got == {(1, None), (2, 4), (None, 5)}
     root = write(tmp_path / "r.json", json.dumps([{"v": 1}, {"v": 2}]))
     assert json_feeds.read_records(spark, root).count() == 2
 
@@ -235,8 +256,10 @@ def test_writers(spark, tmp_path):
     assert stores.write_table(big, path) and not stores.write_table(spark.range(1), path)
     assert spark.read.parquet(path).count() == 1000
     assert stores.write_table(spark.range(1), path, overwrite=True) and spark.read.parquet(path).count() == 1
-    # What is left is too small to count as a result.
-    assert os.path.exists(path) and stores.write_table(big, path)
+    # A small result counts; an empty or unfinished one does not.
+    assert not stores.write_table(big, path)
+    os.remove(f"{path}/_SUCCESS")
+    assert stores.write_table(spark.range(0), path) and stores.write_table(big, path)
     hist = str(tmp_path / "h")
     stores.append_scores(spark, hist, "a", 0.5, 0.6)
     assert stores.append_scores(spark, hist, "b", 0.7, 0.8).count() == 2

@@ -27,23 +27,23 @@ def curtailed_power(reference, limited=None, generated=None, method: str = "ref_
     return clip_low(ref - other)
 
 
-def _steps(df: DataFrame, keys: Sequence[str], ts: str, cut: str) -> DataFrame:
+def _steps(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Hours to the next instant of the key, for rows unique per key and instant.
 
     Written once: the shuffles behind it are the costly part, and both the
     typical step and the sums are taken from it.
     """
     hours = (F.unix_micros(F.col("_next").cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / 3.6e9
-    return stage(next_instant(df, keys, ts, cut, "_next").withColumn("step_hours", hours).drop("_next"), "steps")
+    return stage(next_instant(df, keys, ts, "_next").withColumn("step_hours", hours).drop("_next"), "steps")
 
 
-def cadence(df: DataFrame, keys: Sequence[str], ts: str, cut: str = "hour") -> DataFrame:
+def cadence(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Median hours between successive instants per key, and whether that is intraday.
 
     Intraday means a median step below 6 hours and at least 10 rows.
     """
     instants = df.filter(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_rows"))
-    steps = _steps(instants, keys, ts, cut)
+    steps = _steps(instants, keys, ts)
     sizes = steps.groupBy(*keys).agg(F.sum("_rows").alias("n_rows"))
     median = exact_quantiles(steps, keys, ["step_hours"], [0.5]).select(*keys, F.col("value").alias("median_hours"))
     return join_null_safe(sizes, median, keys).select(
@@ -53,8 +53,7 @@ def cadence(df: DataFrame, keys: Sequence[str], ts: str, cut: str = "hour") -> D
 
 
 def integrate_energy(df: DataFrame, plant: Sequence[str], ts: str, power: Column, order: str,
-                     out: str, by: Sequence[str] | None = None, day: str = "data",
-                     cut: str = "hour") -> DataFrame:
+                     out: str, by: Sequence[str] | None = None, day: str = "data") -> DataFrame:
     """Energy per day: power times the hours to the plant's next instant, summed.
 
     The last instant of a plant lasts the plant's median step (half an hour
@@ -69,7 +68,7 @@ def integrate_energy(df: DataFrame, plant: Sequence[str], ts: str, power: Column
     rows = df.filter(F.col(ts).isNotNull()).select(
         *plant, ts, F.col(order).alias("_order"), F.coalesce(power, F.lit(0.0)).alias("_power"))
     picked = rows.groupBy(*plant, ts).agg(F.max_by("_power", "_order").alias("_power"))
-    steps = _steps(picked, plant, ts, cut)
+    steps = _steps(picked, plant, ts)
     # Days per plant are few; the typical step joins there, not row by row.
     daily = steps.groupBy(*plant, F.col(ts).cast("date").alias(day)).agg(
         F.coalesce(F.sum(F.col("_power") * F.col("step_hours")), F.lit(0.0)).alias("_timed"),

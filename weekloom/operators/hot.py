@@ -10,85 +10,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from weekloom.session import stage
 
 
-# Rows one range should hold, and the most ranges a column is cut into.
-ROWS_PER_PIECE = 1_000_000
-MAX_COARSE = 512
-MAX_FINE = 4096
-
-
-class Pieces:
-    """Ranges of a column: quantile cut points, each range cut evenly again when data is large."""
-
-    def __init__(self, bounds: Sequence[float], fine: int = 1):
-        self.bounds, self.fine = list(bounds), max(1, fine)
-
-    def of(self, value: Column) -> Column:
-        """Range number of a value; never decreases as the value grows."""
-        inner = self.bounds[1:-1]
-
-        def search(lo: int, hi: int) -> Column:
-            if lo == hi:
-                return F.lit(lo)
-            mid = (lo + hi) // 2
-            return F.when(value < F.lit(inner[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-
-        coarse = search(0, len(inner))
-        if self.fine == 1 or len(self.bounds) < 2:
-            return coarse
-        low = F.array(*[F.lit(b) for b in self.bounds[:-1]])[coarse]
-        width = F.array(*[F.lit(b - a) for a, b in zip(self.bounds, self.bounds[1:])])[coarse]
-        part = F.floor(F.coalesce(F.try_divide(value - low, width), F.lit(0.0)) * self.fine)
-        return coarse * self.fine + F.greatest(F.lit(0), F.least(part, F.lit(self.fine - 1)))
+def _key(keys: Sequence[str]) -> Column:
+    """The key columns as one value that is never null, so that null keys join too."""
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
 
 
-def range_pieces(df: DataFrame, cols: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, Pieces]:
-    """Cut each column into ranges of about ``rows_per_piece`` rows, from one pass over the data.
+def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """The rows in ranges of (keys, order), written once, with ``_key`` and the number of the range, ``_piece``.
 
-    A bounded list of numbers per column comes back to the driver, so that
-    every later use sees the same cuts; only balance depends on them, never
-    the result.
+    Spark samples the ranges from the data, so they hold about equal numbers of
+    rows whatever the keys' sizes, and there are as many as the session has
+    shuffle partitions. Only balance depends on them, never the result.
     """
-    probs = F.array(*[F.lit(i / MAX_COARSE) for i in range(1, MAX_COARSE)])
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}"),
-                 F.percentile_approx(v, probs, 10000).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    out = {}
-    for i, c in enumerate(cols):
-        wanted = -(-row[f"n{i}"] // rows_per_piece)
-        step = max(1, MAX_COARSE // max(1, min(wanted, MAX_COARSE)))
-        inner = (row[f"s{i}"] or [])[step - 1::step] if wanted > 1 else []
-        ends = [x for x in (row[f"a{i}"], row[f"z{i}"]) if x is not None]
-        bounds = sorted({*inner, *ends})
-        if len(bounds) == 1:
-            bounds = bounds * 2
-        out[c] = Pieces(bounds, min(MAX_FINE, -(-wanted // MAX_COARSE)))
-    return out
+    keyed = df.withColumn("_key", _key(keys))
+    dealt = keyed.repartitionByRange("_key", *order)
+    return stage(dealt.withColumn("_piece", F.spark_partition_id()), name)
 
 
-def _key(keys: Sequence[str]) -> Column:
-    """The key columns as one value that is never null, so that null keys join too."""
-    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-
+def _before() -> WindowSpec:
+    """The ranges of the key before this one."""
+    return Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], piece: Column,
-                out: str = "n") -> DataFrame:
-    """1-based position of each row within its key, ordered by ``order``.
 
-    ``piece`` must not decrease as the ordering grows.
-    """
-    cut = df.withColumns({"_key": _key(keys), "_piece": piece})
-    before = Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "n") -> DataFrame:
+    """1-based position of each row within its key, ordered by ``order`` (columns of any orderable type, nulls first)."""
+    cut = _ranged(df, keys, order, "numbered")
     offsets = cut.groupBy("_key", "_piece").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "_key", "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+        "_key", "_piece", F.coalesce(F.sum("_rows").over(_before()), F.lit(0)).alias("_offset")
     )
     local = F.row_number().over(Window.partitionBy("_key", "_piece").orderBy(*order))
     return (
@@ -99,10 +53,9 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], piece:
     )
 
 
-def hash_order(cols: Sequence[str], seed: int) -> tuple[Column, Column]:
-    """A repeatable pseudo-random ordering value and its 256 monotone pieces."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
-    return h, F.shiftright(h, 56)
+def hash_order(cols: Sequence[str], seed: int) -> Column:
+    """A repeatable pseudo-random ordering value."""
+    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -112,107 +65,81 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
 
 
-def bump_duplicates(df: DataFrame, keys: Sequence[str], ts: str, order: str,
-                    rows_per_piece: int = ROWS_PER_PIECE, out: str = "ts_unique") -> DataFrame:
-    """Make instants unique: the c-th repeat of an instant moves by c microseconds.
+def bump_duplicates(df: DataFrame, keys: Sequence[str], ts: str, order: str, out: str = "ts_unique") -> DataFrame:
+    """Make instants unique: the c-th repeat of an instant, by ``order``, moves by c microseconds.
 
-    Copies of one instant can be many, so they are numbered piecewise by ``order``.
     Rows without an instant stay without one.
     """
-    at = range_pieces(df, [order], rows_per_piece)[order].of(F.col(order).cast("double"))
-    # Nulls sort first.
-    piece = F.when(F.col(order).isNull(), -1).otherwise(at)
-    numbered = number_rows(df, [*keys, ts], [order], piece, "_n")
+    numbered = number_rows(df, [*keys, ts], [order], "_n")
     micros = F.unix_micros(F.col(ts).cast("timestamp")) + F.col("_n") - 1
     return numbered.withColumn(out, F.timestamp_micros(micros)).drop("_n")
 
 
-def next_instant(df: DataFrame, keys: Sequence[str], ts: str, cut: str = "hour",
-                 out: str = "next_ts") -> DataFrame:
+def next_instant(df: DataFrame, keys: Sequence[str], ts: str, out: str = "next_ts") -> DataFrame:
     """The following instant of the same key, for rows unique per key and instant.
 
-    Keys are cut by calendar unit; one row per key and unit links the pieces.
+    One row per key and range links the ranges.
     """
-    inner = Window.partitionBy("_key", "_unit").orderBy(ts)
-    cutup = df.withColumns({"_key": _key(keys), "_unit": F.date_trunc(cut, F.col(ts))})
-    heads = cutup.groupBy("_key", "_unit").agg(F.min(ts).alias("_head")).select(
-        "_key", "_unit", F.lead("_head").over(Window.partitionBy("_key").orderBy("_unit")).alias("_next_head")
+    cut = _ranged(df, keys, [ts], "instants")
+    heads = cut.groupBy("_key", "_piece").agg(F.min(ts).alias("_head")).select(
+        "_key", "_piece", F.lead("_head").over(Window.partitionBy("_key").orderBy("_piece")).alias("_next_head")
     )
     return (
-        cutup.withColumn("_lead", F.lead(ts).over(inner))
-        .join(heads, ["_key", "_unit"])
+        cut.withColumn("_lead", F.lead(ts).over(Window.partitionBy("_key", "_piece").orderBy(ts)))
+        .join(heads, ["_key", "_piece"])
         .withColumn(out, F.coalesce("_lead", "_next_head"))
-        .drop("_key", "_unit", "_lead", "_next_head")
+        .drop("_key", "_piece", "_lead", "_next_head")
     )
 
 
+# Half-width of the approximate bracket around a wanted quantile, and how exact its ends are.
+BRACKET, ACCURACY = 0.002, 10_000
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float],
-                    rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+                    bracket: float = BRACKET) -> DataFrame:
     """Exact linear-interpolated quantiles as rows (keys, variable, prob, value).
 
-    With at most ``rows_per_piece`` values per column the built-in percentile
-    does it. Beyond that, equal values collapse before the shuffle, each
-    variable is cut into ranges, and only the ranges that hold a wanted rank
-    are ordered.
+    One pass brackets every wanted rank between two approximate quantiles. A
+    second pass counts the distinct values inside each bracket, and all values
+    below it as one. Those counts, a small share of the values, are put in
+    order range by range, and running sums over them give exact ranks.
     """
-    sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    if max(sizes) <= rows_per_piece:
-        return _small_quantiles(df, keys, cols, probs)
     by = [*keys, "variable"]
     numeric = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
     long = numeric.unpivot(list(keys), list(cols), "variable", "value").filter(F.col("value").isNotNull())
-    # Written once: the cuts, the totals and the ordering all start from these counts.
-    counts = stage(long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("_rows")), "value-counts")
-    apart = counts.select(*[F.when(F.col("variable") == c, F.col("value")).alias(c) for c in cols])
-    pieces = range_pieces(apart, cols, rows_per_piece)
-    piece = None
-    for c in cols:
-        hit, part = F.col("variable") == c, pieces[c].of(F.col("value"))
-        piece = F.when(hit, part) if piece is None else piece.when(hit, part)
-    counts = counts.withColumn("_piece", piece)
-
-    upto = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*by)
-    wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob")) for p in probs])
-    pieces_wanted = (
-        counts.groupBy(*by, "_piece").agg(F.sum("_rows").alias("_rows"))
-        .select(*by, "_piece", F.sum("_rows").over(upto).alias("_end"), F.col("_rows").alias("_in_piece"),
-                F.sum("_rows").over(whole).alias("_n"))
-        .select("*", F.inline(wanted))
-        .withColumn("_pos", (F.col("_n") - 1) * F.col("prob"))
-        .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
-        .withColumn("_start", F.col("_end") - F.col("_in_piece"))
-        .filter((F.col("_hi") >= F.col("_start")) & (F.col("_lo") < F.col("_end")))
-        .groupBy(*by, "_piece", "_start").agg(F.collect_list(F.struct("prob", "_pos", "_lo", "_hi")).alias("_w"))
+
+    ends = [x for p in probs for x in (max(0.0, p - bracket), min(1.0, p + bracket))]
+    sizes = long.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"),
+        F.percentile_approx("value", F.array(*[F.lit(float(x)) for x in ends]), ACCURACY).alias("_ends"))
+    # Where a bracket would be less than a few ranks wide, all values are inside.
+    few = F.col("_n") * (bracket - 1 / ACCURACY) < 4
+    wanted = F.array(*[
+        F.struct(F.lit(float(p)).alias("prob"), F.when(few, F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias("_low"),
+                 F.when(few, F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias("_high")) for i, p in enumerate(probs)])
+    brackets = stage(sizes.select(_key(by).alias("_by"), "_n", wanted.alias("_wanted")), "brackets")
+
+    inside = (
+        long.withColumn("_by", _key(by)).join(brackets, "_by")
+        .select(*by, "_n", "value", F.inline("_wanted"))
+        .filter(F.col("value") <= F.col("_high"))
+        .groupBy(*by, "_n", "prob", F.when(F.col("value") >= F.col("_low"), F.col("value")).alias("value"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by] + [F.col("l._piece") == F.col("r._piece")]
-    on = same[0]
-    for cond in same[1:]:
-        on = on & cond
-    within = Window.partitionBy(*by, "_piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cut = _ranged(inside, [*by, "prob"], ["value"], "bracketed")
+    offsets = cut.groupBy("_key", "_piece").agg(F.sum("_rows").alias("_sum")).select(
+        "_key", "_piece", F.coalesce(F.sum("_sum").over(_before()), F.lit(0)).alias("_offset"))
+    running = Window.partitionBy("_key", "_piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        counts.alias("l").join(pieces_wanted.alias("r"), on)
-        .select(*[F.col(f"l.{c}").alias(c) for c in by], F.col("l._piece").alias("_piece"),
-                "value", F.col("l._rows").alias("_rows"), "_start", "_w")
-        .withColumn("_to", F.col("_start") + F.sum("_rows").over(within))
-        .withColumn("_from", F.col("_to") - F.col("_rows"))
-        .select(*by, "value", "_from", "_to", F.inline("_w"))
-    )
-    def holds(rank: str) -> Column:
-        return (F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_to"))
-
-    picked = ranked.filter(holds("_lo") | holds("_hi")).groupBy(*by, "prob", "_pos", "_lo").agg(
-        F.max(F.when(holds("_lo"), F.col("value"))).alias("_a"),
-        F.max(F.when(holds("_hi"), F.col("value"))).alias("_b"),
+        cut.withColumn("_local", F.sum("_rows").over(running)).join(offsets, ["_key", "_piece"])
+        .withColumn("_to", F.col("_offset") + F.col("_local")).withColumn("_from", F.col("_to") - F.col("_rows"))
+        .withColumn("_pos", (F.col("_n") - 1) * F.col("prob"))
     )
-    frac = F.col("_pos") - F.col("_lo")
-    return picked.select(*by, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * frac).alias("value"))
 
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("value")))
 
-def _small_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    at = F.array(*[F.lit(float(p)) for p in probs])
-    one = df.groupBy(*keys).agg(*[F.percentile(F.col(c).cast("double"), at).alias(f"q{i}") for i, c in enumerate(cols)])
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.lit(float(p)).alias("prob"), F.col(f"q{i}")[j].alias("value"))
-        for i, c in enumerate(cols) for j, p in enumerate(probs)])
-    return one.select(*keys, F.inline(rows)).filter(F.col("value").isNotNull())
+    picked = ranked.groupBy(*by, "prob", "_pos").agg(at(F.floor("_pos")).alias("_a"), at(F.ceil("_pos")).alias("_b"))
+    share = F.col("_pos") - F.floor("_pos")
+    return picked.select(*by, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * share).alias("value"))

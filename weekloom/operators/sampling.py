@@ -47,10 +47,9 @@ def oversample_minority(df: DataFrame, label: str, row_key: Sequence[str], min_f
     extra = extra_draws(counts, min_fraction)
     if not extra:
         return df.withColumn(copy_col, F.lit(0).cast("bigint"))
-    draw, piece = hash_order(row_key, seed)
     minority = F.col(label).isin(*extra)
     ranked = number_rows(
-        df.filter(minority).withColumn("_draw", draw), [label], ["_draw", *row_key], piece, "_rank")
+        df.filter(minority).withColumn("_draw", hash_order(row_key, seed)), [label], ["_draw", *row_key], "_rank")
     copies = None
     for c, k in extra.items():
         n = counts[c]

@@ -29,13 +29,14 @@ def densify(df: DataFrame, keys: Sequence[str], day: str, cols: Sequence[str] |
     """Insert the missing days between each key's first and last day, with null values.
 
     Each row is expanded up to the day before the next one, which needs no
-    calendar table and no join. One row per key and day is expected.
+    calendar table and no join. Rows that repeat a day stay as they are and add
+    no others.
     """
     cols = [c for c in df.columns if c not in (*keys, day)] if cols is None else list(cols)
     upto = F.date_sub(F.coalesce(F.lead(day).over(ordered(keys, day)), F.date_add(F.col(day), 1)), 1)
     wide = df.select(*keys, day, *cols, upto.alias("_upto")).select(
         *keys, F.col(day).alias("_from"), *cols,
-        F.explode(F.sequence(day, "_upto")).alias(day),
+        F.explode(F.when(F.col("_upto") < F.col(day), F.array(day)).otherwise(F.sequence(day, "_upto"))).alias(day),
     )
     here = F.col(day) == F.col("_from")
     return wide.select(*keys, day, *[F.when(here, F.col(c)).alias(c) for c in cols])
@@ -109,29 +110,39 @@ def successive_step(df: DataFrame, keys: Sequence[str], time: str, out: str = "s
     return df.withColumn(out, secs / 3600.0)
 
 
-def tail_split(df: DataFrame, keys: Sequence[str], time: str, fraction: float, out: str = "split") -> DataFrame:
-    """Mark the last ``max(1, floor(n * fraction))`` rows of each key as ``holdout``.
+def shared_times(df: DataFrame, time: str) -> DataFrame:
+    """Every distinct instant of all series together, with its 1-based place and their number.
 
-    A fraction of 0 or less, or 0.9 and more, holds nothing out.
+    One row per week of the calendar, so one ordered pass over it is small.
+    """
+    every = df.filter(F.col(time).isNotNull()).select(time).distinct()
+    return every.select(time, F.row_number().over(Window.orderBy(time)).alias("_place"), F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
+
+
+def tail_split(df: DataFrame, time: str, fraction: float, out: str = "split") -> DataFrame:
+    """Mark the rows of the last ``max(1, floor(n * fraction))`` instants as ``holdout``.
+
+    The cut is one date for all series, so that nothing trained on is later
+    than anything held out. A fraction of 0 or less, or 0.9 and more, holds
+    nothing out; rows without an instant train.
     """
     if fraction <= 0 or fraction >= 0.9:
         return df.withColumn(out, F.lit("train"))
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    pos = F.row_number().over(ordered(keys, time))
-    hold = F.greatest(F.lit(1), F.floor(n * F.lit(fraction)))
-    return df.withColumn(out, F.when(pos > n - hold, "holdout").otherwise("train"))
+    hold = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(fraction)))
+    return df.join(shared_times(df, time), time, "left").withColumn(
+        out, F.when(F.col("_place") > F.col("_n") - hold, "holdout").otherwise("train")).select(*df.columns, out)
 
 
-def expanding_folds(df: DataFrame, keys: Sequence[str], time: str, n_splits: int = 5,
-                    out: str = "fold") -> DataFrame:
+def expanding_folds(df: DataFrame, time: str, n_splits: int = 5, out: str = "fold") -> DataFrame:
     """Number the test block of each row for expanding-window validation.
 
-    Blocks of ``n // (n_splits + 1)`` rows end at the last row; rows before the
-    first block get 0. Fold ``f`` tests on ``fold == f`` and trains on ``fold < f``.
+    Blocks of ``n // (n_splits + 1)`` instants, the same for all series, end at
+    the last instant; rows before the first block get 0. Fold ``f`` tests on
+    ``fold == f`` and trains on ``fold < f``, so training is never later than
+    the test.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    pos = F.row_number().over(ordered(keys, time))
-    size = F.floor(n / F.lit(n_splits + 1))
-    from_end = F.floor((n - pos) / F.nullif(size, F.lit(0)))
+    size = F.floor(F.col("_n") / F.lit(n_splits + 1))
+    from_end = F.floor((F.col("_n") - F.col("_place")) / F.nullif(size, F.lit(0)))
     fold = F.when(from_end < n_splits, F.lit(n_splits) - from_end).otherwise(0)
-    return df.withColumn(out, F.coalesce(fold, F.lit(0)).cast("int"))
+    return df.join(shared_times(df, time), time, "left").withColumn(
+        out, F.coalesce(fold, F.lit(0)).cast("int")).select(*df.columns, out)

@@ -154,22 +154,22 @@ def lead_target(spark, d):
     return windows.lead_target(load_week(spark, d, ("sum",)), K, T, "carga_mwh_sum_w", 1)
 
 
-_SPLIT = """ SELECT series_key, data, CASE WHEN row_number() OVER w > n - greatest(1, floor(n * 0.2::DOUBLE)) THEN 'holdout'
-       ELSE 'train' END AS split FROM (SELECT *, count(*) OVER (PARTITION BY series_key) AS n FROM wk)
-       WINDOW w AS (PARTITION BY series_key ORDER BY data)"""
+# Instants of all series together: folds and hold-out are cut at the same dates for all.
+_SHARED = """, t AS (SELECT data, row_number() OVER (ORDER BY data) AS rn, count(*) OVER () AS n FROM (SELECT DISTINCT data FROM {}))"""
+_SPLIT = _SHARED.format("wk") + """ SELECT series_key, data, CASE WHEN rn > n - greatest(1, floor(n * 0.2::DOUBLE)) THEN 'holdout'
+       ELSE 'train' END AS split FROM wk JOIN t USING (data)"""
 
 
 @query("tail_split", _WEEK + _SPLIT)
 def tail_split(spark, d):
-    return windows.tail_split(load_week(spark, d, ("sum",)), K, T, 0.2).drop("carga_mwh_sum_w")
+    return windows.tail_split(load_week(spark, d, ("sum",)), T, 0.2).drop("carga_mwh_sum_w")
 
 
-@query("cv_folds", _WEEK + """, p AS (SELECT series_key, data, count(*) OVER (PARTITION BY series_key) AS n,
-       row_number() OVER (PARTITION BY series_key ORDER BY data) AS rn FROM wk),
-       f AS (SELECT *, n - rn AS e, n // 6 AS s FROM p)
+@query("cv_folds", _WEEK + _SHARED.format("wk") + """,
+       f AS (SELECT series_key, data, n - rn AS e, n // 6 AS s FROM wk JOIN t USING (data))
        SELECT series_key, data, CAST(CASE WHEN e // s < 5 THEN 5 - e // s ELSE 0 END AS INTEGER) AS fold FROM f""")
 def cv_folds(spark, d):
-    return windows.expanding_folds(load_week(spark, d, ("sum",)), K, T, 5).drop("carga_mwh_sum_w")
+    return windows.expanding_folds(load_week(spark, d, ("sum",)), T, 5).drop("carga_mwh_sum_w")
 
 
 # ---- months ------------------------------------------------------------------
@@ -618,15 +618,14 @@ def label_next_week(spark, d):
 
 # ---- class counts, metrics of a persistence forecast ---------------------------
 
-_PAIR = _STEPS + """, pair AS (SELECT *, CAST(CASE WHEN e // s < 5 THEN 5 - e // s ELSE 0 END AS INTEGER) AS fold FROM (
-       SELECT series_key, data, classe_risco AS truth, lag(classe_risco) OVER w AS pred,
-       count(*) OVER (PARTITION BY series_key) - row_number() OVER w AS e, count(*) OVER (PARTITION BY series_key) // 6 AS s
-       FROM lab WINDOW w AS (PARTITION BY series_key ORDER BY data)) WHERE truth IS NOT NULL AND pred IS NOT NULL)"""
+_PAIR = _STEPS + _SHARED.format("lab") + """, pair AS (SELECT *, CAST(CASE WHEN e // s < 5 THEN 5 - e // s ELSE 0 END AS INTEGER) AS fold FROM (
+       SELECT series_key, data, classe_risco AS truth, lag(classe_risco) OVER (PARTITION BY series_key ORDER BY data) AS pred,
+       n - rn AS e, n // 6 AS s FROM lab JOIN t USING (data)) WHERE truth IS NOT NULL AND pred IS NOT NULL)"""
 
 
 def pairs(spark, d):
     """This week's label against last week's as its forecast."""
-    out = windows.expanding_folds(labelled(spark, d), K, T, 5)
+    out = windows.expanding_folds(labelled(spark, d), T, 5)
     out = out.withColumn("pred", F.lag("classe_risco").over(windows.ordered(K, T)))
     return out.select(*K, T, "fold", F.col("classe_risco").alias("truth"), "pred").dropna(subset=["truth", "pred"])
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
@@ -64,7 +65,7 @@ class FittedModel:
     pipeline: PipelineModel
     features: list[str]
     params: dict[str, Any] = field(default_factory=dict)
-    thresholds: list[dict] = field(default_factory=list)
+    thresholds: DataFrame | None = None
 
     def predict(self, df: DataFrame, out: str = PRED) -> DataFrame:
         """The table with a predicted label; missing feature columns count as null."""
@@ -91,8 +92,20 @@ def _impute(df: DataFrame, cols: Sequence[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
 
+# The deepest trees Spark grows, and parameters of other libraries that Spark's models do not have.
+MAX_DEPTH = 30
+_UNUSED = {"logreg": {"solver"}, "rf": {"min_samples_split"}, "gbt": {"reg_lambda", "reg_alpha", "scale_pos_weight"}}
+
+
 def _classifier(spec: ModelSpec, n_classes: int):
     family, p = _FAMILIES.get(spec.family.lower()), spec.params
+    unused = set(p) & _UNUSED.get(family, set())
+    if unused:
+        warnings.warn(f"{spec.family}: no effect here: {sorted(unused)}", stacklevel=2)
+    if family == "rf" and int(p.get("max_depth") or MAX_DEPTH) > MAX_DEPTH:
+        raise ValueError(f"max_depth {p['max_depth']} is above {MAX_DEPTH}")
+    if family == "gbt" and not 0 < float(p.get("subsample", 0.8)) <= 1:
+        raise ValueError(f"subsample {p['subsample']} is not in (0, 1]")
     cols = {"featuresCol": "features", "labelCol": "dense"}
     if family == "logreg":
         # C is the inverse of the penalty on the summed loss; Spark averages the loss.
@@ -102,12 +115,12 @@ def _classifier(spec: ModelSpec, n_classes: int):
     if family == "rf":
         return RandomForestClassifier(
             **cols, weightCol="weight", numTrees=int(p.get("n_estimators", 500)),
-            maxDepth=min(30, int(p.get("max_depth") or 30)), minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
+            maxDepth=int(p.get("max_depth") or MAX_DEPTH), minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             featureSubsetStrategy=str(p.get("max_features", "sqrt")), seed=int(p.get("random_state", 42)))
     if family == "gbt":
         trees = GBTClassifier(
             **cols, maxIter=int(p.get("n_estimators", 300)), maxDepth=int(p.get("max_depth", 4)),
-            stepSize=float(p.get("learning_rate", 0.05)), subsamplingRate=min(1.0, float(p.get("subsample", 0.8))),
+            stepSize=float(p.get("learning_rate", 0.05)), subsamplingRate=float(p.get("subsample", 0.8)),
             featureSubsetStrategy=str(p.get("colsample_bytree", 0.8)), seed=int(p.get("random_state", 42)))
         return trees if n_classes == 2 else OneVsRest(classifier=trees, featuresCol="features", labelCol="dense")
     raise ValueError(f"unknown model family: {spec.family}")
@@ -197,28 +210,31 @@ _SCORES = "fold int, f1_macro double, balanced_acc double"
 
 def cross_validate(store: DataFrame, features: Sequence[str], spec: ModelSpec, settings: TrainSettings,
                    rules: LabelRules | None = None) -> DataFrame:
-    """Expanding-window validation over each series' own time line: one row per fold."""
-    folds = expanding_folds(store, KEYS, TIME, settings.n_splits)
+    """Expanding-window validation with folds at dates shared by all series: one row per fold."""
+    folds = expanding_folds(store, TIME, settings.n_splits)
     boosted = settings if settings.oversample and settings.oversample_in_cv else None
     scores = _fold_scores(folds, features, spec, settings.n_splits, rules, boosted)
     return store.sparkSession.createDataFrame(scores, _SCORES)
 
 
 def tune(store: DataFrame, features: Sequence[str], spec: ModelSpec, settings: TrainSettings) -> tuple[ModelSpec, DataFrame | None]:
-    """The best parameters of the grid by mean validation score; the given ones if the search fails."""
+    """The best parameters of the grid by mean validation score; the given ones if none can be fitted.
+
+    A combination the model cannot take is skipped with a warning.
+    """
     if not spec.grid:
         return spec, None
-    folds = expanding_folds(store.filter(F.col(LABEL).isNotNull()), KEYS, TIME, settings.tuning_splits)
+    folds = expanding_folds(store.filter(F.col(LABEL).isNotNull()), TIME, settings.tuning_splits)
     names, results = list(spec.grid), []
-    try:
-        for values in itertools.product(*spec.grid.values()):
-            params = dict(zip(names, values))
+    for values in itertools.product(*spec.grid.values()):
+        params = dict(zip(names, values))
+        try:
             scores = _fold_scores(folds, features, spec.with_params(params), settings.tuning_splits, None, None)
-            if scores:
-                results.append((str(params), params, sum(s[1] for s in scores) / len(scores), sum(s[2] for s in scores) / len(scores)))
-    except Exception as exc:  # a failed search must not stop training
-        warnings.warn(f"parameter search failed: {exc}", stacklevel=2)
-        return spec, None
+        except (ValueError, IllegalArgumentException) as exc:  # parameters this model cannot take
+            warnings.warn(f"skipped {params}: {exc}", stacklevel=2)
+            continue
+        if scores:
+            results.append((str(params), params, sum(s[1] for s in scores) / len(scores), sum(s[2] for s in scores) / len(scores)))
     if not results:
         return spec, None
     which = 3 if spec.refit == "balanced_accuracy" else 2
@@ -231,9 +247,11 @@ def tune(store: DataFrame, features: Sequence[str], spec: ModelSpec, settings: T
 def save_model(model: FittedModel, spark: SparkSession, path: str) -> None:
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
     stores.write_record(spark, {
-        "selected_features": model.features, "label_mapping": LABEL_CODES, "label_thresholds": model.thresholds,
+        "selected_features": model.features, "label_mapping": LABEL_CODES,
         "params": {k: v for k, v in model.params.items() if not k.startswith("_")},
     }, f"{path}/record")
+    if model.thresholds is not None:
+        model.thresholds.write.mode("overwrite").parquet(f"{path}/thresholds")
 
 
 def load_model(spark: SparkSession, paths: Sequence[str]) -> FittedModel:
@@ -242,7 +260,8 @@ def load_model(spark: SparkSession, paths: Sequence[str]) -> FittedModel:
     if path is None:
         raise FileNotFoundError(f"no model at any of {list(paths)}")
     record = stores.read_record(spark, f"{path}/record")
-    return FittedModel(PipelineModel.load(f"{path}/pipeline"), record["selected_features"], record["params"], record["label_thresholds"])
+    thresholds = spark.read.parquet(f"{path}/thresholds") if stores.exists(spark, f"{path}/thresholds") else None
+    return FittedModel(PipelineModel.load(f"{path}/pipeline"), record["selected_features"], record["params"], thresholds)
 
 
 @dataclass
@@ -257,7 +276,7 @@ class TrainingData:
 
 
 def prepare_training(store: DataFrame, settings: Settings, per_split_windows: bool = False) -> TrainingData:
-    """Split off each series' tail, take thresholds from the rest, label both.
+    """Split off the last weeks of all series, take thresholds from the rest, label both.
 
     The store and its labelled form are staged: several passes, and then every
     fold and model, read them again.
@@ -268,7 +287,7 @@ def prepare_training(store: DataFrame, settings: Settings, per_split_windows: bo
     features = [c for c in numeric_columns(store) if c not in (*KEYS, TIME)]
     if not features:
         raise RuntimeError("no weekly feature available")
-    split = tail_split(store, KEYS, TIME, settings.training.holdout_fraction)
+    split = tail_split(store, TIME, settings.training.holdout_fraction)
     thresholds = stage(label_thresholds(split.filter("split = 'train'"), KEYS, settings.labels), "thresholds")
     check_thresholds(thresholds)
     scope = [*KEYS, "split"] if per_split_windows else None
@@ -292,18 +311,12 @@ def train_model(data: TrainingData, spec: ModelSpec, settings: Settings, out_dir
     if t.oversample and not t.oversample_in_cv:
         final = oversample_minority(final, LABEL, [*KEYS, TIME], t.min_fraction, t.seed)
     model = fit_model(final, features, spec)
-    # One small row per series.
-    model.thresholds = [r.asDict(recursive=True) for r in data.thresholds.collect()] if _few(data.thresholds) else []
+    model.thresholds = data.thresholds
     if out_dir:
         _persist(model, data, spec, scores, tried, out_dir)
     return model, scores
 
 
-def _few(thresholds: DataFrame, limit: int = 10_000) -> bool:
-    """Whether the thresholds are few enough for a JSON record; they are saved as a table in any case."""
-    return thresholds.limit(limit + 1).count() <= limit
-
-
 def _persist(model: FittedModel, data: TrainingData, spec: ModelSpec, scores: DataFrame, tried: DataFrame | None, out_dir: str) -> None:
     spark = data.train.sparkSession
     save_model(model, spark, f"{out_dir}/{spec.name}")

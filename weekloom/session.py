@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +17,6 @@ REQUIRED_CONF = {
 
 # Bytes one shuffle or scan partition should hold.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 
 
 def sized_conf(input_bytes: int, cores: int = 1) -> dict[str, str]:
@@ -31,7 +28,7 @@ def sized_conf(input_bytes: int, cores: int = 1) -> dict[str, str]:
     """
     wanted = -(-input_bytes // PARTITION_BYTES)
     return {
-        "spark.sql.shuffle.partitions": str(max(1, cores, min(wanted, MAX_PARTITIONS))),
+        "spark.sql.shuffle.partitions": str(max(1, cores, wanted)),
         "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES // 2),
     }
@@ -66,16 +63,15 @@ def local_session(cpus: int = 8, app_name: str = "weekloom-local",
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: whatever ``spark.checkpoint.dir`` names.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster the setting is required, because a folder on one machine would not
-    be readable by the others.
+    A local session without that setting stages under its warehouse, the one
+    folder Spark itself shares; on a cluster the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = os.path.join(tempfile.gettempdir(), f"weekloom-{spark.sparkContext.applicationId}")
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging/{spark.sparkContext.applicationId}"
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,35 +26,84 @@ class Layout:
     encoding: str
 
 
-def detect_layout(spark: SparkSession, path: str | Sequence[str], sample_lines: int = 20) -> Layout:
-    """Separator from the first lines, encoding from all of them.
+def detect_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """One row per file with lines: file, header line, separator, encoding.
 
-    The separator is the one that cuts the sampled lines into the most equal
-    fields. Text that is not valid UTF-8 anywhere makes the encoding Latin-1.
+    One pass over all lines counts, per file and separator, how many lines hold
+    how many of it. The separator is the one that cuts the most lines into as
+    many fields as the header, and of equal ones the one that makes the most
+    fields; without any it is the comma. Bytes that are not UTF-8 anywhere in a
+    file make its encoding Latin-1.
     """
-    lines = spark.read.text(path)
-    head = [r["value"] for r in lines.limit(sample_lines).collect() if r["value"].strip()]
-    def fit(sep: str) -> tuple[float, int]:
-        counts = [line.count(sep) for line in head]
-        first = counts[0] if counts else 0
-        same = sum(c == first for c in counts) / max(1, len(counts))
-        return (same if first else 0.0, first)
-
-    sep = max(SEPARATORS, key=fit) if head and any(fit(s)[1] for s in SEPARATORS) else ","
-    broken = not lines.filter(~F.is_valid_utf8("value")).isEmpty()
-    return Layout(sep, ENCODINGS[1] if broken else ENCODINGS[0])
-
-
-def read_delimited(spark: SparkSession, path: str | Sequence[str], layout: Layout | None = None) -> DataFrame:
-    """All columns as text. Lines with too many fields are skipped, short ones are padded with null."""
-    layout = layout or detect_layout(spark, path)
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(
+        meta["file_path"].alias("file"), (meta["file_block_start"] == 0).alias("top"), "value",
+        F.monotonically_increasing_id().alias("place")).filter(F.trim("value") != "")
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    held = [F.struct(F.lit(i).alias("rank"), F.lit(x).alias("sep"), (F.length(bare) - F.length(F.replace(bare, F.lit(x), F.lit("")))).alias("held"))
+            for i, x in enumerate(SEPARATORS)]
+    counted = (
+        lines.select("file", "top", "value", "place", F.inline(F.array(*held)))
+        .groupBy("file", "rank", "sep", "held")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("top"), F.struct("place", "value"))).alias("head"),
+             F.bool_and(F.is_valid_utf8("value")).alias("valid"))
+    )
+    # Few rows from here on: a file has one per separator and number of fields.
+    per_sep = counted.groupBy("file", "rank", "sep").agg(
+        F.min("head").alias("head"), F.min_by("held", "head").alias("fields"), F.sum("n").alias("lines"),
+        F.collect_list(F.struct("held", "n")).alias("all"), F.bool_and("valid").alias("valid"))
+    same = F.aggregate(F.filter("all", lambda x: x["held"] == F.col("fields")), F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    fit = F.struct((F.when(F.col("fields") > 0, same / F.col("lines")).otherwise(0.0)).alias("share"), "fields", (-F.col("rank")).alias("first"))
+    best = per_sep.withColumn("fit", fit).groupBy("file").agg(
+        F.max_by("sep", "fit").alias("sep"), F.max("fit").alias("fit"), F.min("head").alias("head"), F.bool_and("valid").alias("valid"))
+    return best.select(
+        "file", F.col("head")["value"].alias("header"), F.when(F.col("fit")["fields"] > 0, F.col("sep")).otherwise(",").alias("sep"),
+        F.when(F.col("valid"), ENCODINGS[0]).otherwise(ENCODINGS[1]).alias("encoding"))
+
+
+def layouts(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, Layout], list[str]]:
+    """Files by header line and layout. One short row per file comes back, as Spark's own list of files does."""
+    out: dict[tuple[str, Layout], list[str]] = {}
+    for r in detect_files(spark, path).collect():
+        out.setdefault((r["header"], Layout(r["sep"], r["encoding"])), []).append(unquote(r["file"]))
+    return {k: sorted(v) for k, v in sorted(out.items(), key=lambda kv: min(kv[1]))}
+
+
+def detect_layout(spark: SparkSession, path: str | Sequence[str]) -> Layout:
+    """The layout of a file, or of several that share one."""
+    found = {layout for _, layout in layouts(spark, path)}
+    if len(found) > 1:
+        raise ValueError(f"files of {len(found)} layouts under {path}")
+    return next(iter(found), Layout(",", ENCODINGS[0]))
+
+
+def _read_same(spark: SparkSession, files: str | Sequence[str], layout: Layout) -> DataFrame:
+    """Files of one layout and header."""
     reader = spark.read.option("header", True).option("sep", layout.sep).option("encoding", layout.encoding)
-    names = reader.csv(path).columns
+    first = files if isinstance(files, str) else files[0]
+    names = reader.csv(first).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _BAD]])
-    df = reader.schema(schema).option("columnNameOfCorruptRecord", _BAD).option("enforceSchema", True).csv(path)
+    df = reader.schema(schema).option("columnNameOfCorruptRecord", _BAD).option("enforceSchema", True).csv(files)
     bare = F.regexp_replace(F.col(_BAD), '"[^"]*"', "")
     separators = F.length(bare) - F.length(F.replace(bare, F.lit(layout.sep), F.lit("")))
-    return df.filter(F.col(_BAD).isNull() | (separators < len(names))).drop(_BAD)
+    # Spark does not tell bad lines where it parses no data column, so the test names one.
+    parsed = F.coalesce(F.length(F.col(f"`{names[0]}`")) * 0, F.lit(0)) if names else F.lit(0)
+    return df.filter(F.coalesce(separators + parsed, parsed - 1) < len(names)).drop(_BAD)
+
+
+def read_delimited(spark: SparkSession, path: str | Sequence[str], layout: Layout | None = None) -> DataFrame:
+    """All columns as text, matched by name where the files of a folder differ.
+
+    Every file is read by its own separator and encoding, unless ``layout``
+    states them for all. Lines with too many fields are skipped, short ones are
+    padded with null.
+    """
+    if layout is not None:
+        return _read_same(spark, path if isinstance(path, str) else list(path), layout)
+    found = layouts(spark, path)
+    if not found:
+        return _read_same(spark, path if isinstance(path, str) else list(path), Layout(",", ENCODINGS[0]))
+    return union_all([_read_same(spark, files, known) for (_, known), files in found.items()])
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], layout: Layout | None = None) -> DataFrame:
@@ -62,19 +112,10 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], layout: Layout | No
 
 
 def consolidate(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Files of one feed as one table, matched by column name.
-
-    Files are grouped by layout and header first, so there is one scan per
-    distinct header, not one per file.
-    """
+    """Files of one feed as one table, matched by column name: one scan per distinct header and layout."""
     if not paths:
         raise ValueError("no files to consolidate")
-    same: dict[tuple, list[str]] = {}
-    for p in paths:
-        layout = detect_layout(spark, p)
-        header = tuple(read_delimited(spark, p, layout).columns)
-        same.setdefault((layout, header), []).append(p)
-    return union_all([read_delimited(spark, files, layout) for (layout, _), files in same.items()])
+    return read_delimited(spark, list(paths))
 
 
 def write_canonical(df: DataFrame, path: str, mode: str = "overwrite") -> None:

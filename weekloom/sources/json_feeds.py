@@ -14,23 +14,44 @@ from weekloom.functions.scalars import to_number
 WEATHER_PARAMETERS = {"ALLSKY_SFC_SW_DWN": "ghi", "T2M": "temp2m_c", "PRECTOTCORR": "precipitacao_mm"}
 
 
+def _merged(fields: Sequence[T.StructField]) -> T.StructType:
+    """One field per name; a name with two types is read as text."""
+    kinds: dict[str, T.DataType] = {}
+    for f in fields:
+        kinds[f.name] = f.dataType if kinds.get(f.name, f.dataType) == f.dataType else T.StringType()
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+
+
 def read_records(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Rows of JSON payloads: the root list, or the first list of records in the root object.
 
-    A file is one payload, or with ``one_per_line`` one payload per line.
+    A file is one payload, or with ``one_per_line`` one payload per line. Which
+    list is the first is decided for each payload by its own order of keys, so
+    payloads may name their lists differently or lack some of them; the rows
+    have the columns of all lists. Where any payload has a list, payloads
+    without one give no rows.
     """
-    df = spark.read.option("multiLine", not one_per_line).json(path)
+    seen = spark.read.option("multiLine", not one_per_line).json(path).schema
     lists = [
-        f.name for f in df.schema.fields
+        f.name for f in seen.fields
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)
     ]
+    payload = F.trim("value")
+    texts = spark.read.text(path, wholetext=not one_per_line).filter(payload != "").select(payload.alias("value"))
     if not lists:
-        return df
-    # Inferred fields come in alphabetical order; the payload's own order decides.
-    if len(lists) > 1:
-        head = spark.read.text(path, wholetext=not one_per_line).select(F.json_object_keys("value").alias("k")).first()["k"]
-        lists.sort(key=head.index)
-    return df.select(F.inline(lists[0]))
+        rows = F.when(F.col("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
+        return texts.select(F.inline(F.from_json(rows, T.ArrayType(seen))))
+    root = [f for f in seen.fields if f.name not in lists]
+    inner = [f for name in lists for f in seen[name].dataType.elementType.fields]
+    # Columns of a root list stand beside the fields of objects, where both kinds of payload come together.
+    is_list = texts.filter(F.col("value").startswith("["))
+    record = _merged([*inner, *(root if not is_list.isEmpty() else [])])
+    parts = {name: F.get_json_object("value", f"$['{name}']") for name in lists}
+    order = F.filter(F.json_object_keys("value"), lambda k: k.isin(*lists))
+    by_name = F.map_from_arrays(F.array(*[F.lit(n) for n in lists]), F.array(*parts.values()))
+    held = F.filter(F.transform(order, lambda k: F.element_at(by_name, k)), lambda v: F.coalesce(v.startswith("[{"), F.lit(False)))
+    rows = F.when(F.col("value").startswith("["), F.col("value")).otherwise(F.get(held, 0))
+    return texts.select(F.inline(F.from_json(rows, T.ArrayType(record))))
 
 
 def explode_map(df: DataFrame, col: str, keep: Sequence[str], name: str = "parameter", value: str = "value") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,26 +25,28 @@ SOURCE_FILES: dict[str, tuple[str, ...]] = {
     "clima": ("clima_go_diario",),
 }
 SUFFIXES = (".parquet", ".csv")
-# A file of at most this size counts as broken and is written again.
-MIN_BYTES = 1024
 
 
-def _path_size(spark: SparkSession, path: str) -> int | None:
-    """Bytes below a path on any Hadoop file system; None where there is nothing."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(target).getLength() if fs.exists(target) else None
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path on any Hadoop file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    return _path_size(spark, path) is not None
+def finished(spark: SparkSession, path: str, fmt: str) -> bool:
+    """Whether a writer ended there and left at least one row."""
+    if not exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        return False
+    reader = spark.read.format(fmt)
+    try:
+        return not (reader.option("header", True) if fmt == "csv" else reader).load(path).isEmpty()
+    except AnalysisException:  # no file with a schema
+        return False
 
 
 def write_table(df: DataFrame, path: str, overwrite: bool = False, fmt: str = "parquet") -> bool:
     """Write unless a usable result is already there; tells whether it wrote."""
-    size = _path_size(df.sparkSession, path)
-    if size is not None and size > MIN_BYTES and not overwrite:
+    if not overwrite and finished(df.sparkSession, path, fmt):
         return False
     if fmt == "csv":
         write_canonical(df, path)
