@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -41,8 +41,8 @@ SIMILARITY = 0.8
 # 40 bands of 6 registers: a pair at 0.8 is missed with probability 5e-6.
 BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
-# Sketches agree on fewer registers than this with a probability below 1e-8 where the similarity is 0.8.
-SKETCH_LEAST = 0.65
+# Sketches of a pair at 0.8 agree on less than this with a probability of 2e-6 (4.6 standard errors).
+SKETCH_LEAST = 0.68
 # Members of a block when a mixed group is compared inside.
 BLOCK = 256
 GOLD, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -161,12 +161,16 @@ def sketches(texts: DataFrame) -> DataFrame:
 
 
 def pack(codes: np.ndarray, counts: np.ndarray) -> bytes:
-    return np.concatenate([codes, counts.astype(np.uint64)]).tobytes()
+    """The codes, then counts in 4 bytes each; no counts where all are 1, as in most texts."""
+    return codes.tobytes() + (counts.astype("<u4").tobytes() + b"#" if len(counts) and counts.max() > 1 else b"")
 
 
 def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(raw, np.uint64)
-    return both[:len(both) // 2], both[len(both) // 2:].astype(np.int64)
+    if len(raw) % 4:
+        n = len(raw) // 12
+        return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64)
+    codes = np.frombuffer(raw, np.uint64)
+    return codes, np.ones(len(codes), np.int64)
 
 
 def weighted_sets(texts: DataFrame) -> DataFrame:
@@ -215,17 +219,24 @@ class Groups:
         self.up[self.root(a)] = self.root(b)
 
 
-def block_pairs(members: DataFrame, columns: list[str]) -> DataFrame:
+def block_pairs(members: DataFrame) -> DataFrame:
     """Deal every mixed group out as pairs of blocks, named by column ``cell``.
 
     A group of one block is one cell; of k blocks, each member goes to k cells.
+    Marks and shingles are joined afterwards, so that they move once.
     """
     sizes = stage(members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "near-blocks")
     dealt = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("band", *columns, "block", other)
+    dealt = dealt.select("band", "member", "component", "block", other)
     low, high = F.least("block", "other"), F.greatest("block", "other")
-    return dealt.select(F.xxhash64("band", low, high).alias("cell"), "band", *columns)
+    return dealt.select(F.xxhash64("band", low, high).alias("cell"), "band", "member", "component")
+
+
+def by_cell(cells: DataFrame) -> GroupedData:
+    """Cells spread over as many tasks as the session has for shuffles: their work is in comparing, not in their bytes."""
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(tasks, "cell").groupBy("cell")
 
 
 def seem_alike(cells: DataFrame) -> DataFrame:
@@ -239,7 +250,7 @@ def seem_alike(cells: DataFrame) -> DataFrame:
                 found[k] = True
                 found[k + 1:] |= near
         return group.loc[found, ["band", "member"]]
-    return cells.groupBy("cell").applyInPandas(run, "band long, member long")
+    return by_cell(cells).applyInPandas(run, "band long, member long")
 
 
 def inner_links(cells: DataFrame) -> DataFrame:
@@ -265,7 +276,7 @@ def inner_links(cells: DataFrame) -> DataFrame:
                     joined.join(component[k], component[o])
                     out.append((name[k], name[o]))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-    return cells.groupBy("cell").applyInPandas(run, "a long, b long")
+    return by_cell(cells).applyInPandas(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -337,15 +348,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     placed = members.select("band", "member").join(linked, "member", "left").withColumn("component", F.coalesce("component", "member"))
     placed = stage(placed, "near-placed")
     mixed = stage(placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("band"), "near-mixed")
-    inside = placed.join(mixed, "band").join(marks, "member")
-    near = stage(seem_alike(block_pairs(inside, ["member", "component", "marks"]).select("cell", "band", "member", "component", "marks"))
-                 .distinct(), "near-inside")
+    inside = block_pairs(placed.join(mixed, "band")).join(marks, "member")
+    near = stage(seem_alike(inside).distinct(), "near-inside")
     if not near.isEmpty():
         named = near.select("member").distinct()
         sets = stage(weighted_sets(texts.join(named.select(F.col("member").alias("doc_id")), "doc_id", "left_semi")), "near-sets")
-        again = near.join(placed, ["band", "member"]).join(marks, "member").join(sets, "member")
-        more = inner_links(block_pairs(again, ["member", "component", "marks", "shingles"]).select("cell", "member", "component", "marks", "shingles"))
-        linked = components(links.unionByName(stage(more, "near-inner-links")))
+        again = block_pairs(near.join(placed, ["band", "member"])).drop("band").join(marks.join(sets, "member"), "member")
+        linked = components(links.unionByName(stage(inner_links(again), "near-inner-links")))
     result = (copy_of.join(linked, "member", "left").select("doc_id", F.coalesce("component", "member").alias("class_id")))
     blank = texts.select("doc_id").join(copy_of.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("class_id"))
     return result.unionByName(blank).withColumn("kept", F.col("doc_id") == F.col("class_id"))
