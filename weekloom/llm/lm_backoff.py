@@ -11,7 +11,8 @@ distinct n-grams with their counts in the block (so a frequent n-gram is one
 entry per block, however often it occurs), which are dealt out by ranges of
 their hash. Each range sums its table and joins it to the entries it was sent:
 the counts go back to the blocks, where the scores of all positions are summed
-per document. N-grams of a block and range travel as one packed row.
+per document. N-grams of a block and range travel as one packed row, their hashes
+as differences.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def press(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, byte by byte of all, compressed."""
+    return zstandard.ZstdCompressor(level=3).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpress(raw: bytes) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def squeeze(codes: np.ndarray) -> bytes:
+    """Ascending codes: the first one, and the steps between them in as few bytes each as the largest needs."""
+    steps = np.diff(codes)
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    planes = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return codes[:1].astype("<u8").tobytes() + bytes([width]) + planes.tobytes()
+
+
+def stretch(raw: bytes) -> np.ndarray:
+    width = raw[8]
+    planes = np.frombuffer(raw, np.uint8, offset=9).reshape(width, -1)
+    steps = np.zeros((planes.shape[1] + 1, 8), np.uint8)
+    steps[1:, :width] = planes.T
+    steps[0] = np.frombuffer(raw, np.uint8, 8)
+    return np.cumsum(steps.view("<u8").reshape(-1), dtype=np.uint64)
+
+
 def blocks_of(texts: DataFrame) -> DataFrame:
     """Blocks of whole documents: ids, numbers of words, hashes of the distinct words, and the words as places in those."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,11 +84,15 @@ def blocks_of(texts: DataFrame) -> DataFrame:
         held, serial = 0, TaskContext.get().partitionId() << 32
 
         def close() -> pa.RecordBatch:
-            flat = np.concatenate(codes)
-            vocabulary, tokens = np.unique(flat, return_inverse=True)
+            vocabulary, tokens, counts = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+            # Frequent words get low numbers, which take less space.
+            order = np.argsort(-counts, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            vocabulary, tokens = vocabulary[order], place[tokens]
             return pa.RecordBatch.from_arrays([
                 pa.array([serial], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                pa.array([vocabulary.tobytes()], pa.binary()), pa.array([tokens.astype("<u4").tobytes()], pa.binary())], schema=BLOCKS)
+                pa.array([vocabulary.tobytes()], pa.binary()), pa.array([press(tokens)], pa.binary())], schema=BLOCKS)
 
         for part in parts:
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -83,7 +116,7 @@ def blocks_of(texts: DataFrame) -> DataFrame:
 
 def grams(vocabulary: bytes, tokens: bytes, sizes: list[int], order: int) -> list[np.ndarray]:
     """For n = 1 … order the hash of the n-gram that ends at each position; 0 where the document has too few words before."""
-    word = np.frombuffer(vocabulary, np.uint64)[np.frombuffer(tokens, "<u4")] if len(tokens) else np.zeros(0, np.uint64)
+    word = np.frombuffer(vocabulary, np.uint64)[unpress(tokens)]
     ends = np.cumsum(sizes)
     place = np.arange(len(word)) - np.repeat(ends - np.asarray(sizes), sizes)
     out, last = [mix(word + GOLD)], word
@@ -130,7 +163,7 @@ def explode(blocks: DataFrame, ranges: int, order: int) -> DataFrame:
                 if used:
                     yield pa.RecordBatch.from_arrays([
                         pa.array(used, pa.int64()), pa.array([b["block"]] * len(used), pa.int64()),
-                        pa.array([codes[at[k]:at[k + 1]].tobytes() for k in used], pa.binary()),
+                        pa.array([squeeze(codes[at[k]:at[k + 1]]) for k in used], pa.binary()),
                         pa.array([narrow(counts[at[k]:at[k + 1]]) for k in used], pa.binary())], ["range", "block", "codes", "counts"])
     return blocks.mapInArrow(run, "range long, block long, codes binary, counts binary")
 
@@ -138,7 +171,7 @@ def explode(blocks: DataFrame, ranges: int, order: int) -> DataFrame:
 def look_up(exploded: DataFrame, min_count: int) -> DataFrame:
     """(block, range, counts) with the corpus's count of every n-gram sent, 0 where the table does not hold it."""
     def run(group: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(c, np.uint64) for c in group.column("codes").to_pylist()]
+        sent = [stretch(c) for c in group.column("codes").to_pylist()]
         codes = np.concatenate(sent)
         counts = np.concatenate([widen(c) for c in group.column("counts").to_pylist()])
         order = np.argsort(codes, kind="stable")
