@@ -432,10 +432,10 @@ def _unpivot_sql(cols, src, agg, out):
     return " UNION ALL ".join(f"SELECT '{c}' AS variable, {agg.format(c=c)} AS {out} FROM {src}" for c in cols)
 
 
-@query("coverage_weekly", _LEAN + " " + _unpivot_sql(
-    LEAN_COLS, "base", "round(avg(CASE WHEN {c} IS NULL THEN 0.0 ELSE 1.0 END), 6)", "ratio"))
+@query("coverage_weekly", _BASE + " " + _unpivot_sql(
+    BASE_COLS, "base", "round(avg(CASE WHEN {c} IS NULL THEN 0.0 ELSE 1.0 END), 6)", "ratio"))
 def coverage_weekly(spark, d):
-    base = _lean_base(spark, d)
+    base = weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, FULL)
     return rounded(coverage.coverage(base, weekly.feature_columns(base)), ["ratio"], 6)
 
 
@@ -460,12 +460,16 @@ def norm_text(spark, d):
         F.md5(text.norm_words("text").cast("binary")).alias("words_md5"))
 
 
-@query("alias_filter", """SELECT p_partkey, lower(p_type) AS series_key, lower(p_type) IN ('promo', 'economy') AS is_promo FROM part""")
+_SPELLINGS = ("SE/CO", "Sudeste/Centro-Oeste", "SE", "Nordeste", "NÓRDESTE", " nordeste ")
+
+
+@query("alias_filter", """SELECT p_partkey, CASE WHEN p_partkey % 7 < 3 THEN 'seco' WHEN p_partkey % 7 < 6 THEN 'nordeste' ELSE lower(p_type) END AS series_key,
+       p_partkey % 7 < 3 AS is_southeast FROM part""")
 def alias_filter(spark, d):
-    groups = ("promo", "economy")
+    """Spellings with accents, slashes, blanks and aliases, dealt over the parts, and names that have none."""
+    spelled = F.coalesce(F.get(F.array(*[F.lit(s) for s in _SPELLINGS]), F.col("p_partkey") % 7), "p_type")
     return table(spark, d, "part").select(
-        "p_partkey", text.series_key("p_type", {}).alias("series_key"),
-        text.is_alias_of("p_type", "PROMO", groups).alias("is_promo"))
+        "p_partkey", text.series_key(spelled).alias("series_key"), text.is_alias_of(spelled, "SE/CO").alias("is_southeast"))
 
 
 @query("alias_series", """SELECT CASE WHEN lower(n_name) IN ('nation_0', 'nation_5') THEN 'north' ELSE lower(n_name) END AS series_key,
@@ -1017,36 +1021,42 @@ def _scratch(spark, name):
     return f"{staging_root(spark)}/weekloom/{name}-{uuid.uuid4().hex}"
 
 
-@query("csv_roundtrip", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+@query("csv_roundtrip", """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal, c_mktsegment,
+       (SELECT count(*) FROM customer) AS n_rows FROM customer""")
 def csv_roundtrip(spark, d):
-    """Customers written with another separator and encoding, then read by detection."""
+    """Customers written into one folder with two separators, two encodings and two orders of columns, read by detection."""
     path = _scratch(spark, "customer-csv")
-    out = table(spark, d, "customer").select(
-        F.col("c_custkey").alias("C_CustKey"), F.col("c_name").alias("C Name"), F.col("c_acctbal").alias("Ç_Acctbal"), "c_mktsegment")
-    out.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
-    return delimited.read_raw(spark, path).withColumn("c_acctbal", scalars.to_number("c_acctbal"))
+    names = {"c_custkey": "C_CustKey", "c_name": "C Name", "c_acctbal": "Ç_Acctbal", "c_mktsegment": "c_mktsegment"}
+    kinds = ((";", "ISO-8859-1", list(names)), (",", "UTF-8", list(names)), (",", "UTF-8", ["c_mktsegment", "c_acctbal", "c_name", "c_custkey"]))
+    for i, (sep, encoding, cols) in enumerate(kinds):
+        part = table(spark, d, "customer").filter(F.col("c_custkey") % 3 == i).select(*[F.col(c).alias(names[c]) for c in cols])
+        part.write.mode("append").option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
+    raw = delimited.read_raw(spark, path)
+    return raw.withColumn("c_acctbal", scalars.to_number("c_acctbal")).withColumn("n_rows", F.lit(raw.count()))
 
 
 @query("union_by_name", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
        CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders""")
 def union_by_name(spark, d):
-    """Three files with different columns in different order, consolidated by name."""
+    """Files of one folder with different columns in different order, consolidated by name."""
     layouts = {"F": ["o_orderkey", "o_totalprice"], "O": ["o_totalprice", "o_orderkey", "o_orderpriority"], "P": ["o_orderkey", "o_orderpriority"]}
-    paths = []
+    path = _scratch(spark, "orders")
     for status, cols in layouts.items():
-        paths.append(_scratch(spark, f"orders-{status}"))
-        delimited.write_canonical(table(spark, d, "orders").filter(F.col("o_orderstatus") == status).select(*cols), paths[-1])
-    out = delimited.consolidate(spark, paths)
+        delimited.write_canonical(table(spark, d, "orders").filter(F.col("o_orderstatus") == status).select(*cols), path, "append")
+    out = delimited.consolidate(spark, [path])
     return out.withColumn("o_totalprice", scalars.to_number("o_totalprice"))
 
 
-@query("json_records", "SELECT event_id, value FROM events")
+@query("json_records", "SELECT event_id, value, NULL::BIGINT AS page FROM events")
 def json_records(spark, d):
-    """Events as payload objects with their records in a list, read back."""
+    """Events as payloads whose first list has one of two names, the other list after it, read back."""
     path = _scratch(spark, "payload")
-    table(spark, d, "events").select(
-        F.lit("ok").alias("status"), F.array(F.struct("event_id", "value")).alias("result")).write.json(path)
-    return json_feeds.read_records(spark, path, one_per_line=True)
+    records, other = F.array(F.struct("event_id", "value")), F.array(F.struct(F.lit(7).cast("bigint").alias("page")))
+    events = table(spark, d, "events")
+    for i, (first, second) in enumerate((("result", "items"), ("items", "result"))):
+        events.filter(F.col("event_id") % 2 == i).select(
+            F.lit("ok").alias("status"), records.alias(first), other.alias(second)).write.mode("append").json(path)
+    return json_feeds.read_records(spark, path, one_per_line=True).select("event_id", "value", "page")
 
 
 @query("load_sources", _FILL + " SELECT * FROM fill")
@@ -1078,7 +1088,7 @@ _GEN_COLS = [f"{c}_sum_w" for c in _GEN]
 
 @query("reindex", _BASE + f" SELECT series_key, data, {', '.join(_GEN_COLS)}, CAST(NULL AS DOUBLE) AS not_there FROM base")
 def reindex(spark, d):
-    base = weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, LEAN)
+    base = weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, FULL)
     return coverage.reindex_columns(base, [*_GEN_COLS, "not_there"], [*K, T])
 
 
@@ -1146,6 +1156,47 @@ def score_requests(spark, d):
     return training.score_requests(model, requests, "body", [*K, T])
 
 
+@query("fold_rows", _STEPS + _SHARED.format("lab") + """, f AS (SELECT CASE WHEN (n - rn) // (n // 6) < 5 THEN 5 - (n - rn) // (n // 6) ELSE 0 END AS fold
+       FROM lab JOIN t USING (data) WHERE classe_risco IS NOT NULL)
+       SELECT CAST(k AS INTEGER) AS fold, (SELECT count(*) FROM f WHERE fold < k) AS n_train, (SELECT count(*) FROM f WHERE fold = k) AS n_test
+       FROM unnest([1, 2, 3, 4, 5]) AS g(k)""")
+def fold_rows(spark, d):
+    """Rows that each fold of the configured validation trains and tests on."""
+    folds = windows.expanding_folds(labelled(spark, d), T, 5)
+    return training.fold_sizes(folds, 5)
+
+
+_FAMILIES = {"logreg": {"max_iter": 100}, "rf": {"n_estimators": 1, "max_depth": 1, "max_features": "all"}, "gbt": {"n_estimators": 2, "max_depth": 1, "subsample": 1.0, "colsample_bytree": "all"}}
+
+
+@query("threshold_models", """SELECT family, CAST(l_linenumber AS DOUBLE) AS line, CASE WHEN l_linenumber >= 4 THEN 'alto' ELSE 'baixo' END AS previsto, count(*) AS n
+       FROM lineitem, unnest(['logreg', 'rf', 'gbt']) AS g(family) GROUP BY ALL""")
+def threshold_models(spark, d):
+    """Each family fitted on all lines where the class is a threshold of one column, which it has to reproduce."""
+    rows = table(spark, d, "lineitem").select(F.col("l_linenumber").cast("double").alias("line")).withColumn(
+        "classe_risco", F.when(F.col("line") >= 4, "alto").otherwise("baixo"))
+    counts = rows.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    out = None
+    for family, params in _FAMILIES.items():
+        model = training.fit_model(rows, ["line"], training.ModelSpec(family, family, params))
+        part = model.predict(counts).select(F.lit(family).alias("family"), "line", "previsto", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("request_status", """SELECT c_custkey, CASE WHEN c_custkey % 5 IN (1, 2) THEN 400 ELSE 200 END AS status,
+       CASE WHEN c_custkey % 5 IN (1, 2) THEN NULL ELSE 'baixo' END AS classe_risco,
+       CASE c_custkey % 5 WHEN 1 THEN 'payload must be a JSON object' WHEN 2 THEN 'features must be a JSON object' END AS error FROM customer""")
+def request_status(spark, d):
+    """A request per customer, some malformed and some with the request as text under ``body``, answered by a model of one class."""
+    rows = table(spark, d, "customer")
+    model = training.fit_model(rows.select("c_acctbal", F.lit("baixo").alias("classe_risco")), ["c_acctbal"], training.ModelSpec("rf", "rf"))
+    whole = F.to_json(F.struct(F.struct("c_acctbal").alias("features")))
+    sent = F.when(F.col("c_custkey") % 5 == 1, F.lit("[1, 2]")).when(F.col("c_custkey") % 5 == 2, F.lit('{"features": 3}')).when(
+        F.col("c_custkey") % 5 == 3, F.to_json(F.struct(whole.alias("body")))).otherwise(whole)
+    return training.score_requests(model, rows.withColumn("request", sent), "request", ["c_custkey"])
+
+
 # ---- documented indicators ---------------------------------------------------------------
 
 @query("days_of_supply", q.with_(q.PLACES, q.LOAD, q.UNITS, q.GEN_DAY) + """ SELECT series_key, data,

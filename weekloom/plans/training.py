@@ -205,6 +205,16 @@ def _fold_scores(folds: DataFrame, features: Sequence[str], spec: ModelSpec, n_s
     return out
 
 
+def fold_sizes(folds: DataFrame, n_splits: int) -> DataFrame:
+    """Labelled rows each fold trains and tests on."""
+    known = folds.filter(F.col(LABEL).isNotNull())
+    each = F.explode(F.array(*[F.lit(f) for f in range(1, n_splits + 1)])).alias("k")
+    sizes = known.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).select("fold", "n", each)
+    return sizes.groupBy(F.col("k").alias("fold")).agg(
+        F.coalesce(F.sum(F.when(F.col("fold") < F.col("k"), F.col("n"))), F.lit(0)).alias("n_train"),
+        F.coalesce(F.sum(F.when(F.col("fold") == F.col("k"), F.col("n"))), F.lit(0)).alias("n_test"))
+
+
 _SCORES = "fold int, f1_macro double, balanced_acc double"
 
 
