@@ -42,9 +42,11 @@ def _accent_tables() -> tuple[str, str]:
 
 
 def strip_accents(x) -> Column:
-    """Drop diacritics: precomposed Latin letters by table, separate marks by class."""
+    """Drop diacritics: precomposed Latin letters by table, separate marks by class. Plain ASCII text is left as it is."""
     src, dst = _accent_tables()
-    return F.regexp_replace(F.translate(_c(x), src, dst), r"\p{Mn}+", "")
+    text = _c(x)
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, text).otherwise(F.regexp_replace(F.translate(text, src, dst), r"\p{Mn}+", ""))
 
 
 def _squeeze_edges(x: Column) -> Column:
@@ -55,7 +57,7 @@ def norm_key(x) -> Column:
     """Identifier form: lower case, no accents, ``/`` dropped, ``-`` and blanks to single ``_``."""
     low = F.lower(_c(x))
     text = strip_accents(_squeeze_edges(low))
-    full = F.regexp_replace(F.regexp_replace(text, "/", ""), "[- _]+", "_")
+    full = F.regexp_replace(F.replace(text, F.lit("/"), F.lit("")), "[- _]+", "_")
     # Most names are plain already; only the others take the long way.
     return F.when(low.rlike(r"^[a-z0-9]+(_[a-z0-9]+)*\z"), low).otherwise(full)
 

@@ -172,10 +172,6 @@ def best_package(df: DataFrame, query: str, slug: str = "", tie: str = "id") ->
     return scored.orderBy(F.desc("_direct"), F.desc("score"), F.desc_nulls_last("metadata_modified"), tie).limit(1).drop("_direct")
 
 
-def rank_packages(df: DataFrame, query: str, slug: str = "") -> DataFrame:
-    return df.withColumn("score", package_score(df, query, slug)).orderBy(F.desc("score"), F.desc("metadata_modified"))
-
-
 def request_windows(df: DataFrame, start: str, end: str, span_days: int = 89) -> DataFrame:
     """Split each row's date range into inclusive windows of ``span_days`` + 1 days; the last is clipped."""
     last = F.greatest(F.col(start), F.col(end))

@@ -40,7 +40,3 @@ def reindex_columns(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
 def numeric_columns(df: DataFrame) -> list[str]:
     numeric = ("double", "float", "int", "bigint", "smallint", "tinyint")
     return [name for name, kind in df.dtypes if kind in numeric or kind.startswith("decimal")]
-
-
-def pick_columns(df: DataFrame, prefix: str = "", suffix: str = "") -> list[str]:
-    return [c for c in df.columns if c.startswith(prefix) and c.endswith(suffix)]
