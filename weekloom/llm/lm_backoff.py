@@ -142,14 +142,18 @@ def cuts(codes: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def narrow(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs; the first byte tells how many."""
-    most = int(counts.max()) if len(counts) else 0
-    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 8
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    """Counts in one byte each, the few from 255 on listed apart with their places, compressed."""
+    large = np.flatnonzero(counts >= 255)
+    parts = (np.array([len(large)], "<u4"), large.astype("<u4"), counts[large].astype("<u8"), np.minimum(counts, 255).astype(np.uint8))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts))
 
 
 def widen(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+    flat = zstandard.ZstdDecompressor().decompress(raw)
+    n = int(np.frombuffer(flat, "<u4", 1)[0])
+    counts = np.frombuffer(flat, np.uint8, offset=4 + 12 * n).astype(np.int64)
+    counts[np.frombuffer(flat, "<u4", n, 4)] = np.frombuffer(flat, "<u8", n, 4 + 4 * n)
+    return counts
 
 
 def explode(blocks: DataFrame, ranges: int, order: int) -> DataFrame:
