@@ -42,7 +42,7 @@ PHONE = Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7,
 BASE = (EMAIL, IP, CARD, PHONE)
 # Added kinds: an account number confirmed by its remainder modulo 97, and a
 # number in the form of a social security number, kept only near its words.
-IBAN = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}", 0.9,
+IBAN = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}", 0.9,
             r"iban|account|bank|konto|cuenta|compte", r"order|serial", 0.5)
 SSN = Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]-[0-9]", 0.4,
            r"ssn|social security|taxpayer|identification", r"order|part|serial|tracking", 0.5)
