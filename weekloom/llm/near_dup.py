@@ -44,7 +44,9 @@ REGISTERS = BANDS * ROWS
 # Sketches of a pair at 0.8 agree on less than this with a probability of 2e-6 (4.6 standard errors).
 SKETCH_LEAST = 0.68
 # Members of a block when a mixed group is compared inside.
-BLOCK = 256
+BLOCK = 512
+# Up to so many ids (8 bytes each) go to all executors to pick their texts; beyond, texts are shuffled to them.
+SMALL_IDS = 1_000_000
 GOLD, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -182,6 +184,12 @@ def weighted_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "member long, shingles binary")
 
 
+def texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of these members."""
+    wanted = stage(ids.select(F.col("member").alias("doc_id")).distinct(), "near-wanted")
+    return texts.join(F.broadcast(wanted) if wanted.count() <= SMALL_IDS else wanted, "doc_id", "left_semi")
+
+
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of equal marks, less what equal bytes owe to chance."""
     raw = (a == b).mean(-1)
@@ -331,8 +339,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     pairs = members.filter("member <> first").select("member", "first").distinct()
     pairs = pairs.join(marks, "member").join(marks.select(F.col("member").alias("first"), F.col("marks").alias("first_marks")), "first")
     pairs = stage(alike(pairs, "marks", "first_marks").select("member", "first"), "near-pairs")
-    chosen = pairs.select("member").union(pairs.select("first")).distinct()
-    sets = stage(weighted_sets(texts.join(chosen.select(F.col("member").alias("doc_id")), "doc_id", "left_semi")), "near-sets")
+    sets = stage(weighted_sets(texts_of(texts, pairs.select("member").union(pairs.select("first")))), "near-sets")
     compared = pairs.join(sets, "member").join(sets.select(F.col("member").alias("first"), F.col("shingles").alias("first_shingles")), "first")
 
     def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,8 +358,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     inside = block_pairs(placed.join(mixed, "band")).join(marks, "member")
     near = stage(seem_alike(inside).distinct(), "near-inside")
     if not near.isEmpty():
-        named = near.select("member").distinct()
-        sets = stage(weighted_sets(texts.join(named.select(F.col("member").alias("doc_id")), "doc_id", "left_semi")), "near-sets")
+        sets = stage(weighted_sets(texts_of(texts, near)), "near-sets")
         again = block_pairs(near.join(placed, ["band", "member"])).drop("band").join(marks.join(sets, "member"), "member")
         linked = components(links.unionByName(stage(inner_links(again), "near-inner-links")))
     result = (copy_of.join(linked, "member", "left").select("doc_id", F.coalesce("component", "member").alias("class_id")))
