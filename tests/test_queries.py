@@ -14,7 +14,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 QUICK = ["daily_sum", "ffill_limit7", "weekly_multi_agg", "lags_rolls", "cv_folds", "month_spread", "import_export", "outer_align",
          "energy_integral", "dup_ts_bump", "dedupe_last", "norm_text", "json_map_explode", "best_per_period", "in_period",
-         "describe", "dim_calendar", "etl_exchange", "label_audit", "class_report", "base_week"]
+         "describe", "dim_calendar", "etl_exchange", "label_audit", "class_report", "base_week", "tail_split", "alias_filter",
+         "csv_roundtrip", "union_by_name", "json_records", "request_status", "threshold_models"]
+# All others run with ``-m slow``.
+CHECKED = [pytest.param(n, marks=[] if n in QUICK else pytest.mark.slow) for n in sorted(entry_points.oracle_sql())]
 
 
 def plain(v):
@@ -37,7 +40,7 @@ def test_registry():
     assert set(o) <= set(q) and len(q) > 90
 
 
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", CHECKED)
 def test_query_matches_sql(spark, duck, name):
     df = entry_points.queries()[name](spark, SF)
     cur = duck.execute(entry_points.oracle_sql()[name])
