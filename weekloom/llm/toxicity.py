@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import keyed_texts, labels_of
+from weekloom.llm.common import keyed_texts, labels_of, stage
 
 WORD = re.compile(r"\w+")
 SLOTS = 1 << 20
@@ -195,7 +195,9 @@ def train(texts: DataFrame, labels: DataFrame, categories: tuple[str, ...], grad
         return None
     share = {k: max(1, -(-n // MAX_LABELLED)) for k, n in sizes.items()}
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.when(last == 1, F.lit(share[1])).otherwise(F.lit(share[0]))) == 0
-    rows = with_slots(texts.join(marked.filter(last.isin(0, 1) & drawn), "doc_id"),
+    # About 2 * MAX_LABELLED rows of a few numbers: they go to the texts, not the texts to them.
+    sample = F.broadcast(stage(marked.filter(last.isin(0, 1) & drawn), "toxic-sample"))
+    rows = with_slots(texts.join(sample, "doc_id"),
                       "doc_id long, " + ", ".join(f"{c} int" for c in categories)).limit(4 * MAX_LABELLED).collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["slots"])))
     slots = [np.frombuffer(r["slots"], np.int32) for r in rows]
