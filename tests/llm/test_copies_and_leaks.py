@@ -116,6 +116,24 @@ def test_leaks_exact_reparameterised_and_inconsistent(spark):
     assert decontaminate.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def found_leaks(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["kind"] for r in decontaminate.leaks(docs, bench).collect()}
+
+
+def test_leaks_of_items_with_many_placeholders(spark):
+    items = ["What is 12 plus 34 minus 7?", "Tom has 5 apples and 3 pears.", "Return Of The Old Iron King", "12 7 19 44 3 8",
+             "Add 3 and 4 and 5 to 6 7 8 9", "1 2 3 4 5 6 7 8 9 then stop here", "zero 1 2 3 4 5 6 7 8 9 end"]
+    same = [f"some words first. {t} And more." for t in items]
+    other = ["So. What is 15 plus 20 minus 9?", "Yes. Tom has 7 kg and 2 pears.", "Return By Some New Gold Man", "12 7 19 45 3 8",
+             "add 4 and 5 and 6 to 7 8 9 1", "11 12 13 14 15 16 17 18 19 then stop here", "zero 9 8 7 6 5 4 3 2 1 end", "add 4 and 5 and 6 to 7 8 9 1 2",
+             "1 2 3 4 5 6 7 8 and 1 2 3 4 5 6 7 8", "what is 12 times 34 minus 7"]
+    got = found_leaks(spark, items, same + other)
+    n = len(items)
+    assert got == {**{(k, k): "exact" for k in range(n)}, **{(n + k, k): "reparameterised" for k in (0, 1, 4, 5, 6)}, (n + 7, 4): "reparameterised"}
+
+
 def test_leaks_with_shuffled_windows(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SMALL_WINDOWS", 0)
     bench = spark.createDataFrame([(1, ITEM)], "item_id int, text string")

@@ -7,17 +7,24 @@ one occurrence; there the values behind the placeholders are lined up, and the
 occurrence counts if every value of the item stands for one value of the
 document throughout, that is, if the question was re-parameterised consistently
 (or not at all).
+
+A window of placeholders only is hashed with its words as they are, since its
+template fits any list of numbers or names; one fixed word is enough for a
+template. How much an occurrence says is judged on all of its words.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import stage
 
 WINDOW = 8
-# A window needs so many words that are no placeholders.
+# An occurrence with other values needs so many words that are no placeholders, or all those of an item with fewer,
+# and so many words that are no exchanged names.
 FIXED_WORDS = 5
 # Matched words of one item in a document from which it is leaked; all words of a shorter item.
 LEAKED_WORDS = 13
@@ -61,27 +68,35 @@ def template(all_words: Column) -> Column:
     return F.transform(all_words, lambda w, i: F.coalesce(slot(all_words, w, i).cast("long"), F.xxhash64(w)))
 
 
-def windows(hashes: Column, size: int) -> Column:
-    """Hash of every window of ``size`` template words."""
-    return F.when(F.size(hashes) >= size, F.transform(
-        F.slice(hashes, 1, F.size(hashes) - (size - 1)),
-        lambda h, i: F.xxhash64(F.lit(size), h, *[F.get(hashes, i + k) for k in range(1, size)]))).otherwise(F.array().cast("array<bigint>"))
+def windows(all_words: Column, hashes: Column, size: int) -> Column:
+    """Hash of every window of ``size`` template words; of the words themselves where all are placeholders."""
+    def of(h: Column, i: Column) -> Column:
+        each = [h, *[F.get(hashes, i + k) for k in range(1, size)]]
+        # Left to right: the first fixed word ends the test.
+        open_words = reduce(lambda a, b: a & b, [(x >= NUMBER) & (x <= UNIT) for x in each])
+        return F.when(open_words, F.xxhash64(F.lit(-size), F.slice(all_words, i + 1, size))).otherwise(F.xxhash64(F.lit(size), *each))
+    return F.when(F.size(hashes) >= size, F.transform(F.slice(hashes, 1, F.size(hashes) - (size - 1)), of)).otherwise(F.array().cast("array<bigint>"))
 
 
 def items_of(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """One row per item: its words, their slots and hashes, and the window size it is searched with."""
+    """One row per item: its words, their slots and hashes, the window size it is searched with, its number of fixed
+    words and the number of words its templates cover (all, if it has no fixed word)."""
     rows = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(item_col).alias("item_id"), words(F.col(text_col).cast("string")).alias("item_words"))
     rows = stage(rows.filter(F.size("item_words") >= LEAST_WORDS).distinct(), "leak-item-words")
-    return rows.select("item_id", "item_words", F.transform("item_words", lambda w, i: F.coalesce(slot(F.col("item_words"), w, i), F.lit(0))).alias("slots"),
+    rows = rows.select("item_id", "item_words", F.transform("item_words", lambda w, i: F.coalesce(slot(F.col("item_words"), w, i), F.lit(0))).alias("slots"),
                        template(F.col("item_words")).alias("hashes"), F.least(F.lit(WINDOW), F.size("item_words")).alias("size"))
+    # Places of the windows that are templates; words are counted as those of an occurrence are.
+    at = F.filter(F.sequence(F.lit(0), F.size("slots") - F.col("size")), lambda q: F.exists(F.slice("slots", q + 1, F.col("size")), lambda s: s == 0))
+    rows = rows.withColumn("at", at)
+    covered = F.least(F.array_max("at") - F.array_min("at") + F.col("size"), F.size("at") + F.col("size") - 1)
+    return rows.select("*", F.size(F.filter("slots", lambda s: s == 0)).alias("n_fixed"),
+                       F.when(F.size("at") > 0, covered).otherwise(F.size("slots")).alias("covered")).drop("at")
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
-    """Windows of the items searched with this size that hold enough fixed words."""
-    at = F.posexplode(windows(F.col("hashes"), size)).alias("q", "window")
-    found = items.filter(F.col("size") == size).select("item_id", "slots", at)
-    fixed = F.size(F.filter(F.slice("slots", F.col("q") + 1, size), lambda s: s == 0))
-    return found.filter(fixed >= min(FIXED_WORDS, size)).select("item_id", "q", "window", F.lit(size).alias("size"))
+    """Windows of the items searched with this size."""
+    at = F.posexplode(windows(F.col("item_words"), F.col("hashes"), size)).alias("q", "window")
+    return items.filter(F.col("size") == size).select("item_id", at, F.lit(size).alias("size"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -136,10 +151,10 @@ def _leaked_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     row_key = _row_key(F.col("doc_id"), F.col("text")).alias("row_key")
     hashed = (rows.select("doc_id", row_key, words(F.col("text")).alias("doc_words"))
-              .select("doc_id", "row_key", template(F.col("doc_words")).alias("hashes")))
+              .select("doc_id", "row_key", "doc_words", template(F.col("doc_words")).alias("hashes")))
     each = None
     for size in sizes:
-        part = hashed.select("doc_id", "row_key", F.posexplode(windows(F.col("hashes"), size)).alias("p", "window"))
+        part = hashed.select("doc_id", "row_key", F.posexplode(windows(F.col("doc_words"), F.col("hashes"), size)).alias("p", "window"))
         each = part if each is None else each.unionByName(part)
     hits = each.join(F.broadcast(wanted) if few else wanted, "window")
     runs = (hits.groupBy("row_key", "doc_id", "item_id", "size", (F.col("p") - F.col("q")).alias("shift"))
@@ -149,15 +164,21 @@ def _leaked_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     # Only documents with a match are read again, for the values behind the placeholders.
     matched = (rows.select("doc_id", row_key, "text").join(runs.select("row_key").distinct(), "row_key", "left_semi")
                .select("row_key", words(F.col("text")).alias("doc_words")).dropDuplicates(["row_key"]))
-    lined = runs.join(matched, "row_key").join(items.select("item_id", "item_words", "slots"), "item_id")
+    lined = runs.join(matched, "row_key").join(items.select("item_id", "item_words", "slots", "n_fixed", "covered"), "item_id")
     spots = F.sequence(F.col("first") - F.col("shift"), F.col("last") - F.col("shift") + F.col("size") - 1)
-    pairs = F.transform(F.filter(spots, lambda j: F.get("slots", j) > 0), lambda j: F.struct(
+    pairs = F.transform(spots, lambda j: F.struct(
         F.get("slots", j).alias("slot"), F.get("item_words", j).alias("a"), F.get("doc_words", j + F.col("shift")).alias("b")))
-    lined = lined.select("row_key", "doc_id", "item_id", "n", "matched", F.size("item_words").alias("total"), pairs.alias("pairs"))
+    lined = lined.select("row_key", "doc_id", "item_id", "n", "matched", F.size("item_words").alias("total"), "n_fixed",
+                         F.least(F.lit(LEAKED_WORDS), F.col("covered")).alias("needed"), pairs.alias("all_pairs"))
+    lined = lined.withColumn("pairs", F.filter("all_pairs", lambda x: x["slot"] > 0))
+    changed = F.filter("pairs", lambda x: x["a"] != x["b"])
+    lined = lined.withColumn("changed", F.size(changed)).withColumn("names", F.size(F.filter(changed, lambda x: x["slot"] == PERSON)))
     one_value = F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["slot"], x["a"])))) == F.size(F.array_distinct("pairs"))
-    kept = lined.filter(one_value)
+    same = F.size(F.filter("all_pairs", lambda x: (x["slot"] == 0) & (x["a"] == x["b"])))
+    telling = (same >= F.greatest(F.lit(1), F.least(F.lit(FIXED_WORDS), F.col("n_fixed")))) & (F.size("all_pairs") - F.col("names") >= FIXED_WORDS)
+    # Numbers or names alone count as they are written, and not piece by piece.
+    kept = lined.filter(one_value & (telling | ((F.col("changed") == 0) & (F.col("matched") >= F.least(F.lit(LEAKED_WORDS), F.col("total"))))))
     per_item = kept.groupBy("row_key", "doc_id", "item_id").agg(
-        F.sum("n").alias("n_windows"), F.sum("matched").cast("long").alias("n_words"), F.max("total").alias("total"),
-        F.sum(F.size("pairs")).cast("long").alias("n_slots"),
-        F.sum(F.size(F.filter("pairs", lambda x: x["a"] != x["b"]))).cast("long").alias("n_changed"))
-    return per_item.filter(F.col("n_words") >= F.least(F.lit(LEAKED_WORDS), F.col("total")))
+        F.sum("n").alias("n_windows"), F.sum("matched").cast("long").alias("n_words"), F.max("total").alias("total"), F.max("needed").alias("needed"),
+        F.sum(F.size("pairs")).cast("long").alias("n_slots"), F.sum("changed").cast("long").alias("n_changed"))
+    return per_item.filter(F.col("n_words") >= F.col("needed")).drop("needed")
