@@ -134,6 +134,16 @@ def test_leaks_of_items_with_many_placeholders(spark):
     assert got == {**{(k, k): "exact" for k in range(n)}, **{(n + k, k): "reparameterised" for k in (0, 1, 4, 5, 6)}, (n + 7, 4): "reparameterised"}
 
 
+def test_leaks_after_a_colon_and_inside_a_sentence(spark):
+    items = ["What is the capital city of France?", "Which of these old rivers is the longest one of all?", "What is 12 plus 34 minus 7?", "name the tallest tree on earth"]
+    before = ["Question: ", "Q: ", "they asked me ", "well, ", "So. "]
+    texts = [b + t[0].upper() + t[1:] for t in items for b in before]
+    texts += ["it is known: Paris is the capital city of France", "Q: What is 15 plus 20 minus 9?"]
+    got = found_leaks(spark, items, texts)
+    n = len(before)
+    assert got == {**{(n * k + j, k): "exact" for k in range(len(items)) for j in range(n)}, (n * len(items) + 1, 2): "reparameterised"}
+
+
 def test_leaks_with_shuffled_windows(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SMALL_WINDOWS", 0)
     bench = spark.createDataFrame([(1, ITEM)], "item_id int, text string")

@@ -41,6 +41,7 @@ UNITS = (
 NAME = "\x01"
 # Types of placeholders; a word that stays has 0.
 NUMBER, PERSON, UNIT = 1, 2, 3
+PLACES = "array<struct<place: int, window: bigint>>"
 
 
 def words(text: Column) -> Column:
@@ -69,13 +70,25 @@ def template(all_words: Column) -> Column:
 
 
 def windows(all_words: Column, hashes: Column, size: int) -> Column:
-    """Hash of every window of ``size`` template words; of the words themselves where all are placeholders."""
+    """Place and hash of every window of ``size`` template words; of the words themselves where all are placeholders."""
     def of(h: Column, i: Column) -> Column:
         each = [h, *[F.get(hashes, i + k) for k in range(1, size)]]
         # Left to right: the first fixed word ends the test.
         open_words = reduce(lambda a, b: a & b, [(x >= NUMBER) & (x <= UNIT) for x in each])
         return F.when(open_words, F.xxhash64(F.lit(-size), F.slice(all_words, i + 1, size))).otherwise(F.xxhash64(F.lit(size), *each))
-    return F.when(F.size(hashes) >= size, F.transform(F.slice(hashes, 1, F.size(hashes) - (size - 1)), of)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(hashes) >= size, F.transform(
+        F.slice(hashes, 1, F.size(hashes) - (size - 1)), lambda h, i: F.struct(i.alias("place"), of(h, i).alias("window")))).otherwise(F.array().cast(PLACES))
+
+
+def plain_windows(all_words: Column, hashes: Column, size: int) -> Column:
+    """Place and hash of the windows that begin with a marked name, with the plain word in its stead.
+
+    The mark depends on what stands before a passage, so an item's first word, which has none, may carry it in a document.
+    """
+    return F.when(F.size(hashes) >= size, F.transform(
+        F.filter(F.sequence(F.lit(0), F.size(hashes) - size), lambda i: F.get(hashes, i) == PERSON),
+        lambda i: F.struct(i.alias("place"), F.xxhash64(F.lit(size), F.xxhash64(F.translate(F.get(all_words, i), NAME, "")),
+                                                        *[F.get(hashes, i + k) for k in range(1, size)]).alias("window")))).otherwise(F.array().cast(PLACES))
 
 
 def items_of(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -95,7 +108,7 @@ def items_of(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "t
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
     """Windows of the items searched with this size."""
-    at = F.posexplode(windows(F.col("item_words"), F.col("hashes"), size)).alias("q", "window")
+    at = F.inline(windows(F.col("item_words"), F.col("hashes"), size)).alias("q", "window")
     return items.filter(F.col("size") == size).select("item_id", at, F.lit(size).alias("size"))
 
 
@@ -154,7 +167,8 @@ def _leaked_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
               .select("doc_id", "row_key", "doc_words", template(F.col("doc_words")).alias("hashes")))
     each = None
     for size in sizes:
-        part = hashed.select("doc_id", "row_key", F.posexplode(windows(F.col("doc_words"), F.col("hashes"), size)).alias("p", "window"))
+        spans = F.concat(*[f(F.col("doc_words"), F.col("hashes"), size) for f in (windows, plain_windows)])
+        part = hashed.select("doc_id", "row_key", F.inline(spans).alias("p", "window"))
         each = part if each is None else each.unionByName(part)
     hits = each.join(F.broadcast(wanted) if few else wanted, "window")
     runs = (hits.groupBy("row_key", "doc_id", "item_id", "size", (F.col("p") - F.col("q")).alias("shift"))
@@ -167,7 +181,9 @@ def _leaked_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     lined = runs.join(matched, "row_key").join(items.select("item_id", "item_words", "slots", "n_fixed", "covered"), "item_id")
     spots = F.sequence(F.col("first") - F.col("shift"), F.col("last") - F.col("shift") + F.col("size") - 1)
     pairs = F.transform(spots, lambda j: F.struct(
-        F.get("slots", j).alias("slot"), F.get("item_words", j).alias("a"), F.get("doc_words", j + F.col("shift")).alias("b")))
+        F.get("slots", j).alias("slot"), F.get("item_words", j).alias("a"),
+        # A fixed word may carry the mark where the passage begins.
+        F.when(F.get("slots", j) == 0, F.translate(F.get("doc_words", j + F.col("shift")), NAME, "")).otherwise(F.get("doc_words", j + F.col("shift"))).alias("b")))
     lined = lined.select("row_key", "doc_id", "item_id", "n", "matched", F.size("item_words").alias("total"), "n_fixed",
                          F.least(F.lit(LEAKED_WORDS), F.col("covered")).alias("needed"), pairs.alias("all_pairs"))
     lined = lined.withColumn("pairs", F.filter("all_pairs", lambda x: x["slot"] > 0))
