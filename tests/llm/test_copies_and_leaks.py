@@ -88,6 +88,16 @@ def test_repeated_ids_and_empty_tables(spark):
     assert near_dup.classes(docs.limit(0)).count() == 0
 
 
+def test_rows_with_shared_and_null_ids_are_compared(spark):
+    rows = [(1, "b c d e f g"), (1, "a b c d e f"), (1, ""), (2, "B c d e f g"), (3, "x y"), (3, "x y"), (None, "x  y"), (None, "only here"),
+            (None, "only here"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["class_id"], r["kept"]) for r in near_dup.row_classes(docs).collect()), key=str)
+    assert got == sorted([(1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 3, True), (None, 3, False), (None, None, True), (None, None, True)], key=str)
+    left = sorted(((r["doc_id"], r["text"]) for r in near_dup.keep_rows(docs).collect()), key=str)
+    assert left == sorted([rows[0], rows[1], rows[2], rows[4], rows[7], rows[9], rows[10]], key=str)
+
+
 def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 102), (102, 101)], "a long, b long")
     got = {r["member"]: r["component"] for r in near_dup.components(edges).collect()}

@@ -30,11 +30,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import keyed_texts, stage
+from weekloom.llm.common import keyed_texts, prepare, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -325,6 +325,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     if every.select("doc_id").distinct().count() < every.count():
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
         every = stage(sketches(texts), "near-sketches")
+    return _classes(texts, every).drop("blank")
+
+
+def _classes(texts: DataFrame, every: DataFrame) -> DataFrame:
+    """Classes of texts with distinct ids from their sketches, and whether a text has no words (``blank``)."""
     # Copies: the least id of those with the same words stands for them.
     first = stage(every.groupBy("words").agg(F.min("doc_id").alias("member")), "near-copies")
     copy_of = stage(every.select("doc_id", "words").join(first, "words").select("doc_id", "member"), "near-copy-of")
@@ -361,8 +366,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         sets = stage(weighted_sets(texts_of(texts, near)), "near-sets")
         again = block_pairs(near.join(placed, ["band", "member"])).drop("band").join(marks.join(sets, "member"), "member")
         linked = components(links.unionByName(stage(inner_links(again), "near-inner-links")))
-    result = (copy_of.join(linked, "member", "left").select("doc_id", F.coalesce("component", "member").alias("class_id")))
-    blank = texts.select("doc_id").join(copy_of.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("class_id"))
+    result = (copy_of.join(linked, "member", "left").select("doc_id", F.coalesce("component", "member").alias("class_id"), F.lit(False).alias("blank")))
+    blank = texts.select("doc_id").join(copy_of.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("blank"))
     return result.unionByName(blank).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
@@ -378,3 +383,48 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             (F.col("weekloom_place") == 1) | F.col(id_col).isNull()).select(*docs.columns)
     gone = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias("weekloom_gone")), "near-gone")
     return docs.join(gone, F.col(id_col) == F.col("weekloom_gone"), "left_anti").select(*docs.columns)
+
+
+def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """Key of a row: its id where all ids differ and none is null, else a hash of id and text."""
+    doc_id = F.col(id_col).cast("long")
+    n = docs.agg(F.count("*").alias("rows"), F.count_distinct(doc_id).alias("ids")).first()
+    return doc_id if n["rows"] == n["ids"] else F.xxhash64(doc_id, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id and kept as in :func:`classes`, but of every distinct pair of id and text.
+
+    Rows that share an id, and rows with a null id, are compared like all
+    others. class_id is the least id of the class, null if none has one; of the
+    rows of a class one with that id is kept. A text without words is its own class.
+    """
+    return _row_classes(docs, _row_keys(docs, id_col, text_col), id_col, text_col).select("doc_id", "class_id", "kept")
+
+
+def _row_classes(docs: DataFrame, key: Column, id_col: str, text_col: str) -> DataFrame:
+    """As :func:`row_classes`, with row_key, its number of rows (``n``) and blank."""
+    prepare(docs.sparkSession)
+    rows = docs.select(key.alias("row_key"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    names = stage(rows.groupBy("row_key").agg(F.first("doc_id").alias("name"), F.count("*").alias("n")), "near-rows")
+    texts = rows.select(F.col("row_key").alias("doc_id"), "text")
+    if not names.filter("n > 1").isEmpty():
+        texts = stage(texts.groupBy("doc_id").agg(F.first("text").alias("text")), "near-texts")
+    found = _classes(texts, stage(sketches(texts), "near-sketches"))
+    found = stage(found.select(F.col("doc_id").alias("row_key"), F.col("class_id").alias("part"), "blank").join(names, "row_key"), "near-row-parts")
+    best = found.groupBy("part").agg(F.min(F.struct(F.col("name").isNull().alias("unnamed"), "name", "row_key")).alias("best"))
+    return found.join(best, "part").select("row_key", F.col("name").alias("doc_id"), F.col("best.name").alias("class_id"),
+                                           (F.col("row_key") == F.col("best.row_key")).alias("kept"), "blank", "n")
+
+
+def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: one row of every class of :func:`row_classes` stays, and every row without words."""
+    key = _row_keys(docs, id_col, text_col)
+    found = stage(_row_classes(docs, key, id_col, text_col), "near-row-classes")
+    gone = stage(found.filter(~F.col("kept")).select(F.col("row_key").alias("weekloom_key")), "near-gone")
+    left = docs.withColumn("weekloom_key", key).join(gone, "weekloom_key", "left_anti")
+    # Rows equal in id and text share a key: one of them.
+    again = stage(found.filter(F.col("kept") & ~F.col("blank") & (F.col("n") > 1)).select(F.col("row_key").alias("weekloom_key")), "near-again")
+    if not again.isEmpty():
+        left = left.join(again, "weekloom_key", "left_anti").unionByName(left.join(again, "weekloom_key", "left_semi").dropDuplicates(["weekloom_key"]))
+    return left.select(*docs.columns)

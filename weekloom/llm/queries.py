@@ -137,7 +137,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_near_duplicates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.classes(documents(spark, sf_dir))
+    return near_dup.row_classes(documents(spark, sf_dir))
 
 
 LM_SQL = r"""
