@@ -142,5 +142,12 @@ def test_licences_are_found_with_their_spans(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_words_before_a_licence_that_lower_case_would_cut(spark):
+    line = license_scan.TEMPLATES["mit-line"].rstrip(".")
+    text = "\u0130stanbul \u0130zmir " * 20 + line
+    found = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r["license"], r["coverage"], text[r["start"]:r["end"]]) for r in found] == [("mit-line", 1.0, line)]
+
+
 def test_alignment_counts_words_in_order():
     assert license_scan.align("a b c d e".split(), "x a b q c e y".split(), 1, 4) == (4, 0, 5, 1, 6)

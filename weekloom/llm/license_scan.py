@@ -52,6 +52,11 @@ class Index:
     places: dict[int, list[tuple[str, int]]]
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-case words. Split first: lower case may cut a word in two, as it does with a dotted capital I."""
+    return [w.lower() for w in WORD.findall(text)]
+
+
 def kgrams(codes: np.ndarray) -> np.ndarray:
     """Hash of the k-gram at each place, TOP where a word is of no template (code 0)."""
     n = len(codes) - K + 1
@@ -74,7 +79,7 @@ def winnow(hashes: np.ndarray) -> np.ndarray:
 
 
 def index_of(templates: Mapping[str, str]) -> Index:
-    words = {name: WORD.findall(text.lower()) for name, text in templates.items()}
+    words = {name: words_of(text) for name, text in templates.items()}
     codes = {w: xxhash.xxh64_intdigest(w.encode()) | 1 for ws in words.values() for w in ws}
     places: dict[int, list[tuple[str, int]]] = defaultdict(list)
     for name, ws in words.items():
@@ -91,7 +96,7 @@ def band_of(size: int) -> int:
 
 def regions(text: str, index: Index) -> list[tuple[str, int, int, int, int]]:
     """(template, diagonal, first word, last word, hits) of every candidate of a text."""
-    words = WORD.findall(text.lower())
+    words = words_of(text)
     if len(words) < K:
         return []
     get = index.codes.get
@@ -128,7 +133,7 @@ def candidates(texts: DataFrame, index: Index) -> DataFrame:
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 near = regions(text, index)
                 if near:
-                    # Lower case may change a text's length, so places come from the text itself where words agree.
+                    # The words of regions(), with their places in the text.
                     spots = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text)]
                     for name, shift, lo, hi, hits in near:
                         cut = spots[lo:hi]
