@@ -53,6 +53,20 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: s
     )
 
 
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], suffix: str = "_sum") -> DataFrame:
+    """Sums of each column over the rows of the key up to and including this one, as further columns.
+
+    The rows are unique per key and ``order``; nulls count as nothing.
+    """
+    cut = _ranged(df, keys, order, "summed")
+    totals = cut.groupBy("_key", "_piece").agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(cols)])
+    offsets = totals.select("_key", "_piece", *[F.coalesce(F.sum(f"_t{i}").over(_before()), F.lit(0)).alias(f"_o{i}") for i in range(len(cols))])
+    running = Window.partitionBy("_key", "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.select("*", *[F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"_s{i}") for i, c in enumerate(cols)])
+    return local.join(offsets, ["_key", "_piece"]).select(
+        *df.columns, *[(F.col(f"_o{i}") + F.col(f"_s{i}")).alias(f"{c}{suffix}") for i, c in enumerate(cols)])
+
+
 def hash_order(cols: Sequence[str], seed: int) -> Column:
     """A repeatable pseudo-random ordering value."""
     return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
