@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import binary_out, decontaminate, license_scan, lm_backoff, near_dup, packing, pii, quality_pu, quality_rules, toxicity
-from weekloom.llm.common import documents, staging_root, table
+from weekloom.llm import (
+    binary_out, bpe, decontaminate, license_scan, lm_backoff, near_dup, packing, periodic_runs, pii, prefix_trie, quality_pu, quality_rules, toxicity,
+)
+from weekloom.llm.common import documents, stage, staging_root, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -171,3 +173,64 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_license_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
+
+
+def rebuilt_turns(turns: DataFrame) -> DataFrame:
+    """Numbered turns of conversations whose first turns come from the first of their five neighbours.
+
+    Conversation c gets the first h turns of c - c % 5 (crc32 of c % 9) and
+    keeps its own turns after its first h. A group is at most five rows.
+    """
+    first = F.col("conv_id") - F.col("conv_id") % 5
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    groups = sizes.groupBy(first.alias("first")).agg(F.collect_list(F.struct("conv_id", "n")).alias("group"))
+
+    def h(c):
+        return F.crc32(c.cast("string").cast("binary")) % 9
+
+    rows = turns.withColumn("first", first).join(groups, "first")
+    base = F.coalesce(F.filter("group", lambda x: x["conv_id"] == F.col("first"))[0]["n"], F.lit(0))
+    own = h(F.col("conv_id"))
+    kept = F.when(F.col("position") > own, F.array(F.struct(
+        F.col("conv_id").alias("conv_id"), (F.least(own, base) + F.col("position") - own).cast("long").alias("position")))).otherwise(F.array())
+    lent = F.when(F.col("conv_id") == F.col("first"), F.transform(
+        F.filter("group", lambda x: F.col("position") <= h(x["conv_id"])),
+        lambda x: F.struct(x["conv_id"].alias("conv_id"), F.col("position").alias("position")))).otherwise(F.array())
+    return rows.select(F.inline(F.concat(kept, lent)), "key", "n_bytes")
+
+
+@query("op11_prefix_trie")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stage(prefix_trie.numbered(prefix_trie.turn_keys(table(spark, sf_dir, "conversations"))), "turns")
+    return prefix_trie.nodes(rebuilt_turns(turns), turns.select("conv_id").distinct())
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by crc32 of its id, repeats a stretch of its words to its end."""
+    code = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g, n = F.floor(code / 10), F.size("_w")
+    tenth = docs.select("doc_id", "text", F.when(code % 10 == 0, words).alias("_w"), g.alias("_g"))
+    start = tenth.withColumn("_a", F.when(n > 0, (F.col("_g") % n).cast("int")))
+    period = start.withColumn("_p", F.when(n > 0, (1 + F.floor((n - F.col("_a")) / (3 + F.col("_g") % 8))).cast("int")))
+    repeated = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+        F.col("_w"), F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))))
+    return period.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.scan(with_periods(documents(spark, sf_dir)))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op13_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = bpe.decode(bpe.encode(documents(spark, sf_dir)))
+    return read.select("doc_id", "n_tokens", F.sha2(F.col("ids_text").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
