@@ -70,22 +70,31 @@ def test_classes_match_all_pairs(spark, monkeypatch):
             rows.append(" ".join(w if rng.random() > 0.018 else rng.choice(words) for w in base))
     rows += ["short one", "Short  ONE", "a b c d", None, "", "  ", " ".join(words * 20), " ".join(words * 20) + " tail"]
     table = list(enumerate(rows))
-    docs = spark.createDataFrame([(k, t, 0) for k, t in table] + [(None, "short one", 1)], "doc_id long, text string, bands int")
-    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(docs).collect()}
+    docs = spark.createDataFrame([(k, t, 0) for k, t in table], "doc_id long, text string, bands int")
+    got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_dup.row_classes(docs).collect()}
     want = plain_classes(table)
-    assert got == want
+    assert got == {k: (c, k == c) for k, c in want.items()}
     assert len(set(want.values())) < len(want) - 20
-    left = near_dup.keep_first(docs)
+    left = near_dup.keep_rows(docs)
     assert left.columns == docs.columns
-    assert sorted(r["doc_id"] for r in left.filter("doc_id is not null").collect()) == sorted(set(want.values()))
-    assert left.filter("doc_id is null").count() == 1
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(want.values()))
 
 
-def test_repeated_ids_and_empty_tables(spark):
-    docs = spark.createDataFrame([(1, "b c d e f g"), (1, "a b c d e f"), (2, "b c d e f g"), (3, "x y")], "doc_id long, text string")
-    assert {r["doc_id"]: r["class_id"] for r in near_dup.classes(docs).collect()} == {1: 1, 2: 2, 3: 3}
-    assert sorted((r["doc_id"], r["text"]) for r in near_dup.keep_first(docs).collect()) == [(1, "a b c d e f"), (2, "b c d e f g"), (3, "x y")]
-    assert near_dup.classes(docs.limit(0)).count() == 0
+def test_a_group_of_many_small_classes_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(400)]
+    base = [rng.choice(words) for _ in range(90)]
+    # One passage in all texts puts them into common bands; most are not alike.
+    table = [(k, " ".join(base[:70] + [rng.choice(words) for _ in range(rng.choice([3, 8, 14, 24]))])) for k in range(70)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.row_classes(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    want = plain_classes(table)
+    assert got == want and 3 < len(set(want.values())) < 65
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert near_dup.row_classes(docs).count() == near_dup.keep_rows(docs).count() == 0
 
 
 def test_rows_with_shared_and_null_ids_are_compared(spark):

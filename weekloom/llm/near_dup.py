@@ -16,8 +16,9 @@ Registers are cut into bands. Texts alike in a band are compared:
 2. Every member of a band group is compared with the group's first member:
    first by sketch, then exactly. The number of comparisons is that of members.
 3. Links give components. Groups that still hold several components are
-   compared inside, in blocks against blocks: by sketch, and exactly where two
-   texts of different components seem alike. Only new links leave a task.
+   compared inside: the members outside the largest component against all, in
+   blocks, by sketch, and exactly where two texts of different components seem
+   alike. Only new links leave a task.
 
 So a large group of copies costs its size, and only mixed groups cost more.
 """
@@ -31,7 +32,6 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, GroupedData
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import keyed_texts, prepare, stage
@@ -227,18 +227,27 @@ class Groups:
         self.up[self.root(a)] = self.root(b)
 
 
-def block_pairs(members: DataFrame) -> DataFrame:
-    """Deal every mixed group out as pairs of blocks, named by column ``cell``.
+def cross_cells(members: DataFrame) -> DataFrame:
+    """Deal every mixed group out as cells in which members of different components meet.
 
-    A group of one block is one cell; of k blocks, each member goes to k cells.
+    Only members outside the group's largest component (``moves``) have to meet
+    all others; the members of that one are of one class already. Every member
+    has a home block; the moving ones are cut into blocks too and go to every
+    home, so a group of n members with s moving ones makes about n rows as long
+    as s fits into a block, and no more than (n s) / BLOCK twice beyond.
     Marks and shingles are joined afterwards, so that they move once.
     """
-    sizes = stage(members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "near-blocks")
-    dealt = members.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("band", "member", "component", "block", other)
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    return dealt.select(F.xxhash64("band", low, high).alias("cell"), "band", "member", "component")
+    parts = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    largest = stage(parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("n"),
+                                              (F.sum("n") - F.max("n")).alias("s")), "near-largest")
+    dealt = members.join(largest, "band").withColumn("moves", F.col("component") != F.col("largest"))
+    homes, turns = (F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK)).cast("int") for c in ("n", "s"))
+    here = dealt.select("band", "member", "component", "moves", homes.alias("homes"), turns.alias("turns"), F.xxhash64("member").alias("h"))
+    home, turn = F.pmod("h", F.col("homes")).cast("int"), F.pmod("h", F.col("turns")).cast("int")
+    at_home = here.select("band", "member", "component", home.alias("home"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.lit(False).alias("moves"))
+    moving = here.filter("moves").select("band", "member", "component", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)).alias("home"),
+                                         turn.alias("turn"), F.lit(True).alias("moves"))
+    return at_home.unionByName(moving).select(F.xxhash64("band", "home", "turn").alias("cell"), "band", "member", "component", "moves")
 
 
 def by_cell(cells: DataFrame) -> GroupedData:
@@ -251,12 +260,14 @@ def seem_alike(cells: DataFrame) -> DataFrame:
     """Of each cell, (band, member) of those that seem alike to a member of another component."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(-1, REGISTERS)
-        component, found = group["component"].to_numpy(), np.zeros(len(group), bool)
-        for k in range(len(group) - 1):
-            near = (component[k + 1:] != component[k]) & (agreement(marks[k + 1:], marks[k]) >= SKETCH_LEAST)
+        component, moves, found = group["component"].to_numpy(), group["moves"].to_numpy(), np.zeros(len(group), bool)
+        home = np.flatnonzero(~moves)
+        at_home, theirs = marks[home], component[home]
+        for k in np.flatnonzero(moves).tolist():
+            near = (theirs != component[k]) & (agreement(at_home, marks[k]) >= SKETCH_LEAST)
             if near.any():
                 found[k] = True
-                found[k + 1:] |= near
+                found[home[near]] = True
         return group.loc[found, ["band", "member"]]
     return by_cell(cells).applyInPandas(run, "band long, member long")
 
@@ -265,21 +276,23 @@ def inner_links(cells: DataFrame) -> DataFrame:
     """Of each cell, verified links between different components, as many as join them."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(-1, REGISTERS)
-        component, name = group["component"].tolist(), group["member"].tolist()
+        component, name, moves = group["component"].tolist(), group["member"].tolist(), group["moves"].to_numpy()
         sets, known, out = group["shingles"].tolist(), {}, []
         joined = Groups()
+        home = np.flatnonzero(~moves)
+        at_home = marks[home]
 
         def of(k: int):
             if k not in known:
                 known[k] = unpack(sets[k])
             return known[k]
 
-        for k in range(len(name) - 1):
-            near = agreement(marks[k + 1:], marks[k])
+        for k in np.flatnonzero(moves).tolist():
+            near = agreement(at_home, marks[k])
             for j in np.argsort(-near, kind="stable"):
                 if near[j] < SKETCH_LEAST:
                     break
-                o = k + 1 + int(j)
+                o = int(home[j])
                 if joined.root(component[k]) != joined.root(component[o]) and probability_jaccard(of(k), of(o)) >= SIMILARITY:
                     joined.join(component[k], component[o])
                     out.append((name[k], name[o]))
@@ -309,25 +322,6 @@ def components(edges: DataFrame) -> DataFrame:
         now = new.select("member", "component")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (least id of its class), kept (it is that id), one row per distinct id.
-
-    Classes are the connected parts of "J_P of the five-word shingles is at
-    least 0.8"; words are split at white space and compared in lower case. A
-    text of fewer than five words is one shingle. A text without words (null,
-    empty, blank) is its own class. A null id is left out; of rows with the same
-    id the one with the least text counts. An empty table gives no rows. Other
-    columns are not read.
-    """
-    texts = keyed_texts(docs, id_col, text_col).filter(F.col("doc_id").isNotNull())
-    every = stage(sketches(texts), "near-sketches")
-    # Rows that repeat an id: keep one.
-    if every.select("doc_id").distinct().count() < every.count():
-        texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-        every = stage(sketches(texts), "near-sketches")
-    return _classes(texts, every).drop("blank")
-
-
 def _classes(texts: DataFrame, every: DataFrame) -> DataFrame:
     """Classes of texts with distinct ids from their sketches, and whether a text has no words (``blank``)."""
     # Copies: the least id of those with the same words stands for them.
@@ -360,31 +354,17 @@ def _classes(texts: DataFrame, every: DataFrame) -> DataFrame:
     placed = members.select("band", "member").join(linked, "member", "left").withColumn("component", F.coalesce("component", "member"))
     placed = stage(placed, "near-placed")
     mixed = stage(placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("band"), "near-mixed")
-    inside = block_pairs(placed.join(mixed, "band")).join(marks, "member")
+    inside = cross_cells(placed.join(mixed, "band")).join(marks, "member")
     near = stage(seem_alike(inside).distinct(), "near-inside")
     if not near.isEmpty():
         sets = stage(weighted_sets(texts_of(texts, near)), "near-sets")
-        again = block_pairs(near.join(placed, ["band", "member"])).drop("band").join(marks.join(sets, "member"), "member")
+        again = cross_cells(near.join(placed, ["band", "member"])).drop("band").join(marks.join(sets, "member"), "member")
         linked = components(links.unionByName(stage(inner_links(again), "near-inner-links")))
     result = (copy_of.join(linked, "member", "left").select("doc_id", F.coalesce("component", "member").alias("class_id"), F.lit(False).alias("blank")))
     blank = texts.select("doc_id").join(copy_of.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("blank"))
     return result.unionByName(blank).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of every class the least id stays, of rows with the same id the least text.
-
-    Rows with a null id are left as they are.
-    """
-    found = stage(classes(docs, id_col, text_col), "near-classes")
-    if docs.filter(F.col(id_col).isNotNull()).count() > found.count():
-        order = W.partitionBy(id_col).orderBy(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-        docs = docs.withColumn("weekloom_place", F.row_number().over(order)).filter(
-            (F.col("weekloom_place") == 1) | F.col(id_col).isNull()).select(*docs.columns)
-    gone = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias("weekloom_gone")), "near-gone")
-    return docs.join(gone, F.col(id_col) == F.col("weekloom_gone"), "left_anti").select(*docs.columns)
-
-
 def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> Column:
     """Key of a row: its id where all ids differ and none is null, else a hash of id and text."""
     doc_id = F.col(id_col).cast("long")
@@ -393,11 +373,16 @@ def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> Column:
 
 
 def row_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id and kept as in :func:`classes`, but of every distinct pair of id and text.
+    """doc_id, class_id (least id of its class) and kept, one row per distinct pair of id and text.
 
-    Rows that share an id, and rows with a null id, are compared like all
-    others. class_id is the least id of the class, null if none has one; of the
-    rows of a class one with that id is kept. A text without words is its own class.
+    Classes are the connected parts of "J_P of the five-word shingles is at
+    least 0.8"; words are split at white space and compared in lower case. A
+    text of fewer than five words is one shingle, one without words (null,
+    empty, blank) is its own class. Rows that share an id, and rows with a null
+    id, are compared like all others. class_id is null if no row of the class
+    has an id; of the rows of a class one with the least id is kept. Very long
+    texts are compared whole. An empty table gives no rows. Other columns are
+    not read.
     """
     return _row_classes(docs, _row_keys(docs, id_col, text_col), id_col, text_col).select("doc_id", "class_id", "kept")
 
