@@ -10,14 +10,13 @@ from weekloom.llm import binary_out, packing
 from weekloom.llm.tokens import Encoder, default_path
 
 TEXTS = ["Hello there, world.", "", None, "a  b   c\n\n d\n e ", " \n x", "\nstart", "tab\tand hard space", "İstanbul ΣΑΣ naïve é",
-         "<|endoftext|> is text", "word " * 3000, "1,234.50 don't we'll", "\x00zero", "😀 emoji😀", "trailing \n", "x\r\ny"]
+         "hello <|endoftext|> world", "<|startoftext|><|endoftext|>", "word " * 3000, "1,234.50 don't we'll", "\x00zero", "😀 emoji😀", "trailing \n", "x\r\ny"]
 
 
 def plain(name, text, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_path(name))
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, end]
 
 
@@ -38,6 +37,16 @@ def test_cut_texts_encode_like_whole_texts(name):
     assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)] == [plain(name, t, 0)[:-1] for t in texts]
 
 
+def test_special_tokens_as_text():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    text = "hello <|endoftext|> world"
+    got = np.frombuffer(Encoder(default_path("byte_bpe_50k.json"), special_as_text=True).encode([text])[0], "<u4").tolist()
+    assert got == t.encode(text, add_special_tokens=False).ids and len(got) > 5
+
+
 def test_best_fill_matches_exhaustive_search():
     rng = np.random.default_rng(1)
     for _ in range(60):

@@ -4,7 +4,8 @@ A byte-level or word-end vocabulary never merges across the space that starts
 a new word, so a text can be cut there, each distinct segment encoded once by
 the tokenizers library, and the ids put together again. Where a cut could
 change the ids (two white-space characters side by side in a vocabulary that
-keeps white space) the text is encoded in one piece.
+keeps white space) the text is encoded in one piece. So is a text that holds a
+special token literally: the library gives it the token's id.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 # Distinct segments one worker keeps, in each of two generations.
 CACHE_SEGMENTS = 600_000
 WHITE_PAIR = re.compile(r"\s\s")
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
 def default_path(name: str) -> str:
@@ -26,22 +27,26 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str) -> "Encoder":
+def encoder(path: str, special_as_text: bool = False) -> "Encoder":
     """One encoder per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, special_as_text) not in _ENCODERS:
+        _ENCODERS[path, special_as_text] = Encoder(path, special_as_text)
+    return _ENCODERS[path, special_as_text]
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes. Special tokens written in a text are ordinary text."""
+    """Ids as little-endian unsigned 32-bit bytes, as the library gives them.
 
-    def __init__(self, path: str):
+    With ``special_as_text`` special tokens written in a text are ordinary text.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.encode_special_tokens = special_as_text
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         # A vocabulary that drops white space encodes "a" and " a" alike.
         self.drops_space = self._raw([" a"]) == self._raw(["a"])
@@ -70,6 +75,8 @@ class Encoder:
             young.update(zip(part, self._raw(texts)))
 
     def _segments(self, text: str) -> list[str] | None:
+        if any(t in text for t in self.special):
+            return None
         if self.drops_space:
             return text.replace("\n", " ").split(" ")
         if "\x00" in text or WHITE_PAIR.search(text):
