@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from weekloom.config import FeatureSettings, LabelRules, SelectionSettings, Settings, TrainSettings
 from weekloom.functions import dates, scalars, text
+from weekloom.models import design, trees
 from weekloom.operators import (
     align, catalog, coverage, energy, hot, labels, margins, metrics, profile, resample, sampling, selection, windows,
 )
@@ -1184,6 +1185,100 @@ def threshold_models(spark, d):
     return out
 
 
+@query("linear_grid", """WITH t AS (SELECT CAST(l_shipdate AS DATE) AS data, count(*) AS n, count(*) FILTER (l_linenumber >= 4) AS high FROM lineitem GROUP BY 1),
+       r AS (SELECT *, row_number() OVER (ORDER BY data) AS rn, count(*) OVER () AS all_dates FROM t),
+       f AS (SELECT CASE WHEN (all_dates - rn) // (all_dates // 4) < 3 THEN 3 - (all_dates - rn) // (all_dates // 4) ELSE 0 END AS fold, sum(n) AS n, sum(high) AS high
+             FROM r GROUP BY 1),
+       s AS (SELECT k, sum(n) FILTER (fold = k) AS n, sum(high) FILTER (fold = k) AS high,
+                    2 * sum(high) FILTER (fold < k) > sum(n) FILTER (fold < k) AS says_high FROM f, unnest([1, 2, 3]) AS g(k) GROUP BY k),
+       m AS (SELECT avg(CASE WHEN says_high THEN 2.0 * high / (n + high) ELSE 2.0 * (n - high) / (2 * n - high) END / 2) AS f1 FROM s)
+       SELECT CAST(1e-9 AS DOUBLE) AS c, round(f1, 6) AS f1_macro, CAST(0.5 AS DOUBLE) AS balanced_acc, FALSE AS best FROM m UNION ALL SELECT 1e4, 1.0, 1.0, TRUE""")
+def linear_grid(spark, d):
+    """A search grid over all lines by ship date: with all weight on the penalty the larger class is answered, without it the class is a threshold."""
+    rows = table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias(T), F.col("l_linenumber").cast("double").alias("line"),
+                                              F.when(F.col("l_linenumber") >= 4, "alto").otherwise("baixo").alias("classe_risco"))
+    spec = training.ModelSpec("logreg", "logreg", {"class_weight": None, "max_iter": 40}, grid={"C": [1e-9, 1e4]})
+    best, scores = training.tune(rows, ["line"], spec, TrainSettings(tuning_splits=3))
+    c = F.regexp_extract("params", r"([0-9.e+-]+)\}", 1).cast("double")
+    return scores.select(c.alias("c"), F.round("f1_macro", 6).alias("f1_macro"), F.round("balanced_acc", 6).alias("balanced_acc"),
+                         (c == float(best.params["C"])).alias("best"))
+
+
+_TREE_X = ["l_quantity", "l_linenumber", "cents"]
+_TREE_ROWS = """base AS (SELECT CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS code,
+       [CAST(l_quantity AS DOUBLE), CAST(l_linenumber AS DOUBLE), round(l_discount * 100)] AS x, count(*) AS n FROM lineitem GROUP BY ALL)"""
+
+
+def _tree_sql(levels: int, rows: str, sums: dict[str, str], gain: str, allowed: str, splits: str, value: str) -> str:
+    """Trees grown by plain grouping: every cut of every node is scored and the best one taken, level by level.
+
+    ``sums`` are the columns summed per node; the other texts are over {s}l (left), {s}r (right) and {s}t (node).
+    """
+    names, parts = list(sums), [_TREE_ROWS, f"r0 AS ({rows})"]
+    for i in range(levels):
+        parts.append(f"""c{i} AS (SELECT k, path, f, x[f + 1] AS v, {', '.join(f'sum({e}) AS {s}' for s, e in sums.items())} FROM r{i}, unnest([0, 1, 2]) AS u(f) GROUP BY ALL),
+          s{i} AS (SELECT k, path, f, v, {', '.join(f'sum({s}) OVER w AS {s}l, sum({s}) OVER a AS {s}t, sum({s}) OVER a - sum({s}) OVER w AS {s}r' for s in names)},
+                   max(v) OVER a AS top FROM c{i} WINDOW w AS (PARTITION BY k, path, f ORDER BY v), a AS (PARTITION BY k, path, f)),
+          q{i} AS (SELECT *, row_number() OVER (PARTITION BY k, path ORDER BY gain DESC, f, v) AS rn
+                   FROM (SELECT *, {gain} AS gain FROM s{i} WHERE v < top) WHERE {allowed}),
+          b{i} AS (SELECT k, path, f, v, gain FROM q{i} WHERE rn = 1 AND gain > 0 AND {splits}),
+          r{i + 1} AS (SELECT r{i}.* REPLACE (path || CASE WHEN x[f + 1] > v THEN 'R' ELSE 'L' END AS path) FROM r{i} JOIN b{i} USING (k, path))""")
+    inner = [f"SELECT k, path, f, v, gain FROM b{i}" for i in range(levels)]
+    nodes = " UNION ALL ".join(f"SELECT k, path, {', '.join(f'sum({e}) AS {s}t' for s, e in sums.items())} FROM r{i} GROUP BY ALL" for i in range(levels + 1))
+    return "WITH " + ",\n".join(parts) + f""" SELECT CAST(k AS INTEGER) AS cls, path, {_TREE_X!r}[f + 1] AS feature, v AS threshold, round(gain, 6) AS gain, {value}
+       FROM ({nodes}) LEFT JOIN ({' UNION ALL '.join(inner)}) USING (k, path)"""
+
+
+def _tree_table(spark, d):
+    rows = table(spark, d, "lineitem").select("l_quantity", F.col("l_linenumber").cast("double").alias("l_linenumber"), F.round(F.col("l_discount") * 100).alias("cents"),
+                                              F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2).alias("code"))
+    return design.design_rows(rows, _TREE_X, F.col("code"))
+
+
+def _soft(s: str) -> str:
+    return f"pow(greatest(abs(g{s}) - 20, 0), 2) / (h{s} + 5)"
+
+
+@query("boosting_round", _tree_sql(
+    2, "SELECT k, '' AS path, x, n * (1 / 3.0 - (code = k)::INT) AS g, n * 4 / 9.0 AS h FROM base, unnest([0, 1, 2]) AS u(k)", {"g": "g", "h": "h"},
+    f"{_soft('l')} + {_soft('r')} - {_soft('t')}", "hl >= 50 AND hr >= 50", "TRUE", "round(-sign(gt) * greatest(abs(gt) - 20, 0) / (ht + 5) * 0.3, 8) AS value"))
+def boosting_round(spark, d):
+    """One round of softmax boosting: the trees of all three classes, two levels deep, with both penalties."""
+    params = {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.3, "reg_lambda": 5, "reg_alpha": 20, "min_child_weight": 50}
+    model = trees.boost(_tree_table(spark, d), 3, 3, 0, [(params, 0)])[0]
+    return model.table(spark, _TREE_X).select("cls", "path", "feature", "threshold", F.round("gain", 6).alias("gain"), F.round("value", 8).alias("value"))
+
+
+def _gini(s: str) -> str:
+    return f"(n{s} - (pow(c0{s}, 2) + pow(c1{s}, 2) + pow(c2{s}, 2)) / n{s})"
+
+
+@query("forest_nodes", _tree_sql(
+    4, "SELECT -1 AS k, '' AS path, x, n, n * (code = 0)::INT AS c0, n * (code = 1)::INT AS c1, n * (code = 2)::INT AS c2 FROM base",
+    {"n": "n", "c0": "c0", "c1": "c1", "c2": "c2"}, f"({_gini('t')} - {_gini('l')} - {_gini('r')}) / nt", "nl >= 100 AND nr >= 100", "nt >= 6000",
+    "CAST(nt AS BIGINT) AS n_rows, round(c0t / nt, 8) AS share_0, round(c1t / nt, 8) AS share_1, round(c2t / nt, 8) AS share_2").replace(
+        "gain > 0 AND nt", "gain > 1e-12 AND nt"))
+def forest_nodes(spark, d):
+    """A tree over all lines, four levels deep, whose nodes of less than 6,000 rows are leaves."""
+    params = {"n_estimators": 1, "max_depth": 4, "min_samples_split": 6000, "min_samples_leaf": 100, "max_features": "all", "bootstrap": False}
+    model = trees.forest(_tree_table(spark, d), 3, 3, 0, [(params, 0)])[0]
+    nodes = model.table(spark, _TREE_X)
+    shares = [F.round(F.col("stats")[i] / F.col("stats")[3], 8).alias(f"share_{i}") for i in range(3)]
+    return nodes.select("cls", "path", "feature", "threshold", F.round("gain", 6).alias("gain"), F.col("stats")[3].cast("long").alias("n_rows"), *shares)
+
+
+@query("class_probabilities", """WITH s AS (SELECT CAST(l_linenumber AS DOUBLE) AS line, avg((l_returnflag = 'R')::INT) AS baixo FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1)
+       SELECT line, round(baixo, 4) AS prob_baixo, CAST(0 AS DOUBLE) AS prob_medio, round(1 - baixo, 4) AS prob_alto FROM s""")
+def class_probabilities(spark, d):
+    """Probabilities of all three classes from a forest that saw two of them; a leaf for each value answers its shares."""
+    rows = table(spark, d, "lineitem").select(F.col("l_linenumber").cast("double").alias("line"), F.when(F.col("l_returnflag") == "R", "baixo").when(
+        F.col("l_returnflag") == "A", "alto").alias("classe_risco")).filter("classe_risco IS NOT NULL")
+    params = {"n_estimators": 1, "max_depth": None, "max_features": "all", "bootstrap": False}
+    model = training.fit_model(rows, ["line"], training.ModelSpec("rf", "rf", params))
+    found = model.probabilities(rows.select("line").distinct())
+    return found.select("line", *[F.round(f"prob_{c}", 4).alias(f"prob_{c}") for c in scalars.LABELS])
+
+
 @query("request_status", """SELECT c_custkey, CASE WHEN c_custkey % 5 IN (1, 2) THEN 400 ELSE 200 END AS status,
        CASE WHEN c_custkey % 5 IN (1, 2) THEN NULL ELSE 'baixo' END AS classe_risco,
        CASE c_custkey % 5 WHEN 1 THEN 'payload must be a JSON object' WHEN 2 THEN 'features must be a JSON object' END AS error FROM customer""")

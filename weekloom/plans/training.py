@@ -15,15 +15,20 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.config import LabelRules, Settings, TrainSettings
 from weekloom.functions.scalars import LABEL_CODES, LABELS, decode_label
+from weekloom.models import design, linear, trees
+from weekloom.models.trees import TreeModel
 from weekloom.operators import metrics
 from weekloom.operators.coverage import drop_empty_columns, numeric_columns, reindex_columns
 from weekloom.operators.hot import exact_quantiles
@@ -60,19 +65,50 @@ class ModelSpec:
 
 @dataclass
 class FittedModel:
-    """A fitted pipeline and what is needed to use it on other tables."""
+    """A fitted pipeline, or trees of this library, and what is needed to use it on other tables."""
 
     pipeline: PipelineModel
     features: list[str]
     params: dict[str, Any] = field(default_factory=dict)
     thresholds: DataFrame | None = None
+    trees: TreeModel | None = None
+    present: list[int] = field(default_factory=list)
 
-    def predict(self, df: DataFrame, out: str = PRED) -> DataFrame:
-        """The table with a predicted label; missing feature columns count as null."""
+    def _scored(self, df: DataFrame) -> DataFrame:
+        """The table with its features, ``prediction`` and ``_p``, the probabilities by class code."""
         have = set(df.columns)
         full = df.select("*", *[F.lit(None).cast("double").alias(c) for c in self.features if c not in have])
+        if self.trees is not None:
+            return full.withColumn("_p", _tree_probabilities(self.trees)(_as_array(self.features))).withColumn(
+                "prediction", (F.array_position("_p", F.array_max("_p")) - 1).cast("double"))
         scored = self.pipeline.transform(full)
-        return scored.select(*[c for c in df.columns if c != out], decode_label("prediction").alias(out))
+        zero = F.lit(0.0)
+        if "probability" in scored.columns:
+            given = vector_to_array("probability")
+            each = [given[self.present.index(code)] if code in self.present else zero for code in range(len(LABELS))]
+        else:  # a single class
+            each = [F.lit(1.0) if code in self.present else zero for code in range(len(LABELS))]
+        return scored.withColumn("_p", F.array(*each))
+
+    def predict(self, df: DataFrame, out: str = PRED) -> DataFrame:
+        """The table with a predicted label; missing feature columns count as null."""
+        return self._scored(df).select(*[c for c in df.columns if c != out], decode_label("prediction").alias(out))
+
+    def probabilities(self, df: DataFrame, prefix: str = "prob_") -> DataFrame:
+        """The table with one column per class; they add up to 1, and a class without training rows has 0."""
+        names = {f"{prefix}{name}": code for code, name in enumerate(LABELS)}
+        return self._scored(df).select(*[c for c in df.columns if c not in names], *[F.col("_p")[code].alias(n) for n, code in names.items()])
+
+
+def _as_array(features: Sequence[str]):
+    return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in features])
+
+
+def _tree_probabilities(model: TreeModel):
+    @F.pandas_udf("array<double>")
+    def run(x: pd.Series) -> pd.Series:
+        return pd.Series(list(model.probabilities(np.stack(x.to_list())))) if len(x) else pd.Series([], dtype=object)
+    return run
 
 
 def column_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -94,7 +130,13 @@ def _impute(df: DataFrame, cols: Sequence[str]) -> SQLTransformer:
 
 # The deepest trees Spark grows, and parameters of other libraries that Spark's models do not have.
 MAX_DEPTH = 30
-_UNUSED = {"logreg": {"solver"}, "rf": {"min_samples_split"}, "gbt": {"reg_lambda", "reg_alpha", "scale_pos_weight"}}
+_UNUSED = {"logreg": {"solver"}, "rf": set(), "gbt": {"scale_pos_weight"}}
+
+
+def _grows_here(spec: ModelSpec) -> bool:
+    """Whether the trees of this library fit the model: boosting, and forests with limits Spark's trees do not have."""
+    family, p = _FAMILIES.get(spec.family.lower()), spec.params
+    return family == "gbt" or family == "rf" and ("min_samples_split" in p or "max_depth" in p and (not p["max_depth"] or int(p["max_depth"]) > MAX_DEPTH))
 
 
 def _classifier(spec: ModelSpec, n_classes: int):
@@ -102,10 +144,6 @@ def _classifier(spec: ModelSpec, n_classes: int):
     unused = set(p) & _UNUSED.get(family, set())
     if unused:
         warnings.warn(f"{spec.family}: no effect here: {sorted(unused)}", stacklevel=2)
-    if family == "rf" and int(p.get("max_depth") or MAX_DEPTH) > MAX_DEPTH:
-        raise ValueError(f"max_depth {p['max_depth']} is above {MAX_DEPTH}")
-    if family == "gbt" and not 0 < float(p.get("subsample", 0.8)) <= 1:
-        raise ValueError(f"subsample {p['subsample']} is not in (0, 1]")
     cols = {"featuresCol": "features", "labelCol": "dense"}
     if family == "logreg":
         # C is the inverse of the penalty on the summed loss; Spark averages the loss.
@@ -117,12 +155,6 @@ def _classifier(spec: ModelSpec, n_classes: int):
             **cols, weightCol="weight", numTrees=int(p.get("n_estimators", 500)),
             maxDepth=int(p.get("max_depth") or MAX_DEPTH), minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             featureSubsetStrategy=str(p.get("max_features", "sqrt")), seed=int(p.get("random_state", 42)))
-    if family == "gbt":
-        trees = GBTClassifier(
-            **cols, maxIter=int(p.get("n_estimators", 300)), maxDepth=int(p.get("max_depth", 4)),
-            stepSize=float(p.get("learning_rate", 0.05)), subsamplingRate=float(p.get("subsample", 0.8)),
-            featureSubsetStrategy=str(p.get("colsample_bytree", 0.8)), seed=int(p.get("random_state", 42)))
-        return trees if n_classes == 2 else OneVsRest(classifier=trees, featuresCol="features", labelCol="dense")
     raise ValueError(f"unknown model family: {spec.family}")
 
 
@@ -144,7 +176,9 @@ def fit_model(train: DataFrame, features: Sequence[str], spec: ModelSpec, label:
     present = sorted(LABEL_CODES[c] for c in counts)
     if len(present) == 1:
         constant = SQLTransformer(statement=f"SELECT *, {float(present[0])}D AS prediction FROM __THIS__")
-        return FittedModel(PipelineModel([constant]), list(features), dict(spec.params))
+        return FittedModel(PipelineModel([constant]), list(features), dict(spec.params), present=present)
+    if _grows_here(spec):
+        return _fit_trees(rows, features, spec, label, present)
     total = sum(counts.values())
     balanced = spec.params.get("class_weight", "balanced" if _FAMILIES.get(spec.family.lower()) == "logreg" else None)
     weight, dense = None, None
@@ -165,21 +199,45 @@ def fit_model(train: DataFrame, features: Sequence[str], spec: ModelSpec, label:
         stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     fitted = Pipeline(stages=[*stages, _classifier(spec, len(present))]).fit(ready)
     if present == list(range(len(present))):
-        return FittedModel(fitted, list(features), dict(spec.params))
+        return FittedModel(fitted, list(features), dict(spec.params), present=present)
     back = SQLTransformer(statement="SELECT * EXCEPT (prediction), " + _case(
         "prediction", {float(i): code for i, code in enumerate(present)}) + " AS prediction FROM __THIS__")
-    return FittedModel(PipelineModel([*fitted.stages, back]), list(features), dict(spec.params))
+    return FittedModel(PipelineModel([*fitted.stages, back]), list(features), dict(spec.params), present=present)
+
+
+# What the boosted trees take where nothing is given.
+_BOOST_DEFAULTS = {"n_estimators": 300, "max_depth": 4, "learning_rate": 0.05, "subsample": 0.8, "colsample_bytree": 0.8, "reg_lambda": 1.0}
+
+
+def _tree_params(spec: ModelSpec) -> dict[str, Any]:
+    p = {**(_BOOST_DEFAULTS if _FAMILIES.get(spec.family.lower()) == "gbt" else {}), **spec.params}
+    if not 0 < float(p.get("subsample", 1.0)) <= 1:
+        raise ValueError(f"subsample {p['subsample']} is not in (0, 1]")
+    unused = set(p) & _UNUSED.get(_FAMILIES.get(spec.family.lower()), set())
+    if unused:
+        warnings.warn(f"{spec.family}: no effect here: {sorted(unused)}", stacklevel=2)
+    return p
+
+
+def _grow(rows: DataFrame, features: Sequence[str], spec: ModelSpec, n_folds: int, tasks: Sequence[tuple]) -> list[TreeModel]:
+    fit = trees.boost if _FAMILIES[spec.family.lower()] == "gbt" else trees.forest
+    return fit(rows, len(features), len(LABELS), n_folds, tasks)
+
+
+def _fit_trees(rows: DataFrame, features: Sequence[str], spec: ModelSpec, label: str, present: list[int]) -> FittedModel:
+    table = design.design_rows(rows, features, code_of(label))
+    model = _grow(table, features, spec, 0, [(_tree_params(spec), 0)])[0]
+    return FittedModel(PipelineModel([]), list(features), dict(spec.params), trees=model, present=present)
 
 
 def feature_importances(model: FittedModel, spark: SparkSession) -> DataFrame | None:
     """Rows (feature, importance), largest first, for tree models."""
+    if model.trees is not None:
+        return spark.createDataFrame(model.trees.importances(model.features), "feature string, importance double").orderBy(F.desc("importance"), "feature")
     found = None
     for s in model.pipeline.stages:
         if hasattr(s, "featureImportances"):
             found = s.featureImportances.toArray()
-        elif hasattr(s, "models") and all(hasattr(m, "featureImportances") for m in s.models):
-            parts = [m.featureImportances.toArray() for m in s.models]
-            found = sum(parts) / len(parts)
     if found is None:
         return None
     rows = [(c, float(v)) for c, v in zip(model.features, found)]
@@ -236,6 +294,10 @@ def tune(store: DataFrame, features: Sequence[str], spec: ModelSpec, settings: T
         return spec, None
     folds = expanding_folds(store.filter(F.col(LABEL).isNotNull()), TIME, settings.tuning_splits)
     names, results = list(spec.grid), []
+    if _FAMILIES.get(spec.family.lower()) == "logreg":
+        return _best(store.sparkSession, spec, _linear_scores(folds, features, spec, settings.tuning_splits))
+    if all(_grows_here(spec.with_params(dict(zip(names, values)))) for values in itertools.product(*spec.grid.values())):
+        return _best(store.sparkSession, spec, _tree_scores(folds, features, spec, settings.tuning_splits))
     for values in itertools.product(*spec.grid.values()):
         params = dict(zip(names, values))
         try:
@@ -245,19 +307,72 @@ def tune(store: DataFrame, features: Sequence[str], spec: ModelSpec, settings: T
             continue
         if scores:
             results.append((str(params), params, sum(s[1] for s in scores) / len(scores), sum(s[2] for s in scores) / len(scores)))
+    return _best(store.sparkSession, spec, results)
+
+
+def _linear_scores(folds: DataFrame, features: Sequence[str], spec: ModelSpec, n_splits: int) -> list[tuple]:
+    """Mean scores of all combinations of a softmax regression, fitted in the same scans."""
+    chosen = {k: v for k, v in spec.params.items() if k in linear.PARAMS}
+    combos = [{"class_weight": "balanced", **chosen, **dict(zip(spec.grid, values))} for values in itertools.product(*spec.grid.values())]
+    rows = design.design_rows(folds, features, code_of(LABEL), F.col("fold"))
+    grid = linear.fit_grid(rows, len(features), len(LABELS), n_splits, combos, only=range(1, n_splits + 1))
+    scores = linear.grid_scores(rows, grid, len(features), len(LABELS), n_splits)
+    return _mean_scores([{k: combo[k] for k in spec.grid} for combo in combos], scores)
+
+
+def _tree_scores(folds: DataFrame, features: Sequence[str], spec: ModelSpec, n_splits: int) -> list[tuple]:
+    """Mean scores of all combinations of boosted trees or forests, grown in the same scans."""
+    combos, tasks = [], []
+    for values in itertools.product(*spec.grid.values()):
+        params = dict(zip(spec.grid, values))
+        try:
+            full = _tree_params(spec.with_params(params))
+        except ValueError as exc:  # parameters this model cannot take
+            warnings.warn(f"skipped {params}: {exc}", stacklevel=2)
+            continue
+        combos.append(params)
+        tasks += [(full, f) for f in range(1, n_splits + 1)]
+    rows = design.design_rows(folds, features, code_of(LABEL), F.col("fold"))
+    grown = _grow(rows, features, spec, n_splits, tasks)
+    scores = trees.fold_scores(rows, grown, len(features), len(LABELS))
+    return _mean_scores(combos, [(k // n_splits, *rest) for k, *rest in scores])
+
+
+def _mean_scores(combos: Sequence[Mapping[str, Any]], scores: Sequence[tuple]) -> list[tuple]:
+    """(text, parameters, mean macro F1, mean balanced accuracy) of the combinations that have scores (position, fold, F1, accuracy)."""
+    out = []
+    for c, params in enumerate(combos):
+        mine = [s[2:] for s in scores if s[0] == c]
+        if mine:
+            out.append((str(params), params, *[sum(v) / len(mine) for v in zip(*mine)]))
+    return out
+
+
+def code_of(label: str):
+    """The class code of a label; null for others."""
+    code = F.lit(None).cast("int")
+    for name, value in LABEL_CODES.items():
+        code = F.when(F.col(label) == name, value).otherwise(code)
+    return code
+
+
+def _best(spark: SparkSession, spec: ModelSpec, results: Sequence[tuple]) -> tuple[ModelSpec, DataFrame | None]:
     if not results:
         return spec, None
     which = 3 if spec.refit == "balanced_accuracy" else 2
     best = max(results, key=lambda r: r[which])
-    table = store.sparkSession.createDataFrame(
-        [(r[0], r[2], r[3]) for r in results], "params string, f1_macro double, balanced_acc double")
+    table = spark.createDataFrame([(r[0], r[2], r[3]) for r in results], "params string, f1_macro double, balanced_acc double")
     return spec.with_params(best[1]), table
 
 
 def save_model(model: FittedModel, spark: SparkSession, path: str) -> None:
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    if model.trees is None:
+        model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    else:
+        model.trees.table(spark, model.features).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
     stores.write_record(spark, {
-        "selected_features": model.features, "label_mapping": LABEL_CODES,
+        "selected_features": model.features, "label_mapping": LABEL_CODES, "present": model.present,
+        "trees": model.trees.record() if model.trees is not None else None,
         "params": {k: v for k, v in model.params.items() if not k.startswith("_")},
     }, f"{path}/record")
     if model.thresholds is not None:
@@ -271,7 +386,11 @@ def load_model(spark: SparkSession, paths: Sequence[str]) -> FittedModel:
         raise FileNotFoundError(f"no model at any of {list(paths)}")
     record = stores.read_record(spark, f"{path}/record")
     thresholds = spark.read.parquet(f"{path}/thresholds") if stores.exists(spark, f"{path}/thresholds") else None
-    return FittedModel(PipelineModel.load(f"{path}/pipeline"), record["selected_features"], record["params"], thresholds)
+    features, present = record["selected_features"], record.get("present") or []
+    if record.get("trees"):
+        nodes = spark.read.parquet(f"{path}/trees").collect()  # one row per node of the model
+        return FittedModel(PipelineModel([]), features, record["params"], thresholds, TreeModel.restored(nodes, features, record["trees"]), present)
+    return FittedModel(PipelineModel.load(f"{path}/pipeline"), features, record["params"], thresholds, present=present)
 
 
 @dataclass
