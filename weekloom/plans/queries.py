@@ -1036,6 +1036,23 @@ def csv_roundtrip(spark, d):
     return raw.withColumn("c_acctbal", scalars.to_number("c_acctbal")).withColumn("n_rows", F.lit(raw.count()))
 
 
+@query("csv_line_breaks", """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || chr(10) || 'says "yes", twice' || chr(10) ELSE c_name END AS note,
+       c_mktsegment FROM customer""")
+def csv_line_breaks(spark, d):
+    """Customers in files whose quoted notes hold line breaks, separators and quotes, read in blocks much smaller than a file."""
+    path = _scratch(spark, "customer-notes")
+    note = F.when(F.col("c_custkey") % 3 == 0, F.concat("c_name", F.lit('\nsays "yes", twice\n'))).otherwise(F.col("c_name"))
+    rows = table(spark, d, "customer").select("c_custkey", note.alias("note"), "c_mktsegment")
+    rows.coalesce(2).write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).csv(path)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(16 * 1024))
+    try:
+        return stage(delimited.read_raw(spark, path), "customer-notes")
+    finally:
+        spark.conf.set(name, before)
+
+
 @query("union_by_name", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
        CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders""")
 def union_by_name(spark, d):
