@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weekloom.models.design import summed
 from weekloom.operators.align import union_all
 from weekloom.operators.hot import exact_quantiles
 
@@ -46,12 +48,18 @@ def top_missing(df: DataFrame, cols: Sequence[str], k: int = 25) -> DataFrame:
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Non-null count, distinct count and range per column."""
-    return union_all([
-        df.agg(F.lit(c).alias("variable"), F.count(c).alias("n_values"), F.count_distinct(F.col(c)).alias("n_distinct"),
-               F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        for c in cols
-    ])
+    """Non-null count, distinct count and range per column, all columns in one scan.
+
+    Equal values of a column combine before they move, then one row per value
+    is counted; a value with very many rows is one row per task.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value"), F.col(c).cast("double").alias("number")) for c in cols]))
+    values = df.select(each.alias("e")).select("e.*").groupBy("variable", "value").agg(
+        F.count("value").alias("n"), F.min("number").alias("low"), F.max("number").alias("high"))
+    found = values.groupBy("variable").agg(F.sum("n").alias("n_values"), F.count("value").alias("n_distinct"), F.min("low").alias("min"), F.max("high").alias("max"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
+    zero = F.lit(0).cast("long")
+    return names.join(found, "variable", "left").select("variable", F.coalesce("n_values", zero).alias("n_values"), F.coalesce("n_distinct", zero).alias("n_distinct"), "min", "max")
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -73,18 +81,31 @@ def box_stats(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns over rows where both are present."""
-    pairs = list(combinations(cols, 2))
-    def both(a: str, b: str) -> Column:
-        return F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
-
-    one = df.agg(*[both(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)],
-                 *[F.corr(F.col(c), F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-    rows = [(a, b, f"c{i}") for i, (a, b) in enumerate(pairs)]
-    rows += [(b, a, n) for a, b, n in rows] + [(c, c, f"d{i}") for i, c in enumerate(cols)]
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(n).alias("corr")) for a, b, n in rows
-    ])))
+    """Pearson correlation of every pair of columns over rows where both are present; null where either does not vary.
+
+    One scan: every task adds up, as matrix products, the counts, sums, squares
+    and products of all pairs over the rows where both are present. What comes
+    back is four numbers per pair, however many rows there are.
+    """
+    width = len(cols)
+    if not width:
+        return df.sparkSession.createDataFrame([], "var_a string, var_b string, corr double")
+    start = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    middle = np.array([start[i] or 0.0 for i in range(width)], float)
+    rows = df.select(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols]).alias("x"))
+
+    def add(part, x, total):
+        have = ~np.isnan(x)
+        z, m = np.where(have, x - middle, 0.0), have.astype(float)
+        total.reshape(4, width, width)[:] += [m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z]
+
+    n, one, two, both = summed(rows, add, 4 * width * width, width).reshape(4, width, width)
+    spread = n * two - one * one  # of the first column over the common rows, times the square of their number
+    flat = spread <= (n * 1e-10 * np.abs(middle)[:, None]) ** 2
+    bottom = np.sqrt(np.where(flat, 1.0, spread)) * np.sqrt(np.where(flat, 1.0, spread)).T
+    corr = np.where(flat | flat.T, np.nan, (n * both - one * one.T) / bottom)
+    table = pd.DataFrame({"var_a": np.repeat(cols, width), "var_b": np.tile(cols, width), "corr": np.clip(corr, -1, 1).ravel()})
+    return df.sparkSession.createDataFrame(table, "var_a string, var_b string, corr double").withColumn("corr", F.nanvl("corr", F.lit(None)))
 
 
 def correlations_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
