@@ -197,3 +197,27 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     for r in pieces:
         whole[r["doc_id"], r["doc_tokens"]] += r["length"]
     assert all(n == total for (_, total), n in whole.items())
+
+
+APPLES = "Tom has 5 apples. Tom buys 3 more apples. Tom gives 2 apples to Anna. How many apples does Tom have now?"
+EGGS = "A box of twelve eggs costs two dollars at the market. How much do seven such boxes cost?"
+FOUND = [
+    APPLES, APPLES.replace("Tom", "Bob"), APPLES.replace("Tom", "Bob").replace("5", "41").replace("3", "7"), APPLES.replace("Anna", "Maria"),
+    "Question: " + APPLES.replace("Tom", "Eve"), "\u201c" + APPLES.replace("Tom", "Eve") + "\u201d", "text before\n" + APPLES.replace("Tom", "TOM"),
+    APPLES.replace("5", "five").replace("3", "nine"), EGGS, EGGS.replace("twelve", "fifteen").replace("two", "three"), EGGS.replace("seven", "9"),
+    "Bob has 8 apples and 2 pears.", "so: Tom has 5 apples and 3 pears.",
+]
+NOT_FOUND = [
+    APPLES.replace("Tom gives", "Ben gives"), APPLES.replace("Tom", "Bob", 2), "Tom has nothing to do with the many apples of this market.",
+    "How many dollars does a box cost at the market?",
+]
+
+
+def test_names_and_number_words_at_every_position(spark):
+    docs = spark.createDataFrame(list(enumerate([*FOUND, *NOT_FOUND])), "doc_id long, text string")
+    items = spark.createDataFrame([("apples", APPLES), ("eggs", EGGS), ("short", "Tom has 5 apples and 3 pears.")], "item_id string, text string")
+    got = {r["doc_id"]: (r["item_id"], r["kind"]) for r in decontaminate.leaks(docs, items).collect()}
+    assert sorted(got) == list(range(len(FOUND)))
+    exact = {0, 8, 12}
+    assert {k for k, (_, kind) in got.items() if kind == "exact"} - {6} == exact
+    assert [got[k][0] for k in (1, 9, 11)] == ["apples", "eggs", "short"]

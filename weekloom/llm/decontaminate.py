@@ -8,6 +8,9 @@ occurrence counts if every value of the item stands for one value of the
 document throughout, that is, if the question was re-parameterised consistently
 (or not at all).
 
+Whether a capitalised word is a name does not depend on what stands before it:
+every one is, but for the usual beginnings of sentences, on both sides alike.
+
 A window of placeholders only is hashed with its words as they are, since its
 template fits any list of numbers or names; one fixed word is enough for a
 template. How much an occurrence says is judged on all of its words.
@@ -38,6 +41,17 @@ UNITS = (
     "hour hours hr minute minutes min second seconds sec day days week weeks month months year years percent dollar dollars "
     "cent cents euro euros pound pounds usd eur gbp mph kmh degree degrees meter meters metre metres gram grams apples items people"
 ).split()
+# Numbers written as words, and words that begin sentences more often than they are names.
+NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
+    "thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
+STARTERS = (
+    "a an the in on at if how what when where which who whose why is are was were will would does do did can could should may has have had "
+    "there this that these those it its he she they we you i his her their our your my for from to of with by as and but or so not no "
+    "each every some all many most after before then than while suppose find given let calculate compute determine solve explain add subtract multiply divide evaluate simplify convert write name list "
+    "show prove choose complete state describe"
+).split()
 NAME = "\x01"
 # Types of placeholders; a word that stays has 0.
 NUMBER, PERSON, UNIT = 1, 2, 3
@@ -45,14 +59,19 @@ PLACES = "array<struct<place: int, window: bigint>>"
 
 
 def words(text: Column) -> Column:
-    """Lower-case words and numbers in order; a capitalised word inside a sentence carries the mark of a name."""
+    """Lower-case words and numbers in order; a word that begins with a capital letter carries a mark, wherever it stands."""
     marked = F.when(text.contains(NAME), F.translate(text, NAME, " ")).otherwise(text)
-    marked = F.regexp_replace(marked, r"(?<=[\p{L}\p{N},;:]\x20)(?=\p{Lu}\p{Ll})", NAME)
+    marked = F.regexp_replace(marked, r"(?<![\p{L}\p{M}])(?=\p{Lu})", NAME)
     return F.regexp_extract_all(F.lower(marked), F.lit(r"\x01?\p{L}[\p{L}\p{M}]*+|\p{N}++(?:[.,:/]\p{N}++)*+"), F.lit(0))
 
 
 def is_number(word: Column) -> Column:
-    return (word >= "0") & (word < ":")
+    return ((word >= "0") & (word < ":")) | word.isin(*NUMBER_WORDS, *[NAME + w for w in NUMBER_WORDS])
+
+
+def is_name(word: Column) -> Column:
+    """A capitalised word that is no usual beginning of a sentence."""
+    return (word < "\x02") & ~word.isin(*[NAME + w for w in STARTERS])
 
 
 # ``all_words`` and ``hashes`` below have to be columns of a table: an expression would run anew for every word.
@@ -60,13 +79,13 @@ def is_number(word: Column) -> Column:
 
 def slot(all_words: Column, word: Column, i: Column) -> Column:
     """Type of the placeholder a word becomes, null where it stays."""
-    return (F.when(is_number(word), NUMBER).when(word < "\x02", PERSON)
+    return (F.when(is_number(word), NUMBER).when(is_name(word), PERSON)
             .when((i > 0) & is_number(F.get(all_words, i - 1)) & word.isin(*UNITS), UNIT))
 
 
 def template(all_words: Column) -> Column:
     """Hash of every template word."""
-    return F.transform(all_words, lambda w, i: F.coalesce(slot(all_words, w, i).cast("long"), F.xxhash64(w)))
+    return F.transform(all_words, lambda w, i: F.coalesce(slot(all_words, w, i).cast("long"), F.xxhash64(F.ltrim(w, F.lit(NAME)))))
 
 
 def windows(all_words: Column, hashes: Column, size: int) -> Column:
@@ -80,17 +99,6 @@ def windows(all_words: Column, hashes: Column, size: int) -> Column:
         F.slice(hashes, 1, F.size(hashes) - (size - 1)), lambda h, i: F.struct(i.alias("place"), of(h, i).alias("window")))).otherwise(F.array().cast(PLACES))
 
 
-def plain_windows(all_words: Column, hashes: Column, size: int) -> Column:
-    """Place and hash of the windows that begin with a marked name, with the plain word in its stead.
-
-    The mark depends on what stands before a passage, so an item's first word, which has none, may carry it in a document.
-    """
-    return F.when(F.size(hashes) >= size, F.transform(
-        F.filter(F.sequence(F.lit(0), F.size(hashes) - size), lambda i: F.get(hashes, i) == PERSON),
-        lambda i: F.struct(i.alias("place"), F.xxhash64(F.lit(size), F.xxhash64(F.translate(F.get(all_words, i), NAME, "")),
-                                                        *[F.get(hashes, i + k) for k in range(1, size)]).alias("window")))).otherwise(F.array().cast(PLACES))
-
-
 def items_of(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """One row per item: its words, their slots and hashes, the window size it is searched with, its number of fixed
     words and the number of words its templates cover (all, if it has no fixed word)."""
@@ -118,8 +126,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     n_changed (slots with another value) and kind (``exact`` or ``reparameterised``), one row per document and item.
 
     A null text, of a document or an item, holds nothing. Null document ids are
-    searched and reported; rows equal in id and text are reported once. An
-    empty table on either side gives no rows. Other columns are not read.
+    searched and reported; rows equal in id and text are reported once. Very
+    long texts are searched whole. An empty table on either side gives no rows. Other columns are not read.
     """
     found = _leaked_rows(docs, benchmark, id_col, text_col, item_col, item_text_col)
     if found is None:
@@ -165,11 +173,9 @@ def _leaked_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     row_key = _row_key(F.col("doc_id"), F.col("text")).alias("row_key")
     hashed = (rows.select("doc_id", row_key, words(F.col("text")).alias("doc_words"))
               .select("doc_id", "row_key", "doc_words", template(F.col("doc_words")).alias("hashes")))
-    each = None
-    for size in sizes:
-        spans = F.concat(*[f(F.col("doc_words"), F.col("hashes"), size) for f in (windows, plain_windows)])
-        part = hashed.select("doc_id", "row_key", F.inline(spans).alias("p", "window"))
-        each = part if each is None else each.unionByName(part)
+    # Windows of all sizes come from one pass; a hash tells its size.
+    spans = F.concat(*[windows(F.col("doc_words"), F.col("hashes"), size) for size in sizes])
+    each = hashed.select("doc_id", "row_key", F.inline(spans).alias("p", "window"))
     hits = each.join(F.broadcast(wanted) if few else wanted, "window")
     runs = (hits.groupBy("row_key", "doc_id", "item_id", "size", (F.col("p") - F.col("q")).alias("shift"))
             .agg(F.count_distinct("p").alias("n"), F.min("p").alias("first"), F.max("p").alias("last")))
@@ -181,9 +187,8 @@ def _leaked_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: s
     lined = runs.join(matched, "row_key").join(items.select("item_id", "item_words", "slots", "n_fixed", "covered"), "item_id")
     spots = F.sequence(F.col("first") - F.col("shift"), F.col("last") - F.col("shift") + F.col("size") - 1)
     pairs = F.transform(spots, lambda j: F.struct(
-        F.get("slots", j).alias("slot"), F.get("item_words", j).alias("a"),
-        # A fixed word may carry the mark where the passage begins.
-        F.when(F.get("slots", j) == 0, F.translate(F.get("doc_words", j + F.col("shift")), NAME, "")).otherwise(F.get("doc_words", j + F.col("shift"))).alias("b")))
+        F.get("slots", j).alias("slot"), F.ltrim(F.get("item_words", j), F.lit(NAME)).alias("a"),
+        F.ltrim(F.get("doc_words", j + F.col("shift")), F.lit(NAME)).alias("b")))
     lined = lined.select("row_key", "doc_id", "item_id", "n", "matched", F.size("item_words").alias("total"), "n_fixed",
                          F.least(F.lit(LEAKED_WORDS), F.col("covered")).alias("needed"), pairs.alias("all_pairs"))
     lined = lined.withColumn("pairs", F.filter("all_pairs", lambda x: x["slot"] > 0))
