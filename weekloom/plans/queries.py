@@ -872,14 +872,16 @@ def corr_matrix(spark, d):
     return rounded(profile.correlation_matrix(table(spark, d, "lineitem"), _LI), ["corr"], 6)
 
 
-@query("corr_store", _BASE + """, w AS (SELECT series_key, data, variable, value FROM (UNPIVOT base ON COLUMNS(* EXCLUDE (series_key, data)) INTO NAME variable VALUE value)),
+@query("corr_store", _BASE + """, w AS (SELECT series_key, data, variable, value FROM (UNPIVOT (SELECT series_key, data, """ + ", ".join(f'"{c}"' for c in BASE_COLS) + """ FROM base)
+             ON COLUMNS(* EXCLUDE (series_key, data)) INTO NAME variable VALUE value)),
        p AS (SELECT a.variable AS var_a, b.variable AS var_b, corr(a.value, b.value) AS c, least(stddev_pop(a.value) / nullif(max(abs(a.value)), 0),
              stddev_pop(b.value) / nullif(max(abs(b.value)), 0)) AS varies FROM w a JOIN w b USING (series_key, data) GROUP BY 1, 2)
-       SELECT var_a, var_b, CASE WHEN varies > 1e-8 THEN round(c, 4) END AS corr FROM p""")
+       SELECT var_a, var_b, CASE WHEN varies > 1e-8 THEN round(c, 4) + 0.0 END AS corr FROM p""")
 def corr_store(spark, d):
     """Correlations of all columns of the weekly base store."""
     base = weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, FULL)
-    return rounded(profile.correlation_matrix(base, [c for c in base.columns if c not in (*K, T)]), ["corr"], 4)
+    found = profile.correlation_matrix(base, [c for c in base.columns if c not in (*K, T)])
+    return found.withColumn("corr", F.round("corr", 4) + 0.0)
 
 
 @query("dup_keys", """SELECT l_orderkey, l_linenumber, count(*) - 1 AS surplus FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
