@@ -122,5 +122,15 @@ def test_shards_with_a_trained_dictionary(spark, tmp_path):
     assert {r["doc_id"]: crc(np.frombuffer(r["ids"], "<u4")) for r in got} == {k: crc(plain("word_bpe_49k.json", t, 2)) for k, t in rows}
 
 
+@pytest.mark.parametrize("most", [1, 700, 4 << 20])
+def test_a_shard_read_in_turn_equals_its_single_documents(spark, tmp_path, monkeypatch, most):
+    rows = [(k, " ".join(f"word{(k * j) % 89} again" for j in range(k % 40))) for k in range(200)]
+    folder = binary_out.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
+    monkeypatch.setattr(binary_out, "READ_BYTES", most)
+    for name in sorted(p.name for p in tmp_path.glob("tokens-*/shard-*.tok")):
+        with binary_out.Shard(folder, name) as shard:
+            assert list(shard.all_rows()) == list(shard.rows(range(len(shard.index))))
+
+
 def test_shards_of_an_empty_table(spark, docs, tmp_path):
     assert binary_out.read_tokens(spark, binary_out.write_tokens(docs.limit(0), str(tmp_path))).count() == 0

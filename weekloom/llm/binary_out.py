@@ -10,7 +10,8 @@ A folder of shards holds
 * ``manifest``: a small table of the shards with their numbers of documents
   and ids, from which each document's first position follows.
 
-A reader opens a shard by its index, so one document costs one small read.
+A reader opens a shard by its index, so one document costs one small read; all
+documents of a shard are read in turn, in blocks of neighbouring frames.
 Shards are written under a name of the attempt and moved into place, so a
 repeated task leaves one whole file.
 """
@@ -40,6 +41,8 @@ DICTIONARY_DOCS = 2000
 DICTIONARY_PIECE = 4096
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
+# Bytes of one read where a whole shard is wanted (a longer frame is read alone).
+READ_BYTES = 4 << 20
 MAGIC = b"WLTOK001"
 FOOTER = "<QQ32sBB6x8s"  # index place, documents, dictionary hash, bytes of an id, null ids, magic
 INDEX = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("n_tokens", "<u8"), ("at", "<u8"), ("size", "<u4")])
@@ -167,16 +170,32 @@ class Shard:
     def __exit__(self, *_) -> None:
         self.file.close()
 
-    def ids(self, k: int) -> bytes:
-        """Ids of the k-th document as little-endian unsigned 32-bit bytes."""
-        row = self.index[k]
-        raw = self.press.decompress(self.file.read_at(int(row["size"]), int(row["at"])))
+    def ids(self, frame) -> bytes:
+        """Ids of a frame as little-endian unsigned 32-bit bytes."""
+        raw = self.press.decompress(frame)
         return raw if self.width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
 
+    def _row(self, k: int, frame) -> tuple:
+        row = self.index[k]
+        return (None if row["is_null"] else int(row["doc_id"])), int(self.base[k]), int(row["n_tokens"]), self.ids(frame)
+
     def rows(self, positions) -> Iterator[tuple]:
+        """A few documents, by one read each."""
         for k in positions:
             row = self.index[k]
-            yield (None if row["is_null"] else int(row["doc_id"])), int(self.base[k]), int(row["n_tokens"]), self.ids(k)
+            yield self._row(k, self.file.read_at(int(row["size"]), int(row["at"])))
+
+    def all_rows(self) -> Iterator[tuple]:
+        """Every document in its order, by reads of many neighbouring frames."""
+        starts = self.index["at"].astype("<i8")
+        ends = starts + self.index["size"]
+        first = 0
+        while first < len(starts):
+            last = max(first + 1, int(np.searchsorted(ends, starts[first] + READ_BYTES, "right")))
+            block = memoryview(self.file.read_at(int(ends[last - 1] - starts[first]), int(starts[first])))
+            for k in range(first, last):
+                yield self._row(k, block[starts[k] - starts[first]:ends[k] - starts[first]])
+            first = last
 
 
 def _shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -202,9 +221,9 @@ def read_tokens(spark: SparkSession, folder: str, only: list[int] | None = None)
             for part in parts:
                 for r in part.to_pylist():
                     with Shard(folder, r["file"]) as shard:
-                        keep = range(len(shard.index)) if wanted is None else np.flatnonzero(
-                            np.isin(shard.index["doc_id"], wanted) & (shard.index["is_null"] == 0))
-                        for doc_id, start, n, ids in shard.rows(keep):
+                        rows = shard.all_rows() if wanted is None else shard.rows(np.flatnonzero(
+                            np.isin(shard.index["doc_id"], wanted) & (shard.index["is_null"] == 0)))
+                        for doc_id, start, n, ids in rows:
                             yield doc_id, r["shard"], r["before"] + start, n, ids
         yield from batches(found(), ROWS, weigh=lambda row: len(row[4]))
 
