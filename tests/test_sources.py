@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_dict
 from weekloom.functions import text
-from weekloom.operators import catalog, profile, selection
+from weekloom.operators import catalog, energy, profile, selection
 from weekloom.sources import delimited, feeds, json_feeds, roles, stores
 
 
@@ -145,6 +145,14 @@ def test_load_role_needs_numbers(spark):
         roles.load_column(df.select("val_cargaglobal"))
 
 
+@pytest.mark.parametrize("hours", [[0, 1, 2, 3, 20, 40, 60, 80, 100, 120], [0, 7, 14, 21, 22, 23, 24, 25, 26, 27, 28], [0, 5, 12, 17, 24, 29, 36, 41, 48, 53],
+                                   list(range(12)), list(range(0, 96, 8)), [0, 1], [5] * 10])
+def test_intraday_without_order_where_it_is_settled(spark, hours):
+    df = spark.createDataFrame([(h,) for h in hours], "h int").select((F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours="h")).alias("ts"))
+    wanted = energy.cadence(df.withColumn("k", F.lit(1)), ["k"], "ts").first()["is_intraday"]
+    assert energy.is_intraday(df.groupBy("ts").agg(F.count(F.lit(1)).alias("n")), "ts", "n") == wanted
+
+
 def test_instants(spark):
     df = spark.createDataFrame([("2024-01-02", "03:00"), ("bad", "1")], "data string, hora string")
     assert [str(r[0]) for r in df.select(roles.instant(df)).collect()] == ["2024-01-02 03:00:00", "None"]
@@ -179,6 +187,27 @@ def test_curtailment_chooses_its_method(spark):
     assert total(method="limited") == pytest.approx(4 * 6)
     with pytest.raises(roles.UnknownLayout):
         feeds.curtailment(spark.createDataFrame([("2024-01-01", "x")], "data string, other string"), "fv")
+    # Several candidates: the first of numbers alone, judged over all rows; without one, the pair.
+    cols = "competencia string, corte_txt string, corte_mwh string, val_geracaoestimada string, val_geracaoverificada string"
+    several = [("2024-02-01", "x", "29", "5", "3"), ("bad", "1", "1", "0", "0")]
+    some = lambda rows: feeds.curtailment(spark.createDataFrame(rows, cols), "fv").agg(F.sum("corte_fv_mwh")).first()[0]
+    assert some(several) == pytest.approx(29.0)
+    assert some([several[0], ("bad", "1", "y", "0", "0")]) == pytest.approx(2 * 24 * 29)
+    with pytest.raises(roles.UnknownLayout):
+        feeds.curtailment(spark.createDataFrame([("2024-01-01", "x")], "data string, corte_mwh string"), "fv")
+
+
+def test_load_reads_the_first_numeric_column(spark):
+    rows = [("SE", "2024-01-01 00:00", "x", "1", "5"), ("Sudeste", "2024-01-01 01:00", "2", " ", "6"), ("SE", None, "3", "2", "x")]
+    cols = "subsistema string, din_instante string, val_cargaglobal string, carga_verificada_mw string, valor string"
+    assert as_dict(feeds.load(spark.createDataFrame(rows, cols)), "series_key")["seco"]["carga_mwh"] == 1.0
+    daily = spark.createDataFrame([("SE", "2024-01-01", "x", "1"), ("NE", "2024-01-01", "3", "2")],
+                                  "subsistema string, dat_referencia string, val_cargaglobal string, valor string")
+    assert {k: v["carga_mwh"] for k, v in as_dict(feeds.load(daily), "series_key").items()} == {"seco": 1.0, "ne": 2.0}
+    both = daily.withColumn("carga_mwh", F.lit("7"))
+    assert as_dict(feeds.load(both), "series_key")["ne"]["carga_mwh"] == 7.0
+    with pytest.raises(roles.UnknownLayout):
+        feeds.load(daily.drop("valor"))
 
 
 RESOURCES = [
@@ -263,6 +292,20 @@ def test_writers(spark, tmp_path):
     hist = str(tmp_path / "h")
     stores.append_scores(spark, hist, "a", 0.5, 0.6)
     assert stores.append_scores(spark, hist, "b", 0.7, 0.8).count() == 2
+    # A named run is there once, with what it left last; other runs stay.
+    for f1 in (0.1, 0.2):
+        stores.append_scores(spark, hist, "c", f1, 0.9, run="night")
+    got = stores.append_scores(spark, hist, "d", 0.3, 0.4, run="day").collect()
+    assert sorted((r["modelo"], r["f1_macro"]) for r in got) == [("a", 0.5), ("b", 0.7), ("c", 0.2), ("d", 0.3)]
+
+
+def test_run_history_with_odd_keys(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    rows = lambda *r: spark.createDataFrame(r, "run_key string, v int")
+    stores.record_runs(rows(("01", 1), ("a/b=c", 2), ("01", 3)), path)
+    got = stores.record_runs(rows((None, 5), ("a/b=c", 4)), path).collect()
+    assert sorted((r["run_key"] or "", r["v"]) for r in got) == [("", 5), ("01", 1), ("01", 3), ("a/b=c", 4)]
+    assert stores.record_runs(rows().limit(0), path).count() == 4
 
 
 def test_profiles(spark):

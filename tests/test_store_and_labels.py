@@ -190,6 +190,26 @@ def test_oversampling(spark):
     assert sampling.oversample_minority(df, "y", ["id"], 1.0).count() == 100
 
 
+def test_draws_with_replacement(spark):
+    rows = [(i, "baixo" if i < 30000 else "alto" if i < 39000 else "medio") for i in range(49000)]
+    df = spark.createDataFrame(rows, "id bigint, y string")
+    out = sampling.oversample_minority(df, "y", ["id"], 0.4, seed=3, replacement=True)
+    counts = {"baixo": 30000, "medio": 10000, "alto": 9000}
+    extra = sampling.extra_draws(counts, 0.4)
+    per_row = {(r["y"], r["id"]): r["count"] - 1 for r in out.groupBy("y", "id").count().collect()}
+    assert len(per_row) == 49000
+    for c, k in extra.items():
+        drawn = [n for (y, _), n in per_row.items() if y == c]
+        assert sum(drawn) == k and min(drawn) == 0
+        # Chi-square of equal chances: n - 1 degrees of freedom, five standard deviations.
+        each = k / len(drawn)
+        assert abs(sum((n - each) ** 2 for n in drawn) / each - (len(drawn) - 1)) < 5 * (2 * len(drawn)) ** 0.5
+    again = sampling.oversample_minority(df.repartition(7), "y", ["id"], 0.4, seed=3, replacement=True)
+    assert {(r["y"], r["id"]): r["count"] - 1 for r in again.groupBy("y", "id").count().collect()} == per_row
+    other = sampling.oversample_minority(df, "y", ["id"], 0.4, seed=4, replacement=True)
+    assert {(r["y"], r["id"]): r["count"] - 1 for r in other.groupBy("y", "id").count().collect()} != per_row
+
+
 def test_selection(spark):
     imp = spark.createDataFrame([("a", 0.5), ("b", 0.3), ("c", 0.1), ("gone", 0.9)], "feature string, importance double")
     avail = ["a", "b", "c", "d"]

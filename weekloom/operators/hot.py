@@ -73,9 +73,14 @@ def hash_order(cols: Sequence[str], seed: int) -> Column:
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the last row of each key. An aggregate, so hot keys combine before the shuffle."""
+    """Keep the last row of each key. An aggregate, so hot keys combine before the shuffle.
+
+    Of rows equal in ``order`` the one with the greatest other values is kept
+    (in the order of the columns, maps left out).
+    """
     rest = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    ties = [c for c, kind in df.dtypes if c in rest and c not in order and "map<" not in kind]
+    picked = F.max_by(F.struct(*rest), F.struct(*order, *ties)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*df.columns)
 
 

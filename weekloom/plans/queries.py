@@ -712,6 +712,44 @@ def oversample(spark, d):
         F.count(F.when(F.col("copy_no") == 0, 1)).alias("originals"), F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("oversample_draws", ORACLE["oversample"])
+def oversample_draws(spark, d):
+    """The same numbers of rows by draws with replacement."""
+    rows = stage(labelled(spark, d).filter(F.col("classe_risco").isNotNull()).select(*K, T, "classe_risco"), "labels")
+    out = sampling.oversample_minority(rows, "classe_risco", [*K, T], 0.33, replacement=True)
+    return out.groupBy("classe_risco").agg(
+        F.count(F.when(F.col("copy_no") == 0, 1)).alias("originals"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("score_history", _FOLD_SCORES + """ SELECT 'fold ' || fold AS run_key, round(f1_macro, 6) AS f1_macro,
+       round(balanced_acc, 6) AS balanced_acc, n_rows FROM fs""")
+def score_history(spark, d):
+    """Scores of each fold recorded as a run; all runs are repeated with other scores, then with the right ones."""
+    path = _scratch(spark, "history")
+    scores = stage(metrics.macro_scores(pairs(spark, d), "truth", "pred", ["fold"]), "scores")
+    runs = rounded(scores, ["f1_macro", "balanced_acc"], 6).select(
+        F.concat(F.lit("fold "), F.col("fold").cast("string")).alias("run_key"), "f1_macro", "balanced_acc", "n_rows")
+    stores.record_runs(runs.withColumn("f1_macro", F.lit(-1.0)), path)
+    stores.record_runs(runs.filter("run_key = 'fold 0'"), path)
+    return stores.record_runs(runs.filter("run_key <> 'fold 0'"), path)
+
+
+@query("report_text", _REPORT + """, m AS (SELECT c AS truth, count(*) FILTER (truth = c AND pred = 'baixo') AS b,
+       count(*) FILTER (truth = c AND pred = 'medio') AS m, count(*) FILTER (truth = c AND pred = 'alto') AS a FROM c CROSS JOIN pair GROUP BY 1),
+       r AS (SELECT c AS row, p, r, f, sup FROM sc
+       UNION ALL SELECT 'accuracy', sum(tp) / sum(sup), sum(tp) / sum(sup), sum(tp) / sum(sup), CAST(sum(sup) AS BIGINT) FROM sc
+       UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), CAST(sum(sup) AS BIGINT) FROM sc
+       UNION ALL SELECT 'weighted avg', sum(p * sup) / sum(sup), sum(r * sup) / sum(sup), sum(f * sup) / sum(sup), CAST(sum(sup) AS BIGINT) FROM sc)
+       SELECT concat_ws(chr(9), row, printf('%.3f', p), printf('%.3f', r), printf('%.3f', f), CAST(sup AS VARCHAR)) AS line FROM r
+       UNION ALL SELECT concat_ws(chr(9), truth, CAST(b AS VARCHAR), CAST(m AS VARCHAR), CAST(a AS VARCHAR)) FROM m""")
+def report_text(spark, d):
+    """Report and confusion matrix as lines of text, read back."""
+    path = _scratch(spark, "report")
+    seen = stage(pairs(spark, d), "pairs")
+    stores.write_report(metrics.class_report(seen, "truth", "pred"), metrics.confusion_matrix(seen, "truth", "pred"), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 # ---- importances and selection -------------------------------------------------
 
 _IMP_COLS = [c for c in _LABEL_COLS if c not in ("margem_suprimento_w",)]
@@ -1113,6 +1151,13 @@ def warehouse_view(spark, d):
     return view.groupBy(*K).agg(F.count(F.lit(1)).alias("n_weeks"))
 
 
+@query("warehouse_table", ORACLE["warehouse_view"])
+def warehouse_table(spark, d):
+    """The weekly load as a managed table."""
+    kept = marts.publish(load_week(spark, d, ("sum",)), f"weekloom_load_week_{uuid.uuid4().hex}")
+    return kept.groupBy(*K).agg(F.count(F.lit(1)).alias("n_weeks"))
+
+
 _GEN_COLS = [f"{c}_sum_w" for c in _GEN]
 
 

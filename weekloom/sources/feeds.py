@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions import text
-from weekloom.functions.scalars import to_instant, to_number
+from weekloom.functions.dates import month_start
+from weekloom.functions.scalars import clip_low, to_instant, to_number
 from weekloom.operators import energy, resample
 from weekloom.operators.align import flows_by_key
+from weekloom.session import stage
 from weekloom.sources import roles
 
 Groups = Mapping[str, Iterable[str]] | None
@@ -91,13 +93,55 @@ def load(df: DataFrame, groups: Groups = None, default: str = "seco", step_hours
     length of a sub-daily row: 1.0 sums half-hourly power as if hourly, 0.5
     gives its energy.
     """
-    value = to_number(roles.load_column(df))
+    candidates = roles.load_columns(df.columns)
     timed = next((c for c in ("din_instante", "din_referenciautc") if c in df.columns), None)
     if roles.is_subdaily(df.columns):
         ts = to_instant(timed) if timed else roles.instant(df)
-        return _daily_energy(_named(df, ts, default, carga_mwh=value), ["carga_mwh"], groups, step_hours)
+        daily, usable = _sums_of_all(df, ts.cast("date"), default, candidates)
+        value = F.col(_slot(candidates, roles.pick_load(candidates, usable)))
+        rows = daily.filter(F.col("ts").isNotNull()).select("_name", "ts", value.alias("carga_mwh"))
+        return _daily_energy(rows, ["carga_mwh"], groups, step_hours)
     dated = to_instant("dat_referencia") if "dat_referencia" in df.columns else roles.day_of_period(df)
-    return _as_days(_keyed(df, dated, groups, default, carga_mwh=value))
+    name = roles.series_column(df.columns)
+    kept = stage(df.select(
+        (F.lit(default) if name is None else F.col(name).cast("string")).alias("_name"), dated.cast("date").alias(DAY),
+        *[to_number(c).alias(_slot(candidates, c)) for c in candidates],
+        *[roles.not_a_number(df, c).alias(_slot(candidates, c, "_bad")) for c in candidates]), "load")
+    value = F.col(_slot(candidates, roles.pick_load(candidates, _usable(kept, candidates))))
+    key = F.col("_name") if name is None else text.series_key("_name", groups)
+    rows = kept.select(key.alias(KEY), DAY, value.alias("carga_mwh"))
+    return rows.filter(F.col(DAY).isNotNull() & F.col(KEY).isNotNull())
+
+
+def _slot(candidates: Sequence[str], name: str, prefix: str = "_sum") -> str:
+    return f"{prefix}{list(candidates).index(name)}"
+
+
+def _usable(kept: DataFrame, candidates: Sequence[str]) -> list[str]:
+    """Candidates without a text that is no number, from their flags in a staged table."""
+    if not candidates:
+        return []
+    row = kept.agg(*[F.max(_slot(candidates, c, "_bad")).alias(_slot(candidates, c)) for c in candidates]).first()
+    return [c for c in candidates if not row[_slot(candidates, c)]]
+
+
+def _sums_of_all(df: DataFrame, ts: Column, default: str, candidates: Sequence[str], **more: Column) -> tuple[DataFrame, list[str]]:
+    """Sums of all candidate columns by name as written and ``ts``, and the candidates of numbers alone.
+
+    The feed is read once: which column counts is decided on the small staged
+    result. Rows without ``ts`` stay, since they speak for or against a column.
+    """
+    name = roles.series_column(df.columns)
+    rows = df.select(
+        (F.lit(default) if name is None else F.col(name).cast("string")).alias("_name"), ts.alias("ts"),
+        *[to_number(c).alias(_slot(candidates, c)) for c in candidates],
+        *[roles.not_a_number(df, c).alias(_slot(candidates, c, "_bad")) for c in candidates],
+        *[c.alias(n) for n, c in more.items()])
+    sums = [*[_slot(candidates, c) for c in candidates], *more]
+    kept = stage(rows.groupBy("_name", "ts").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(c) for c in sums],
+        *[F.max(_slot(candidates, c, "_bad")).alias(_slot(candidates, c, "_bad")) for c in candidates]), "candidates")
+    return kept, _usable(kept, candidates)
 
 
 def curtailment(df: DataFrame, source: str, groups: Groups = None, default: str = "seco",
@@ -112,29 +156,41 @@ def curtailment(df: DataFrame, source: str, groups: Groups = None, default: str
     out = f"corte_{source}_mwh"
     ts = roles.day_of_period(df)
     has_power = any(c in df.columns for c in roles.POWER_NAMES)
-    if intraday is None:
-        intraday = has_power and _is_intraday(df, ts)
-    if intraday:
-        return _integrated(df, ts, groups, default, plant, order, method, out)
-    value = roles.cut_energy_column(df)
-    if value is not None:
-        rows = _keyed(df, ts, groups, default, **{out: to_number(value)})
-        return resample.spread_month(rows, [KEY], "ts", out)
-    if {"val_geracaoestimada", "val_geracaoverificada"} <= set(df.columns):
-        rows = _keyed(df, ts, groups, default, est=to_number("val_geracaoestimada"), ver=to_number("val_geracaoverificada"))
-        monthly = resample.shortfall_month_energy(rows, [KEY], "ts", "est", "ver", out)
-        return resample.spread_month(monthly, [KEY], DAY, out)
+    if intraday or intraday is None and has_power:
+        try:
+            found = _power(df, ts, groups, default, plant, order, method)
+        except roles.UnknownLayout:
+            if intraday or _is_intraday(df.select(ts.alias("ts")).groupBy("ts").agg(F.count(F.lit(1)).alias("_rows"))):
+                raise
+        else:
+            # Cadence and sums both come from the plants' instants, staged once.
+            found = stage(found, "power") if intraday is None else found
+            if intraday or _is_intraday(found.groupBy("ts").agg(F.sum("_rows").alias("_rows"))):
+                known = found.filter(F.col(KEY).isNotNull())
+                return energy.integrate_instants(known, [KEY, "plant"], "ts", out, by=[KEY])
+    candidates = roles.cut_energy_columns(df.columns)
+    pair = {"val_geracaoestimada", "val_geracaoverificada"} <= set(df.columns)
+    if not candidates and not pair:
+        raise roles.UnknownLayout("no curtailed energy and no estimated/verified pair")
+    gap = {"_gap": clip_low(to_number("val_geracaoestimada") - to_number("val_geracaoverificada"))} if pair else {}
+    monthly, usable = _sums_of_all(df, month_start(ts), default, candidates, **gap)
+    name = roles.series_column(df.columns)
+    monthly = monthly.withColumn(KEY, F.col("_name") if name is None else text.series_key("_name", groups))
+    monthly = monthly.filter(F.col("ts").isNotNull() & F.col(KEY).isNotNull())
+    if usable:
+        return resample.spread_month(monthly.withColumn(out, F.col(_slot(candidates, usable[0]))), [KEY], "ts", out)
+    if pair:
+        hours = resample.shortfall_month_energy(monthly.withColumn("_none", F.lit(0.0)), [KEY], "ts", "_gap", "_none", out)
+        return resample.spread_month(hours, [KEY], DAY, out)
     raise roles.UnknownLayout("no curtailed energy and no estimated/verified pair")
 
 
-def _is_intraday(df: DataFrame, ts: Column) -> bool:
-    """Whether the feed as a whole has at least ten rows and a median step below six hours."""
-    one = df.select(F.lit("all").alias("feed"), ts.alias("ts"))
-    row = energy.cadence(one, ["feed"], "ts").first()
-    return bool(row and row["is_intraday"])
+def _is_intraday(instants: DataFrame) -> bool:
+    return energy.is_intraday(instants.filter(F.col("ts").isNotNull()), "ts", "_rows")
 
 
-def _integrated(df, ts, groups, default, plant, order, method, out):
+def _power(df, ts, groups, default, plant, order, method):
+    """Curtailed power by plant and instant, also of rows whose series is unknown."""
     cols = df.columns
     ref = roles.reference_column(cols)
     limited = "val_geracaolimitada" if "val_geracaolimitada" in cols else None
@@ -143,13 +199,13 @@ def _integrated(df, ts, groups, default, plant, order, method, out):
     if ref is None or (limited is None and "val_geracao" not in cols):
         raise roles.UnknownLayout("no reference or generation column")
     none = F.lit(None).cast("double")
-    rows = _keyed(
-        df, ts, groups, default,
-        plant=F.col(plant).cast("string") if plant in cols else F.lit("all"),
-        # Without a row number, readings of one plant at one instant are ordered by their values.
-        tie=F.col(order) if order else F.struct(*[F.col(c).cast("string") for c in cols]),
-        ref=to_number(ref), lim=to_number(limited) if limited else none,
-        gen=to_number("val_geracao") if "val_geracao" in cols else none,
-    ).withColumn("plant", F.coalesce("plant", F.lit("")))
+    rows = df.select(
+        _key(df, groups, default).alias(KEY), ts.alias("ts"),
+        F.coalesce(F.col(plant).cast("string") if plant in cols else F.lit("all"), F.lit("")).alias("plant"),
+        (F.col(order) if order else none).alias("order"), to_number(ref).alias("ref"),
+        (to_number(limited) if limited else none).alias("lim"),
+        (to_number("val_geracao") if "val_geracao" in cols else none).alias("gen"))
+    # Without a row number, readings of one plant at one instant are ordered by their values.
+    rows = rows.withColumn("tie", F.struct("order", "ref", "lim", "gen"))
     power = energy.curtailed_power("ref", F.col("lim"), F.col("gen"), method)
-    return energy.integrate_energy(rows, [KEY, "plant"], "ts", power, "tie", out, by=[KEY])
+    return energy.power_by_instant(rows, [KEY, "plant"], "ts", power, "tie")

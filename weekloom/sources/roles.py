@@ -135,20 +135,32 @@ def numeric_among(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if c not in texts or c in good]
 
 
-def load_column(df: DataFrame) -> str:
-    """The load value: a preferred name, a name about load in power units, ``carga_mwh``, ``valor``."""
-    cols = df.columns
+def not_a_number(df: DataFrame, name: str) -> Column:
+    """Whether a row holds text in a column that is no number; blank text is none."""
+    if dict(df.dtypes)[name] != "string":
+        return F.lit(False)
+    return F.coalesce((F.trim(name) != "") & to_number(name).isNull(), F.lit(False))
+
+
+def load_columns(cols: Sequence[str]) -> list[str]:
+    """Columns that may hold the load value: preferred names, names about load in power units, ``carga_mwh``, ``valor``."""
     named = [c for c in cols if any_word(c, ("carga", "demanda")) and any_word(c, ("mw", "valor"))]
-    tested = [c for c in (*LOAD_PREFERRED, *named, "valor") if c in cols]
-    usable = numeric_among(df, dict.fromkeys(tested))
-    for c in (*LOAD_PREFERRED, *named):
-        if c in usable:
-            return c
-    if "carga_mwh" in cols:
-        return "carga_mwh"
-    if "valor" in usable:
-        return "valor"
-    raise UnknownLayout("no load column")
+    found = [c for c in (*LOAD_PREFERRED, *named, "carga_mwh", "valor") if c in cols]
+    return list(dict.fromkeys(found))
+
+
+def pick_load(candidates: Sequence[str], usable: Sequence[str]) -> str:
+    """The first candidate of numbers alone; ``carga_mwh`` counts whatever it holds."""
+    name = first_where(candidates, lambda c: c in usable or c == "carga_mwh" and not any(u in usable for u in candidates if u != "valor"))
+    if name is None:
+        raise UnknownLayout("no load column")
+    return name
+
+
+def load_column(df: DataFrame) -> str:
+    """The load value among ``load_columns``, by one aggregate over the data."""
+    candidates = load_columns(df.columns)
+    return pick_load(candidates, numeric_among(df, candidates))
 
 
 def is_subdaily(cols: Sequence[str]) -> bool:
@@ -165,7 +177,6 @@ def reference_column(cols: Sequence[str]) -> str | None:
     return next((c for c in REFERENCE_NAMES if c in cols), None)
 
 
-def cut_energy_column(df: DataFrame) -> str | None:
-    named = [c for c in df.columns if any_word(c, CUT_WORDS)]
-    usable = numeric_among(df, named)
-    return usable[0] if usable else None
+def cut_energy_columns(cols: Sequence[str]) -> list[str]:
+    """Columns that may hold curtailed energy, the first of numbers alone being the one."""
+    return [c for c in cols if any_word(c, CUT_WORDS)]

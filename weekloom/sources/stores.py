@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -88,11 +89,28 @@ def save_sources(sources: Mapping[str, DataFrame], raw_dir: str, fmt: str = "csv
                     f"{raw_dir.rstrip('/')}/{SOURCE_FILES[name][0]}.{fmt}", overwrite, fmt)
 
 
-def append_scores(spark: SparkSession, path: str, model: str, f1_macro: float, balanced_acc: float) -> DataFrame:
-    """Add one line to the history of validation scores and return the history."""
-    row = spark.createDataFrame([(model, f1_macro, balanced_acc)], "modelo string, f1_macro double, balanced_acc double")
-    row.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+def record_runs(rows: DataFrame, path: str, run: str = "run_key") -> DataFrame:
+    """Add runs to a history and return all of it; a run that is there already is replaced.
+
+    Each run is a folder of its own, put in place by Spark once all its rows
+    are written: a repeated or failed job leaves every run once, and runs that
+    are not among ``rows`` stay as they are. A null or empty key is one run.
+    """
+    keyed = rows.withColumn(run, F.col(run).cast("string"))
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path)
+    return rows.sparkSession.read.schema(keyed.schema).parquet(path).select(*rows.columns)
+
+
+def append_scores(spark: SparkSession, path: str, model: str, f1_macro: float, balanced_acc: float,
+                  run: str | None = None) -> DataFrame:
+    """Add one line to the history of validation scores and return the history.
+
+    The line of a named ``run`` replaces the one that run has left before;
+    without a name every call adds a line.
+    """
+    row = spark.createDataFrame([(model, f1_macro, balanced_acc, run or uuid.uuid4().hex)],
+                                "modelo string, f1_macro double, balanced_acc double, run_key string")
+    return record_runs(row, path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
