@@ -448,6 +448,18 @@ def pruned_features(spark, d):
     return rounded(store, weekly.feature_columns(store))
 
 
+@query("pruned_store", _BASE + " SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, count({c}) AS n_values, round(min({c}), 4) AS lowest, round(max({c}), 4) AS highest, count(*) AS n_weeks FROM base"
+    for c in BASE_COLS) + f") WHERE n_values >= {FeatureSettings().min_weekly_coverage}::DOUBLE * n_weeks")
+def pruned_store(spark, d):
+    """Every statistic of every source with the weekly coverage limit on (``coverage_daily`` has the daily one): the columns left, with their range."""
+    store = stage(weekly.base_store(tables.daily_long(spark, d), tables.VARIABLES, FeatureSettings(min_daily_coverage=None)), "pruned")
+    cols = weekly.feature_columns(store)
+    found = F.array(*[F.struct(F.lit(c).alias("variable"), F.count(c).alias("n_values"), F.min(c).cast("double").alias("lowest"),
+                               F.max(c).cast("double").alias("highest"), F.count(F.lit(1)).alias("n_weeks")) for c in cols])
+    return rounded(store.agg(found.alias("found")).select(F.inline("found")), ["lowest", "highest"])
+
+
 # ---- text, coercion, JSON -----------------------------------------------------
 
 _NORM_KEY = """regexp_replace(replace(strip_accents(lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'))), '/', ''), '[- _]+', '_', 'g')"""
@@ -628,6 +640,14 @@ _PAIR = _STEPS + _SHARED.format("lab") + """, pair AS (SELECT *, CAST(CASE WHEN
        n - rn AS e, n // 6 AS s FROM lab JOIN t USING (data)) WHERE truth IS NOT NULL AND pred IS NOT NULL)"""
 
 
+@query("same_label", _STEPS + """ SELECT series_key, data, classe_risco IS NOT DISTINCT FROM
+       lag(classe_risco) OVER (PARTITION BY series_key ORDER BY data) AS same FROM lab""")
+def same_label(spark, d):
+    """Whether a week has the label of the week before; weeks without one are alike."""
+    out = labelled(spark, d).withColumn("before", F.lag("classe_risco").over(windows.ordered(K, T)))
+    return out.select(*K, T, scalars.same_value("classe_risco", "before").alias("same"))
+
+
 def pairs(spark, d):
     """This week's label against last week's as its forecast."""
     out = windows.expanding_folds(labelled(spark, d), T, 5)
@@ -1053,17 +1073,33 @@ _ROLES = {
     "storage": "ear_verif_subsistema_percentual"}
 
 
-@query("role_resolution", q.with_(q.PLACES, q.UNITS) + ' SELECT role, "column", (SELECT count(*) FROM unit_raw) AS n_rows FROM (VALUES '
-       + ", ".join(f"('{r}', '{c}')" for r, c in _ROLES.items()) + ') AS v(role, "column")')
+# Per role the value in SQL and the table it is read from.
+_ROLE_VALUES = {
+    "ger_hidreletrica_mwh": ("CASE WHEN unit IN (1, 2) THEN mwh END", "unit_raw"), "ger_eolica_mwh": ("CASE WHEN unit IN (3, 4) THEN mwh END", "unit_raw"),
+    "ger_fv_mwh": ("CASE WHEN unit = 5 THEN mwh END", "unit_raw"), "ger_termica_mwh": ("CASE WHEN unit IN (6, 7) THEN mwh END", "unit_raw"),
+    "origin": ("origin", "exch_raw"), "destination": ("destination", "exch_raw"), "flow": ("mwh", "exch_raw"),
+    "load": ("carga_mwh", "load_raw"), "inflow": ("ena_mwmed", "unit_raw"), "storage": ("ear_pct", "unit_raw")}
+
+
+@query("role_resolution", q.with_(q.PLACES, q.LOAD, q.UNITS, q.EXCHANGE) + " " + " UNION ALL ".join(
+    f"""SELECT '{r}' AS role, '{_ROLES[r]}' AS "column", count(*) AS n_rows, count({v}) AS n_values,
+    CAST(sum(TRY_CAST({v} AS DOUBLE)) AS DOUBLE) AS total FROM {src}""" for r, (v, src) in _ROLE_VALUES.items()))
 def role_resolution(spark, d):
-    """The columns each raw feed's roles resolve to, with the rows they were found in."""
-    balance, flows = tables.raw_balance(spark, d), tables.raw_exchange(spark, d)
+    """The columns each raw feed's roles resolve to, with the rows, values and sum of numbers found in them."""
+    balance, flows, load = tables.raw_balance(spark, d), tables.raw_exchange(spark, d), tables.raw_load(spark, d)
+    inflow, storage = tables.raw_inflow(spark, d), tables.raw_storage(spark, d)
     origin, dest, value = roles.flow_columns(flows.columns)
-    found = {**roles.generation_columns(balance.columns), "origin": origin, "destination": dest, "flow": value,
-             "load": roles.load_column(tables.raw_load(spark, d)), "inflow": roles.inflow_column(tables.raw_inflow(spark, d).columns),
-             "storage": roles.storage_column(tables.raw_storage(spark, d).columns)}
-    rows = balance.agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.select(F.explode(F.create_map(*[F.lit(x) for kv in found.items() for x in kv])).alias("role", "column"), "n_rows")
+    out = None
+    for raw, found in (
+        (balance, roles.generation_columns(balance.columns)), (flows, {"origin": origin, "destination": dest, "flow": value}),
+        (load, {"load": roles.load_column(load)}), (inflow, {"inflow": roles.inflow_column(inflow.columns)}),
+        (storage, {"storage": roles.storage_column(storage.columns)}),
+    ):
+        aggs = [F.struct(F.lit(r).alias("role"), F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_rows"),
+                         F.count(F.when(F.trim(c) != "", 1)).alias("n_values"), F.sum(scalars.to_number(c)).alias("total")) for r, c in found.items()]
+        part = raw.agg(F.array(*aggs).alias("found")).select(F.inline("found"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ---- files ---------------------------------------------------------------------------
@@ -1167,6 +1203,19 @@ def reindex(spark, d):
     return coverage.reindex_columns(base, [*_GEN_COLS, "not_there"], [*K, T])
 
 
+_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("numeric_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, count({c}) AS n_values, round(CAST(max({c}) AS DOUBLE), 4) AS highest FROM lineitem" for c in _NUMBERS))
+def numeric_columns(spark, d):
+    """The columns of numbers among all columns of the lines, with their values."""
+    line = table(spark, d, "lineitem")
+    found = F.array(*[F.struct(F.lit(c).alias("variable"), F.count(c).alias("n_values"), F.max(c).cast("double").alias("highest"))
+                      for c in coverage.numeric_columns(line)])
+    return rounded(line.agg(found.alias("found")).select(F.inline("found")), ["highest"])
+
+
 @query("drop_empty", "SELECT event_id, value FROM events")
 def drop_empty(spark, d):
     rows = table(spark, d, "events").select("event_id", "value", F.get_json_object("props", "$.missing").alias("gone"))
@@ -1259,6 +1308,31 @@ def threshold_models(spark, d):
     return out
 
 
+def _stored(spark, d, thresholds=None):
+    """A forest on all lines, saved with its thresholds and loaded again; the table it was fitted on."""
+    rows = table(spark, d, "lineitem").select(F.col("l_linenumber").cast("double").alias("line")).withColumn(
+        "classe_risco", F.when(F.col("line") >= 4, "alto").otherwise("baixo"))
+    model = training.fit_model(rows, ["line"], training.ModelSpec("rf", "rf", _FAMILIES["rf"]))
+    model.thresholds = thresholds
+    path = _scratch(spark, "model")
+    training.save_model(model, spark, path)
+    return training.load_model(spark, [f"{path}-none", path]), rows
+
+
+@query("stored_model", """SELECT CAST(l_linenumber AS DOUBLE) AS line, CASE WHEN l_linenumber >= 4 THEN 'alto' ELSE 'baixo' END AS previsto, count(*) AS n
+       FROM lineitem GROUP BY ALL""")
+def stored_model(spark, d):
+    """Answers of a model that was saved and loaded by the first path that exists."""
+    model, rows = _stored(spark, d)
+    return model.predict(rows.groupBy("line").agg(F.count(F.lit(1)).alias("n"))).select("line", "previsto", "n")
+
+
+@query("stored_thresholds", ORACLE["thresholds"])
+def stored_thresholds(spark, d):
+    """Thresholds of the labels as they come back with a stored model."""
+    return _stored(spark, d, thresholds(spark, d))[0].thresholds
+
+
 @query("linear_grid", """WITH t AS (SELECT CAST(l_shipdate AS DATE) AS data, count(*) AS n, count(*) FILTER (l_linenumber >= 4) AS high FROM lineitem GROUP BY 1),
        r AS (SELECT *, row_number() OVER (ORDER BY data) AS rn, count(*) OVER () AS all_dates FROM t),
        f AS (SELECT CASE WHEN (all_dates - rn) // (all_dates // 4) < 3 THEN 3 - (all_dates - rn) // (all_dates // 4) ELSE 0 END AS fold, sum(n) AS n, sum(high) AS high
