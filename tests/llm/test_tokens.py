@@ -5,8 +5,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import tokenizers
 
-from weekloom.llm import binary_out, packing
+from weekloom.llm import binary_out, packing, tokens
 from weekloom.llm.tokens import Encoder, default_path
 
 TEXTS = ["Hello there, world.", "", None, "a  b   c\n\n d\n e ", " \n x", "\nstart", "tab\tand hard space", "İstanbul ΣΑΣ naïve é",
@@ -37,6 +38,25 @@ def test_cut_texts_encode_like_whole_texts(name):
     assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)] == [plain(name, t, 0)[:-1] for t in texts]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_letter_runs_with_punctuation_encode_like_whole_texts(name, monkeypatch):
+    rng = np.random.default_rng(7)
+    letters = list("abcdeSTxyzÉéÀÿßıİŉǅȺɏñØ×÷əΣж漢ªºʼé̈")
+    marks = ["", "", "", ".", ",", "'s", "'", "!?", "_", "(", "-b", "0", "…", "<|", "~~", "\u00a0", "\x1c", "ﬁ", "'LL", "’"]
+    texts = []
+    for _ in range(300):
+        words = ["".join(rng.choice(letters, rng.integers(0, 9))) + rng.choice(marks) for _ in range(rng.integers(0, 30))]
+        texts.append("".join(w + rng.choice([" ", " ", " ", "\n"]) for w in words))
+    monkeypatch.setattr(tokens, "CACHE_SEGMENTS", 60)
+    monkeypatch.setattr(tokens, "BLOCK_CHARS", 500)
+    enc = Encoder(default_path(name))
+    assert enc.splits
+    library = tokenizers.Tokenizer.from_file(default_path(name))
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)] == wanted
+    assert len(enc.old) > 60
+
+
 def test_special_tokens_as_text():
     from tokenizers import Tokenizer
 

@@ -120,12 +120,11 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str | None = None, end_i
                 files, base = _open(folder)
                 target, temp = f"{base}/{name}", f"{base}/.{name}-{task.taskAttemptId()}"
                 out = files.open_output_stream(temp)
-            for lo in range(0, len(names), 64):
-                for doc_id, ids in zip(names[lo:lo + 64], encoder(path).encode(cut[lo:lo + 64])):
-                    frame = press.compress(_packed(ids + end, width))
-                    out.write(frame)
-                    index.append((doc_id or 0, doc_id is None, len(ids) // 4 + 1, at, len(frame)))
-                    at += len(frame)
+            for doc_id, ids in zip(names, encoder(path).each(cut)):
+                frame = press.compress(_packed(ids + end, width))
+                out.write(frame)
+                index.append((doc_id or 0, doc_id is None, len(ids) // 4 + 1, at, len(frame)))
+                at += len(frame)
         if out is None:
             return
         rows = np.array(index, INDEX)

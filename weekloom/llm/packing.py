@@ -161,9 +161,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, capacit
 
         for part in parts:
             names, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for at in range(0, len(texts), 64):
-                for name, ids in zip(names[at:at + 64], enc.encode(texts[at:at + 64])):
-                    packer.add(name, ids + end)
+            for name, ids in zip(names, enc.each(texts)):
+                packer.add(name, ids + end)
                 if packer.size > POOL:
                     packer.shrink(POOL // 2)
                 if len(packer.rows) >= 4000:

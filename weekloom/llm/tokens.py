@@ -6,17 +6,29 @@ the tokenizers library, and the ids put together again. Where a cut could
 change the ids (two white-space characters side by side in a vocabulary that
 keeps white space) the text is encoded in one piece. So is a text that holds a
 special token literally: the library gives it the token's id.
+
+A new segment of Latin letters, with or without punctuation behind them, is
+looked up by its letters (in lower case where the vocabulary has no other), and
+new letter runs go to the library many at a time, as one text that is cut again
+where the tokens show a word's start or end.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+
+import numpy as np
 
 # Distinct segments one worker keeps, in each of two generations.
 CACHE_SEGMENTS = 600_000
+# Characters of the texts that are cut before their new segments are encoded, and letter runs of one joined text.
+BLOCK_CHARS, JOINED = 1 << 20, 5000
+# Letters that neither composition nor lower case changes into something else than one letter, then ASCII punctuation.
+PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\[-`{-~]+)?")
 WHITE_PAIR = re.compile(r"\s\s")
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -50,6 +62,7 @@ class Encoder:
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         # A vocabulary that drops white space encodes "a" and " a" alike.
         self.drops_space = self._raw([" a"]) == self._raw(["a"])
+        self._read_edges()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -57,22 +70,75 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _read_edges(self) -> None:
+        """Which tokens start or end a word, and whether letter runs may be joined and looked up in lower case."""
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.edges = np.zeros(1 + max(vocabulary.values()), bool)
+        for token, i in vocabulary.items():
+            self.edges[i] = bool(suffix) and token.endswith(suffix) if self.drops_space else token[:1] == "\u0120"  # a space
+        words, tails = ["a", "Tree", "qxzvkw", "\u00c9t\u00e9", "\u0178\u00df\u0131"], [".", "?!", "(_", ">>|"]
+        self.folds = all(self._alone([w]) == self._alone([w.lower()]) for w in words)
+        self.splits = self._joined(words) == self._alone(words) and all(
+            self._alone([w + t])[0] == self._alone([w])[0] + self._alone([self._tail(t)])[0] for w in words for t in tails)
+
+    def _tail(self, punctuation: str) -> str:
+        """Punctuation behind letters as a segment: nothing stands between them."""
+        return punctuation if self.drops_space else "\x00" + punctuation
+
+    def _alone(self, parts: Sequence[str]) -> list[bytes]:
+        # A marked segment is the start of a text or line and has no space in front.
+        return self._raw(parts if self.drops_space else [s[1:] if s[:1] == "\x00" else s if s[:1] == "\n" else " " + s for s in parts])
+
+    def _joined(self, words: Sequence[str]) -> list[bytes]:
+        """Ids of letter runs that the library sees as one text."""
+        text = " ".join(words) if self.drops_space else " " + " ".join(words)
+        ids = np.frombuffer(self._raw([text])[0], "<u4")
+        edges = np.flatnonzero(self.edges[ids])
+        if len(edges) != len(words):
+            return self._alone(words)
+        cuts = np.append(0, edges + 1) if self.drops_space else np.append(edges, len(ids))
+        flat, places = ids.tobytes(), (4 * cuts).tolist()
+        return [flat[x:y] for x, y in zip(places, places[1:])]
+
+    def _unknown(self, segments: set[str]) -> set[str]:
+        """Those that no generation holds; what only the old one holds comes to the young one."""
+        missing = segments.difference(self.young)
+        if self.old:
+            known = missing.intersection(self.old)
+            self.young.update((s, self.old[s]) for s in known)
+            missing -= known
+        return missing
+
+    def _add(self, parts: Iterable[str], encode) -> None:
+        listed = list(parts)
+        for at in range(0, len(listed), JOINED):
+            some = listed[at:at + JOINED]
+            self.young.update(zip(some, encode(some)))
+
     def _learn(self, segments: set[str]) -> None:
         if len(self.young) > CACHE_SEGMENTS:
             self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        missing = []
-        for s in segments:
-            if s not in young:
-                if s in old:
-                    young[s] = old[s]
-                else:
-                    missing.append(s)
-        for at in range(0, len(missing), 10_000):
-            part = missing[at:at + 10_000]
-            # A marked segment is the start of a text or line and has no space in front.
-            texts = part if self.drops_space else [s[1:] if s[:1] == "\x00" else s if s[:1] == "\n" else " " + s for s in part]
-            young.update(zip(part, self._raw(texts)))
+        young = self.young
+        missing = self._unknown(segments)
+        if not self.splits:
+            return self._add(missing, self._alone)
+        made, others, words = [], [], set()
+        for s in missing:
+            found = PLAIN.fullmatch(s)
+            if found:
+                word, tail = found.groups()
+                if self.folds:
+                    word = word.lower()
+                words.add(word)
+                if tail or word != s:
+                    made.append((s, word, self._tail(tail) if tail else ""))
+            else:
+                others.append(s)
+        self._add(self._unknown(words), self._joined)
+        self._add(others, self._alone)
+        self._add(self._unknown({tail for _, _, tail in made if tail}), self._alone)
+        young.update((s, young[word] + young[tail] if tail else young[word]) for s, word, tail in made)
 
     def _segments(self, text: str) -> list[str] | None:
         if any(t in text for t in self.special):
@@ -87,13 +153,22 @@ class Encoder:
             parts = parts[1:]  # the text starts with its line break, nothing stands before it
         return parts
 
+    def each(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """Ids of each text in turn; a block of texts is cut at a time."""
+        block: list[str] = []
+        held = 0
+        for k, text in enumerate(texts):
+            block.append(text)
+            held += len(text)
+            if held >= BLOCK_CHARS or k == len(texts) - 1:
+                cut = [self._segments(t) for t in block]
+                whole = [t for t, c in zip(block, cut) if c is None]
+                self._learn(set().union(*[c for c in cut if c is not None]))
+                young, others = self.young, iter(self._raw(whole) if whole else [])
+                for c in cut:
+                    yield next(others) if c is None else b"".join(map(young.__getitem__, c))
+                block, held = [], 0
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids of each text."""
-        out: list[bytes] = []
-        for at in range(0, len(texts), 64):
-            cut = [self._segments(t) for t in texts[at:at + 64]]
-            whole = [t for t, c in zip(texts[at:at + 64], cut) if c is None]
-            self._learn(set().union(*[c for c in cut if c is not None]))
-            young, others = self.young, iter(self._raw(whole) if whole else [])
-            out += [next(others) if c is None else b"".join(map(young.__getitem__, c)) for c in cut]
-        return out
+        return list(self.each(texts))
