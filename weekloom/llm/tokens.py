@@ -9,26 +9,26 @@ special token literally: the library gives it the token's id.
 
 A new segment of Latin letters, with or without punctuation behind them, is
 looked up by its letters (in lower case where the vocabulary has no other), and
-new letter runs go to the library many at a time, as one text that is cut again
-where the tokens show a word's start or end.
+new letters go straight to the library's merge model, since its normalizing and
+splitting would leave them as they are. Whether a vocabulary allows that is
+tried out when it is loaded.
 """
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
+from weekloom.llm.bpe import byte_letters
 
 # Distinct segments one worker keeps, in each of two generations.
 CACHE_SEGMENTS = 600_000
-# Characters of the texts that are cut before their new segments are encoded, and letter runs of one joined text.
-BLOCK_CHARS, JOINED = 1 << 20, 5000
-# Letters that neither composition nor lower case changes into something else than one letter, then ASCII punctuation.
-PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\[-`{-~]+)?")
+# Characters of the texts that are taken together.
+BLOCK_CHARS = 1 << 20
+# A mark or line break, letters that neither composition nor lower case changes into something else than one letter, ASCII punctuation.
+PLAIN = re.compile(r"([\x00\n])?([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\[-`{-~]+)?")
 WHITE_PAIR = re.compile(r"\s\s")
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -46,6 +46,18 @@ def encoder(path: str, special_as_text: bool = False) -> "Encoder":
     return _ENCODERS[path, special_as_text]
 
 
+class Segments(dict):
+    """Ids of the segments seen, and a way to those of a new one."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, segment: str) -> bytes:
+        found = self[segment] = self.learn(segment)
+        return found
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes, as the library gives them.
 
@@ -59,86 +71,54 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tokenizer.encode_special_tokens = special_as_text
+        self.merged = self.tokenizer.model.tokenize
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         # A vocabulary that drops white space encodes "a" and " a" alike.
         self.drops_space = self._raw([" a"]) == self._raw(["a"])
-        self._read_edges()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young, self.old = Segments(self._learn), {}
+        self._try_out()
 
     def _raw(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _read_edges(self) -> None:
-        """Which tokens start or end a word, and whether letter runs may be joined and looked up in lower case."""
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
-        self.edges = np.zeros(1 + max(vocabulary.values()), bool)
-        for token, i in vocabulary.items():
-            self.edges[i] = bool(suffix) and token.endswith(suffix) if self.drops_space else token[:1] == "\u0120"  # a space
-        words, tails = ["a", "Tree", "qxzvkw", "\u00c9t\u00e9", "\u0178\u00df\u0131"], [".", "?!", "(_", ">>|"]
-        self.folds = all(self._alone([w]) == self._alone([w.lower()]) for w in words)
-        self.splits = self._joined(words) == self._alone(words) and all(
-            self._alone([w + t])[0] == self._alone([w])[0] + self._alone([self._tail(t)])[0] for w in words for t in tails)
-
-    def _tail(self, punctuation: str) -> str:
-        """Punctuation behind letters as a segment: nothing stands between them."""
-        return punctuation if self.drops_space else "\x00" + punctuation
-
-    def _alone(self, parts: Sequence[str]) -> list[bytes]:
+    def _try_out(self) -> None:
+        """Whether letters may be looked up in lower case, and whether they may go to the merge model by themselves."""
+        words, tails = ["a", "Tree", "qxzvkw", "\u00c9t\u00e9", "\u0178\u00df\u0131"], ["", ".", "?!", "(_", ">>|"]
+        marks = [""] if self.drops_space else ["", "\x00", "\n"]
+        self.folds = all(self._alone(w) == self._alone(w.lower()) for w in words)
+        self.splits = True
+        self.splits = all(self._learn(m + w + t) == self._alone(m + w + t) for m in marks for w in words for t in tails)
+        self.young.clear()
+
+    def _alone(self, segment: str) -> bytes:
         # A marked segment is the start of a text or line and has no space in front.
-        return self._raw(parts if self.drops_space else [s[1:] if s[:1] == "\x00" else s if s[:1] == "\n" else " " + s for s in parts])
-
-    def _joined(self, words: Sequence[str]) -> list[bytes]:
-        """Ids of letter runs that the library sees as one text."""
-        text = " ".join(words) if self.drops_space else " " + " ".join(words)
-        ids = np.frombuffer(self._raw([text])[0], "<u4")
-        edges = np.flatnonzero(self.edges[ids])
-        if len(edges) != len(words):
-            return self._alone(words)
-        cuts = np.append(0, edges + 1) if self.drops_space else np.append(edges, len(ids))
-        flat, places = ids.tobytes(), (4 * cuts).tolist()
-        return [flat[x:y] for x, y in zip(places, places[1:])]
-
-    def _unknown(self, segments: set[str]) -> set[str]:
-        """Those that no generation holds; what only the old one holds comes to the young one."""
-        missing = segments.difference(self.young)
-        if self.old:
-            known = missing.intersection(self.old)
-            self.young.update((s, self.old[s]) for s in known)
-            missing -= known
-        return missing
-
-    def _add(self, parts: Iterable[str], encode) -> None:
-        listed = list(parts)
-        for at in range(0, len(listed), JOINED):
-            some = listed[at:at + JOINED]
-            self.young.update(zip(some, encode(some)))
-
-    def _learn(self, segments: set[str]) -> None:
-        if len(self.young) > CACHE_SEGMENTS:
-            self.old, self.young = self.young, {}
-        young = self.young
-        missing = self._unknown(segments)
-        if not self.splits:
-            return self._add(missing, self._alone)
-        made, others, words = [], [], set()
-        for s in missing:
-            found = PLAIN.fullmatch(s)
-            if found:
-                word, tail = found.groups()
-                if self.folds:
-                    word = word.lower()
-                words.add(word)
-                if tail or word != s:
-                    made.append((s, word, self._tail(tail) if tail else ""))
-            else:
-                others.append(s)
-        self._add(self._unknown(words), self._joined)
-        self._add(others, self._alone)
-        self._add(self._unknown({tail for _, _, tail in made if tail}), self._alone)
-        young.update((s, young[word] + young[tail] if tail else young[word]) for s, word, tail in made)
+        return self._raw([segment if self.drops_space or segment[:1] == "\n" else segment[1:] if segment[:1] == "\x00" else " " + segment])[0]
+
+    def _letters(self, word: str, space: bool) -> bytes:
+        """Ids of letters alone or after a space, by the library's merge model."""
+        written = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.merged("\u0120" + written if space else written)]).tobytes()
+
+    def _learn(self, segment: str) -> bytes:
+        """Ids of a segment that the young generation does not hold."""
+        known = self.old.get(segment)
+        if known is not None:
+            return known
+        found = PLAIN.fullmatch(segment) if self.splits else None
+        if not found or (found[1] and self.drops_space):
+            return self._alone(segment)
+        mark, word, tail = found.groups()
+        if self.drops_space:
+            key = word.lower() if self.folds else word
+            letters = self._letters(key, False) if key == segment else self.young[key]
+            return letters + self.young[tail] if tail else letters
+        if mark == "\n":
+            return self.young["\n"] + self.young["\x00" + segment[1:]]
+        if tail:
+            return self.young[segment[:-len(tail)]] + self.young["\x00" + tail]
+        return self._letters(word, not mark)
 
     def _segments(self, text: str) -> list[str] | None:
         if any(t in text for t in self.special):
@@ -163,10 +143,11 @@ class Encoder:
             if held >= BLOCK_CHARS or k == len(texts) - 1:
                 cut = [self._segments(t) for t in block]
                 whole = [t for t, c in zip(block, cut) if c is None]
-                self._learn(set().union(*[c for c in cut if c is not None]))
-                young, others = self.young, iter(self._raw(whole) if whole else [])
+                if len(self.young) > CACHE_SEGMENTS:
+                    self.old, self.young = self.young, Segments(self._learn)
+                of, others = self.young.__getitem__, iter(self._raw(whole) if whole else [])
                 for c in cut:
-                    yield next(others) if c is None else b"".join(map(young.__getitem__, c))
+                    yield next(others) if c is None else b"".join(map(of, c))
                 block, held = [], 0
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
