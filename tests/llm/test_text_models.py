@@ -151,3 +151,72 @@ def test_words_before_a_licence_that_lower_case_would_cut(spark):
 
 def test_alignment_counts_words_in_order():
     assert license_scan.align("a b c d e".split(), "x a b q c e y".split(), 1, 4) == (4, 0, 5, 1, 6)
+
+
+def plain_alignment(template, words, diagonal, band):
+    """Cell by cell, the way back by the first of pair, gap in the region, gap in the template."""
+    best, end, score, way = 0, (0, 0), {}, {}
+    for i in range(1, len(template) + 1):
+        for j in range(1, len(words) + 1):
+            if abs(j - i - diagonal) <= band:
+                pair = license_scan.MATCH if template[i - 1] == words[j - 1] else license_scan.MISMATCH
+                steps = (0, score.get((i - 1, j - 1), 0) + pair, score.get((i - 1, j), 0) + license_scan.GAP, score.get((i, j - 1), 0) + license_scan.GAP)
+                if max(steps) > 0:
+                    score[i, j], way[i, j] = max(steps), steps.index(max(steps))
+                    if max(steps) > best:
+                        best, end = max(steps), (i, j)
+    (i, j), matched = end, 0
+    while (i, j) in score:
+        step = way[i, j]
+        matched += step == 1 and template[i - 1] == words[j - 1]
+        i, j = i - (step != 3), j - (step != 2)
+    return matched, i, end[0], j, end[1]
+
+
+def test_alignment_equals_cell_by_cell():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(1, 14))] for _ in range(2))
+        args = (a, b, rng.randint(-6, 6), rng.randint(0, 9))
+        assert license_scan.align(*args) == plain_alignment(*args)
+
+
+def edited(rng, words, share):
+    out = []
+    for w in words:
+        out += [w] if rng.random() > share else rng.choice([[], ["changed"], [w, "added"]])
+    return out
+
+
+def test_scan_equals_unbanded_alignment_of_all_templates(spark):
+    rng = random.Random(21)
+    prose_words = [f"filler{k}" for k in range(200)]
+    texts = []
+    for name, template in license_scan.TEMPLATES.items():
+        for share in (0, 0.03):
+            body = edited(rng, template.split(), share)
+            texts.append(" ".join([*rng.choices(prose_words, k=rng.randint(0, 30)), *body, *rng.choices(prose_words, k=5)]))
+    found = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {(r["doc_id"], r["license"]): r for r in sorted(found, key=lambda r: r["n_words"])}
+    for a in found:
+        same = [b for b in found if (a["doc_id"], a["license"]) == (b["doc_id"], b["license"]) and b["start"] < a["end"] and a["start"] < b["end"]]
+        assert same == [a]
+    for k, name in enumerate(n for n in license_scan.TEMPLATES for _ in range(2)):
+        template, words = license_scan.words_of(license_scan.TEMPLATES[name]), license_scan.words_of(texts[k])
+        matched, t0, t1, _, _ = plain_alignment(template, words, 0, len(template) + len(words))
+        if matched / len(template) < license_scan.MIN_SHARE and matched < license_scan.MIN_WORDS:
+            assert (k, name) not in got
+        else:
+            r = got[k, name]
+            assert (r["n_words"], r["template_start"], r["template_end"]) == (matched, t0, t1)
+
+
+def test_ranges_of_hashes():
+    rng = np.random.default_rng(3)
+    codes = np.unique(np.append(rng.integers(0, 1 << 63, 500, np.uint64) * np.uint64(2), np.array([0, (1 << 64) - 1], np.uint64)))
+    for ranges in (1, 2, 3, 7, 64, 100_000):
+        used, at = lm_backoff.cuts(codes, ranges)
+        width = (1 << 64) // ranges + 1
+        want = [min(int(c) // width, ranges - 1) for c in codes]
+        assert [k for k, a, z in zip(used, at, at[1:]) for _ in range(a, z)] == want
+    assert lm_backoff.cuts(codes[:0], 5) == ([], [0])

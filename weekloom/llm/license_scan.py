@@ -15,6 +15,7 @@ index holds the templates only.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -37,8 +38,9 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE, MIN_WORDS = 0.75, 25
 TOP = np.uint64((1 << 64) - 1)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
-CANDIDATE = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("shift", pa.int64()), ("first_word", pa.int64()), ("hits", pa.int64()),
-                       ("words", pa.list_(pa.string())), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
+REGION = pa.struct([("shift", pa.int64()), ("first_word", pa.int64()), ("words", pa.list_(pa.string())), ("starts", pa.list_(pa.int64())),
+                    ("ends", pa.list_(pa.int64()))])
+CANDIDATE = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("regions", pa.list_(REGION))])
 FOUND = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), ("n_words", pa.int64()),
                    ("start", pa.int64()), ("end", pa.int64()), ("template_start", pa.int64()), ("template_end", pa.int64())])
 
@@ -127,7 +129,7 @@ def regions(text: str, index: Index) -> list[tuple[str, int, int, int, int]]:
 
 
 def candidates(texts: DataFrame, index: Index) -> DataFrame:
-    """One row per candidate region with its words and their places in the text."""
+    """One row per document and template with the words of each candidate region and their places in the text."""
     def found(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for part in parts:
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -135,36 +137,81 @@ def candidates(texts: DataFrame, index: Index) -> DataFrame:
                 if near:
                     # The words of regions(), with their places in the text.
                     spots = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text)]
-                    for name, shift, lo, hi, hits in near:
-                        cut = spots[lo:hi]
-                        yield (doc_id, name, shift, lo, hits, [c[0] for c in cut], [c[1] for c in cut], [c[2] for c in cut])
+                    of: dict[str, list[dict]] = defaultdict(list)
+                    for name, shift, lo, hi, _ in near:
+                        words, starts, ends = (list(c) for c in zip(*spots[lo:hi]))
+                        of[name].append({"shift": shift, "first_word": lo, "words": words, "starts": starts, "ends": ends})
+                    yield from ((doc_id, name, cut) for name, cut in of.items())
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(found(parts), CANDIDATE, most_rows=500)
-    return texts.mapInArrow(run, "doc_id long, license string, shift long, first_word long, hits long, words array<string>, starts array<long>, ends array<long>")
+    return texts.mapInArrow(run, "doc_id long, license string, regions array<struct<shift:long,first_word:long,words:array<string>,starts:array<long>,ends:array<long>>>")
 
 
 def align(template: list[str], words: list[str], diagonal: int, band: int) -> tuple[int, int, int, int, int]:
-    """Best local alignment within the band: (matched words, template first and end, region first and end)."""
+    """Best local alignment within the band: (matched words, template first and end, region first and end).
+
+    One row of the table per template word, as an array over the band: place o
+    of row i is region word i + diagonal - band + o. A run of gaps along a row
+    is a running maximum, since each gap costs the same. Of equal scores the
+    first in template order, then in region order, is taken; a way back prefers
+    a pair of words, then a gap in the region, then one in the template.
+    """
+    codes: dict[str, int] = {}
+    left = np.array([codes.setdefault(w, len(codes)) for w in template], np.int32)
+    right = np.array([codes.setdefault(w, len(codes)) for w in words], np.int32)
+    width = 2 * band + 1
+    gaps = GAP * np.arange(width)
+    ways = np.zeros((len(left) + 1, width), np.int8)
+    above = np.zeros(width, np.int64)
     best, best_at = 0, (0, 0)
-    score: dict[tuple[int, int], int] = {}
-    way: dict[tuple[int, int], int] = {}
-    for i in range(1, len(template) + 1):
-        for j in range(max(1, i + diagonal - band), min(len(words), i + diagonal + band) + 1):
-            steps = (0, score.get((i - 1, j - 1), 0) + (MATCH if template[i - 1] == words[j - 1] else MISMATCH),
-                     score.get((i - 1, j), 0) + GAP, score.get((i, j - 1), 0) + GAP)
-            top = max(steps)
-            if top > 0:
-                score[i, j], way[i, j] = top, steps.index(top)
-                if top > best:
-                    best, best_at = top, (i, j)
+    for i in range(1, len(left) + 1):
+        place = np.arange(i + diagonal - band, i + diagonal + band + 1)  # 1 is the region's first word
+        inside = (place >= 1) & (place <= len(right))
+        if not inside.any():
+            above = np.zeros(width, np.int64)
+            continue
+        same = right[np.clip(place - 1, 0, len(right) - 1)] == left[i - 1]
+        pair = above + np.where(same, MATCH, MISMATCH)
+        down = np.append(above[1:], 0) + GAP
+        top = np.where(inside, np.maximum(np.maximum(pair, down), 0), 0)
+        # The best cell of this row further left, less a gap for every step from it.
+        along = np.maximum.accumulate(top - gaps) + gaps
+        row = np.where(inside, np.maximum(top, along), 0)
+        beside = np.append(0, row[:-1]) + GAP
+        ways[i] = np.select([row <= 0, row == pair, row == down, row == beside], [0, 1, 2, 3], 0)
+        most = int(row.max())
+        if most > best:
+            best, best_at = most, (i, int(place[row.argmax()]))
+        above = row
     i, j = best_at
     matched = 0
-    while (i, j) in score:
-        step = way[i, j]
+    while i > 0 and 0 <= (o := j - (i + diagonal - band)) < width and ways[i, o]:
+        step = ways[i, o]
         matched += step == 1 and template[i - 1] == words[j - 1]
         i, j = (i - 1, j - 1) if step == 1 else (i - 1, j) if step == 2 else (i, j - 1)
-    return matched, i, best_at[0], j, best_at[1]
+    return int(matched), i, best_at[0], j, best_at[1]
+
+
+def occurrences(template: list[str], cuts: list[dict]) -> list[tuple]:
+    """Of the regions of one document and template, (matched, template start and end, start and end in the text) of each occurrence.
+
+    Phrases that a template repeats put an occurrence on several diagonals; of
+    overlapping spans the one with most words stays, of equal ones the first.
+    """
+    every = []
+    for c in cuts:
+        matched, t0, t1, w0, w1 = align(template, c["words"], c["shift"] - c["first_word"], 2 * band_of(len(template)))
+        if matched and (matched / len(template) >= MIN_SHARE or matched >= MIN_WORDS):
+            every.append((matched, t0, t1, c["starts"][w0], c["ends"][w1 - 1]))
+    kept: list[tuple] = []
+    starts: list[int] = []
+    for one in sorted(every, key=lambda x: (-x[0], x[3], x[1])):
+        at = bisect_left(starts, one[4])  # kept spans are apart, so only the last that begins before the end can overlap
+        if not at or kept[at - 1][4] <= one[3]:
+            starts.insert(at, one[3])
+            kept.insert(at, one)
+    return kept
 
 
 def aligned(near: DataFrame, index: Index) -> DataFrame:
@@ -173,10 +220,8 @@ def aligned(near: DataFrame, index: Index) -> DataFrame:
         for part in parts:
             for c in part.to_pylist():
                 template = index.words[c["license"]]
-                matched, t0, t1, w0, w1 = align(template, c["words"], c["shift"] - c["first_word"], 2 * band_of(len(template)))
-                share = matched / len(template)
-                if matched and (share >= MIN_SHARE or matched >= MIN_WORDS):
-                    yield (c["doc_id"], c["license"], round(share, 6), matched, c["starts"][w0], c["ends"][w1 - 1], t0, t1)
+                for matched, t0, t1, start, end in occurrences(template, c["regions"]):
+                    yield (c["doc_id"], c["license"], round(matched / len(template), 6), matched, start, end, t0, t1)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(found(parts), FOUND)
@@ -189,8 +234,11 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str
 
     A null or empty text holds none. Null and repeated ids stay, each row for
     itself. Templates of fewer than three words are never found. A short
-    template inside a longer one is reported next to it. Other columns are not
-    read.
+    template inside a longer one is reported next to it, and so are templates
+    that share MIN_WORDS words with the one that is there. Where a text drifts
+    from a template by more than the band, its parts are rows of their own.
+    Very long texts are scanned whole; an empty table gives no rows. Other
+    columns are not read.
     """
     index = index_of(templates)
     return aligned(candidates(keyed_texts(docs, id_col, text_col), index), index)

@@ -134,11 +134,11 @@ def distinct(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return (codes[1:], counts[1:]) if len(codes) and codes[0] == 0 else (codes, counts)
 
 
-def cuts(codes: np.ndarray, ranges: int) -> np.ndarray:
-    """Where each range of hashes begins among ascending hashes."""
-    width = (1 << 64) // ranges + 1
-    edges = np.array([min(k * width, (1 << 64) - 1) for k in range(ranges)], np.uint64)
-    return np.append(np.searchsorted(codes, edges), len(codes))
+def cuts(codes: np.ndarray, ranges: int) -> tuple[list[int], list[int]]:
+    """The ranges of hashes that ascending hashes fall into, and where each begins (and the last one ends)."""
+    width = np.uint64(min((1 << 64) // ranges + 1, (1 << 64) - 1))
+    used, first = np.unique(np.minimum(codes // width, np.uint64(ranges - 1)), return_index=True)
+    return used.tolist(), [*first.tolist(), len(codes)]
 
 
 def narrow(counts: np.ndarray) -> bytes:
@@ -162,13 +162,12 @@ def explode(blocks: DataFrame, ranges: int, order: int) -> DataFrame:
         for part in parts:
             for b in part.to_pylist():
                 codes, counts = distinct(grams(b["vocabulary"], b["tokens"], b["sizes"], order))
-                at = cuts(codes, ranges)
-                used = [k for k in range(ranges) if at[k] < at[k + 1]]
+                used, at = cuts(codes, ranges)
                 if used:
                     yield pa.RecordBatch.from_arrays([
                         pa.array(used, pa.int64()), pa.array([b["block"]] * len(used), pa.int64()),
-                        pa.array([squeeze(codes[at[k]:at[k + 1]]) for k in used], pa.binary()),
-                        pa.array([narrow(counts[at[k]:at[k + 1]]) for k in used], pa.binary())], ["range", "block", "codes", "counts"])
+                        pa.array([squeeze(codes[a:z]) for a, z in zip(at, at[1:])], pa.binary()),
+                        pa.array([narrow(counts[a:z]) for a, z in zip(at, at[1:])], pa.binary())], ["range", "block", "codes", "counts"])
     return blocks.mapInArrow(run, "range long, block long, codes binary, counts binary")
 
 
