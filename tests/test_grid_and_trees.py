@@ -61,6 +61,22 @@ def test_scans_do_not_grow_with_the_grid(data, monkeypatch):
         linear.fit_grid(rows, 4, 3, 3, [{"C": -1}])
 
 
+def test_steps_read_equal_rows_once(data, monkeypatch):
+    """Every scan of a table of copies reads its distinct rows, and the models are those of all its rows."""
+    rows, read, plain = data[1], [], linear.summed
+    rounded = F.transform("x", lambda v: F.when(F.isnan(v), v).otherwise(F.round(v / 4) * 4))
+    rows = rows.select("code", "fold", "row", rounded.alias("x"), F.explode(F.sequence(F.lit(0), F.col("row") % 7)).alias("copy")).drop("copy")
+    kinds = rows.select("code", "fold", "x").distinct().count()
+    grid = [{"C": 1.0, "max_iter": 20}, {"C": 0.1, "class_weight": "balanced", "max_iter": 20}]
+    monkeypatch.setattr(linear, "summed", lambda d, *a: read.append(d.count()) or plain(d, *a))
+    found = linear.fit_grid(rows, 4, 3, 3, grid)
+    assert 2 * kinds < rows.count() and set(read) == {kinds} and len(read) == found.steps + 1
+    monkeypatch.setattr(linear, "distinct_rows", lambda d: d.withColumn("n", F.lit(1)))
+    each = linear.fit_grid(rows, 4, 3, 3, grid)
+    for name in ("weights", "mean", "std"):
+        assert np.allclose(getattr(found, name), getattr(each, name), atol=1e-9)
+
+
 def test_boosting_learns_and_obeys_its_penalties(data):
     _, rows, x, y = data
     base = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3, "reg_lambda": 1.0}

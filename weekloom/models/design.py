@@ -78,6 +78,19 @@ def summed(design: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray, np.ndar
     return out
 
 
+def distinct_rows(design: DataFrame) -> DataFrame:
+    """Code, fold and x of the rows with the number of rows ``n`` that are equal in them.
+
+    Where that at least halves the table (by an estimate), equal rows are put
+    together and staged, so that many scans read each of them once; elsewhere
+    every row stays, with n = 1. Sums weighted by n are the same either way.
+    """
+    size = design.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64("code", "fold", "x")).alias("kinds")).first()
+    if 2 * size["kinds"] > size["rows"]:
+        return design.select("code", "fold", "x", F.lit(1).cast("long").alias("n"))
+    return stage(design.groupBy("code", "fold", "x").agg(F.count(F.lit(1)).alias("n")), "design-distinct")
+
+
 def block_counts(design: DataFrame, n_classes: int, n_folds: int) -> np.ndarray:
     """Rows per (block, class)."""
     out = np.zeros((n_folds + 1, n_classes))
@@ -105,18 +118,18 @@ def training_medians(design: DataFrame, width: int, n_folds: int) -> np.ndarray:
 
 
 def training_scales(design: DataFrame, medians: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and sample standard deviation (model, feature) after filling with the model's medians; 1 where it is 0."""
+    """Mean and sample standard deviation (model, feature) of :func:`distinct_rows` after filling with the model's medians; 1 where it is 0."""
     models, width = medians.shape
     pivot = medians[0]
 
     def add(part, x, total):
         sums = total.reshape(models, 4, width)
-        fold = numbers(part, "fold")
+        fold, many = numbers(part, "fold"), numbers(part, "n")
         for f in np.unique(fold):
-            mine = x[fold == f] - pivot
+            mine, n = x[fold == f] - pivot, many[fold == f]
             missing = np.isnan(mine)
             mine[missing] = 0.0
-            sums[f] += [np.full(width, len(mine)), missing.sum(0), mine.sum(0), (mine * mine).sum(0)]
+            sums[f] += [np.full(width, n.sum()), n @ missing, n @ mine, n @ (mine * mine)]
 
     blocks = summed(design, add, models * 4 * width, width).reshape(models, 4, width)
     n, miss, one, two = np.moveaxis(training_counts(blocks.reshape(models, -1)).reshape(models, 4, width), 1, 0)

@@ -2,7 +2,9 @@
 
 All (combination, fold) models take the same steps. In every step one scan of
 the staged rows returns the gradients of all of them, so the number of scans
-does not depend on the grid. Steps are accelerated gradient steps, scaled by
+does not depend on the grid. Where at most half of the rows differ, equal rows
+are put together before the first step, and a scan reads the distinct ones with
+their numbers. Steps are accelerated gradient steps, scaled by
 the upper bound A / 2 + penalty of the curvature, where A is the weighted
 second moment of the scaled features, one per fold and weighting.
 """
@@ -16,7 +18,7 @@ from typing import Any
 import numpy as np
 from pyspark.sql import DataFrame
 
-from weekloom.models.design import block_counts, numbers, scores_of, summed, training_counts, training_medians, training_scales
+from weekloom.models.design import block_counts, distinct_rows, numbers, scores_of, summed, training_counts, training_medians, training_scales
 
 # A model rests once no scaled weight moves by more than this in a step.
 STILL = 1e-5
@@ -76,7 +78,8 @@ def fit_grid(design: DataFrame, width: int, n_classes: int, n_folds: int, combos
     models, many = n_folds + 1, len(combos)
     counts = training_counts(block_counts(design, n_classes, n_folds))
     medians = training_medians(design, width, n_folds)
-    mean, std = training_scales(design, medians)
+    rows = distinct_rows(design)
+    mean, std = training_scales(rows, medians)
     weights = np.zeros((models, many, width + 1, n_classes))
     grid = LinearGrid(list(combos), weights, counts > 0, medians, mean, std, 0)
     wanted = [m for m in (range(models) if only is None else only) if counts[m].sum() > 0]
@@ -88,14 +91,14 @@ def fit_grid(design: DataFrame, width: int, n_classes: int, n_folds: int, combos
         return slice(None) if model == 0 else numbers(part, "fold") < model
 
     def add_moments(part, x, total):
-        out, code = total.reshape(len(kinds), models, width + 1, width + 1), numbers(part, "code")
+        out, code, n = total.reshape(len(kinds), models, width + 1, width + 1), numbers(part, "code"), numbers(part, "n")
         for m in wanted:
             take = rows_of(part, m)
             z = grid.scaled(x[take], m)
             for k in range(len(kinds)):
-                out[k, m] += (z * by_kind[k, m][code[take]][:, None]).T @ z
+                out[k, m] += (z * (by_kind[k, m][code[take]] * n[take])[:, None]).T @ z
 
-    moments = summed(design, add_moments, len(kinds) * models * (width + 1) ** 2, width).reshape(len(kinds), models, width + 1, width + 1)
+    moments = summed(rows, add_moments, len(kinds) * models * (width + 1) ** 2, width).reshape(len(kinds), models, width + 1, width + 1)
     total = np.einsum("kmc,mc->km", by_kind, counts)
     free = np.append(np.ones(width), 0.0)  # the intercept has no penalty
     penalty = np.zeros((models, many))
@@ -115,7 +118,7 @@ def fit_grid(design: DataFrame, width: int, n_classes: int, n_folds: int, combos
 
         def add_gradient(part, x, total):
             grid, ahead, open_ = sent.value
-            out, code = total.reshape(weights.shape), numbers(part, "code")
+            out, code, n = total.reshape(weights.shape), numbers(part, "code"), numbers(part, "n")
             for m in wanted:
                 some = np.flatnonzero(open_[m])
                 if not len(some):
@@ -124,10 +127,10 @@ def fit_grid(design: DataFrame, width: int, n_classes: int, n_folds: int, combos
                 z, truth = grid.scaled(x[take], m), code[take]
                 p = softmax(np.einsum("nd,cdk->nck", z, ahead[m, some], optimize=True), grid.present[m])
                 p[np.arange(len(truth)), :, truth] -= 1.0
-                p *= by_kind[np.array(kind_of)[some], m][:, truth].T[:, :, None]
+                p *= (by_kind[np.array(kind_of)[some], m][:, truth] * n[take]).T[:, :, None]
                 out[m, some] += np.einsum("nd,nck->cdk", z, p, optimize=True)
 
-        slope = summed(design, add_gradient, weights.size, width).reshape(weights.shape)
+        slope = summed(rows, add_gradient, weights.size, width).reshape(weights.shape)
         sent.unpersist()
         grid.steps += 1
         for m, c in zip(*np.nonzero(open_)):
