@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from weekloom.llm import decontaminate, near_dup, packing, pii, quality_rules
 from weekloom.llm.common import documents, prepare, stage, table
 
+# Segments a task of the last stage keeps: half as many as usual, since executors hold memory of the stages before.
+SEGMENTS = 300_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the certified cutoffs."""
@@ -37,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
-    pieces = packing.pack(docs)
+    pieces = packing.pack(docs, segments=SEGMENTS)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

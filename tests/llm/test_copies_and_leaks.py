@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from weekloom.llm import decontaminate, near_dup
@@ -41,6 +42,25 @@ def test_sketch_agreement_estimates_the_similarity():
     assert (near_dup.sketch_batch(sets[2:3])[0] == held[2]).all()
 
 
+def test_long_texts_are_sketched_a_few_at_a_time(monkeypatch):
+    """What is sketched at once is bounded in characters, and known words are let go between blocks."""
+    class Direct:
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng, at_once, known = random.Random(9), [], []
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (3000, 10, 2000, 2500, 5, 1, 4000, 700)]
+    part = pa.RecordBatch.from_arrays([pa.array(range(8), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    whole = next(near_dup.sketches(Direct())(iter([part]))).to_pylist()
+    sketch, shingles = near_dup.sketch_batch, near_dup.shingles
+    monkeypatch.setattr(near_dup, "SKETCH_CHARS", 20_000)
+    monkeypatch.setattr(near_dup, "KNOWN_WORDS", 1000)
+    monkeypatch.setattr(near_dup, "sketch_batch", lambda sets: at_once.append(sum(len(x[0]) for x in sets)) or sketch(sets))
+    monkeypatch.setattr(near_dup, "shingles", lambda text, codes: known.append(len(codes)) or shingles(text, codes))
+    cut = [r for b in near_dup.sketches(Direct())(iter([part])) for r in b.to_pylist()]
+    assert cut == whole and len(at_once) > 3 and max(at_once) <= 4000 and max(known) <= 4000
+
+
 def plain_classes(rows):
     sets = {k: plain_sets(t) for k, t in rows}
     up = {k: k for k in sets}

@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tokenizers
 
@@ -57,6 +58,20 @@ def test_letter_runs_with_punctuation_encode_like_whole_texts(name, monkeypatch)
     assert len(enc.old) > 60
 
 
+def test_segments_go_with_the_task(spark, docs, tmp_path):
+    """A worker that has packed or written holds no segments in its next task."""
+    packing.pack(docs).collect()
+    binary_out.write_tokens(docs, str(tmp_path))
+
+    def held(parts):
+        for part in parts:
+            found = [len(e.young) + len(e.old) for e in tokens._ENCODERS.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([len(found)] * part.num_rows), pa.array([sum(found)] * part.num_rows)], ["encoders", "segments"])
+
+    seen = spark.range(0, 400, 1, 4).mapInArrow(held, "encoders long, segments long").distinct().collect()
+    assert max(r["encoders"] for r in seen) > 0 and {r["segments"] for r in seen} == {0}
+
+
 def test_special_tokens_as_text():
     from tokenizers import Tokenizer
 

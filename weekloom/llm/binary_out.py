@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import as_batch, batches, keyed_texts
-from weekloom.llm.tokens import default_path, encoder
+from weekloom.llm.tokens import default_path, encoder, encoding
 
 TOKENIZER = "word_bpe_49k.json"
 # Documents, and bytes of each, that the dictionary is trained on at most.
@@ -74,9 +74,10 @@ def _sample(texts: DataFrame, path: str, width: int, n_docs: int) -> list[bytes]
     share = max(1, n_docs // DICTIONARY_DOCS)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            ids = encoder(path).encode(part.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([_packed(i, width)[:DICTIONARY_PIECE] for i in ids], pa.binary())], ["piece"])
+        with encoding(path) as enc:
+            for part in parts:
+                ids = enc.encode(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array([_packed(i, width)[:DICTIONARY_PIECE] for i in ids], pa.binary())], ["piece"])
 
     picked = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
     return [bytes(r["piece"]) for r in picked.mapInArrow(run, "piece binary").limit(2 * DICTIONARY_DOCS).collect()]
@@ -114,17 +115,18 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str | None = None, end_i
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
         index: list[tuple] = []
         out, at, target, temp = None, 0, "", ""
-        for part in parts:
-            names, cut = part.column(0).to_pylist(), part.column(1).to_pylist()
-            if out is None and names:
-                files, base = _open(folder)
-                target, temp = f"{base}/{name}", f"{base}/.{name}-{task.taskAttemptId()}"
-                out = files.open_output_stream(temp)
-            for doc_id, ids in zip(names, encoder(path).each(cut)):
-                frame = press.compress(_packed(ids + end, width))
-                out.write(frame)
-                index.append((doc_id or 0, doc_id is None, len(ids) // 4 + 1, at, len(frame)))
-                at += len(frame)
+        with encoding(path) as enc:
+            for part in parts:
+                names, cut = part.column(0).to_pylist(), part.column(1).to_pylist()
+                if out is None and names:
+                    files, base = _open(folder)
+                    target, temp = f"{base}/{name}", f"{base}/.{name}-{task.taskAttemptId()}"
+                    out = files.open_output_stream(temp)
+                for doc_id, ids in zip(names, enc.each(cut)):
+                    frame = press.compress(_packed(ids + end, width))
+                    out.write(frame)
+                    index.append((doc_id or 0, doc_id is None, len(ids) // 4 + 1, at, len(frame)))
+                    at += len(frame)
         if out is None:
             return
         rows = np.array(index, INDEX)

@@ -45,6 +45,8 @@ REGISTERS = BANDS * ROWS
 SKETCH_LEAST = 0.68
 # Below so many running processes a step draws several points of each.
 FEW_PROCESSES, POINTS = 4096, 16
+# Texts sketched at once, characters of them, and distinct words whose hashes a task keeps.
+SKETCH_TEXTS, SKETCH_CHARS, KNOWN_WORDS = 100, 1 << 20, 100_000
 # Members of a block when a mixed group is compared inside.
 BLOCK = 512
 # Up to so many ids (8 bytes each) go to all executors to pick their texts; beyond, texts are shuffled to them.
@@ -136,17 +138,30 @@ def sketch_batch(items: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return held.reshape(n, REGISTERS)
 
 
+def blocks(ids: list[int], texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+    """The texts in turn, as many at once as SKETCH_TEXTS and SKETCH_CHARS allow; a longer one alone."""
+    block: list[tuple[int, str]] = []
+    held = 0
+    for doc_id, text in zip(ids, texts):
+        if block and (len(block) >= SKETCH_TEXTS or held + len(text) > SKETCH_CHARS):
+            yield block
+            block, held = [], 0
+        block.append((doc_id, text))
+        held += len(text)
+    if block:
+        yield block
+
+
 def sketches(texts: DataFrame) -> DataFrame:
     """doc_id, words (a hash of the words), bands (one hash each) and marks (one byte per register) of texts with words."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[str, int] = {}
         for part in parts:
-            if len(codes) > 500_000:
-                codes = {}
-            ids, whole = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for at in range(0, len(whole), 100):
+            for block in blocks(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                if len(codes) > KNOWN_WORDS:
+                    codes = {}
                 sets, names, same = [], [], []
-                for doc_id, text in zip(ids[at:at + 100], whole[at:at + 100]):
+                for doc_id, text in block:
                     found = shingles(text, codes)
                     if len(found):
                         sets.append(np.unique(found, return_counts=True))

@@ -24,12 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from weekloom.llm.common import as_batch, keyed_texts
-from weekloom.llm.tokens import default_path, encoder
+from weekloom.llm.tokens import default_path, encoding
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 # Remainders a task holds before it packs down to half of them.
 POOL = 2048
+# Pieces of one batch that leaves a task.
+FLUSH = 1000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                    ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -140,33 +142,34 @@ class Packer:
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, capacity: int = CAPACITY,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", segments: int | None = None) -> DataFrame:
     """One row per piece: its ids (little-endian unsigned 32-bit), where they start in the document, and its place.
 
     A null or empty text is the end id alone. Ids may be null or repeat: every
     row is packed as a document of its own. An empty table gives no rows.
-    Other columns are not read.
+    Other columns are not read. ``segments`` bounds what a task keeps of the
+    segments it has encoded: fewer take less memory and more time.
     """
     path = tokenizer or default_path(TOKENIZER)
     end = end_id.to_bytes(4, "little")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
         packer = Packer(capacity, TaskContext.get().partitionId() << 40)
 
         def flush() -> Iterator[pa.RecordBatch]:
             rows, packer.rows = packer.rows, []
-            for at in range(0, len(rows), 4000):
-                yield as_batch(rows[at:at + 4000], ARROW)
-
-        for part in parts:
-            names, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for name, ids in zip(names, enc.each(texts)):
-                packer.add(name, ids + end)
-                if packer.size > POOL:
-                    packer.shrink(POOL // 2)
-                if len(packer.rows) >= 4000:
-                    yield from flush()
+            for at in range(0, len(rows), FLUSH):
+                yield as_batch(rows[at:at + FLUSH], ARROW)
+
+        with encoding(path, segments=segments) as enc:
+            for part in parts:
+                names, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
+                for name, ids in zip(names, enc.each(texts)):
+                    packer.add(name, ids + end)
+                    if packer.size > POOL:
+                        packer.shrink(POOL // 2)
+                    if len(packer.rows) >= FLUSH:
+                        yield from flush()
         packer.shrink(0)
         yield from flush()
 

@@ -20,10 +20,11 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from weekloom.llm.bpe import byte_letters
 
-# Distinct segments one worker keeps, in each of two generations.
+# Distinct segments a task keeps, in each of two generations, where it is not told how many.
 CACHE_SEGMENTS = 600_000
 # Characters of the texts that are taken together.
 BLOCK_CHARS = 1 << 20
@@ -46,6 +47,21 @@ def encoder(path: str, special_as_text: bool = False) -> "Encoder":
     return _ENCODERS[path, special_as_text]
 
 
+@contextmanager
+def encoding(path: str, special_as_text: bool = False, segments: int | None = None) -> Iterator["Encoder"]:
+    """The worker's encoder for one task, which keeps so many ``segments`` in each generation.
+
+    The segments it has seen go with the task: a worker lives on, and what it
+    holds would be missing in the next stage, whatever that does.
+    """
+    found = encoder(path, special_as_text)
+    found.segments = segments
+    try:
+        yield found
+    finally:
+        found.forget()
+
+
 class Segments(dict):
     """Ids of the segments seen, and a way to those of a new one."""
 
@@ -76,9 +92,14 @@ class Encoder:
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         # A vocabulary that drops white space encodes "a" and " a" alike.
         self.drops_space = self._raw([" a"]) == self._raw(["a"])
+        self.segments: int | None = None
         self.young, self.old = Segments(self._learn), {}
         self._try_out()
 
+    def forget(self) -> None:
+        """Let all segments go."""
+        self.young, self.old = Segments(self._learn), {}
+
     def _raw(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
@@ -143,7 +164,7 @@ class Encoder:
             if held >= BLOCK_CHARS or k == len(texts) - 1:
                 cut = [self._segments(t) for t in block]
                 whole = [t for t, c in zip(block, cut) if c is None]
-                if len(self.young) > CACHE_SEGMENTS:
+                if len(self.young) > (self.segments or CACHE_SEGMENTS):
                     self.old, self.young = self.young, Segments(self._learn)
                 of, others = self.young.__getitem__, iter(self._raw(whole) if whole else [])
                 for c in cut:
