@@ -167,5 +167,36 @@ def test_a_shard_read_in_turn_equals_its_single_documents(spark, tmp_path, monke
             assert list(shard.all_rows()) == list(shard.rows(range(len(shard.index))))
 
 
+def test_shards_follow_the_bytes_of_the_texts(spark, tmp_path, monkeypatch):
+    """Not the settings of the shuffle: each task learns its words anew."""
+    rows = [(k, " ".join(f"word{(k * j) % 89} again" for j in range(k % 40))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    library = tokenizers.Tokenizer.from_file(default_path("word_bpe_49k.json"))
+    wanted = {k: crc([*library.encode(t, add_special_tokens=False).ids, 2]) for k, t in rows}
+    small = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in small}
+    found = {}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        for most in (64 << 20, 20_000):
+            monkeypatch.setattr(binary_out, "TASK_BYTES", most, raising=False)
+            folder = binary_out.write_tokens(docs, str(tmp_path))
+            found[most] = spark.read.parquet(f"{folder}/manifest").count()
+            got = binary_out.read_tokens(spark, folder).collect()
+            assert {r["doc_id"]: crc(np.frombuffer(r["ids"], "<u4")) for r in got} == wanted
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    n_bytes = sum(len(t) for _, t in rows)
+    few, many = found.values()
+    assert few == 1 and 3 <= many <= -(-n_bytes // 20_000)
+
+
+def test_shares_of_a_task():
+    most, least = binary_out.TASK_BYTES, binary_out.LEAST_BYTES
+    assert [binary_out._tasks(n, 6) for n in (0, 1, least + 1, 100 * least, 100 * most)] == [1, 1, 2, max(6, -(-100 * least // most)), 100]
+
+
 def test_shards_of_an_empty_table(spark, docs, tmp_path):
     assert binary_out.read_tokens(spark, binary_out.write_tokens(docs.limit(0), str(tmp_path))).count() == 0

@@ -41,6 +41,9 @@ DICTIONARY_DOCS = 2000
 DICTIONARY_PIECE = 4096
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
+# Bytes of texts a task takes: every task learns the words it meets, so many small ones learn the same words again and again.
+# Where there are fewer such shares than cores, each core gets one, down to the lower bound.
+TASK_BYTES, LEAST_BYTES = 64 << 20, 4 << 20
 # Bytes of one read where a whole shard is wanted (a longer frame is read alone).
 READ_BYTES = 4 << 20
 MAGIC = b"WLTOK001"
@@ -64,6 +67,11 @@ def _train(samples: list[bytes]) -> bytes:
         return b""
 
 
+def _tasks(n_bytes: int, cores: int) -> int:
+    """Tasks, and shards at most, for so many bytes of texts."""
+    return max(1, -(-n_bytes // TASK_BYTES), min(cores, -(-n_bytes // LEAST_BYTES)))
+
+
 def _packed(ids: bytes, width: int) -> bytes:
     """Ids as stored: 2 bytes each where the vocabulary allows it."""
     return ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
@@ -89,7 +97,8 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str | None = None, end_i
 
     A null or empty text is the end id alone. Null ids come first; repeated ids
     are kept, ordered by a hash of their texts. An empty table gives no shards.
-    Other columns are not read.
+    Other columns are not read. The number of shards follows the bytes of the
+    texts; they hold about equally many documents.
     """
     spark = docs.sparkSession
     path = tokenizer or default_path(TOKENIZER)
@@ -100,7 +109,8 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str | None = None, end_i
     store, local = _open(folder)
     store.create_dir(local, recursive=True)
     texts = keyed_texts(docs, id_col, text_col)
-    dictionary = _train(_sample(texts, path, width, texts.select("doc_id").count()))
+    n_docs, n_bytes = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    dictionary = _train(_sample(texts, path, width, n_docs))
     with store.open_output_stream(f"{local}/dictionary.zdict") as out:
         out.write(dictionary)
     shared = spark.sparkContext.broadcast(dictionary)  # at most DICTIONARY_BYTES
@@ -139,7 +149,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str | None = None, end_i
                          int(named.max()) if len(named) else None, bool(rows["is_null"].any()))], MANIFEST)
 
     (texts.withColumn("h", F.xxhash64("text"))
-     .repartitionByRange(F.col("doc_id").asc_nulls_first(), "h")
+     .repartitionByRange(_tasks(n_bytes, spark.sparkContext.defaultParallelism), F.col("doc_id").asc_nulls_first(), "h")
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h")
      .select("doc_id", "text")
      .mapInArrow(run, "shard long, file string, n_docs long, n_ids long, first_id long, last_id long, has_null boolean")

@@ -127,6 +127,10 @@ class Encoder:
         known = self.old.get(segment)
         if known is not None:
             return known
+        if self.splits and segment.isascii() and segment.isalpha():
+            # Most new segments: what follows would find the letters alone.
+            key = segment.lower() if self.folds and self.drops_space else segment
+            return self.young[key] if key != segment else self._letters(segment, not self.drops_space)
         found = PLAIN.fullmatch(segment) if self.splits else None
         if not found or (found[1] and self.drops_space):
             return self._alone(segment)
